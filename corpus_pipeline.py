@@ -5,15 +5,22 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarrylane.llm import bpe, line_dedup, simhash
+from quarrylane.llm import bpe, line_dedup, mixing, rule_classifier, simhash
 from quarrylane.llm.queries import tokenizer_path
-from quarrylane.llm.shared import shared_dir
+from quarrylane.llm.shared import shared_dir, table
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return rule_classifier.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later matching lines are taken out of the texts."""
-    return line_dedup.dedup_lines(docs).select(*docs.columns)
+    """Later matching lines are taken out of the texts; n_chars follows."""
+    out = line_dedup.dedup_lines(docs).select(*docs.columns)
+    return out.withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,12 +28,17 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one_per_group(docs)
 
 
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it, in training order."""
+    return mixing.materialised(docs)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix as tokens, in training order within its files."""
+    """The mix as tokens."""
     return bpe.encode_documents(docs.select("doc_id", "text"), tokenizer_path()).drop("text")
 
 
-STAGES = [("line dedup", lines), ("simhash near-dedup", near_copies), ("bpe encoding", encode)]
+STAGES = [("quality classifier", quality), ("line dedup", lines), ("simhash near-dedup", near_copies), ("mixing", mix), ("bpe encoding", encode)]
 
 #: No SQL has the classifier, the similarity join or the tokenizer.
 ORACLE_SQL = None
@@ -34,7 +46,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of sf_dir; what lies between them is in the shared folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     where = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{where}/{k}")

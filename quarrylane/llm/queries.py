@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, line_dedup, simhash
+from . import bpe, fingerprint, html_extract, licenses, line_dedup, mixing, quality_rules, rule_classifier, simhash, url_filter
 from .shared import table
 
 
@@ -16,15 +16,40 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.size("sentence_ids").cast("bigint").alias("n_sentences"), *(F.array_join(c, ",").alias(c) for c in ("sentence_ids", "licences", "unresolved")))
+
+
 def op2_fracminhash_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_pairs(table(spark, sf_dir, "documents"))
 
 
+def op3_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.encode_documents(docs, tokenizer_path()).drop("text")
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages"))
+
+
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extracted(table(spark, sf_dir, "pages"))
+
+
+def op7_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_classifier.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
@@ -34,5 +59,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_fracminhash_pairs, op4_bpe_tree, op9_simhash_groups, op10_line_dedup)}
+_ALL = (
+    op1_license_scan, op2_fracminhash_pairs, op3_risk_controlled_rules, op4_bpe_tree, op5_url_filter,
+    op6_html_extract, op7_rule_ensemble, op8_curriculum_mix, op9_simhash_groups, op10_line_dedup,
+)
+QUERIES = {f.__name__: f for f in _ALL}
+
+#: The url rules are the only operator here whose whole result plain SQL can state.
 ORACLE_SQL: dict[str, str] = {}
