@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .shared import text_of
 
 #: Texts without any of these words hold no known sentence.
-CUE = r"(?i)licen[cs]e|copyright|rights reserved|redistribut|warrant|merchantab|permission|public domain|endorse|as is|liab"
+CUE = r"(?i)licen[cs]e|copyright|rights reserved|redistribut|warrant|merchantab|permission|public domain|endorse|as is|liab|free software|file except|Mozilla|MPL"
 
 # Wording of well-known public licence notices, as published with each licence.
 _SENTENCES = {

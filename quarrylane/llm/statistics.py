@@ -7,15 +7,26 @@ from pyspark.sql import functions as F
 
 from .shared import text_of, words
 
-_SPACES = " \t\n\x0b\x0c\r"
+_SPACES = " \n\t\r\x0b\x0c"
 SYMBOLS = "#*$%&|<>"
-_UPPER = "".join(map(chr, range(ord("A"), ord("Z") + 1)))
 _WINDOW = 3
 
 
+def _without(text: Column, chars: str) -> Column:
+    """A text without some characters: one fast pass for each."""
+    for c in chars:
+        text = F.replace(text, F.lit(c), F.lit(""))
+    return text
+
+
 def _count(text: Column, chars: str) -> Column:
     """How many characters of a text are among chars."""
-    return (F.char_length(text) - F.char_length(F.translate(text, chars, ""))).cast("bigint")
+    return (F.char_length(text) - F.char_length(_without(text, chars))).cast("bigint")
+
+
+def _count_range(text: Column, pattern: str) -> Column:
+    """How many characters of a text match a pattern for one character."""
+    return (F.char_length(text) - F.char_length(F.regexp_replace(text, pattern, ""))).cast("bigint")
 
 
 def _split(docs: DataFrame) -> DataFrame:
@@ -59,11 +70,11 @@ def with_counts(docs: DataFrame) -> DataFrame:
     return split.withColumns(
         {
             "n_words": F.size("__words").cast("bigint"),
-            "word_chars": F.char_length(F.translate(text, _SPACES, "")).cast("bigint"),
+            "word_chars": F.char_length(_without(text, _SPACES)).cast("bigint"),
             "n_symbols": _count(text, SYMBOLS),
             "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("bigint"),
             "n_repeat_words": _repeat_words(F.col("__words")),
-            "n_upper": _count(text, _UPPER),
+            "n_upper": _count_range(text, "[A-Z]"),
             "n_marks": _count(text, "!"),
         }
     ).drop("__text", "__words", "__lines")
@@ -76,7 +87,7 @@ def with_features(docs: DataFrame) -> DataFrame:
     """docs with the doubles named in FEATURES; all are 0 for a text without words."""
     split = _split(docs)
     text, found, lines = F.col("__text"), F.col("__words"), F.col("__lines")
-    n, chars, rows = F.size(found), F.char_length(F.translate(text, _SPACES, "")), F.size(lines)
+    n, chars, rows = F.size(found), F.char_length(_without(text, _SPACES)), F.size(lines)
     share = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
     same = lambda w: F.size(F.filter(w, lambda x, i: F.get(w, i + 1).eqNullSafe(x)))
     return split.withColumns(
@@ -84,9 +95,9 @@ def with_features(docs: DataFrame) -> DataFrame:
             "n_words": n.cast("double"),
             "word_length": share(chars, n),
             "symbols": share(_count(text, SYMBOLS), chars),
-            "upper": share(_count(text, _UPPER), chars),
+            "upper": share(_count_range(text, "[A-Z]"), chars),
             "marks": share(_count(text, "!"), n),
-            "digits": share(_count(text, "0123456789"), chars),
+            "digits": share(_count_range(text, "[0-9]"), chars),
             "bars": share(_count(text, "|"), n),
             "distinct_words": share(F.size(F.array_distinct(found)), n),
             "same_next": share(same(found), n),
