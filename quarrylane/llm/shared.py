@@ -17,9 +17,15 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def plain_words(text: Column) -> Column:
+    """`words` with empty strings among them; splits at spaces where there are only these and line feeds, which is faster."""
+    spaced = F.replace(text, F.lit("\n"), F.lit(" "))
+    return F.when(text.rlike(r"[\x09\x0B-\x0D]"), F.split(text, WHITE)).otherwise(F.split(spaced, " "))
+
+
 def words(text: Column) -> Column:
     """The words of a text, in order."""
-    return F.array_remove(F.split(text, WHITE), "")
+    return F.array_remove(plain_words(text), "")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
