@@ -1,8 +1,9 @@
 """Near-duplicates by SimHash: a segment-popcount embedding with a grid range-join.
 
-A 64-bit fingerprint is embedded as 32 bit counts, one for each pair of neighbouring bits. The
+A 64-bit fingerprint is embedded as 48 bit counts of segments: in each half, 16 segments of one bit
+and 8 of two. (Wider segments would make fewer grid points and many more chance meetings.) The
 Manhattan distance of two such vectors never exceeds the Hamming distance of their fingerprints.
-With at most 4 differing bits, at least one half of the vector (16 counts) is within Manhattan
+With at most 4 differing bits, at least one half of the vector (24 counts) is within Manhattan
 distance 2, and then some grid point lies within 1 of both. So each fingerprint is posted at its
 own point of each half and at the points next to it, and fingerprints that meet are compared bit by
 bit. No link is lost: the grid only proposes.
@@ -60,19 +61,25 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(_fingerprints, "doc_id bigint, text_hash bigint, fp bigint")
 
 
+def _cell(half: Column) -> Column:
+    """32 bits as a grid point: the low 16 are counts of one bit each, the high 16 become 8 counts of two."""
+    pairs = F.shiftright(half, 16)
+    counts = pairs - F.shiftright(pairs, 1).bitwiseAND(F.lit(0x5555))  # both bits of a pair, summed in place
+    return half.bitwiseAND(F.lit(0xFFFF)) + F.shiftleft(counts, 16)
+
+
 def _ball(cell: Column) -> Column:
-    """A point of 16 two-bit counts (0 to 2 each) and the points that differ by 1 in one count."""
-    near = [cell]
-    for i in range(16):
-        count = F.shiftright(cell, 2 * i).bitwiseAND(F.lit(3))
-        near += [F.when(count < 2, cell + F.lit(4**i)), F.when(count > 0, cell - F.lit(4**i))]
+    """A grid point and the points that differ by 1 in one count."""
+    near = [cell] + [cell.bitwiseXOR(F.lit(1 << i)) for i in range(16)]
+    for i in range(16, 32, 2):
+        count = F.shiftright(cell, i).bitwiseAND(F.lit(3))
+        near += [F.when(count < 2, cell + F.lit(1 << i)), F.when(count > 0, cell - F.lit(1 << i))]
     return F.array_compact(F.array(*near))
 
 
 def _posts(fps: DataFrame) -> DataFrame:
     """(cell, fp): every grid point at which a fingerprint is posted; bit 32 tells the halves apart."""
-    half = lambda bits: bits - F.shiftright(bits, 1).bitwiseAND(F.lit(0x55555555))  # noqa: E731  both bits of a pair, summed in place
-    low, high = half(F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))), half(F.shiftrightunsigned("fp", 32))
+    low, high = _cell(F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))), _cell(F.shiftrightunsigned("fp", 32))
     cells = F.concat(_ball(low), F.transform(_ball(high), lambda c: c + F.lit(1 << 32)))
     return fps.select("fp", F.explode(cells).alias("cell"))
 
