@@ -1,4 +1,437 @@
-"""Registered queries of the block-feature operators."""
+"""Registered queries of the block-feature operators, over block-shaped views of the general tables."""
 
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions.columns import as_hash, to_quantity
+from .operators import agree, checks, features, ranges
+from .oracle import ORACLE_SQL, SAMPLE_IDS
+from .plans import catalog
+from .sources import chunks, decode, store, warehouse
+from .sources.fixtures import Fixtures
+from .streaming import stream
+
+NINE = [f.name for f in catalog.CATALOG]
 QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+
+
+def _query(f):
+    QUERIES[f.__name__] = lambda spark, sf_dir: f(Fixtures(spark, sf_dir))
+    return f
+
+
+def _scratch(spark: SparkSession) -> str:
+    """A fresh folder in the place that driver and executors share; a temporary one where none is set."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-scratch-")
+    return f"{base.rstrip('/')}/blocks-{uuid.uuid4().hex}"
+
+
+def _full(fx: Fixtures) -> DataFrame:
+    return features.build_block_features(fx.headers(), fx.transactions(), fx.receipts(), NINE)
+
+
+# Building features
+
+
+@_query
+def tx_counts(fx: Fixtures) -> DataFrame:
+    return features.tx_counts(fx.transactions())
+
+
+@_query
+def receipt_join(fx: Fixtures) -> DataFrame:
+    return features.receipts_of(fx.headers(), fx.receipts())
+
+
+@_query
+def running_gas(fx: Fixtures) -> DataFrame:
+    return features.running_gas(features.receipts_of(fx.headers(), fx.receipts())).drop("block_gas_used")
+
+
+@_query
+def priority_fee_percentiles(fx: Fixtures) -> DataFrame:
+    return features.priority_fee_percentiles(features.running_gas(features.receipts_of(fx.headers(), fx.receipts())), (50, 90))
+
+
+@_query
+def build_block_features(fx: Fixtures) -> DataFrame:
+    return _full(fx)
+
+
+@_query
+def receipt_gaps(fx: Fixtures) -> DataFrame:
+    kept = fx.receipts().where(~((F.col("transaction_index") == 0) & (F.col("effective_gas_price") % 97 == 5)))
+    return features.receipt_gaps(fx.headers(), kept)
+
+
+@_query
+def select_features(fx: Fixtures) -> DataFrame:
+    return catalog.select_features(fx.blocks(), ["gas_used", "timestamp", "base_fee_per_gas"], hidden=True)
+
+
+@_query
+def proof_columns(fx: Fixtures) -> DataFrame:
+    return catalog.with_proofs(fx.blocks(), ["gas_used", "timestamp"])
+
+
+@_query
+def scan_blocks(fx: Fixtures) -> DataFrame:
+    head, (low, high) = fx.head(), fx.events().agg(F.min("timestamp"), F.max("timestamp")).first()
+    return warehouse.scan_blocks(fx.blocks(), head // 4, head // 2, low + (high - low) // 5, high)
+
+
+@_query
+def scan_by_time(fx: Fixtures) -> DataFrame:
+    low, high = fx.events().agg(F.min("timestamp"), F.max("timestamp")).first()
+    return warehouse.scan_by_time(fx.timed(fx.receipts()), low + (high - low) // 4, low + (high - low) // 2)
+
+
+# Decoding
+
+
+@_query
+def decode_headers(fx: Fixtures) -> DataFrame:
+    return decode.decode_headers(fx.raw_blocks())
+
+
+def _fee_replies(fx: Fixtures) -> DataFrame:
+    """One reply per 1,024 blocks, from the computed percentiles."""
+    rows = chunks.with_chunk_id(_full(fx), 0)
+    entry = F.struct("block_number", F.array(to_quantity(F.col(NINE[-2])), to_quantity(F.col(NINE[-1]))).alias("row"))
+    grouped = rows.groupBy("chunk_id").agg(F.min("block_number").alias("start_block"), F.count(F.lit(1)).alias("block_count"), F.array_sort(F.collect_list(entry)).alias("x"))  # 1,024 rows each
+    reply = F.to_json(F.struct(to_quantity(F.col("start_block")).alias("oldestBlock"), F.transform("x", lambda e: e.getField("row")).alias("reward")))
+    return grouped.select("start_block", "block_count", reply.alias("reply"))
+
+
+@_query
+def decode_fee_history(fx: Fixtures) -> DataFrame:
+    fees = decode.decode_fee_history(_fee_replies(fx), [50, 90])
+    return decode.with_fees(fx.blocks().select("block_number", "block_hash"), fees)
+
+
+@_query
+def reconcile_replies(fx: Fixtures) -> DataFrame:
+    return decode.reconcile_replies(fx.requests(), fx.replies())
+
+
+@_query
+def retry_calls(fx: Fixtures) -> DataFrame:
+    return decode.retries(decode.reconcile_replies(fx.requests(), fx.replies())).select("batch_id", "id")
+
+
+# Ranges
+
+
+@_query
+def normalize_bounds(fx: Fixtures) -> DataFrame:
+    return ranges.normalize_bounds(fx.ranges())
+
+
+def _block_requests(fx: Fixtures) -> DataFrame:
+    n = F.col("n")
+    return fx.events().where("n % 20 = 7").select(n.alias("range_id"), F.when(n % 60 == 7, n + 9).otherwise(n).alias("from_block"), F.when(n % 80 != 27, n + 5 + (n % 3) * 60).alias("to_block"))
+
+
+@_query
+def check_requests(fx: Fixtures) -> DataFrame:
+    times = fx.ranges().select("range_id", F.lit(None).cast("bigint").alias("from_block"), F.lit(None).cast("bigint").alias("to_block"), F.col("from_value").alias("from_time"), F.col("to_value").alias("to_time"))
+    n = F.col("range_id")
+    blocks = _block_requests(fx).select("range_id", (F.col("from_block") - F.when(n % 100 == 67, 1_000_000_000).otherwise(0)).alias("from_block"), "to_block", F.when(n % 140 == 47, "2026-01-01").alias("from_time"), F.lit(None).cast("string").alias("to_time"))
+    return ranges.check_requests(times.unionByName(blocks)).select("range_id", "from_block", "to_block", "from_time", "to_time", "code")
+
+
+@_query
+def finalized_head(fx: Fixtures) -> DataFrame:
+    heads = fx.events().agg(F.max("n").alias("m")).select(F.explode(F.array(F.col("m") - 100, F.col("m") - 64)).alias("block_number"))
+    return ranges.finalized_head(heads)
+
+
+def _resolved(fx: Fixtures, by_day: bool | None = None) -> DataFrame:
+    return ranges.resolve_time_ranges(ranges.normalize_bounds(fx.ranges()), fx.events().withColumnRenamed("n", "block_number"), fx.head(), by_day)
+
+
+@_query
+def resolve_time_ranges(fx: Fixtures) -> DataFrame:
+    return _resolved(fx)
+
+
+@_query
+def resolve_time_ranges_by_day(fx: Fixtures) -> DataFrame:
+    return _resolved(fx, by_day=True)
+
+
+@_query
+def resolve_block_ranges(fx: Fixtures) -> DataFrame:
+    return ranges.resolve_block_ranges(_block_requests(fx), fx.events().withColumnRenamed("n", "block_number"), fx.head())
+
+
+@_query
+def verify_edges(fx: Fixtures) -> DataFrame:
+    proved = ranges.verify_edges(_resolved(fx), ranges.normalize_bounds(fx.ranges()), fx.blocks(), fx.verifier(), fx.head())
+    return proved.select("range_id", F.col("proved").cast("bigint").alias("proved"))
+
+
+# Checks
+
+
+@_query
+def domain_violations(fx: Fixtures) -> DataFrame:
+    return checks.domain_violations(fx.broken())
+
+
+@_query
+def null_counts(fx: Fixtures) -> DataFrame:
+    return checks.null_counts(fx.broken())
+
+
+@_query
+def contiguity(fx: Fixtures) -> DataFrame:
+    last = fx.head() + 100
+    good = checks.contiguity(fx.blocks(), 0, last).withColumn("of", F.lit("blocks"))
+    return good.unionByName(checks.contiguity(fx.broken(), 0, last).withColumn("of", F.lit("broken")))
+
+
+@_query
+def time_violations(fx: Fixtures) -> DataFrame:
+    n = F.col("block_number")
+    return checks.time_violations(fx.blocks().withColumn("timestamp", F.when(n % 601 == 21, F.col("timestamp") - 100_000).otherwise(F.col("timestamp"))), 0, None)
+
+
+@_query
+def link_violations(fx: Fixtures) -> DataFrame:
+    return checks.link_violations(fx.broken())
+
+
+@_query
+def link_violations_by_chunk(fx: Fixtures) -> DataFrame:
+    return checks.link_violations(fx.broken(), by_chunk=True)
+
+
+@_query
+def dataset_summary(fx: Fixtures) -> DataFrame:
+    last = fx.head() + 100
+    target = fx.blocks().where(F.col("block_number") == last).first()["block_hash"]
+    good = checks.dataset_summary(fx.blocks(), 0, last, target).withColumn("of", F.lit("blocks"))
+    return good.unionByName(checks.dataset_summary(fx.broken(), 0, last, target).withColumn("of", F.lit("broken")))
+
+
+@_query
+def proof_mismatches(fx: Fixtures) -> DataFrame:
+    n = F.col("block_number")
+    staged = catalog.with_proofs(fx.blocks(), NINE[:7]).withColumns({"timestamp": F.when(n % 701 == 19, F.col("timestamp") + 1).otherwise(F.col("timestamp")), "_proof_hash": F.when(n % 809 != 23, F.col("_proof_hash"))})
+    return checks.proof_mismatches(staged)
+
+
+# Agreement
+
+
+@_query
+def sample_numbers(fx: Fixtures) -> DataFrame:
+    ids = fx.spark.createDataFrame([(k, i) for k, (i, _) in enumerate(SAMPLE_IDS)], "k bigint, dataset_id string")
+    n = F.col("n")
+    spans = fx.events().where("n % 10 = 3").select((n % len(SAMPLE_IDS)).alias("k"), n.alias("first_block"), (n + (n % 7)).alias("last_block"))
+    rows = spans.join(F.broadcast(ids), "k")  # a handful of fixed ids
+    return agree.sample_numbers(rows).groupBy("dataset_id", "block_number").agg(F.count(F.lit(1)).alias("times"))
+
+
+def _asked(fx: Fixtures) -> DataFrame:
+    return fx.events().where("n % 13 = 4").select(F.col("n").alias("block_number"))
+
+
+@_query
+def rows_at(fx: Fixtures) -> DataFrame:
+    return agree.rows_at(fx.verifier(), _asked(fx))
+
+
+@_query
+def missing_at(fx: Fixtures) -> DataFrame:
+    return agree.missing_at(fx.verifier(), _asked(fx))
+
+
+@_query
+def compare_sample(fx: Fixtures) -> DataFrame:
+    return agree.compare_sample(fx.blocks(), fx.verifier(), fx.events().where("n % 3 = 0 or n % 997 = 13").select(F.col("n").alias("block_number")))
+
+
+@_query
+def compare_full(fx: Fixtures) -> DataFrame:
+    return agree.compare_full(fx.blocks(), fx.verifier(), 0, fx.head() + 100)
+
+
+@_query
+def core_mismatches(fx: Fixtures) -> DataFrame:
+    return agree.core_mismatches(fx.blocks(), fx.verifier())
+
+
+def _span(fx: Fixtures) -> tuple[int, str, int, str]:
+    head = fx.head()
+    rows = {r.block_number: r.block_hash for r in fx.blocks().where(F.col("block_number").isin(head // 2, head - 50)).collect()}
+    return head // 2, rows[head // 2], head - 50, rows[head - 50]
+
+
+@_query
+def ancestry_breaks(fx: Fixtures) -> DataFrame:
+    return agree.ancestry_breaks(fx.verifier(), *_span(fx))
+
+
+@_query
+def refresh_anchor(fx: Fixtures) -> DataFrame:
+    good = agree.refresh_anchor(fx.blocks(), *_span(fx), fx.head()).withColumn("of", F.lit("blocks"))
+    return good.unionByName(agree.refresh_anchor(fx.verifier(), *_span(fx), fx.head()).withColumn("of", F.lit("verifier")))
+
+
+# Storage
+
+
+@_query
+def write_parquet(fx: Fixtures) -> DataFrame:
+    path = _scratch(fx.spark)
+    store.write_dataset(fx.blocks().select("block_number", *NINE[:7]), path)
+    return store.read_dataset(fx.spark, path, catalog.plan_features(NINE[:7]))
+
+
+@_query
+def write_csv(fx: Fixtures) -> DataFrame:
+    path = _scratch(fx.spark)
+    store.write_dataset(fx.blocks().select("block_number", *NINE[:7]), path, "csv")
+    return store.read_dataset(fx.spark, path, catalog.plan_features(NINE[:7]), "csv")
+
+
+@_query
+def read_parquet(fx: Fixtures) -> DataFrame:
+    path = _scratch(fx.spark)
+    store.write_dataset(fx.blocks().select("block_number", "timestamp", "tx_count"), path)
+    read = store.read_dataset(fx.spark, path, catalog.plan_features(["timestamp", "tx_count"]))
+    return read.where("block_number % 7 = 3")
+
+
+@_query
+def read_csv(fx: Fixtures) -> DataFrame:
+    path = _scratch(fx.spark)
+    store.write_dataset(fx.blocks().select("block_number", "timestamp", "block_hash"), path, "csv")
+    read = store.read_dataset(fx.spark, path, catalog.plan_features(["block_hash", "timestamp"]), "csv")
+    return read.where("block_number % 7 = 3")
+
+
+@_query
+def chunk_bounds(fx: Fixtures) -> DataFrame:
+    return chunks.chunk_bounds(fx.broken(), 0)
+
+
+def _staged(fx: Fixtures, size: int = 1024) -> DataFrame:
+    """The broken blocks' rows staged by chunks: some chunks have gaps, and the last is missing."""
+    path = _scratch(fx.spark)
+    rows = catalog.with_proofs(fx.blocks(), NINE[:7]).where(F.col("block_number") % 5003 != 1700)
+    store.stage_chunks(rows.where(F.col("block_number") <= fx.head()), path, 0, size)
+    return fx.spark.read.parquet(path).drop("chunk_id")
+
+
+@_query
+def stage_chunks(fx: Fixtures) -> DataFrame:
+    return _staged(fx)
+
+
+@_query
+def missing_chunks(fx: Fixtures) -> DataFrame:
+    return store.missing_chunks(_staged(fx, 256), 0, fx.head() + 100, 256)
+
+
+@_query
+def assemble(fx: Fixtures) -> DataFrame:
+    return store.assemble(_staged(fx), catalog.plan_features(NINE[:7]))
+
+
+@_query
+def run_receipt(fx: Fixtures) -> DataFrame:
+    return store.run_receipt(_staged(fx), 0, fx.head(), 1)
+
+
+@_query
+def manifest_facts(fx: Fixtures) -> DataFrame:
+    return store.manifest_facts(fx.blocks())
+
+
+@_query
+def file_digests(fx: Fixtures) -> DataFrame:
+    path = _scratch(fx.spark)
+    store.write_dataset(fx.blocks().select("block_number", "timestamp"), path)
+    return store.file_digests(fx.spark, path)
+
+
+@_query
+def changed_files(fx: Fixtures) -> DataFrame:
+    path = _scratch(fx.spark)
+    store.write_dataset(fx.blocks().select("block_number", "timestamp"), path)
+    recorded = store.file_digests(fx.spark, path).withColumn("sha256", F.reverse("sha256"))
+    return store.changed_files(fx.spark, path, recorded)
+
+
+@_query
+def csv_violations(fx: Fixtures) -> DataFrame:
+    path, n = _scratch(fx.spark), F.col("block_number")
+    spoilt = {
+        "block_number": F.when(n % 401 == 3, F.concat(F.lit("0"), n.cast("string"))).otherwise(n.cast("string")),
+        "timestamp": F.when(n % 409 != 5, F.col("timestamp").cast("string")),
+        "tx_count": F.when(n % 419 == 7, F.lit("+1")).otherwise(F.col("tx_count").cast("string")),
+    }
+    fx.blocks().select(*(c.alias(k) for k, c in spoilt.items())).write.csv(path, header=True)
+    found = store.csv_violations(fx.spark, path, catalog.plan_features(["timestamp", "tx_count"]))
+    return found.groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
+
+
+@_query
+def order_violations(fx: Fixtures) -> DataFrame:
+    path = _scratch(fx.spark)
+    rows = fx.blocks().select("block_number", "timestamp")
+    rows.repartition(4, "block_number").sortWithinPartitions(F.col("block_number").desc()).write.parquet(path)
+    return store.order_violations(fx.spark, path).select("reason")
+
+
+@_query
+def audit_manifests(fx: Fixtures) -> DataFrame:
+    root, head = _scratch(fx.spark), fx.head()
+    rows = fx.blocks().where(F.col("block_number") <= head)
+    anchor = {"block_number": head + 1, "block_hash": rows.where(F.col("block_number") == 1).first()["block_hash"], "tag": "finalized"}
+    for part, facts in ((0, None), (1, {"target_hash": "0x"}), (2, {"row_count": 1})):
+        third = rows.where(F.col("block_number").between(part * head // 3, (part + 1) * head // 3 - 1))
+        store.publish(third, root, NINE[:7], anchor, facts=facts)
+    return store.audit_manifests(fx.spark, root).groupBy("faults").agg(F.count(F.lit(1)).alias("datasets"))
+
+
+# Streams
+
+
+@_query
+def stream_headers(fx: Fixtures) -> DataFrame:
+    base = _scratch(fx.spark)
+    raw = fx.raw_blocks()
+    raw.repartition(5, "requested").write.json(f"{base}/src")
+    stream.stream_headers(fx.spark, f"{base}/src", f"{base}/out", f"{base}/checkpoint")
+    raw.where("requested % 3 = 0").coalesce(1).write.mode("append").json(f"{base}/src")  # delivered again
+    stream.stream_headers(fx.spark, f"{base}/src", f"{base}/out", f"{base}/checkpoint")
+    return fx.spark.read.parquet(f"{base}/out")
+
+
+@_query
+def finalized_view(fx: Fixtures) -> DataFrame:
+    return stream.finalized_view(fx.blocks(), fx.head())
+
+
+@_query
+def stream_features(fx: Fixtures) -> DataFrame:
+    base = _scratch(fx.spark)
+    receipts = fx.receipts()
+    receipts.where("transaction_index % 2 = 0").write.parquet(f"{base}/src")
+    run = lambda: stream.stream_features(fx.spark, f"{base}/src", blocks, f"{base}/out", f"{base}/checkpoint", NINE)
+    fx.headers().write.parquet(f"{base}/blocks")
+    blocks = fx.spark.read.parquet(f"{base}/blocks")
+    run()
+    late = receipts.where(F.col("transaction_index") % 2 == 1).where(F.col("block_hash") != as_hash(F.lit(33)))
+    late.write.mode("append").parquet(f"{base}/src")
+    run()
+    return fx.spark.read.parquet(f"{base}/out")
