@@ -206,7 +206,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, block_chars: int = BL
         tokenizer = load(tokenizer_path)
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            encoded = [x.ids for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
+            encoded = [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]  # without offsets
             found = list(zip(*(_digest(tokenizer, x) for x in encoded), strict=True)) or [[], [], []]
             columns = [batch.column("held"), batch.column("text"), pa.array(found[0], pa.int64()), pa.array(found[1], pa.string()), pa.array(found[2], pa.string())]
             names = ["held", "text", "n_tokens", "ids_sha256", "decoded_sha256"]

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import durable, text_of, words
+from .shared import ROW_KEY, durable, one_of_each, text_of, with_row_key, words
 
 MAX_REPEATS = 3
 BUCKETS = 1024
@@ -143,8 +143,8 @@ def materialised(docs: DataFrame, max_repeats: float = MAX_REPEATS, ramp: float
     passes = made.withColumn("times", times).where("times > 0")
     turns = passes.select("doc_id", "text_hash", F.explode(F.transform(F.sequence(F.lit(0), F.col("times") - 1), lambda k: position(F.col("start") + k * F.col("source_size").cast("double")))).alias("__position"), "source")
     # Rows equal in id, source and text stand at different places of the stream; all their turns go to any one row of the kind.
-    kinds = docs.withColumn("__hash", F.xxhash64(text_of())).withColumn("__id", F.col("doc_id").cast("bigint")).withColumn("__source", F.col("source").cast("string"))
-    kinds = kinds.dropDuplicates(["__id", "__hash", "__source"])
-    same = kinds["__id"].eqNullSafe(turns["doc_id"]) & (kinds["__hash"] == turns["text_hash"]) & kinds["__source"].eqNullSafe(turns["source"])
-    joined = kinds.join(turns, same).select(*(kinds[c] for c in docs.columns), "__position")
+    key = [*ROW_KEY, "__none", "__source"]
+    source = {"__none": F.col("source").isNull(), "__source": F.coalesce(F.col("source").cast("string"), F.lit(""))}
+    turns = turns.withColumns({"__unknown": F.col("doc_id").isNull(), "__id": F.coalesce("doc_id", F.lit(0).cast("bigint")), "__hash": F.col("text_hash"), **source}).select(*key, "__position")
+    joined = one_of_each(with_row_key(docs).withColumns(source), key).join(turns, key).select(*docs.columns, "__position")
     return joined.repartitionByRange("__position").sortWithinPartitions("__position").drop("__position")

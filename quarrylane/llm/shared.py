@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: What separates words: the space and the five ASCII controls from tab to carriage return.
@@ -28,6 +28,22 @@ def words(text: Column) -> Column:
     return F.array_remove(plain_words(text), "")
 
 
+#: Columns of `with_row_key`: they are never null, so that joins on them need no null-safe comparison.
+ROW_KEY = ["__unknown", "__id", "__hash"]
+
+
+def with_row_key(docs: DataFrame) -> DataFrame:
+    """docs with ROW_KEY: whether doc_id is null, the id (0 if so) and a hash of the text."""
+    doc_id = F.col("doc_id").cast("bigint")
+    return docs.withColumns({"__unknown": doc_id.isNull(), "__id": F.coalesce(doc_id, F.lit(0)), "__hash": F.xxhash64(text_of())})
+
+
+def one_of_each(df: DataFrame, key: list[str]) -> DataFrame:
+    """One row of each kind of rows equal in key; stays partitioned by it, for a join that follows."""
+    numbered = df.withColumn("__copy", F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(1))))
+    return numbered.where("__copy = 1").drop("__copy")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import components, durable, text_of
+from .shared import ROW_KEY, components, durable, one_of_each, text_of, with_row_key
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -142,7 +142,6 @@ def keep_one_per_group(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     prints, grouped = _grouped(docs, max_bits)
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash")
     best = prints.groupBy("fp").agg(F.min(order).alias("best")).join(grouped.select("fp", "root"), "fp")
-    stay = best.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.doc_id").alias("__id"), F.col("best.text_hash").alias("__hash"))
-    found = docs.withColumn("__hash", F.xxhash64(text_of()))
-    kept = found.join(stay, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")) & (found["__hash"] == stay["__hash"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "__hash"]).drop("__hash")
+    stay = best.groupBy("root").agg(F.min("best").alias("best"))
+    stay = stay.select(F.col("best.unknown").alias("__unknown"), F.coalesce("best.doc_id", F.lit(0).cast("bigint")).alias("__id"), F.col("best.text_hash").alias("__hash"))
+    return one_of_each(with_row_key(docs), ROW_KEY).join(stay, ROW_KEY, "left_semi").drop(*ROW_KEY)
