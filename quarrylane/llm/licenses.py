@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 from .shared import text_of
 
 #: Texts without any of these words hold no known sentence.
-CUE = r"(?i)licen[cs]e|copyright|rights reserved|redistribut|warrant|merchantab|permission|public domain|endorse|as is|liab|free software|file except|Mozilla|MPL"
+CUE = r"(?i)licen[cs]e|copyright|rights reserved|redistribut|warrant|merchantab|permission|public domain|endorse|as is|liab|free software|file except|Mozilla|MPL|released under"
+
+#: Lines over which one sentence may be wrapped.
+MAX_LINES = 15
 
 # Wording of well-known public licence notices, as published with each licence.
 _SENTENCES = {
@@ -136,20 +139,25 @@ def normalised_text(sentence: str) -> str:
     return re.sub(" +", " ", spaced).strip()
 
 
-def _candidates(unit: Column) -> Column:
-    """What may be a known sentence in a unit: all of it, its last lines from each line on, each line."""
+def _sentences(unit: Column, table: Column) -> Column:
+    """Identifiers in a unit: from each of its lines on, the longest run of lines that is a known sentence."""
     lines = F.split(unit, "\n")
-    tails = F.transform(lines, lambda _, i: F.array_join(F.slice(lines, i + 1, F.size(lines)), " "))
-    return F.transform(F.array_distinct(F.concat(tails, lines)), normalised)
+    known = lambda first, n: F.try_element_at(table, normalised(F.array_join(F.slice(lines, first, n), " ")))
+
+    def at(_: Column, i: Column) -> Column:
+        longest = F.least(F.size(lines) - i, F.lit(MAX_LINES))
+        return F.get(F.array_compact(F.transform(F.sequence(longest, F.lit(1), F.lit(-1)), lambda n: known(i + 1, n))), F.lit(0))
+
+    return F.array_compact(F.transform(lines, at))
 
 
 def recognised(docs: DataFrame) -> DataFrame:
     """docs with sentence_ids (an array): the known licence sentences of each text, in order."""
     table = F.create_map(*(F.lit(x) for k, v in known_sentences().items() for s in dict.fromkeys(map(normalised_text, v)) for x in (s, k)))
     units = F.filter(F.split(text_of(), r"(?<=[.;:!?])[\x20\x09-\x0D]+|\n[\x20\x09]*\n"), lambda x: x.rlike(CUE))
-    found = F.transform(units, lambda u: F.get(F.array_compact(F.transform(_candidates(u), lambda s: F.try_element_at(table, s))), F.lit(0)))
+    found = F.flatten(F.transform(units, lambda u: _sentences(u, table)))
     none = F.array().cast("array<string>")
-    return docs.withColumn("sentence_ids", F.when(text_of().rlike(CUE), F.array_compact(found)).otherwise(none))
+    return docs.withColumn("sentence_ids", F.when(text_of().rlike(CUE), found).otherwise(none))
 
 
 def resolved(ids: Column) -> Column:

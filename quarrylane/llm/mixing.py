@@ -61,7 +61,7 @@ def _rates(ramp: float) -> list[Column]:
     all sources add up to the same number of words.
     """
     every = Window.partitionBy(F.lit(0))
-    mean = F.sum(F.col("weight") * F.col("target")).over(every) / F.sum("target").over(every)
+    mean = F.coalesce(F.try_divide(F.sum(F.col("weight") * F.col("target")).over(every), F.sum("target").over(every)), F.lit(0.0))
     furthest = F.max(F.abs(F.col("weight") - mean)).over(every)
     tilt = F.when(furthest > 1e-9, (F.col("weight") - mean) / furthest).otherwise(F.lit(0.0)) * ramp
     return [F.col("target") * (1 + tilt * (2 * t - 1)) for t in KNOTS]
