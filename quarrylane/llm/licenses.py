@@ -144,9 +144,10 @@ def _sentences(unit: Column, table: Column) -> Column:
     lines = F.split(unit, "\n")
     known = lambda first, n: F.try_element_at(table, normalised(F.array_join(F.slice(lines, first, n), " ")))
 
-    def at(_: Column, i: Column) -> Column:
+    def at(line: Column, i: Column) -> Column:
         longest = F.least(F.size(lines) - i, F.lit(MAX_LINES))
-        return F.get(F.array_compact(F.transform(F.sequence(longest, F.lit(1), F.lit(-1)), lambda n: known(i + 1, n))), F.lit(0))
+        found = F.get(F.array_compact(F.transform(F.sequence(longest, F.lit(1), F.lit(-1)), lambda n: known(i + 1, n))), F.lit(0))
+        return F.when(line.rlike(r"[\p{L}\p{N}]"), found)  # a run does not begin with an empty comment line
 
     return F.array_compact(F.transform(lines, at))
 
