@@ -12,11 +12,11 @@ hash, line number). The steps:
    under at least one. The length filter, the positional filter and the parity bits of the words
    (equal bits for equal sets, at most one differing bit for each word not shared) drop most pairs
    that cannot match.
-4. Where sets meet, each is first tried against the earliest one there; only a set for which that
-   gives no candidate is tried against all earlier ones. Every candidate is verified on its full
-   word set, and a set whose candidates all fail is tried against all earlier ones as well. So a
-   large group of near copies costs a number of pairs in proportion to its size, and no match is
-   missed.
+4. Where sets meet at a word, each is first tried against the one just before it; only if that is
+   no candidate is it tried against all earlier ones there.
+   Every candidate is verified on its full word set, and a set whose candidates all fail is tried
+   against all earlier ones as well. So a large group of near copies costs a number of pairs in
+   proportion to its size, and no match is missed.
 5. Every later occurrence of a set, and every occurrence of a set with an earlier match, goes.
 """
 
@@ -27,42 +27,63 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import WHITE, durable, text_of
+from .shared import WHITE, durable, plain_words, text_of
 
-BUCKETS = 1 << 14
+#: Hash buckets for counting words: one digit each goes with the plan, 128 KB.
+BUCKETS = 1 << 17
+#: Rarity classes 0 to 9; class k holds buckets of up to 16 * 4^k words.
+CLASSES = 10
 #: Up to so many rows, the list of lines to verify is broadcast (under 100 MB); beyond, it is shuffled.
 BROADCAST_ROWS = 1_000_000
 _LAST = (1 << 63) - 1
 _KEY = ["d", "rk"]
 _AT = ["d", "rk", "pos"]
+_PARITY = ["parity0", "parity1"]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """docs with the order keys d (doc_id, null last) and rk (hash of the text)."""
+    """docs with the order keys d (doc_id, null last) and rk.
+
+    rk tells different texts of one doc_id apart: a hash of the text, or 0 throughout if no doc_id
+    has two texts, as hashes do not compress.
+    """
     doc_id = F.col("doc_id").cast("bigint")
-    return docs.withColumns({"d": F.coalesce(doc_id, F.lit(_LAST)), "rk": F.xxhash64(text_of(), doc_id.isNull())})
+    keys = {"d": F.coalesce(doc_id, F.lit(_LAST)), "rk": F.xxhash64(text_of(), doc_id.isNull())}
+    several = docs.select(*(c.alias(k) for k, c in keys.items())).groupBy("d").agg(F.min("rk").alias("low"), F.max("rk").alias("high"))
+    unique = several.where("low < high").isEmpty()
+    return docs.withColumns(keys | ({"rk": F.lit(0).cast("bigint")} if unique else {}))
 
 
 def _classes(docs: DataFrame) -> list[int]:
-    """The rarity class (0 to 127) of each hash bucket, from the counts of all words."""
-    found = docs.select(F.explode(F.split(text_of(), WHITE)).alias("w")).where("w <> ''")
+    """The rarity class of each hash bucket, from the counts of all words."""
+    found = docs.select(F.explode(plain_words(text_of())).alias("w")).where("w <> ''")
     counted = found.groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).agg(F.count(F.lit(1)).alias("n"))
     classes = [0] * BUCKETS
     for b, n in counted.collect():  # one row for each bucket at most
-        classes[b] = min(127, 1 + int(3 * math.log2(n)))
+        classes[b] = min(CLASSES - 1, max(0, int(math.log2(n) / 2) - 1))
     return classes
 
 
 def _codes(line: Column, classes: list[int]) -> Column:
     """The distinct words of a line as numbers, rarest first: 7 bits of class, 56 bits of hash."""
-    known = F.split(F.lit(",".join(map(str, classes))), ",").cast("array<bigint>")
+    known = F.split(F.lit(",".join(map(str, classes))), ",").cast("array<tinyint>")
 
     def code(word: Column) -> Column:
         h = F.xxhash64(word)
         rarity = F.get(known, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
-        return F.coalesce(F.shiftleft(rarity, 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1))), F.lit(0))
+        return F.coalesce(F.shiftleft(rarity.cast("bigint"), 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1))), F.lit(0))
+
+    return F.sort_array(F.array_distinct(F.transform(F.array_remove(plain_words(line), ""), code)))
+
 
-    return F.sort_array(F.transform(F.array_distinct(F.array_remove(F.split(line, WHITE), "")), code))
+def _parity(codes: Column, k: int) -> Column:
+    """64 of 128 bits that the words of a set flip; k is 0 or 1."""
+
+    def flip(acc: Column, c: Column) -> Column:
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), c.bitwiseAND(F.lit(63)).cast("int"))
+        return F.when(c.bitwiseAND(F.lit(64)) == 64 * k, acc.bitwiseXOR(bit)).otherwise(acc)
+
+    return F.aggregate(codes, F.lit(0).cast("bigint"), flip)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -72,15 +93,15 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 def _earlier(a: str, b: str) -> Column:
     """Whether set b comes before set a; both are the prefixes of column names."""
-    order = lambda x: F.struct(*(F.col(f"{x}{k}") for k in _AT))
-    return order(b) < order(a)
+    (d, e), (r, q), (x, y) = ((F.col(f"{a}{k}"), F.col(f"{b}{k}")) for k in _AT)
+    return (e < d) | ((e == d) & ((q < r) | ((q == r) & (y < x))))
 
 
 def _plausible(a: str, b: str) -> Column:
     """Length, positional and parity filters on two postings of one word."""
     n, m, i, j = F.col(f"{a}n"), F.col(f"{b}n"), F.col(f"{a}i"), F.col(f"{b}i")
     shared = F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1)
-    apart = F.bit_count(F.col(f"{a}parity").bitwiseXOR(F.col(f"{b}parity")))
+    apart = sum(F.bit_count(F.col(f"{a}{p}").bitwiseXOR(F.col(f"{b}{p}"))) for p in _PARITY)
     return (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (9 * shared >= 4 * (n + m)) & (9 * apart <= n + m)
 
 
@@ -88,12 +109,15 @@ def _renamed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*(F.col(c).alias(f"{prefix}{c}") for c in df.columns))
 
 
-def _all_earlier(postings: DataFrame, of: DataFrame) -> DataFrame:
-    """Candidate pairs of the sets `of` (d, rk, pos) with every earlier set that shares a posting."""
-    a = _renamed(postings.join(of, _AT, "left_semi"), "a_")
+def _pairs(met: DataFrame) -> DataFrame:
+    return met.select(*(f"{s}{k}" for s in ("a_", "b_") for k in _AT))
+
+
+def _all_earlier(tried: DataFrame, postings: DataFrame) -> DataFrame:
+    """Candidate pairs of postings with every earlier set that shares their word."""
     b = _renamed(postings, "b_")
-    met = a.join(b, (F.col("a_w") == F.col("b_w")) & _earlier("a_", "b_") & _plausible("a_", "b_"))
-    return met.select(*(f"{s}{k}" for s in ("a_", "b_") for k in _AT)).distinct()
+    met = tried.join(b, (F.col("a_w") == F.col("b_w")) & _earlier("a_", "b_") & _plausible("a_", "b_"))
+    return _pairs(met)
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, classes: list[int]) -> DataFrame:
@@ -118,29 +142,32 @@ def later_matches(docs: DataFrame) -> DataFrame:
     codes = _lines(docs).select(*_AT, _codes(F.col("line"), classes).alias("codes"))
     n = F.size("codes")
     prefix = F.transform(F.slice("codes", 1, n - F.floor((4 * n + 4) / 5).cast("int") + 1), lambda c: F.shiftright(c, 32).cast("int"))
-    parity = F.aggregate("codes", F.lit(0).cast("bigint"), lambda acc, c: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), c.bitwiseAND(F.lit(63)).cast("int"))))
-    lines = durable(codes.where(n > 0).select(*_AT, F.xxhash64("codes").alias("set"), parity.alias("parity"), n.alias("n"), prefix.alias("prefix")))
-    same = ["set", "parity", "n"]
+    parities = [_parity(F.col("codes"), k).alias(p) for k, p in enumerate(_PARITY)]
+    lines = durable(codes.where(n > 0).select(*_AT, F.xxhash64("codes").alias("set"), *parities, n.alias("n"), prefix.alias("prefix")))
+    same = ["set", *_PARITY, "n"]
     sets = durable(lines.groupBy(*same).agg(F.min(F.struct(*_AT, "prefix")).alias("x")).select(*same, "x.*"))
 
+    row = ["w", *_AT, "n", *_PARITY, "i"]
+    postings = sets.where("n >= 4").select(*_AT, "n", *_PARITY, F.posexplode("prefix").alias("i", "w")).select(*row).where(" and ".join(f"{c} is not null" for c in row))
+    unmoved, postings = postings, postings.repartition("w")
     order = Window.partitionBy("w").orderBy(*_AT)
-    postings = sets.where("n >= 4").select(*_AT, "n", "parity", F.posexplode("prefix").alias("i", "w"))
-    row = ["w", *_AT, "n", "parity", "i"]
-    postings = postings.select(*row, F.first(F.struct(*_AT, "n", "parity", "i")).over(order).alias("p"), F.row_number().over(order).alias("k"), F.lead("n").over(order).alias("next"))
-    postings = durable(postings.where("k > 1 or next is not null").select(*row, F.when(F.col("k") > 1, F.col("p")).alias("p")))
-    tried = postings.where("p is not null").select(*(F.col(c).alias(f"a_{c}") for c in row), *(F.col(f"p.{c}").alias(f"b_{c}") for c in (*_AT, "n", "parity", "i")))
-    first = durable(tried.where(_plausible("a_", "b_")).select(*(f"{s}{k}" for s in ("a_", "b_") for k in _AT)).distinct())
-    open_sets = postings.where("p is not null").select(*_AT).distinct()
-    settled = first.select(*(F.col(f"a_{k}").alias(k) for k in _AT)).distinct()
-    rest = _all_earlier(postings, durable(open_sets.join(settled, _AT, "left_anti")))
-    checked = durable(_verified(docs, durable(first.unionByName(rest)), classes))
-    found = checked.groupBy(*(f"a_{k}" for k in _AT)).agg(F.bool_or("match").alias("match"))
-    found = durable(found.select(*(F.col(f"a_{k}").alias(k) for k in _AT), "match"))
-    failed = found.where("not match").drop("match").join(settled, _AT, "left_semi")
-    matched = found.where("match").drop("match")
+    # The three uses of the postings share the exchange by word; structs, or null checks that only one of them needs, would make it another one.
+    tries = [F.lag(c).over(order).alias(f"b_{c}") for c in row[1:]]
+    ranked = postings.select(*(F.col(c).alias(f"a_{c}") for c in row), *tries).where("b_d is not null")
+    easy = _pairs(ranked.where(_plausible("a_", "b_")))
+    ranked = ranked.where(~_plausible("a_", "b_")).select(*(f"a_{c}" for c in row))
+    hard = _all_earlier(ranked, postings)
+    checked = durable(_verified(docs, durable(easy.unionByName(hard).distinct()), classes))
+    ends = [F.col(f"a_{k}").alias(k) for k in _AT]
+    found = durable(checked.groupBy(*ends).agg(F.bool_or("match").alias("match")))
+    failed, matched = found.where("not match").drop("match"), found.where("match").drop("match")
     if not failed.isEmpty():
-        again = durable(_verified(docs, durable(_all_earlier(postings, failed)), classes))
-        matched = matched.unionByName(again.where("match").select(*(F.col(f"a_{k}").alias(k) for k in _AT)).distinct())
+        tried = durable(unmoved.join(failed, _AT, "left_semi"))
+        met = durable(tried.select("w").distinct())
+        small = met.count() <= BROADCAST_ROWS
+        sharing = unmoved.join(F.broadcast(met) if small else met, "w", "left_semi")
+        again = durable(_verified(docs, durable(_all_earlier(_renamed(tried, "a_"), sharing).distinct()), classes))
+        matched = matched.unionByName(again.where("match").select(*ends).distinct())
 
     firsts = sets.join(matched.withColumn("matched", F.lit(True)), _AT, "left")
     firsts = firsts.select(*same, *(F.col(k).alias(f"first_{k}") for k in _AT), F.coalesce("matched", F.lit(False)).alias("matched"))
