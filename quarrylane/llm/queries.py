@@ -65,5 +65,21 @@ _ALL = (
 )
 QUERIES = {f.__name__: f for f in _ALL}
 
-#: The url rules are the only operator here whose whole result plain SQL can state.
-ORACLE_SQL: dict[str, str] = {}
+
+
+def _url_sql() -> str:
+    """The URL filter in DuckDB SQL; the vocabulary's boundaries become one pattern for each term."""
+    upper = "".join(map(chr, range(65, 91)))
+    ordered = sorted(url_filter.RULES, key=lambda r: -len(r[1] + r[2]))
+    fits = [(f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')", h + p, a) for a, h, p in ordered]
+    cases = lambda k: "CASE " + " ".join(f"WHEN {f[0]} THEN '{f[k]}'" for f in fits) + " END"
+    hits = lambda terms: " + ".join(f"regexp_matches(low, '(^|[^\\p{{L}}\\p{{N}}]){t}($|[^\\p{{L}}\\p{{N}}])')::BIGINT" for t in terms)
+    return f"""WITH parts AS (
+  SELECT page_id, lower(coalesce(url, '')) AS low, translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'), '{upper}', '{upper.lower()}') AS host,
+         regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path FROM pages),
+counted AS (SELECT *, {hits(url_filter.STRICT)} AS n_strict, {hits(url_filter.SOFT)} AS n_soft, {cases(1)} AS rule, {cases(2)} AS action FROM parts)
+SELECT page_id, host, path, rule, coalesce(action, CASE WHEN n_strict > 0 OR n_soft >= {url_filter.SOFT_LIMIT} THEN 'block' ELSE 'allow' END) AS verdict, n_strict, n_soft FROM counted"""
+
+
+#: The other operators need what SQL lacks: Spark's hashes, models, a tokenizer, or joins too slow there.
+ORACLE_SQL = {"op5_url_filter": _url_sql()}
