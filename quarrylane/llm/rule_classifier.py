@@ -101,4 +101,7 @@ def scored(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
 def keep_good(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The rows of docs that the classifier accepts, with all their columns."""
     model = learn(durable(with_features(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")).drop("text")), labels, sample_rows)
-    return with_features(docs.select(F.struct(*docs.columns).alias("__row"), "text")).where(compiled(model) >= THRESHOLD).select("__row.*")
+    rows = with_features(docs.select(F.struct(*docs.columns).alias("__row"), "text"))
+    # Exploding one struct keeps the optimizer from writing the features out in each rule.
+    made = rows.select("__row", F.explode(F.array(F.struct(*FEATURES))).alias("__made")).select("__row", "__made.*")
+    return made.where(compiled(model) >= THRESHOLD).select("__row.*")
