@@ -181,6 +181,13 @@ def _digest(tokenizer, ids: list[int]) -> tuple[int, str, str]:
 _DIGEST = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The batches in small pieces: an encoding takes many times the memory of its text."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _blocks(docs: DataFrame, block_chars: int) -> DataFrame:
     """One row for each block of each distinct long text: its key, place and text."""
     n = F.char_length("text")
@@ -204,7 +211,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, block_chars: int = BL
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = load(tokenizer_path)
-        for batch in batches:
+        for batch in _slices(batches, 64):
             texts = batch.column("text").to_pylist()
             encoded = [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]  # without offsets
             found = list(zip(*(_digest(tokenizer, x) for x in encoded), strict=True)) or [[], [], []]
@@ -216,7 +223,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, block_chars: int = BL
 
     def leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = load(tokenizer_path)
-        for batch in batches:
+        for batch in _slices(batches, 8):
             parts = [encode_part(tokenizer, x) for x in batch.column("block").to_pylist()]
             lists = [pa.array([getattr(p, k) for p in parts], pa.list_(pa.int32())) for k in ("ids", "starts", "ends", "words")]
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("place"), batch.column("block"), *lists], ["key", "place", "block", "ids", "starts", "ends", "words"])
