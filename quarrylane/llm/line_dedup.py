@@ -154,8 +154,10 @@ def later_matches(docs: DataFrame) -> DataFrame:
     # The three uses of the postings share the exchange by word; structs, or null checks that only one of them needs, would make it another one.
     tries = [F.lag(c).over(order).alias(f"b_{c}") for c in row[1:]]
     ranked = postings.select(*(F.col(c).alias(f"a_{c}") for c in row), *tries).where("b_d is not null")
-    easy = _pairs(ranked.where(_plausible("a_", "b_")))
-    ranked = ranked.where(~_plausible("a_", "b_")).select(*(f"a_{c}" for c in row))
+    # Two words of one line can have the same w, and the set just before is then the line itself.
+    first = _plausible("a_", "b_") & _earlier("a_", "b_")
+    easy = _pairs(ranked.where(first))
+    ranked = ranked.where(~first).select(*(f"a_{c}" for c in row))
     hard = _all_earlier(ranked, postings)
     checked = durable(_verified(docs, durable(easy.unionByName(hard).distinct()), classes))
     ends = [F.col(f"a_{k}").alias(k) for k in _AT]

@@ -53,6 +53,21 @@ def test_candidates_that_fail_are_tried_against_all(docs_of, monkeypatch):
     assert [found[i] for i, _ in rows] == brute(rows)
 
 
+def test_two_words_of_a_line_with_one_key(spark, docs_of):
+    """A line posted twice under one w is not its own earlier match."""
+    from pyspark.sql import functions as F
+
+    words = spark.range(30_000).select(F.concat(F.lit("w"), F.col("id")).alias("word"))
+    codes = sorted((r.code, r.word) for r in words.withColumn("code", F.xxhash64("word").bitwiseAND(F.lit((1 << 56) - 1))).collect())
+    twins = [(a[1], b[1]) for a, b in zip(codes, codes[1:]) if a[0] >> 32 == b[0] >> 32]
+    last = [w for _, w in codes[-200:]]
+    lines = [" ".join([*twins[k], *last[k * 20 : k * 20 + 8]]) for k in range(3)]
+    near = lines[1].replace(last[20], last[199])
+    rows = [(1, lines[0]), (2, lines[1]), (3, near), (4, lines[2] + "\n" + lines[0])]
+    found = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs_of(rows)).collect()}
+    assert [found[i] for i, _ in rows] == brute(rows)
+
+
 def test_odd_rows(docs_of):
     source = docs_of(ODD).withColumnRenamed("d", "n_lines")
     out = line_dedup.dedup_lines(source)
