@@ -8,18 +8,16 @@ rule takes stays as unresolved identifiers.
 
 from __future__ import annotations
 
+import re
 from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import text_of
+from .shared import WHITE, text_of
 
 #: Texts without any of these words hold no known sentence.
-CUE = r"(?i)licen[cs]e|copyright|rights reserved|redistribut|warrant|merchantab|permission|public domain|endorse|as is|liab|free software|file except|Mozilla|MPL|released under"
-
-#: Lines over which one sentence may be wrapped.
-MAX_LINES = 15
+CUE = r"(?i)licen[cs]e|copyright|rights reserved|redistribut|warrant|merchantab|permission|public domain|endorse|as is|liab|free software|file except|Mozilla|MPL|released under".replace(" ", r"[\W_]+")
 
 # Wording of well-known public licence notices, as published with each licence.
 _SENTENCES = {
@@ -133,30 +131,42 @@ def normalised(sentence: Column) -> Column:
 
 def normalised_text(sentence: str) -> str:
     """The same for a plain string."""
-    import re
-
     spaced = re.sub(r"[^\w.]+|_+|\.(?!\d)", " ", sentence.lower())
     return re.sub(" +", " ", spaced).strip()
 
 
-def _sentences(unit: Column, table: Column) -> Column:
-    """Identifiers in a unit: from each of its lines on, the longest run of lines that is a known sentence."""
-    lines = F.split(unit, "\n")
-    known = lambda first, n: F.try_element_at(table, normalised(F.array_join(F.slice(lines, first, n), " ")))
+def _ends() -> str:
+    """Where a text is cut: after a sentence's end, unless a known sentence goes on there, and at empty lines."""
+    inside = {(m[1].lower(), m[2].lower()): None for v in known_sentences().values() for s in v for m in re.finditer(r"(\w+)[.;:!?]\s+(\w+)", s)}
+    goes_on = "".join(rf"(?!(?<=\b{a}[.;:!?])[^\p{{L}}\p{{N}}]*{b}\b)" for a, b in inside)
+    return rf"(?i)(?<=[.;:!?]){goes_on}{WHITE}|\n[\x20\x09]*\n"
+
+
+def _sentences(unit: Column, known: dict[str, str]) -> Column:
+    """Identifiers in a unit: at each line that is not in the run before, the longest run of lines that is a known sentence."""
+    table = F.create_map(*(F.lit(x) for pair in known.items() for x in pair))
+    openings = list(dict.fromkeys(" ".join(s.split()[:k]) for s in known for k in (1, 2, 3)))
+    most = max(len(s.split()) for s in known)  # every line has a word at least
+    lines = F.array_remove(F.transform(F.split(unit, "\n"), normalised), "")
 
     def at(line: Column, i: Column) -> Column:
-        longest = F.least(F.size(lines) - i, F.lit(MAX_LINES))
-        found = F.get(F.array_compact(F.transform(F.sequence(longest, F.lit(1), F.lit(-1)), lambda n: known(i + 1, n))), F.lit(0))
-        return F.when(line.rlike(r"[\p{L}\p{N}]"), found)  # a run does not begin with an empty comment line
+        lengths = F.sequence(F.least(F.size(lines) - i, F.lit(most)), F.lit(1), F.lit(-1))
+        runs = F.transform(lengths, lambda n: F.struct(i.alias("first"), (i + n).alias("end"), F.try_element_at(table, F.array_join(F.slice(lines, i + 1, n), " ")).alias("id")))
+        return F.when(F.substring_index(line, " ", 3).isin(openings), F.get(F.filter(runs, lambda r: r["id"].isNotNull()), F.lit(0)))
+
+    def next_one(so_far: Column, run: Column) -> Column:
+        longer = F.struct(run["end"].alias("end"), F.concat(so_far["ids"], F.array(run["id"])).alias("ids"))
+        return F.when(run["first"] >= so_far["end"], longer).otherwise(so_far)
 
-    return F.array_compact(F.transform(lines, at))
+    start = F.struct(F.lit(0).alias("end"), F.array().cast("array<string>").alias("ids"))
+    return F.aggregate(F.array_compact(F.transform(lines, at)), start, next_one, lambda x: x["ids"])
 
 
 def recognised(docs: DataFrame) -> DataFrame:
     """docs with sentence_ids (an array): the known licence sentences of each text, in order."""
-    table = F.create_map(*(F.lit(x) for k, v in known_sentences().items() for s in dict.fromkeys(map(normalised_text, v)) for x in (s, k)))
-    units = F.filter(F.split(text_of(), r"(?<=[.;:!?])[\x20\x09-\x0D]+|\n[\x20\x09]*\n"), lambda x: x.rlike(CUE))
-    found = F.flatten(F.transform(units, lambda u: _sentences(u, table)))
+    known = {s: k for k, v in known_sentences().items() for s in map(normalised_text, v)}
+    units = F.filter(F.split(text_of(), _ends()), lambda x: x.rlike(CUE))
+    found = F.flatten(F.transform(units, lambda u: _sentences(u, known)))
     none = F.array().cast("array<string>")
     return docs.withColumn("sentence_ids", F.when(text_of().rlike(CUE), found).otherwise(none))
 

@@ -43,6 +43,24 @@ def test_tables_are_consistent():
             assert seen.setdefault(licenses.normalised_text(s), k) == k
 
 
+def test_every_known_sentence_verbatim_and_wrapped(docs_of):
+    sentences = [(k, s) for k, v in licenses.known_sentences().items() for s in v]
+    rows = [(k, f"Some words.\n{t}\nOther words.") for k, s in sentences for t in (s, f"/* {s} */", "/*\n * " + s.replace(" ", "\n *\n * ") + "\n */", s.replace(" ", "\n# "))]
+    got = {r.doc_id: r.sentence_ids for r in licenses.recognised(docs_of([(i, t) for i, (_, t) in enumerate(rows)])).collect()}
+    assert [(t, got[i]) for i, (k, t) in enumerate(rows) if got[i] != [k]] == []
+
+
+def test_published_notices(docs_of):
+    gpl = (
+        " * This program is free\n * software; you can redistribute it and/or\n * modify it under the terms of the GNU General Public License\n * as published by the Free Software Foundation; either version 2\n"
+        " * of the License, or (at your option) any later version.\n"
+    )
+    assert found(docs_of, gpl)[1:] == (["GPL-2.0-or-later"], [])
+    mpl = "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this\n * file, You can obtain one at https://mozilla.org/MPL/2.0/. */"
+    assert found(docs_of, mpl) == (["MPL-2.0:is", "MPL-2.0:copy"], ["MPL-2.0"], [])
+    assert found(docs_of, "All rights\n * reserved.")[0] == ["AllRights"]
+
+
 def test_odd_rows(docs_of):
     out = licenses.scan(docs_of(ODD).withColumnRenamed("d", "licences"))
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "key", "sentence_ids", "licences", "unresolved"]
