@@ -8,6 +8,13 @@ from html import unescape
 # Element names by their role in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe object svg math textarea select head title canvas video audio".split())
+#: Their content is no markup, and without an end tag it goes to the end of the page.
+PLAIN = frozenset("script style textarea title iframe".split())
+#: What can stand in a head; any other element, end tag or text ends one that has no end tag.
+HEAD = frozenset("base basefont bgsound link meta noscript script style template title".split())
+#: Elements that end a drawing or formula without an end tag, unless they are in one of those that hold HTML.
+NOT_DRAWN = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+HTML_INSIDE = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
 CLOSES_P = frozenset("address article aside blockquote details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul li dd dt".split())
 ITEM_OF = {"li": {"ul", "ol", "menu"}, "dd": {"dl"}, "dt": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
@@ -37,6 +44,65 @@ class Element:
         return ""
 
 
+def _plain_end(html: str, tag: str, at: int) -> int:
+    """Where an element without markup in it ends."""
+    end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
+    return end.end() if end else len(html)
+
+
+def _head_end(html: str, at: int) -> int:
+    """Where a head without an end tag ends: before the first thing that cannot stand in a head."""
+    while m := _TOKEN.search(html, at):
+        if html[at : m.start()].strip():
+            return at
+        tag = (m[2] or "").lower()
+        if tag and not (tag in HEAD and (not m[1] or tag in ("noscript", "template"))):
+            return m.start()
+        at = _plain_end(html, tag, m.end()) if tag in PLAIN else m.end()
+        if tag in ("noscript", "template") and not m[1]:
+            end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
+            at = end.end() if end else at
+    return at
+
+
+def _subtree_end(html: str, tag: str, at: int, stack: list, has_end: bool) -> int:
+    """Where an element that is left out ends: at its end tag, or before what closes an element around it."""
+    around, near = set(), True
+    for t, _ in reversed(stack):
+        near = near and (t in INLINE or t == "p")
+        if near or t not in INLINE:
+            around.add(t)
+    opened = [tag]
+    while m := _TOKEN.search(html, at):
+        name, at = (m[2] or "").lower(), m.end()
+        if not name:
+            continue
+        if m[1]:
+            if name in opened:
+                while opened.pop() != name:
+                    pass
+                if not opened:
+                    return at
+            elif name in around:
+                return m.start()
+            continue
+        if tag in ("svg", "math"):
+            if name in NOT_DRAWN and not HTML_INSIDE.intersection(opened):
+                return m.start()
+        elif not has_end and tag in ("noscript", "canvas", "audio", "video"):
+            if name in CLOSES_P and "p" in around and "p" not in opened:
+                return m.start()
+            if name in SAME_ITEM and SAME_ITEM[name] & around and not ITEM_OF[name].intersection(opened) and not SAME_ITEM[name].intersection(opened):
+                return m.start()
+        if name in VOID or m[3].rstrip().endswith("/"):
+            continue
+        if name in PLAIN:
+            at = _plain_end(html, name, at)
+        else:
+            opened.append(name)
+    return len(html)
+
+
 def read(html: str | None) -> tuple[list[Element], list[tuple[Element, str]]]:
     """All elements in page order (the first is the root), and the blocks as (element, text)."""
     html = html or ""
@@ -44,6 +110,7 @@ def read(html: str | None) -> tuple[list[Element], list[tuple[Element, str]]]:
     elements, blocks, buffer = [root], [], []
     stack: list[tuple[str, Element]] = [("#root", root)]  # inline elements point to the element they are in
     links, at, n = 0, 0, len(html)
+    endless: set[str] = set()  # elements without an end tag in the rest of the page
 
     def flush() -> None:
         if buffer:
@@ -104,10 +171,15 @@ def read(html: str | None) -> tuple[list[Element], list[tuple[Element, str]]]:
         if tag in RAW:
             if m[3].rstrip().endswith("/"):
                 continue
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
-            if tag == "head" and end is None:
-                end = re.compile(r"(?=<body[\s>])", re.I).search(html, at)
-            at = end.end() if end else n
+            end = None if tag in endless else re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
+            if end is None:
+                endless.add(tag)
+            if tag == "head":
+                at = end.end() if end else _head_end(html, at)
+            elif tag in PLAIN or (tag == "noscript" and end):
+                at = end.end() if end else n
+            else:
+                at = _subtree_end(html, tag, at, stack, end is not None)
             buffer.append(" ")
             continue
         if tag in VOID:

@@ -88,6 +88,28 @@ def test_no_contradiction(model):
         assert all(kept[e.parent.index] for e in elements if kept[e.index] and e.parent)
 
 
+def _read(page):
+    return "\n".join(t for _, t in read(page)[1])
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<head><meta charset=x><title>t</title><style>a</style><h1>Title</h1><p>article",
+        "<head><script>'<p>'</script><noscript><style>b</style></noscript><!-- c -->\n<body class=a><h1>Title</h1><p>article",
+        "<head><title>t</title></body><h1>Title</h1><p>article",
+        *(f"<div><{t}>left out<x>x</x></div><h1>Title</h1><p>article" for t in ("svg", "object", "noscript", "template", "select", "canvas", "audio", "video", "math")),
+        "<div><canvas>left out</div><h1>Title</h1><p>article</p><canvas>left out</canvas>",
+        "<div><svg><path d=1><h1>Title</h1><p>article",
+        "<a href=x><svg><path></a><h1>Title</h1><p>article",
+        "<p><video>left out<h1>Title</h1><p>article",
+        "<object>a<object>b</object>left out</object><svg><foreignObject><p>left out</p></foreignObject></svg><h1>Title</h1><p>article<script>left out",
+    ],
+)
+def test_elements_without_end_tags(page):
+    assert _read(page).replace(" ", "\n").split() == ["Title", "article"]
+
+
 def test_odd_pages(pages_of):
     rows = [(None, None, None), (1, "u", ""), (1, "u", ""), (2, "u", "<p"), (3, "u", "plain text < 3"), (4, "u", "<div>" * 3000 + "deep"), (5, "u", "</p></div><li>x"), (6, "u", "<article><p>" + "long words. " * 20000)]
     out = html_extract.extracted(pages_of(rows)).collect()
