@@ -27,13 +27,14 @@ _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 class Element:
     """An element that is not inline: its place in the tree and the text right inside it."""
 
-    __slots__ = ("tag", "attributes", "parent", "children", "depth", "chars", "link_chars", "links", "inline", "index")
+    __slots__ = ("tag", "attributes", "parent", "children", "depth", "chars", "link_chars", "links", "inline", "index", "place")
 
     def __init__(self, tag: str, attributes: str, parent: Element | None, index: int):
         self.tag, self.attributes, self.parent, self.index = tag, attributes, parent, index
         self.children: list[Element] = []
         self.depth = parent.depth + 1 if parent else 0
         self.chars = self.link_chars = self.links = self.inline = 0
+        self.place = len(parent.children) if parent else 0
         if parent:
             parent.children.append(self)
 
@@ -147,9 +148,8 @@ def read(html: str | None) -> tuple[list[Element], list[tuple[Element, str]]]:
     while at < n:
         m = _TOKEN.search(html, at)
         if m is None:
-            cut = html.find("<", at) if re.search(r"<[a-zA-Z/!?][^>]*\Z", html[at:][-4096:]) else -1
             rest = html[at:]
-            if cut >= 0 and (tail := re.search(r"<[a-zA-Z/!?][^<>]*\Z", rest)):
+            if tail := re.search(r"<[a-zA-Z/!?][^<>]*\Z", rest):
                 rest = rest[: tail.start()]  # a tag that the page's end cuts off
             add(rest)
             break

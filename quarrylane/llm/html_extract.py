@@ -100,14 +100,12 @@ def features(elements: list[Element], blocks: list[tuple[Element, str]]) -> list
         semantic = above[parent.index] if parent is not None else (0, 0)
         inherited[i] = tuple(map(max, up, kinds))
         above[i] = (semantic[0] or e.tag in ("article", "main"), semantic[1] or e.tag in ("nav", "footer", "aside", "form", "header"))
-        siblings = parent.children if parent is not None else [e]
-        k = len(siblings)
-        place = siblings.index(e) if k < 64 else 0
+        k = len(parent.children) if parent is not None else 1
         around = (chars[parent.index] - (parent.chars if parent is not None else 0) - chars[i]) / max(1, k - 1) if parent is not None and k > 1 else 0
         rows.append(
             (
                 group, e.depth, _log(chars[i]), _log(e.chars), links[i] / max(1, chars[i]), e.links, chars[i] / tags[i], sums[i] / max(1, words[i]), words[i], chars[i] / max(1, words[i]),
-                items[i], len(e.children), k, place / k, chars[i] / total, _log(around), chars[i] / (chars[i] + around + 1), _GROUP.get(parent.tag, 17) if parent is not None else -1, i / n,
+                items[i], len(e.children), k, e.place / k, chars[i] / total, _log(around), chars[i] / (chars[i] + around + 1), _GROUP.get(parent.tag, 17) if parent is not None else -1, i / n,
                 *semantic, *kinds, *up,
                 *(float(group == g) for g in (0, 1, 3, 4, 7, 8, 9, 10, 11, 12, 13, 14, 15)),
             )

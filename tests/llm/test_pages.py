@@ -110,6 +110,13 @@ def test_elements_without_end_tags(page):
     assert _read(page).replace(" ", "\n").split() == ["Title", "article"]
 
 
+def test_no_switch_by_size():
+    elements, blocks = read("<div>" + "<p>words</p>" * 100)
+    rows = html_extract.features(elements, blocks)
+    assert [r[13] for r in rows[2:]] == [i / 100 for i in range(100)]
+    assert _read("<p>article <img src=data:" + "x" * 10_000) == "article"
+
+
 def test_odd_pages(pages_of):
     rows = [(None, None, None), (1, "u", ""), (1, "u", ""), (2, "u", "<p"), (3, "u", "plain text < 3"), (4, "u", "<div>" * 3000 + "deep"), (5, "u", "</p></div><li>x"), (6, "u", "<article><p>" + "long words. " * 20000)]
     out = html_extract.extracted(pages_of(rows)).collect()
