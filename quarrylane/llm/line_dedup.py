@@ -5,18 +5,20 @@ or more, and a line goes if any earlier line matches it; "earlier" is the order
 hash, line number). The steps:
 
 1. Words are counted over the whole corpus in a fixed number of hash buckets; a word's rarity class
-   is the logarithm of its bucket's count. Any one order of the words gives the same result; this
-   one keeps frequent words out of the prefixes.
+   is the logarithm of its bucket's count, without an upper end. Any one order of the words gives
+   the same result; this one keeps frequent words out of the prefixes.
 2. Equal sets collapse by a grouped minimum to their first occurrence.
 3. Each remaining set is posted under its n - ceil(0.8 n) + 1 rarest words. Two matching sets meet
    under at least one. The length filter, the positional filter and the parity bits of the words
-   (equal bits for equal sets, at most one differing bit for each word not shared) drop most pairs
-   that cannot match.
-4. Where sets meet at a word, each is first tried against the one just before it; only if that is
-   no candidate is it tried against all earlier ones there.
-   Every candidate is verified on its full word set, and a set whose candidates all fail is tried
-   against all earlier ones as well. So a large group of near copies costs a number of pairs in
-   proportion to its size, and no match is missed.
+   (equal bits for equal sets, at most one differing bit for each word not shared) drop nearly all
+   pairs that cannot match.
+4. Candidates come in rounds. Where sets meet at a word they stand in the order of the word that
+   follows it in their prefixes, so that near copies are neighbours, and each is tried against its
+   neighbour. For a set whose neighbour is no candidate it is only noted whether any earlier set
+   under the word is one: no pair is made. The neighbours are verified on their words. Only sets
+   noted or tried, and not matched by then, are paired with all earlier ones under their words.
+   So a large group of near copies costs a number of pairs in proportion to its size, and no match
+   is missed.
 5. Every later occurrence of a set, and every occurrence of a set with an earlier match, goes.
 """
 
@@ -29,10 +31,10 @@ from pyspark.sql import functions as F
 
 from .shared import WHITE, durable, plain_words, text_of
 
-#: Hash buckets for counting words: one digit each goes with the plan, 128 KB.
+#: Hash buckets for counting words: at most three digits each go with the plan.
 BUCKETS = 1 << 17
-#: Rarity classes 0 to 9; class k holds buckets of up to 16 * 4^k words.
-CLASSES = 10
+#: A word's code is its class above this many bits of its hash.
+_HASH_BITS = 57
 #: Up to so many rows, the list of lines to verify is broadcast (under 100 MB); beyond, it is shuffled.
 BROADCAST_ROWS = 1_000_000
 _LAST = (1 << 63) - 1
@@ -41,39 +43,47 @@ _AT = ["d", "rk", "pos"]
 _PARITY = ["parity0", "parity1"]
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """docs with the order keys d (doc_id, null last) and rk.
+def _keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """docs with the order keys d (doc_id, null last) and rk, and whether a (d, rk) comes more than once.
 
     rk tells different texts of one doc_id apart: a hash of the text, or 0 throughout if no doc_id
     has two texts, as hashes do not compress.
     """
     doc_id = F.col("doc_id").cast("bigint")
     keys = {"d": F.coalesce(doc_id, F.lit(_LAST)), "rk": F.xxhash64(text_of(), doc_id.isNull())}
-    several = docs.select(*(c.alias(k) for k, c in keys.items())).groupBy("d").agg(F.min("rk").alias("low"), F.max("rk").alias("high"))
-    unique = several.where("low < high").isEmpty()
-    return docs.withColumns(keys | ({"rk": F.lit(0).cast("bigint")} if unique else {}))
+    groups = docs.select(*(c.alias(k) for k, c in keys.items())).groupBy("d").agg(F.min("rk").alias("low"), F.max("rk").alias("high"), F.count(F.lit(1)).alias("n"))
+    several, repeated = groups.agg(F.coalesce(F.bool_or(F.col("low") < F.col("high")), F.lit(False)), F.coalesce(F.bool_or(F.col("n") > 1), F.lit(False))).first()
+    return docs.withColumns(keys | ({} if several else {"rk": F.lit(0).cast("bigint")})), repeated
 
 
 def _classes(docs: DataFrame) -> list[int]:
     """The rarity class of each hash bucket, from the counts of all words."""
     found = docs.select(F.explode(plain_words(text_of())).alias("w")).where("w <> ''")
-    counted = found.groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    counted = found.groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("n"))
     classes = [0] * BUCKETS
     for b, n in counted.collect():  # one row for each bucket at most
-        classes[b] = min(CLASSES - 1, max(0, int(math.log2(n) / 2) - 1))
+        classes[b] = min(63, int(math.log2(n) * 1.5))  # 63 is 2^42 words in one bucket
     return classes
 
 
 def _codes(line: Column, classes: list[int]) -> Column:
-    """The distinct words of a line as numbers, rarest first: 7 bits of class, 56 bits of hash."""
+    """The distinct words of a line as numbers, rarest first: 6 bits of class, 57 bits of hash."""
     known = F.split(F.lit(",".join(map(str, classes))), ",").cast("array<tinyint>")
 
-    def code(word: Column) -> Column:
-        h = F.xxhash64(word)
+    def code(h: Column) -> Column:
         rarity = F.get(known, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
-        return F.coalesce(F.shiftleft(rarity.cast("bigint"), 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1))), F.lit(0))
+        return F.coalesce(F.shiftleft(rarity.cast("bigint"), _HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASH_BITS)), F.lit(0))
 
-    return F.sort_array(F.array_distinct(F.transform(F.array_remove(plain_words(line), ""), code)))
+    # In two steps, as a hash that is used twice in one lambda is computed twice.
+    hashes = F.transform(F.array_remove(plain_words(line), ""), lambda word: F.xxhash64(word))
+    return F.sort_array(F.array_distinct(F.transform(hashes, code)))
+
+
+def _posted(codes: Column) -> Column:
+    """The words under which a set is posted: 32 bits of each hash of its prefix."""
+    n = F.size(codes)
+    prefix = F.slice(codes, 1, n - F.floor((4 * n + 4) / 5).cast("int") + 1)
+    return F.transform(prefix, lambda c: F.shiftright(F.shiftleft(c, 32), 32).cast("int"))
 
 
 def _parity(codes: Column, k: int) -> Column:
@@ -113,24 +123,27 @@ def _pairs(met: DataFrame) -> DataFrame:
     return met.select(*(f"{s}{k}" for s in ("a_", "b_") for k in _AT))
 
 
-def _all_earlier(tried: DataFrame, postings: DataFrame) -> DataFrame:
-    """Candidate pairs of postings with every earlier set that shares their word."""
-    b = _renamed(postings, "b_")
-    met = tried.join(b, (F.col("a_w") == F.col("b_w")) & _earlier("a_", "b_") & _plausible("a_", "b_"))
-    return _pairs(met)
+def _met() -> Column:
+    """Two postings of one word whose sets may match, b the earlier one."""
+    return (F.col("a_w") == F.col("b_w")) & _earlier("a_", "b_") & _plausible("a_", "b_")
+
+
+def _listed(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """The rows whose key is in keys, which are broadcast if there are few."""
+    return rows.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, on, "left_semi")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, classes: list[int]) -> DataFrame:
-    """pairs with the column `match`, from the full word sets of both lines."""
+def _matched(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The sets a (d, rk, pos) for which a pair holds, by the words of both lines."""
     ends = pairs.select(*(F.col(f"a_{k}").alias(k) for k in _AT)).unionByName(pairs.select(*(F.col(f"b_{k}").alias(k) for k in _AT)))
-    ends = durable(ends.distinct())
-    small = ends.count() <= BROADCAST_ROWS
-    wanted = _lines(docs).join(F.broadcast(ends) if small else ends, _AT, "left_semi")
-    sets = durable(wanted.select(*_AT, _codes(F.col("line"), classes).alias("codes")).dropDuplicates(_AT))
+    wanted = _listed(_lines(docs), durable(ends.distinct()), _AT)
+    # Of rows equal in doc_id and text, any one will do.
+    sets = wanted.groupBy(*_AT).agg(F.min("line").alias("line")).select(*_AT, F.array_distinct(F.array_remove(plain_words(F.col("line")), "")).alias("words"))
+    sets = durable(sets)
     both = pairs.join(_renamed(sets, "a_"), [f"a_{k}" for k in _AT]).join(_renamed(sets, "b_"), [f"b_{k}" for k in _AT])
-    common = F.size(F.array_intersect("a_codes", "b_codes"))
-    total = F.size("a_codes") + F.size("b_codes") - common
-    return both.select(*pairs.columns, (5 * common >= 4 * total).alias("match"))
+    common = F.size(F.array_intersect("a_words", "b_words"))
+    total = F.size("a_words") + F.size("b_words") - common
+    return both.where(5 * common >= 4 * total).select(*(F.col(f"a_{k}").alias(k) for k in _AT)).distinct()
 
 
 def later_matches(docs: DataFrame) -> DataFrame:
@@ -141,40 +154,42 @@ def later_matches(docs: DataFrame) -> DataFrame:
     classes = _classes(docs)
     codes = _lines(docs).select(*_AT, _codes(F.col("line"), classes).alias("codes"))
     n = F.size("codes")
-    prefix = F.transform(F.slice("codes", 1, n - F.floor((4 * n + 4) / 5).cast("int") + 1), lambda c: F.shiftright(c, 32).cast("int"))
     parities = [_parity(F.col("codes"), k).alias(p) for k, p in enumerate(_PARITY)]
-    lines = durable(codes.where(n > 0).select(*_AT, F.xxhash64("codes").alias("set"), *parities, n.alias("n"), prefix.alias("prefix")))
+    lines = durable(codes.where(n > 0).select(*_AT, F.xxhash64("codes").alias("set"), *parities, n.alias("n"), _posted(F.col("codes")).alias("prefix")))
     same = ["set", *_PARITY, "n"]
-    sets = durable(lines.groupBy(*same).agg(F.min(F.struct(*_AT, "prefix")).alias("x")).select(*same, "x.*"))
+    sets = durable(lines.groupBy(*same).agg(F.min(F.struct(*_AT, "prefix")).alias("x"), (F.count(F.lit(1)) > 1).alias("again")).select(*same, "again", "x.*"))
 
     row = ["w", *_AT, "n", *_PARITY, "i"]
-    postings = sets.where("n >= 4").select(*_AT, "n", *_PARITY, F.posexplode("prefix").alias("i", "w")).select(*row).where(" and ".join(f"{c} is not null" for c in row))
-    unmoved, postings = postings, postings.repartition("w")
-    order = Window.partitionBy("w").orderBy(*_AT)
+    posted = sets.where("n >= 4").select(*_AT, "n", *_PARITY, "prefix", F.posexplode("prefix").alias("i", "w"))
+    # The word that follows orders the sets under a word.
+    posted = posted.select(*row, F.get("prefix", F.col("i") + 1).alias("then")).where(" and ".join(f"{c} is not null" for c in row))
+    postings = posted.repartition("w")
+    order = Window.partitionBy("w").orderBy("then", *_AT)
     # The three uses of the postings share the exchange by word; structs, or null checks that only one of them needs, would make it another one.
     tries = [F.lag(c).over(order).alias(f"b_{c}") for c in row[1:]]
-    ranked = postings.select(*(F.col(c).alias(f"a_{c}") for c in row), *tries).where("b_d is not null")
-    # Two words of one line can have the same w, and the set just before is then the line itself.
-    first = _plausible("a_", "b_") & _earlier("a_", "b_")
-    easy = _pairs(ranked.where(first))
-    ranked = ranked.where(~first).select(*(f"a_{c}" for c in row))
-    hard = _all_earlier(ranked, postings)
-    checked = durable(_verified(docs, durable(easy.unionByName(hard).distinct()), classes))
-    ends = [F.col(f"a_{k}").alias(k) for k in _AT]
-    found = durable(checked.groupBy(*ends).agg(F.bool_or("match").alias("match")))
-    failed, matched = found.where("not match").drop("match"), found.where("match").drop("match")
-    if not failed.isEmpty():
-        tried = durable(unmoved.join(failed, _AT, "left_semi"))
-        met = durable(tried.select("w").distinct())
-        small = met.count() <= BROADCAST_ROWS
-        sharing = unmoved.join(F.broadcast(met) if small else met, "w", "left_semi")
-        again = durable(_verified(docs, durable(_all_earlier(_renamed(tried, "a_"), sharing).distinct()), classes))
-        matched = matched.unionByName(again.where("match").select(*ends).distinct())
-
-    firsts = sets.join(matched.withColumn("matched", F.lit(True)), _AT, "left")
+    ranked = postings.select(*(F.col(c).alias(f"a_{c}") for c in row), *tries)
+    near = F.col("b_d").isNotNull() & _plausible("a_", "b_")
+    # Two words of one line can have the same w: then the neighbour is the line itself, which is not earlier.
+    forth, back = _pairs(ranked.where(near & _earlier("a_", "b_"))), ranked.where(near & _earlier("b_", "a_"))
+    back = back.select(*(F.col(f"{s}{k}").alias(f"{t}{k}") for s, t in (("b_", "a_"), ("a_", "b_")) for k in _AT))
+    rest = ranked.where(~F.coalesce(near & _earlier("a_", "b_"), F.lit(False))).select(*(f"a_{c}" for c in row))
+    noted = rest.join(_renamed(postings.select(*row), "b_"), _met(), "left_semi")
+    noted = noted.select(*(f"a_{k}" for k in _AT), *(F.lit(None).cast(t).alias(f"b_{k}") for k, t in zip(_AT, ("bigint", "bigint", "int"), strict=True)))
+    tried = durable(forth.unionByName(back).unionByName(noted).distinct())
+    matched = durable(_matched(docs, tried.where("b_d is not null")))
+    left = tried.select(*(F.col(f"a_{k}").alias(k) for k in _AT)).distinct()
+    left = durable(left.join(matched, _AT, "left_anti"))
+    if not left.isEmpty():
+        last = durable(_listed(posted.select(*row), left, _AT))
+        sharing = _listed(posted.select(*row), durable(last.select("w").distinct()), ["w"])
+        pairs = durable(_pairs(_renamed(last, "a_").join(_renamed(sharing, "b_"), _met())).distinct())
+        matched = matched.unionByName(_matched(docs, pairs))
+
+    # Only sets that lose an occurrence are looked up among the lines.
+    firsts = sets.join(matched.withColumn("matched", F.lit(True)), _AT, "left").where(F.col("again") | F.col("matched"))
     firsts = firsts.select(*same, *(F.col(k).alias(f"first_{k}") for k in _AT), F.coalesce("matched", F.lit(False)).alias("matched"))
     is_first = (F.col("d") == F.col("first_d")) & (F.col("rk") == F.col("first_rk")) & (F.col("pos") == F.col("first_pos"))
-    gone = lines.join(firsts, same).where(F.col("matched") | ~is_first)
+    gone = lines.select(*same, *_AT).join(firsts, same).where(F.col("matched") | ~is_first)
     return gone.groupBy(*_KEY).agg(F.collect_set("pos").alias("gone"))
 
 
@@ -183,20 +198,25 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
     All columns of docs and all rows stay; a text is its kept lines, joined by line feeds again, so
     a text none of whose lines goes is unchanged. Lines without words are never removed. A null
-    text has no lines and stays null. Of rows equal in doc_id and text, the first keeps its lines
-    and the others lose all that have words. Columns of docs named n_lines or n_removed are
-    replaced.
+    text has no lines and stays null. Of rows equal in doc_id and text, one keeps its lines and the
+    others lose all that have words. Columns of docs named n_lines or n_removed are replaced. An
+    empty table gives no rows.
     """
     docs = docs.drop("n_lines", "n_removed")
     held = [c for c in docs.columns if c not in ("doc_id", "text")]
-    keyed = _keyed(docs.select("doc_id", "text", F.struct(*held, F.lit(0).alias("_")).alias("held")))
+    keyed, repeated = _keyed(docs.select("doc_id", "text", F.struct(*held, F.lit(0).alias("_")).alias("held")))
+    first = F.lit(True)
+    if repeated:
+        # A minimum with map-side combining finds the row that stays, whatever the number of equal rows.
+        keyed = durable(keyed.withColumn("row", F.monotonically_increasing_id()))
+        stays = keyed.groupBy(*_KEY).agg(F.min("row").alias("row"))
+        keyed = keyed.join(stays.withColumn("first", F.lit(True)), [*_KEY, "row"], "left")
+        first = F.coalesce("first", F.lit(False))
     gone = later_matches(keyed.select("d", "rk", "text"))
-    copies = keyed.withColumn("copy", F.row_number().over(Window.partitionBy(*_KEY).orderBy(F.lit(1))))
-    lines = F.split(F.col("text"), "\n")
-    joined = copies.join(gone, _KEY, "left").withColumn("all_lines", lines)
+    joined = keyed.join(gone, _KEY, "left").withColumn("all_lines", F.split(F.col("text"), "\n"))
     has_word = lambda x: F.length(F.regexp_replace(x, WHITE, "")) > 0
-    first = F.filter("all_lines", lambda x, i: ~F.array_contains("gone", i))
-    kept = F.when(F.col("copy") > 1, F.filter("all_lines", lambda x: ~has_word(x))).when(F.col("gone").isNull(), F.col("all_lines")).otherwise(first)
+    others = F.filter("all_lines", lambda x, i: ~F.array_contains("gone", i))
+    kept = F.when(~first, F.filter("all_lines", lambda x: ~has_word(x))).when(F.col("gone").isNull(), F.col("all_lines")).otherwise(others)
     out = joined.withColumn("kept_lines", kept)
     n_lines, n_kept = F.coalesce(F.size("all_lines"), F.lit(0)), F.coalesce(F.size("kept_lines"), F.lit(0))
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(n_lines)

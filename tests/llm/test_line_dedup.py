@@ -57,9 +57,10 @@ def test_two_words_of_a_line_with_one_key(spark, docs_of):
     """A line posted twice under one w is not its own earlier match."""
     from pyspark.sql import functions as F
 
-    words = spark.range(30_000).select(F.concat(F.lit("w"), F.col("id")).alias("word"))
-    codes = sorted((r.code, r.word) for r in words.withColumn("code", F.xxhash64("word").bitwiseAND(F.lit((1 << 56) - 1))).collect())
-    twins = [(a[1], b[1]) for a, b in zip(codes, codes[1:]) if a[0] >> 32 == b[0] >> 32]
+    words = spark.range(300_000).select(F.concat(F.lit("w"), F.col("id")).alias("word"))
+    posted = F.shiftrightunsigned(F.xxhash64("word"), 64 - line_dedup._HASH_BITS).bitwiseAND(F.lit((1 << 32) - 1))
+    codes = sorted((r.code, r.word) for r in words.withColumn("code", posted).collect())
+    twins = [(a[1], b[1]) for a, b in zip(codes, codes[1:]) if a[0] == b[0]]
     last = [w for _, w in codes[-200:]]
     lines = [" ".join([*twins[k], *last[k * 20 : k * 20 + 8]]) for k in range(3)]
     near = lines[1].replace(last[20], last[199])
