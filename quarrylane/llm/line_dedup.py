@@ -161,27 +161,29 @@ def later_matches(docs: DataFrame) -> DataFrame:
 
     row = ["w", *_AT, "n", *_PARITY, "i"]
     posted = sets.where("n >= 4").select(*_AT, "n", *_PARITY, "prefix", F.posexplode("prefix").alias("i", "w"))
-    # The word that follows orders the sets under a word.
-    posted = posted.select(*row, F.get("prefix", F.col("i") + 1).alias("then")).where(" and ".join(f"{c} is not null" for c in row))
-    postings = posted.repartition("w")
-    order = Window.partitionBy("w").orderBy("then", *_AT)
-    # The three uses of the postings share the exchange by word; structs, or null checks that only one of them needs, would make it another one.
-    tries = [F.lag(c).over(order).alias(f"b_{c}") for c in row[1:]]
-    ranked = postings.select(*(F.col(c).alias(f"a_{c}") for c in row), *tries)
-    near = F.col("b_d").isNotNull() & _plausible("a_", "b_")
+    # One number has a set's word and, to order the sets under a word, the word that follows it.
+    after = F.coalesce(F.get("prefix", F.col("i") + 1), F.lit(0)).cast("bigint").bitwiseAND(F.lit((1 << 32) - 1))
+    keyed = posted.select(F.shiftleft(F.col("w").cast("bigint"), 32).bitwiseOR(after).alias("key"), *row[1:])
+    keyed = keyed.where(" and ".join(f"{c} is not null" for c in keyed.columns))
+    # The two uses of the postings share the exchange by word; structs, or null checks that only one of them needs, would make it another one.
+    postings = keyed.repartition(F.shiftright("key", 32)).withColumn("w", F.shiftright("key", 32))
+    a = _renamed(postings, "a_")
+    order = Window.partitionBy("a_w").orderBy("a_key", *(f"a_{k}" for k in _AT))
+    ranked = a.select(*a.columns, *(F.lag(f"a_{c}").over(order).alias(f"b_{c}") for c in row[1:]))
     # Two words of one line can have the same w: then the neighbour is the line itself, which is not earlier.
-    forth, back = _pairs(ranked.where(near & _earlier("a_", "b_"))), ranked.where(near & _earlier("b_", "a_"))
-    back = back.select(*(F.col(f"{s}{k}").alias(f"{t}{k}") for s, t in (("b_", "a_"), ("a_", "b_")) for k in _AT))
-    rest = ranked.where(~F.coalesce(near & _earlier("a_", "b_"), F.lit(False))).select(*(f"a_{c}" for c in row))
-    noted = rest.join(_renamed(postings.select(*row), "b_"), _met(), "left_semi")
-    noted = noted.select(*(f"a_{k}" for k in _AT), *(F.lit(None).cast(t).alias(f"b_{k}") for k, t in zip(_AT, ("bigint", "bigint", "int"), strict=True)))
-    tried = durable(forth.unionByName(back).unionByName(noted).distinct())
+    near = F.coalesce(_plausible("a_", "b_") & _earlier("a_", "b_"), F.lit(False))
+    ranked = ranked.select(*(f"a_{c}" for c in row), *(F.when(near, F.col(f"b_{k}")).alias(f"b_{k}") for k in _AT))
+    # A set with a neighbour to try meets at least its own posting here and stays.
+    noted = F.col("b_d").isNotNull() | (_earlier("a_", "c_") & _plausible("a_", "c_"))
+    tried = ranked.join(_renamed(postings, "c_"), (F.col("a_w") == F.col("c_w")) & noted, "left_semi")
+    tried = durable(_pairs(tried).distinct())
     matched = durable(_matched(docs, tried.where("b_d is not null")))
     left = tried.select(*(F.col(f"a_{k}").alias(k) for k in _AT)).distinct()
     left = durable(left.join(matched, _AT, "left_anti"))
     if not left.isEmpty():
-        last = durable(_listed(posted.select(*row), left, _AT))
-        sharing = _listed(posted.select(*row), durable(last.select("w").distinct()), ["w"])
+        posted = posted.select(*row)
+        last = durable(_listed(posted, left, _AT))
+        sharing = _listed(posted, durable(last.select("w").distinct()), ["w"])
         pairs = durable(_pairs(_renamed(last, "a_").join(_renamed(sharing, "b_"), _met())).distinct())
         matched = matched.unionByName(_matched(docs, pairs))
 
