@@ -14,11 +14,11 @@ hash, line number). The steps:
    pairs that cannot match.
 4. Candidates come in rounds. Where sets meet at a word they stand in the order of the word that
    follows it in their prefixes, so that near copies are neighbours, and each is tried against its
-   neighbour. For a set whose neighbour is no candidate it is only noted whether any earlier set
-   under the word is one: no pair is made. The neighbours are verified on their words. Only sets
-   noted or tried, and not matched by then, are paired with all earlier ones under their words.
-   So a large group of near copies costs a number of pairs in proportion to its size, and no match
-   is missed.
+   neighbour. For a set whose neighbour is no candidate it is only noted under which words any
+   earlier set is one: no pair is made. The neighbours are verified on their words. Only sets noted
+   or tried, and not matched by then, meet all earlier candidates under the noted words, with the
+   words of both at hand, up to the first that matches. So no step's rows grow faster than the
+   postings, whatever the size of a group of near copies, and no match is missed.
 5. Every later occurrence of a set, and every occurrence of a set with an earlier match, goes.
 """
 
@@ -35,6 +35,8 @@ from .shared import WHITE, durable, plain_words, text_of
 BUCKETS = 1 << 17
 #: A word's code is its class above this many bits of its hash.
 _HASH_BITS = 57
+#: Sets up to so many words have one number of parity bits, the others two.
+SHORT = 64
 #: Up to so many rows, the list of lines to verify is broadcast (under 100 MB); beyond, it is shuffled.
 BROADCAST_ROWS = 1_000_000
 _LAST = (1 << 63) - 1
@@ -87,18 +89,22 @@ def _posted(codes: Column) -> Column:
 
 
 def _parity(codes: Column, k: int) -> Column:
-    """64 of 128 bits that the words of a set flip; k is 0 or 1."""
+    """64 bits that the words of a set flip; with k 0 or 1, only those of the words that fall to half k.
 
-    def flip(acc: Column, c: Column) -> Column:
-        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), c.bitwiseAND(F.lit(63)).cast("int"))
-        return F.when(c.bitwiseAND(F.lit(64)) == 64 * k, acc.bitwiseXOR(bit)).otherwise(acc)
-
-    return F.aggregate(codes, F.lit(0).cast("bigint"), flip)
+    Sets up to SHORT words have all their words in the first 64 bits and the others zero.
+    """
+    one = F.lit(1).cast("bigint")
+    bit = lambda c: F.call_function("shiftleft", one, c.bitwiseAND(F.lit(63)).cast("int"))
+    half = lambda acc, c: F.when(c.bitwiseAND(F.lit(64)) == 64 * k, acc.bitwiseXOR(bit(c))).otherwise(acc)
+    none = F.lit(0).cast("bigint")
+    short = F.lit(0).cast("bigint") if k else F.aggregate(codes, none, lambda acc, c: acc.bitwiseXOR(bit(c)))
+    return F.when(F.size(codes) <= SHORT, short).otherwise(F.aggregate(codes, none, half))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(d, rk, pos, line) of every line."""
-    return docs.select("d", "rk", F.posexplode(F.split(text_of(), "\n")).alias("pos", "line"))
+    """(d, rk, pos, line) of every line with a word."""
+    lines = docs.select("d", "rk", F.posexplode(F.split(text_of(), "\n")).alias("pos", "line"))
+    return lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
 
 
 def _earlier(a: str, b: str) -> Column:
@@ -111,7 +117,8 @@ def _plausible(a: str, b: str) -> Column:
     """Length, positional and parity filters on two postings of one word."""
     n, m, i, j = F.col(f"{a}n"), F.col(f"{b}n"), F.col(f"{a}i"), F.col(f"{b}i")
     shared = F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1)
-    apart = sum(F.bit_count(F.col(f"{a}{p}").bitwiseXOR(F.col(f"{b}{p}"))) for p in _PARITY)
+    one, two = (F.col(f"{a}{p}").bitwiseXOR(F.col(f"{b}{p}")) for p in _PARITY)
+    apart = F.when(F.least(n, m) > SHORT, F.bit_count(one) + F.bit_count(two)).otherwise(F.bit_count(one.bitwiseXOR(two)))
     return (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (9 * shared >= 4 * (n + m)) & (9 * apart <= n + m)
 
 
@@ -119,31 +126,43 @@ def _renamed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*(F.col(c).alias(f"{prefix}{c}") for c in df.columns))
 
 
-def _pairs(met: DataFrame) -> DataFrame:
-    return met.select(*(f"{s}{k}" for s in ("a_", "b_") for k in _AT))
+def _listed(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """The rows whose key is in keys, which are broadcast if there are few."""
+    return rows.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, on, "left_semi")
 
 
-def _met() -> Column:
-    """Two postings of one word whose sets may match, b the earlier one."""
-    return (F.col("a_w") == F.col("b_w")) & _earlier("a_", "b_") & _plausible("a_", "b_")
+def _words(docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(d, rk, pos, words) of some sets."""
+    wanted = _listed(_lines(docs), durable(sets.select(*_AT).distinct()), _AT)
+    # Of rows equal in doc_id and text, any one will do.
+    lines = wanted.groupBy(*_AT).agg(F.min("line").alias("line"))
+    return durable(lines.select(*_AT, F.array_distinct(F.array_remove(plain_words(F.col("line")), "")).alias("words")))
 
 
-def _listed(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    """The rows whose key is in keys, which are broadcast if there are few."""
-    return rows.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, on, "left_semi")
+def _alike() -> Column:
+    """Whether the words of a and b have a Jaccard similarity of 0.8 or more."""
+    return 9 * F.size(F.array_intersect("a_words", "b_words")) >= 4 * (F.size("a_words") + F.size("b_words"))
+
+
+def _set(prefix: str) -> list[Column]:
+    return [F.col(f"{prefix}{k}").alias(k) for k in _AT]
 
 
 def _matched(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The sets a (d, rk, pos) for which a pair holds, by the words of both lines."""
-    ends = pairs.select(*(F.col(f"a_{k}").alias(k) for k in _AT)).unionByName(pairs.select(*(F.col(f"b_{k}").alias(k) for k in _AT)))
-    wanted = _listed(_lines(docs), durable(ends.distinct()), _AT)
-    # Of rows equal in doc_id and text, any one will do.
-    sets = wanted.groupBy(*_AT).agg(F.min("line").alias("line")).select(*_AT, F.array_distinct(F.array_remove(plain_words(F.col("line")), "")).alias("words"))
-    sets = durable(sets)
-    both = pairs.join(_renamed(sets, "a_"), [f"a_{k}" for k in _AT]).join(_renamed(sets, "b_"), [f"b_{k}" for k in _AT])
-    common = F.size(F.array_intersect("a_words", "b_words"))
-    total = F.size("a_words") + F.size("b_words") - common
-    return both.where(5 * common >= 4 * total).select(*(F.col(f"a_{k}").alias(k) for k in _AT)).distinct()
+    words = _words(docs, pairs.select(*_set("a_")).unionByName(pairs.select(*_set("b_"))))
+    both = pairs.join(_renamed(words, "a_"), [f"a_{k}" for k in _AT]).join(_renamed(words, "b_"), [f"b_{k}" for k in _AT])
+    return both.where(_alike()).select(*_set("a_")).distinct()
+
+
+def _matched_by_any(docs: DataFrame, left: DataFrame, posted: DataFrame) -> DataFrame:
+    """The sets of left (postings) that match any earlier set under the same word."""
+    sharing = _listed(posted, durable(left.select("w").distinct()), ["w"])
+    met = (F.col("a_w") == F.col("b_w")) & _earlier("a_", "b_") & _plausible("a_", "b_")
+    partners = durable(_renamed(sharing, "b_").join(_renamed(left, "a_"), met, "left_semi").select(*(F.col(f"b_{c}").alias(c) for c in posted.columns)))
+    words = _words(docs, left.select(*_AT).unionByName(partners.select(*_AT)))
+    a, b = (_renamed(x.join(words, _AT), p) for x, p in ((left, "a_"), (partners, "b_")))
+    return a.join(b, met & _alike(), "left_semi").select(*_set("a_")).distinct()
 
 
 def later_matches(docs: DataFrame) -> DataFrame:
@@ -155,7 +174,8 @@ def later_matches(docs: DataFrame) -> DataFrame:
     codes = _lines(docs).select(*_AT, _codes(F.col("line"), classes).alias("codes"))
     n = F.size("codes")
     parities = [_parity(F.col("codes"), k).alias(p) for k, p in enumerate(_PARITY)]
-    lines = durable(codes.where(n > 0).select(*_AT, F.xxhash64("codes").alias("set"), *parities, n.alias("n"), _posted(F.col("codes")).alias("prefix")))
+    # No filter on the codes: it would have them computed twice.
+    lines = durable(codes.select(*_AT, F.xxhash64("codes").alias("set"), *parities, n.alias("n"), _posted(F.col("codes")).alias("prefix")))
     same = ["set", *_PARITY, "n"]
     sets = durable(lines.groupBy(*same).agg(F.min(F.struct(*_AT, "prefix")).alias("x"), (F.count(F.lit(1)) > 1).alias("again")).select(*same, "again", "x.*"))
 
@@ -176,16 +196,12 @@ def later_matches(docs: DataFrame) -> DataFrame:
     # A set with a neighbour to try meets at least its own posting here and stays.
     noted = F.col("b_d").isNotNull() | (_earlier("a_", "c_") & _plausible("a_", "c_"))
     tried = ranked.join(_renamed(postings, "c_"), (F.col("a_w") == F.col("c_w")) & noted, "left_semi")
-    tried = durable(_pairs(tried).distinct())
-    matched = durable(_matched(docs, tried.where("b_d is not null")))
-    left = tried.select(*(F.col(f"a_{k}").alias(k) for k in _AT)).distinct()
-    left = durable(left.join(matched, _AT, "left_anti"))
+    tried = durable(tried)
+    pairs = tried.where("b_d is not null").select(*(f"{s}{k}" for s in ("a_", "b_") for k in _AT)).distinct()
+    matched = durable(_matched(docs, durable(pairs)))
+    left = durable(tried.select(*(F.col(f"a_{c}").alias(c) for c in row)).distinct().join(matched, _AT, "left_anti"))
     if not left.isEmpty():
-        posted = posted.select(*row)
-        last = durable(_listed(posted, left, _AT))
-        sharing = _listed(posted, durable(last.select("w").distinct()), ["w"])
-        pairs = durable(_pairs(_renamed(last, "a_").join(_renamed(sharing, "b_"), _met())).distinct())
-        matched = matched.unionByName(_matched(docs, pairs))
+        matched = matched.unionByName(_matched_by_any(docs, left, postings.select(*row)))
 
     # Only sets that lose an occurrence are looked up among the lines.
     firsts = sets.join(matched.withColumn("matched", F.lit(True)), _AT, "left").where(F.col("again") | F.col("matched"))
