@@ -1,9 +1,10 @@
 """BPE encoding by tree concatenation.
 
-Texts up to a block's length are encoded whole, in batches. A longer text is cut into blocks that
-separate tasks encode; then neighbouring halves are joined, pair by pair up a tree. Near the cut
-the two halves' tokens may be wrong, so a window around it is decoded and encoded again, and grows
-until it agrees with both sides:
+A text of more than LEAF_CHARS is cut into leaves that are encoded on their own; then neighbouring
+halves are joined, pair by pair up a tree. A text of more than BLOCK_CHARS is first cut into blocks
+that separate tasks encode (each by its own tree) and join, GROUP neighbours in each task and then
+the results. Near a cut the two halves' tokens may be wrong, so a window around it is encoded again
+as one text, and grows until it agrees with both sides:
 
 * left, it starts where a word (a piece of the tokenizer's own splitting) starts, with at least
   GUARD words of the left half after it, or inside one unsplit piece, at a token that it encodes
@@ -21,25 +22,95 @@ which is the plain encoding.
 from __future__ import annotations
 
 import hashlib
+import json
+import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import text_of
 
+LEAF_CHARS = 4_096
 BLOCK_CHARS = 32_768
+GROUP = 8
 GUARD = 8
+#: A process remembers the tokens of so many pieces (some 50 MB), then starts anew.
+CACHED_PIECES = 250_000
 _LOADED: dict = {}
 
+#: The splitting of byte-level tokenizers, and the bytes that their vocabularies write as themselves.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+#: Characters of long-settled classes: for these alone the pattern above surely splits as the library does.
+_SETTLED = r"\t\n\r\x20-\x7e\u00a1-\u024f\u0391-\u03a1\u03a3-\u03a9\u03b1-\u03c9\u0410-\u044f\u2010-\u2027\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3"
+
+
+class ByteLevel:
+    """Pieces of texts and their tokens, for tokenizers that split by PIECES and do nothing else to a text.
+
+    A piece's tokens do not depend on what stands around it, so each is encoded by the library once
+    and remembered. `pieces` is none where the splitting might differ from the library's.
+    """
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.known = tokenizer, {}
+        self.split, self.odd = regex.compile(PIECES), regex.compile(f"[^{_SETTLED}]")
+        self.added = [x.content for x in tokenizer.get_added_tokens_decoder().values()]
+        written = {chr(b): b for b in _PRINTED} | {chr(256 + k): b for k, b in enumerate(sorted({*range(256)} - {*_PRINTED}))}
+        vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+        self.table = [b""] * (max(vocabulary.values(), default=-1) + 1)
+        for token, i in vocabulary.items():
+            self.table[i] = bytes(written[x] for x in token)
+        self.lengths = np.array([len(x) for x in self.table], np.int64)
+
+    @classmethod
+    def of(cls, tokenizer) -> ByteLevel | None:
+        made = json.loads(tokenizer.to_str())
+        splits = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}.items() <= (made["pre_tokenizer"] or {}).items()
+        decodes = (made["decoder"] or {}).get("type") == "ByteLevel"
+        plain = made["model"]["type"] == "BPE" and not made["model"].get("dropout") and not made["normalizer"] and not made["post_processor"]
+        try:
+            return cls(tokenizer) if splits and decodes and plain else None
+        except KeyError:  # a token that is not written in bytes
+            return None
+
+    def pieces(self, text: str) -> list[str] | None:
+        return None if self.odd.search(text) or any(x in text for x in self.added) else self.split.findall(text)
+
+    def learn(self, pieces: set[str]) -> None:
+        new = [x for x in pieces if x not in self.known]
+        if len(self.known) + len(new) > CACHED_PIECES:
+            self.known.clear()
+            new = list(pieces)
+        self.known.update(zip(new, (tuple(x.ids) for x in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
+
+    def spans(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the tokens of a text start and end, in code points; a token inside one covers it whole."""
+        ends = self.lengths[ids].cumsum()
+        starts = ends - self.lengths[ids]
+        if text.isascii():
+            return starts, ends
+        lead = (np.frombuffer(text.encode("utf-8"), np.uint8) & 0xC0) != 0x80
+        at = lead.cumsum() - 1
+        return at[starts], at[ends - 1] + 1
+
+    def decode(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.table.__getitem__, ids))
+
 
 def load(path: str):
     """The tokenizer of a file, once per process, without truncation and padding."""
-    import os
+    return _loaded(path)[0]
 
+
+def _loaded(path: str) -> tuple:
+    """The tokenizer of a file and its ByteLevel, or none if it is of another kind."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _LOADED:
         from tokenizers import Tokenizer
@@ -47,7 +118,7 @@ def load(path: str):
         made = Tokenizer.from_file(path)
         made.no_truncation()
         made.no_padding()
-        _LOADED[path] = made
+        _LOADED[path] = made, ByteLevel.of(made)
     return _LOADED[path]
 
 
@@ -69,6 +140,46 @@ def encode_part(tokenizer, text: str) -> Part:
     return Part(text, np.array(made.ids, np.int64), spans[:, 0], spans[:, 1], words)
 
 
+class Coder:
+    """Encodes texts and parts of texts, and decodes, with one tokenizer."""
+
+    def __init__(self, path: str):
+        self.tokenizer, self.bytes = _loaded(path)
+
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        """The tokens of short texts: those of their pieces where these are certain, else the library's."""
+        cut = [self.bytes.pieces(x) if self.bytes else None for x in texts]
+        rest = iter(self.tokenizer.encode_batch_fast([x for x, c in zip(texts, cut, strict=True) if c is None], add_special_tokens=False))
+        if self.bytes:
+            self.bytes.learn({*chain.from_iterable(c for c in cut if c)})
+        known = self.bytes.known if self.bytes else {}
+        return [next(rest).ids if c is None else list(chain.from_iterable(map(known.__getitem__, c))) for c in cut]
+
+    def part(self, text: str) -> Part:
+        cut = self.bytes.pieces(text) if self.bytes else None
+        if cut is None:
+            return encode_part(self.tokenizer, text)
+        self.bytes.learn({*cut})
+        tokens = [*map(self.bytes.known.__getitem__, cut)]
+        ids = np.fromiter(chain.from_iterable(tokens), np.int64)
+        return Part(text, ids, *self.bytes.spans(text, ids), np.repeat(np.arange(len(cut)), np.fromiter(map(len, tokens), np.int64, len(cut))))
+
+    def grown(self, text: str, leaf_chars: int = LEAF_CHARS) -> Part:
+        """The part of a whole text, by a tree over its leaves; other tokenizers than byte-level ones take it as one leaf."""
+        if not self.bytes:
+            return self.part(text)
+        return tree(self, [self.part(text[i : i + leaf_chars]) for i in range(0, len(text), leaf_chars)] or [self.part("")])
+
+    def digest(self, ids: list[int]) -> tuple[int, str, str]:
+        raw = np.array(ids, "<u4").tobytes()
+        text = self.bytes.decode(ids) if self.bytes else self.tokenizer.decode(ids, skip_special_tokens=False).encode("utf-8")
+        try:
+            text.decode("utf-8")
+        except UnicodeDecodeError:
+            text = text.decode("utf-8", "replace").encode("utf-8")
+        return len(ids), hashlib.sha256(raw).hexdigest(), hashlib.sha256(text).hexdigest()
+
+
 def _heads(words: np.ndarray) -> np.ndarray:
     """Indices of the tokens that start a word."""
     return np.flatnonzero(np.diff(words, prepend=-1))
@@ -96,11 +207,11 @@ def _left_start(a: Part, width: int) -> tuple[int, bool]:
     return i, False
 
 
-def join(tokenizer, a: Part, b: Part, width: int = 32) -> Part:
+def join(coder: Coder, a: Part, b: Part, width: int = 32) -> Part:
     """The part of a's text followed by b's, exactly as the whole would be encoded."""
     if not len(a.text) or not len(b.text):
         return b if not len(a.text) else a
-    longest = _longest_added(tokenizer)
+    longest = _longest_added(coder.tokenizer)
     while True:
         i, safe = _left_start(a, width)
         j = min(width, len(b.ids))
@@ -108,7 +219,7 @@ def join(tokenizer, a: Part, b: Part, width: int = 32) -> Part:
             j += 1
         cut_left = 0 if i == 0 else int(a.starts[i])
         cut_right = len(b.text) if j == len(b.ids) else int(b.starts[j])
-        window = encode_part(tokenizer, a.text[cut_left:] + b.text[:cut_right])
+        window = coder.part(a.text[cut_left:] + b.text[:cut_right])
         shift = len(a.text) - cut_left  # of b's text in the window
         left = safe or _inside_left(window, a, i, longest)
         meet = _meeting(window, b, j, shift, longest) if left else None
@@ -165,20 +276,15 @@ def _meeting(window: Part, b: Part, j: int, shift: int, longest: float) -> tuple
     return None
 
 
-def tree(tokenizer, parts: list[Part], width: int = 32) -> Part:
+def tree(coder: Coder, parts: list[Part], width: int = 32) -> Part:
     """Join neighbours pair by pair until one part is left."""
     while len(parts) > 1:
-        parts = [join(tokenizer, *parts[i : i + 2], width) if i + 1 < len(parts) else parts[i] for i in range(0, len(parts), 2)]
+        parts = [join(coder, *parts[i : i + 2], width) if i + 1 < len(parts) else parts[i] for i in range(0, len(parts), 2)]
     return parts[0]
 
 
-def _digest(tokenizer, ids: list[int]) -> tuple[int, str, str]:
-    raw = np.array(ids, "<u4").tobytes()
-    text = tokenizer.decode(ids, skip_special_tokens=False)
-    return len(ids), hashlib.sha256(raw).hexdigest(), hashlib.sha256(text.encode("utf-8")).hexdigest()
-
-
 _DIGEST = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+_PART = "text string, ids array<int>, heads binary, starts array<int>, ends array<int>"
 
 
 def _slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
@@ -188,15 +294,28 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordB
             yield batch.slice(at, rows)
 
 
+def _packed(coder: Coder, part: Part) -> tuple:
+    """A part as the columns of _PART: word starts as bits, and places only where text and tokens do not give them."""
+    heads = np.packbits(np.diff(part.words, prepend=-1) > 0).tobytes()
+    places = ([], []) if coder.bytes else (part.starts, part.ends)
+    return part.text, part.ids, heads, *places
+
+
+def _unpacked(coder: Coder, text: str, ids, heads: bytes, starts, ends) -> Part:
+    ids = np.asarray(ids, np.int64)
+    words = np.unpackbits(np.frombuffer(heads, np.uint8), count=len(ids)).astype(np.int64).cumsum() - 1
+    places = coder.bytes.spans(text, ids) if coder.bytes else (np.asarray(starts, np.int64), np.asarray(ends, np.int64))
+    return Part(text, ids, *places, words)
+
+
 def _blocks(docs: DataFrame, block_chars: int) -> DataFrame:
-    """One row for each block of each distinct long text: its key, place and text."""
-    n = F.char_length("text")
-    places = F.sequence(F.lit(0), F.floor((n - 1) / block_chars).cast("int"))
-    cut = docs.select("key", "text", F.explode(places).alias("place"))
-    return cut.select("key", "place", F.substr("text", F.col("place") * block_chars + 1, F.lit(block_chars)).alias("block"))
+    """One row for each block of each distinct long text: its key, place, text and the number of blocks."""
+    blocks = (F.floor((F.char_length("text") - 1) / block_chars) + 1).cast("int")
+    cut = docs.select("key", "text", blocks.alias("blocks"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("place"))
+    return cut.select("key", "place", "blocks", F.substr("text", F.col("place") * block_chars + 1, F.lit(block_chars)).alias("block"))
 
 
-def encode_documents(docs: DataFrame, tokenizer_path: str, block_chars: int = BLOCK_CHARS, ids: bool = False) -> DataFrame:
+def encode_documents(docs: DataFrame, tokenizer_path: str, block_chars: int = BLOCK_CHARS, leaf_chars: int = LEAF_CHARS, ids: bool = False) -> DataFrame:
     """docs with n_tokens, ids_sha256 and decoded_sha256 (and token_ids, an array, if ids is set).
 
     The tokens are those of the tokenizers library for the whole text, added tokens in the text
@@ -210,11 +329,13 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, block_chars: int = BL
     extra = ", token_ids array<int>" if ids else ""
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load(tokenizer_path)
+        coder = Coder(tokenizer_path)
         for batch in _slices(batches, 64):
             texts = batch.column("text").to_pylist()
-            encoded = [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]  # without offsets
-            found = list(zip(*(_digest(tokenizer, x) for x in encoded), strict=True)) or [[], [], []]
+            small = [len(x) <= leaf_chars or not coder.bytes for x in texts]
+            short = iter(coder.ids([x for x, s in zip(texts, small, strict=True) if s]))
+            encoded = [next(short) if s else coder.grown(x, leaf_chars).ids.tolist() for x, s in zip(texts, small, strict=True)]
+            found = list(zip(*map(coder.digest, encoded), strict=True)) or [[], [], []]
             columns = [batch.column("held"), batch.column("text"), pa.array(found[0], pa.int64()), pa.array(found[1], pa.string()), pa.array(found[2], pa.string())]
             names = ["held", "text", "n_tokens", "ids_sha256", "decoded_sha256"]
             if ids:
@@ -222,25 +343,42 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, block_chars: int = BL
             yield pa.RecordBatch.from_arrays(columns, names)
 
     def leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load(tokenizer_path)
+        coder = Coder(tokenizer_path)
+        types = [pa.string(), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32())]
         for batch in _slices(batches, 8):
-            parts = [encode_part(tokenizer, x) for x in batch.column("block").to_pylist()]
-            lists = [pa.array([getattr(p, k) for p in parts], pa.list_(pa.int32())) for k in ("ids", "starts", "ends", "words")]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("place"), batch.column("block"), *lists], ["key", "place", "block", "ids", "starts", "ends", "words"])
-
-    def grow(rows: pd.DataFrame) -> pd.DataFrame:
-        tokenizer, rows = load(tokenizer_path), rows.sort_values("place")
-        parts = [Part(r.block, *(np.asarray(x, np.int64) for x in (r.ids, r.starts, r.ends, r.words))) for r in rows.itertuples()]
-        joined = tree(tokenizer, parts).ids.tolist()
-        return pd.DataFrame([[rows["key"].iloc[0], *_digest(tokenizer, joined), *([joined] if ids else [])]])
+            parts = [_packed(coder, coder.grown(x, leaf_chars)) for x in batch.column("block").to_pylist()]
+            columns = [pa.array([p[k] for p in parts], t) for k, t in enumerate(types)]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, ("key", "place", "blocks")), *columns], ["key", "place", "blocks", "text", "ids", "heads", "starts", "ends"])
+
+    def joined(coder: Coder, rows: pd.DataFrame) -> Part:
+        rows = rows.sort_values("place")
+        return tree(coder, [_unpacked(coder, *x) for x in zip(rows["text"], rows["ids"], rows["heads"], rows["starts"], rows["ends"], strict=True)])
+
+    def near(rows: pd.DataFrame) -> pd.DataFrame:
+        coder = Coder(tokenizer_path)
+        part, whole = joined(coder, rows), int(rows["blocks"].iloc[0]) <= GROUP
+        first = [rows["key"].iloc[0], int(rows["place"].min())]
+        if whole:  # done: only the digest travels on
+            found = part.ids.tolist()
+            return pd.DataFrame([[*first, "", [], b"", [], [], *coder.digest(found), *([found] if ids else [])]])
+        return pd.DataFrame([[*first, *_packed(coder, part), None, None, None, *([None] if ids else [])]])
+
+    def far(rows: pd.DataFrame) -> pd.DataFrame:
+        key, digest = rows["key"].iloc[0], list(rows.columns[7:])
+        if rows["ids_sha256"].iloc[0] is not None:
+            return rows[["key", *digest]]
+        coder = Coder(tokenizer_path)
+        found = joined(coder, rows).ids.tolist()
+        return pd.DataFrame([[key, *coder.digest(found), *([found] if ids else [])]])
 
     held_type = rows.schema["held"].dataType.simpleString()
     is_long = F.char_length("text") > block_chars
     short = rows.where(~is_long).mapInArrow(whole, f"held {held_type}, text string, {_DIGEST}{extra}")
     long = rows.where(is_long).withColumn("key", F.sha2(F.encode("text", "UTF-8"), 256))
     blocks = _blocks(long, block_chars).dropDuplicates(["key", "place"])
-    leaves = blocks.mapInArrow(leaf, "key string, place int, block string, ids array<int>, starts array<int>, ends array<int>, words array<int>")
-    joined = leaves.groupBy("key").applyInPandas(grow, f"key string, {_DIGEST}{extra}")
-    both = short.unionByName(long.join(joined, "key").drop("key"))
+    leaves = blocks.mapInArrow(leaf, f"key string, place int, blocks int, {_PART}")
+    groups = leaves.groupBy("key", F.floor(F.col("place") / GROUP)).applyInPandas(near, f"key string, place int, {_PART}, {_DIGEST}{extra}")
+    found = groups.groupBy("key").applyInPandas(far, f"key string, {_DIGEST}{extra}")
+    both = short.unionByName(long.join(found, "key").drop("key"))
     names = both.columns[2:]
     return both.select(*(F.col("text").alias("text") if c == "text" else F.col("held").getField(c).alias(c) for c in docs.columns), *names)
