@@ -15,7 +15,7 @@ from .shared import durable
 from .statistics import FEATURES, with_features
 from .trees import boost, paths
 
-#: At most so many labelled documents are learned from, the first in the order of their ids' hashes.
+#: At most so many labelled documents are learned from: those whose ids' hashes are below a share of all hashes.
 SAMPLE_ROWS = 20_000
 THRESHOLD = 0.7
 
@@ -30,11 +30,11 @@ def _applies(rule: tuple, x: np.ndarray) -> np.ndarray:
 def lasso(z: np.ndarray, y: np.ndarray, penalty: float, steps: int = 400) -> tuple[float, np.ndarray]:
     """Intercept and weights of the logistic regression with an L1 penalty, by accelerated proximal steps."""
     n, k = z.shape
-    step = 4.0 / max(1.0, float(np.linalg.eigvalsh(z.T @ z / n + np.eye(k) * 1e-9)[-1]) + 1.0)
+    step = 4.0 / max(1.0, float(np.linalg.eigvalsh((z.T @ z).astype(np.float64) / n + np.eye(k) * 1e-9)[-1]) + 1.0)
     w, b, v, c, t = np.zeros(k), 0.0, np.zeros(k), 0.0, 1.0
     for _ in range(steps):
-        gap = 1 / (1 + np.exp(-np.clip(z @ v + c, -30, 30))) - y
-        new_w, new_b = v - step * (z.T @ gap) / n, c - step * gap.mean()
+        gap = 1 / (1 + np.exp(-np.clip(z @ v.astype(z.dtype) + c, -30, 30))) - y
+        new_w, new_b = v - step * (gap.astype(z.dtype) @ z) / n, c - step * gap.mean()
         new_w = np.sign(new_w) * np.maximum(np.abs(new_w) - step * penalty, 0)
         new_t = (1 + np.sqrt(1 + 4 * t * t)) / 2
         v, c = new_w + (t - 1) / new_t * (new_w - w), new_b + (t - 1) / new_t * (new_b - b)
@@ -42,22 +42,26 @@ def lasso(z: np.ndarray, y: np.ndarray, penalty: float, steps: int = 400) -> tup
     return float(b), w
 
 
-def fit(x: np.ndarray, y: np.ndarray, penalty: float = 0.0005, most: int = 300) -> tuple[float, list[tuple[tuple, float]]]:
+def fit(x: np.ndarray, y: np.ndarray, penalty: float = 0.0005) -> tuple[float, list[tuple[tuple, float]]]:
     """(intercept, [(rule, weight)]): the rules with a weight, over features in the order of FEATURES.
 
-    With a single class, or no rows, there are no rules: the score is the mean, or 1 without rows.
+    All different paths of the trees are offered, and the penalty alone chooses among them. With a
+    single class, or no rows, there are no rules: the score is the mean, or 1 without rows.
     """
     if not len(y) or y.min() == y.max():
         return (30.0 if not len(y) or y[0] == 1 else -30.0), []
     _, found = boost(x, y)
-    rules = list(dict.fromkeys(p for tree in found for p in paths(tree)))[:most]
-    z = np.stack([_applies(r, x) for r in rules], axis=1).astype(float) if rules else np.zeros((len(y), 0))
-    scale = z.std(axis=0)
-    used = scale > 0.01
+    rules = list(dict.fromkeys(p for tree in found for p in paths(tree)))
+    z = np.empty((len(y), len(rules)), np.float32)
+    for k, rule in enumerate(rules):
+        z[:, k] = _applies(rule, x)
+    scale = z.std(axis=0, dtype=np.float64)
+    used = scale > 0  # the others hold for all rows or for none
     rules, z, scale = [r for r, u in zip(rules, used, strict=True) if u], z[:, used], scale[used]
     if not rules:
         return float(np.log(y.mean() / (1 - y.mean()))), []
-    intercept, weights = lasso(z / scale, y, penalty)
+    z /= scale.astype(np.float32)
+    intercept, weights = lasso(z, y, penalty)
     return intercept, [(r, float(w / s)) for r, w, s in zip(rules, weights, scale, strict=True) if w]
 
 
@@ -79,29 +83,54 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def learn(features: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[float, list[tuple[tuple, float]]]:
-    """Fit on at most sample_rows labelled rows that are not held out; conflicting labels of an id count as 0."""
-    rated = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
-    rows = features.where(~held_out()).join(rated, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", *FEATURES).limit(sample_rows)
-    found = rows.select("quality", *FEATURES).toPandas()
+def _picked(labels: DataFrame, sample_rows: int) -> DataFrame:
+    """(doc_id, quality) of at most sample_rows rated documents; conflicting labels of an id count as 0."""
+    rated = labels.where("doc_id is not null and quality is not null").where(~held_out())
+    rated = durable(rated.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.min("quality").cast("int").alias("quality")))
+    n, picked = rated.count(), rated
+    share = 0.95 * sample_rows / n if n else 1.0
+    while n > sample_rows:  # again only if chance puts too many below the share
+        picked = rated.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) < F.lit(int(share * (1 << 31))))
+        n, share = picked.count(), share * 0.9
+    return picked
+
+
+def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[float, list[tuple[tuple, float]]]:
+    """Fit on at most sample_rows labelled documents that are not held out.
+
+    Only their features are computed. An id with several texts stands for one of them: the one with
+    the least features.
+    """
+    few = F.broadcast(_picked(labels, sample_rows))  # sample_rows rows at most
+    rows = with_features(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(few, "doc_id"))
+    found = rows.groupBy("doc_id", "quality").agg(F.min(F.struct(*FEATURES)).alias("x")).select("doc_id", "quality", "x.*").toPandas().sort_values("doc_id")
     return fit(found[list(FEATURES)].to_numpy(float), found["quality"].to_numpy(float))
 
 
+def _measured(docs: DataFrame) -> DataFrame:
+    """(row, *FEATURES): each row of docs as a struct, whatever its columns are called, and its text's features."""
+    made = with_features(docs.select(F.struct(*docs.columns).alias("row"), "text"))
+    # Exploding one struct keeps the optimizer from writing the features out in each rule.
+    return made.select("row", F.explode(F.array(F.struct(*FEATURES))).alias("made")).select("row", "made.*")
+
+
 def scored(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """One row per document: doc_id, held_out, score and predicted (1 if the score is at least 0.7).
 
     A null text is an empty one and scored like any other; ids, sources, languages and labels are
-    no inputs of a score, so equal texts have equal scores. Repeated rows give repeated rows.
+    no inputs of a score, so equal texts have equal scores. Repeated rows give repeated rows. An
+    empty table gives no rows; without labels every score is near 1. Further columns are not read.
     """
-    made = durable(with_features(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")).drop("text"))
-    score = compiled(learn(made, labels, sample_rows))
-    return made.select("doc_id", held_out().alias("held_out"), score.alias("score")).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    score = compiled(learn(docs, labels, sample_rows))
+    rows = _measured(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
+    made = rows.select("row.doc_id", score.alias("score"))
+    return made.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The rows of docs that the classifier accepts, with all their columns."""
-    model = learn(durable(with_features(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")).drop("text")), labels, sample_rows)
-    rows = with_features(docs.select(F.struct(*docs.columns).alias("__row"), "text"))
-    # Exploding one struct keeps the optimizer from writing the features out in each rule.
-    made = rows.select("__row", F.explode(F.array(F.struct(*FEATURES))).alias("__made")).select("__row", "__made.*")
-    return made.where(compiled(model) >= THRESHOLD).select("__row.*")
+    """The rows of docs that the classifier accepts, with all their columns, whatever these are called.
+
+    Nulls, repeated rows and empty tables are treated as in `scored`.
+    """
+    model = learn(docs, labels, sample_rows)
+    return _measured(docs).where(compiled(model) >= THRESHOLD).select("row.*")
