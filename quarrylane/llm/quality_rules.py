@@ -1,13 +1,15 @@
 """Risk-controlled quality rules, in DataFrame operations only.
 
-Each rule rejects a document when one of its statistics exceeds a cutoff. The cutoffs are chosen
-per stratum (the language) from labelled documents: of those labelled good, a stratum has n, and k
-of them exceed a candidate cutoff. The cutoff is safe if the exact (Clopper-Pearson) upper bound of
-the false rejection rate is at most the rule's share of the allowed risk, that is if
-P(Binomial(n, risk) <= k) <= error. Within a rule, candidates are tested in a fixed order from the
-mildest on, up to the first that fails, which needs no correction; over rules and strata the error
-is divided (Bonferroni). So with probability 1 - ERROR, in no stratum are more than RISK of the good
-documents rejected by all rules together. A stratum with too few labels gets no cutoff.
+Each rule rejects a document when one of its statistics exceeds a cutoff. The cutoffs of all rules
+are lowered together, level by level, from the mildest on; so the documents that a level rejects are
+among those that the next one rejects. The level is chosen per stratum (the language) from labelled
+documents: of those labelled good, a stratum has n, and any rule rejects k of them at a level. The
+level is safe if the exact (Clopper-Pearson) upper bound of its false rejection rate is at most the
+allowed risk, that is if P(Binomial(n, risk) <= k) <= error. Levels are tested in their fixed order
+up to the first that fails, which needs no correction; over strata the error is divided
+(Bonferroni). So with probability 1 - ERROR, in no stratum are more than RISK of the good documents
+rejected by the rules. A stratum with too few labels gets no cutoff: with four strata, some 90 good
+labels without a false rejection suffice.
 """
 
 from __future__ import annotations
@@ -22,8 +24,10 @@ from .statistics import with_counts
 
 RISK = 0.05
 ERROR = 0.05
-#: Candidate cutoffs, from the mildest on.
-CUTOFFS = (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1, 0.08, 0.05, 0.03)
+LEVELS = 12
+#: The mildest and the strictest cutoff of each rule; the levels between are evenly spaced in logarithms.
+RANGES = {"symbols": (0.6, 0.04), "repeats": (0.5, 0.3), "dup_lines": (0.3, 0.02), "upper": (0.8, 0.1), "marks": (1.0, 0.05)}
+RULES = tuple(RANGES)
 #: Strata tables up to this many rows are broadcast; a larger one is joined by a shuffle.
 BROADCAST_ROWS = 10_000
 
@@ -39,7 +43,16 @@ def _shares() -> dict[str, Column]:
     }
 
 
-RULES = ("symbols", "repeats", "dup_lines", "upper", "marks")
+def cutoffs(rule: str) -> list[float]:
+    """A rule's cutoff at each level."""
+    mild, strict = RANGES[rule]
+    return [mild * (strict / mild) ** (i / (LEVELS - 1)) for i in range(LEVELS)]
+
+
+def _first_level() -> Column:
+    """The first level at which any rule rejects a document; LEVELS if none does."""
+    spared = [sum((share <= c).cast("int") for c in cutoffs(r)) for r, share in _shares().items()]
+    return F.least(*spared)
 
 
 def binomial_tail_at_most(k: Column, n: Column, p: float, error: Column) -> Column:
@@ -58,26 +71,20 @@ def binomial_tail_at_most(k: Column, n: Column, p: float, error: Column) -> Colu
 
 
 def safe_cutoffs(counts: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """One row per stratum with a cutoff (null: none) for each rule.
+    """One row per stratum with labels: its cutoff (null: none) for each rule, as columns of their names.
 
     counts has doc_id, the stratum and the counts of `with_counts`; labels has doc_id and quality.
     A document counts as good if all its labels are 1. Rows with a null doc_id have no label.
     """
     good = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("q")).where("q = 1").select("doc_id")
-    rated = counts.join(good, "doc_id", "left_semi").select(F.col(stratum).alias("stratum"), *(c.alias(r) for r, c in _shares().items()))
-    hits = {f"{r}_{i}": F.count_if(F.col(r) > c) for r in RULES for i, c in enumerate(CUTOFFS)}
-    tallies = rated.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *(c.alias(k) for k, c in hits.items()))
-    rows = F.array(*(F.struct(F.lit(r).alias("rule"), F.lit(c).alias("cutoff"), F.col(f"{r}_{i}").alias("k")) for r in RULES for i, c in enumerate(CUTOFFS)))
-    tested = tallies.select("stratum", "n", F.explode(rows).alias("x")).select("stratum", "n", "x.*")
-    strata = tallies.groupBy().agg((F.count(F.lit(1)) * len(RULES)).alias("tests"))
-    tests = strata.first()["tests"]
-    if not tests:
-        return counts.sparkSession.createDataFrame([], "stratum string, " + ", ".join(f"{r} double" for r in RULES))
-    safe = tested.withColumn("safe", binomial_tail_at_most(F.col("k"), F.col("n"), risk / len(RULES), F.lit(error / tests)))
-    bad = F.max(F.when(~F.col("safe"), F.col("cutoff")))
-    found = safe.groupBy("stratum", "rule").agg(bad.alias("bad"), F.collect_list(F.when(F.col("safe"), F.col("cutoff"))).alias("good"))
-    cut = F.array_min(F.filter("good", lambda c: F.col("bad").isNull() | (c > F.col("bad"))))
-    return found.select("stratum", "rule", cut.alias("cutoff")).groupBy("stratum").pivot("rule", list(RULES)).agg(F.first("cutoff"))
+    rated = counts.join(good, "doc_id", "left_semi").select(F.col(stratum).alias("stratum"), _first_level().alias("level"))
+    tallies = durable(rated.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), F.array(*(F.count_if(F.col("level") <= i) for i in range(LEVELS))).alias("k")))
+    strata = max(1, tallies.count())
+    safe = tallies.select("stratum", "n", F.posexplode("k").alias("level", "k"))
+    safe = safe.withColumn("safe", binomial_tail_at_most(F.col("k"), F.col("n"), risk, F.lit(error / strata)))
+    chosen = safe.groupBy("stratum").agg(F.coalesce(F.min(F.when(~F.col("safe"), F.col("level"))), F.lit(LEVELS)).alias("failed"))
+    cut = (F.get(F.array(*map(F.lit, cutoffs(r))), F.col("failed") - 1).alias(r) for r in RULES)
+    return chosen.select("stratum", *cut)
 
 
 def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
@@ -85,16 +92,18 @@ def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFra
 
     base_failed: fewer than 50 words, or more than half of the words in repeated windows. kept is
     false if base_failed, or if a rule rejects the document; rejected_by names these rules. A null
-    text has no words; a null stratum is a stratum of its own. Repeated rows give repeated rows.
+    text has no words; a null stratum is a stratum of its own. Repeated rows give repeated rows. An
+    empty table gives no rows; without labels only base_failed rejects. Further columns of docs are
+    not read, so their names cannot clash.
     """
     columns = [c for c in dict.fromkeys(("doc_id", "text", stratum)) if c in docs.columns]
     base = docs.select(*columns) if stratum in columns else docs.select(*columns, F.lit(None).cast("string").alias(stratum))
     counted = durable(with_counts(base.withColumn(stratum, F.col(stratum).cast("string"))).drop("text"))
-    cutoffs = durable(safe_cutoffs(counted, labels, stratum))
-    if cutoffs.count() <= BROADCAST_ROWS:
-        cutoffs = F.broadcast(cutoffs)
-    cutoffs = cutoffs.select("stratum", *(F.col(r).alias(f"cut_{r}") for r in RULES))
-    joined = counted.join(cutoffs, F.col(stratum).eqNullSafe(F.col("stratum")), "left")
+    chosen = durable(safe_cutoffs(counted, labels, stratum))
+    if chosen.count() <= BROADCAST_ROWS:
+        chosen = F.broadcast(chosen)
+    chosen = chosen.select("stratum", *(F.col(r).alias(f"cut_{r}") for r in RULES))
+    joined = counted.join(chosen, F.col(stratum).eqNullSafe(F.col("stratum")), "left")
     hits = [F.when(share > F.col(f"cut_{r}"), F.lit(r)) for r, share in _shares().items()]
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     out = joined.withColumns({"base_failed": failed, "rejected_by": F.array_join(F.array_compact(F.array(*hits)), ",")})

@@ -54,6 +54,47 @@ def test_rules_keep_good_and_reject_bad(spark, docs_of):
     assert share[1] >= 1 - quality_rules.RISK and share[0] == 0
 
 
+def test_search_equals_brute_force(spark, docs_of):
+    """Cutoffs by the definition: lower all rules together while the exact bound holds, in each stratum."""
+    rng = random.Random(9)
+    strata, rows, labels = {}, [], []
+    for i in range(1200):
+        lang = ("en", "de", "fr")[i % 7 % 3]
+        words = ["".join(rng.choice("abcXYZ#!") if rng.random() < 0.1 * rng.random() else "w" for _ in range(6)) + str(i * 100 + k) for k in range(60)]
+        strata[i] = lang
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(rng.random() < 0.9), 0))
+    docs = docs_of(rows).withColumn("lang", F.element_at(F.array(F.lit("en"), F.lit("de"), F.lit("fr")), (F.col("doc_id") % 7 % 3 + 1).cast("int")))
+    rated = spark.createDataFrame(labels, LABELS)
+    found = {r.stratum: [r[k] for k in quality_rules.RULES] for r in quality_rules.safe_cutoffs(statistics.with_counts(docs), rated).collect()}
+    for lang in ("en", "de", "fr"):
+        good = [text for (i, text), (_, q, _) in zip(rows, labels, strict=True) if q and strata[i] == lang]
+        shares = []
+        for text in good:
+            n, chars, symbols, dups, repeats = brute_counts(text)
+            shares.append((symbols / chars, repeats / n, dups / n, sum("A" <= c <= "Z" for c in text) / chars, text.count("!") / n))
+        chosen = [None] * len(quality_rules.RULES)
+        for level in range(quality_rules.LEVELS):
+            cut = [quality_rules.cutoffs(r)[level] for r in quality_rules.RULES]
+            k = sum(any(x > c for x, c in zip(s, cut, strict=True)) for s in shares)
+            p, n = quality_rules.RISK, len(good)
+            if sum(math.comb(n, j) * p**j * (1 - p) ** (n - j) for j in range(k + 1)) > quality_rules.ERROR / 3:
+                break
+            chosen = cut
+        assert found[lang] == pytest.approx(chosen)
+    assert any(x[0] for x in found.values())
+
+
+def test_rules_act_at_small_scale(spark):
+    """On the small tables the largest stratum has labels enough: rules reject, and few good documents."""
+    sf = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    out = quality_rules.judged(spark.read.parquet(f"{sf}/documents.parquet"), labels)
+    assert out.where("not base_failed and not kept").count() > 0
+    good = out.join(labels.where("quality = 1"), "doc_id").agg(F.avg((F.col("rejected_by") != "").cast("int"))).first()[0]
+    assert good <= quality_rules.RISK
+
+
 def test_too_few_labels_give_no_cutoff(spark, docs_of):
     docs, labels = labelled(spark, docs_of, 60)
     assert all(r.kept for r in quality_rules.judged(docs, labels).collect())
