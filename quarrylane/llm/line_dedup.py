@@ -7,7 +7,7 @@ hash, line number). The steps:
 1. Words are counted over the whole corpus in a fixed number of hash buckets; a word's rarity class
    is the logarithm of its bucket's count, without an upper end. Any one order of the words gives
    the same result; this one keeps frequent words out of the prefixes.
-2. Equal sets collapse by a grouped minimum to their first occurrence.
+2. Equal sets collapse to their first occurrence.
 3. Each remaining set is posted under its n - ceil(0.8 n) + 1 rarest words. Two matching sets meet
    under at least one. The length filter, the positional filter and the parity bits of the words
    (equal bits for equal sets, at most one differing bit for each word not shared) drop nearly all
@@ -177,7 +177,10 @@ def later_matches(docs: DataFrame) -> DataFrame:
     # No filter on the codes: it would have them computed twice.
     lines = durable(codes.select(*_AT, F.xxhash64("codes").alias("set"), *parities, n.alias("n"), _posted(F.col("codes")).alias("prefix")))
     same = ["set", *_PARITY, "n"]
-    sets = durable(lines.groupBy(*same).agg(F.min(F.struct(*_AT, "prefix")).alias("x"), (F.count(F.lit(1)) > 1).alias("again")).select(*same, "again", "x.*"))
+    # The first two of each kind tell which is the first and whether there are more; each task keeps but two before the exchange.
+    alike = Window.partitionBy(*same).orderBy(*_AT)
+    two = lines.withColumn("k", F.row_number().over(alike)).where("k <= 2")
+    sets = durable(two.withColumn("again", F.lead("k").over(alike).isNotNull()).where("k = 1").drop("k"))
 
     row = ["w", *_AT, "n", *_PARITY, "i"]
     posted = sets.where("n >= 4").select(*_AT, "n", *_PARITY, "prefix", F.posexplode("prefix").alias("i", "w"))
@@ -186,7 +189,8 @@ def later_matches(docs: DataFrame) -> DataFrame:
     keyed = posted.select(F.shiftleft(F.col("w").cast("bigint"), 32).bitwiseOR(after).alias("key"), *row[1:])
     keyed = keyed.where(" and ".join(f"{c} is not null" for c in keyed.columns))
     # The two uses of the postings share the exchange by word; structs, or null checks that only one of them needs, would make it another one.
-    postings = keyed.repartition(F.shiftright("key", 32)).withColumn("w", F.shiftright("key", 32))
+    word = F.shiftright("key", 32)
+    postings = keyed.repartition(word).withColumn("w", word)
     a = _renamed(postings, "a_")
     order = Window.partitionBy("a_w").orderBy("a_key", *(f"a_{k}" for k in _AT))
     ranked = a.select(*a.columns, *(F.lag(f"a_{c}").over(order).alias(f"b_{c}") for c in row[1:]))
@@ -201,7 +205,7 @@ def later_matches(docs: DataFrame) -> DataFrame:
     matched = durable(_matched(docs, durable(pairs)))
     left = durable(tried.select(*(F.col(f"a_{c}").alias(c) for c in row)).distinct().join(matched, _AT, "left_anti"))
     if not left.isEmpty():
-        matched = matched.unionByName(_matched_by_any(docs, left, postings.select(*row)))
+        matched = matched.unionByName(_matched_by_any(docs, left, keyed.withColumn("w", word).select(*row)))
 
     # Only sets that lose an occurrence are looked up among the lines.
     firsts = sets.join(matched.withColumn("matched", F.lit(True)), _AT, "left").where(F.col("again") | F.col("matched"))
