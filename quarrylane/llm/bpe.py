@@ -25,7 +25,6 @@ import hashlib
 import json
 import os
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -40,8 +39,6 @@ LEAF_CHARS = 4_096
 BLOCK_CHARS = 32_768
 GROUP = 8
 GUARD = 8
-#: A process remembers the tokens of so many pieces (some 50 MB), then starts anew.
-CACHED_PIECES = 250_000
 _LOADED: dict = {}
 
 #: The splitting of byte-level tokenizers, and the bytes that their vocabularies write as themselves.
@@ -52,15 +49,16 @@ _SETTLED = r"\t\n\r\x20-\x7e\u00a1-\u024f\u0391-\u03a1\u03a3-\u03a9\u03b1-\u03c9
 
 
 class ByteLevel:
-    """Pieces of texts and their tokens, for tokenizers that split by PIECES and do nothing else to a text.
+    """A fast way to the same tokens, for tokenizers that split by PIECES, do nothing else to a text and merge in the order of their ids.
 
-    A piece's tokens do not depend on what stands around it, so each is encoded by the library once
-    and remembered. `pieces` is none where the splitting might differ from the library's.
+    For settled characters without added tokens, an encoder over the same vocabulary and the same
+    pattern gives what the library gives; `ids` is none where that is not certain.
     """
 
-    def __init__(self, tokenizer):
-        self.tokenizer, self.known = tokenizer, {}
-        self.split, self.odd = regex.compile(PIECES), regex.compile(f"[^{_SETTLED}]")
+    def __init__(self, tokenizer, made: dict):
+        import tiktoken
+
+        self.odd = regex.compile(f"[^{_SETTLED}]")
         self.added = [x.content for x in tokenizer.get_added_tokens_decoder().values()]
         written = {chr(b): b for b in _PRINTED} | {chr(256 + k): b for k, b in enumerate(sorted({*range(256)} - {*_PRINTED}))}
         vocabulary = tokenizer.get_vocab(with_added_tokens=True)
@@ -68,27 +66,26 @@ class ByteLevel:
         for token, i in vocabulary.items():
             self.table[i] = bytes(written[x] for x in token)
         self.lengths = np.array([len(x) for x in self.table], np.int64)
+        ranks = {self.table[i]: i for token, i in vocabulary.items() if token not in self.added}
+        merged = [vocabulary["".join(x) if isinstance(x, list) else x.replace(" ", "")] for x in made["model"]["merges"]]
+        if merged != sorted(merged) or min(map(len, ranks), default=0) < 1:
+            raise KeyError("the merges are not in the order of the ids")
+        self.encoder = tiktoken.Encoding("same", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
 
     @classmethod
     def of(cls, tokenizer) -> ByteLevel | None:
         made = json.loads(tokenizer.to_str())
         splits = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}.items() <= (made["pre_tokenizer"] or {}).items()
         decodes = (made["decoder"] or {}).get("type") == "ByteLevel"
-        plain = made["model"]["type"] == "BPE" and not made["model"].get("dropout") and not made["normalizer"] and not made["post_processor"]
+        model = made["model"]
+        plain = model["type"] == "BPE" and not model.get("dropout") and not model.get("ignore_merges") and not made["normalizer"] and not made["post_processor"]
         try:
-            return cls(tokenizer) if splits and decodes and plain else None
-        except KeyError:  # a token that is not written in bytes
+            return cls(tokenizer, made) if splits and decodes and plain else None
+        except KeyError:  # a token that is not written in bytes, or other merges
             return None
 
-    def pieces(self, text: str) -> list[str] | None:
-        return None if self.odd.search(text) or any(x in text for x in self.added) else self.split.findall(text)
-
-    def learn(self, pieces: set[str]) -> None:
-        new = [x for x in pieces if x not in self.known]
-        if len(self.known) + len(new) > CACHED_PIECES:
-            self.known.clear()
-            new = list(pieces)
-        self.known.update(zip(new, (tuple(x.ids) for x in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
+    def ids(self, text: str) -> np.ndarray | None:
+        return None if self.odd.search(text) or any(x in text for x in self.added) else self.encoder.encode_to_numpy(text, disallowed_special=())
 
     def spans(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the tokens of a text start and end, in code points; a token inside one covers it whole."""
@@ -100,8 +97,16 @@ class ByteLevel:
         at = lead.cumsum() - 1
         return at[starts], at[ends - 1] + 1
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.table.__getitem__, ids))
+    def words(self, text: str, starts: np.ndarray) -> np.ndarray:
+        """Numbers of the stretches that begin at white space after something else; the pattern surely splits there."""
+        chars = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        white = chars <= 32  # among settled characters
+        heads = white[starts] & ~white[np.maximum(starts, 1) - 1]
+        heads[:1] = True
+        return heads.cumsum() - 1
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        return b"".join(map(self.table.__getitem__, ids.tolist()))
 
 
 def load(path: str):
@@ -146,23 +151,18 @@ class Coder:
     def __init__(self, path: str):
         self.tokenizer, self.bytes = _loaded(path)
 
-    def ids(self, texts: list[str]) -> list[list[int]]:
-        """The tokens of short texts: those of their pieces where these are certain, else the library's."""
-        cut = [self.bytes.pieces(x) if self.bytes else None for x in texts]
-        rest = iter(self.tokenizer.encode_batch_fast([x for x, c in zip(texts, cut, strict=True) if c is None], add_special_tokens=False))
-        if self.bytes:
-            self.bytes.learn({*chain.from_iterable(c for c in cut if c)})
-        known = self.bytes.known if self.bytes else {}
-        return [next(rest).ids if c is None else list(chain.from_iterable(map(known.__getitem__, c))) for c in cut]
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        """The tokens of texts: the fast way's where it is certain, else the library's."""
+        found = [self.bytes.ids(x) if self.bytes else None for x in texts]
+        rest = iter(self.tokenizer.encode_batch_fast([x for x, f in zip(texts, found, strict=True) if f is None], add_special_tokens=False))
+        return [np.array(next(rest).ids, np.uint32) if f is None else f for f in found]
 
     def part(self, text: str) -> Part:
-        cut = self.bytes.pieces(text) if self.bytes else None
-        if cut is None:
+        ids = self.bytes.ids(text) if self.bytes else None
+        if ids is None:
             return encode_part(self.tokenizer, text)
-        self.bytes.learn({*cut})
-        tokens = [*map(self.bytes.known.__getitem__, cut)]
-        ids = np.fromiter(chain.from_iterable(tokens), np.int64)
-        return Part(text, ids, *self.bytes.spans(text, ids), np.repeat(np.arange(len(cut)), np.fromiter(map(len, tokens), np.int64, len(cut))))
+        starts, ends = self.bytes.spans(text, ids)
+        return Part(text, ids.astype(np.int64), starts, ends, self.bytes.words(text, starts))
 
     def grown(self, text: str, leaf_chars: int = LEAF_CHARS) -> Part:
         """The part of a whole text, by a tree over its leaves; other tokenizers than byte-level ones take it as one leaf."""
@@ -170,14 +170,13 @@ class Coder:
             return self.part(text)
         return tree(self, [self.part(text[i : i + leaf_chars]) for i in range(0, len(text), leaf_chars)] or [self.part("")])
 
-    def digest(self, ids: list[int]) -> tuple[int, str, str]:
-        raw = np.array(ids, "<u4").tobytes()
-        text = self.bytes.decode(ids) if self.bytes else self.tokenizer.decode(ids, skip_special_tokens=False).encode("utf-8")
+    def digest(self, ids: np.ndarray) -> tuple[int, str, str]:
+        text = self.bytes.decode(ids) if self.bytes else self.tokenizer.decode(ids.tolist(), skip_special_tokens=False).encode("utf-8")
         try:
             text.decode("utf-8")
         except UnicodeDecodeError:
             text = text.decode("utf-8", "replace").encode("utf-8")
-        return len(ids), hashlib.sha256(raw).hexdigest(), hashlib.sha256(text).hexdigest()
+        return len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(text).hexdigest()
 
 
 def _heads(words: np.ndarray) -> np.ndarray:
@@ -334,7 +333,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, block_chars: int = BL
             texts = batch.column("text").to_pylist()
             small = [len(x) <= leaf_chars or not coder.bytes for x in texts]
             short = iter(coder.ids([x for x, s in zip(texts, small, strict=True) if s]))
-            encoded = [next(short) if s else coder.grown(x, leaf_chars).ids.tolist() for x, s in zip(texts, small, strict=True)]
+            encoded = [next(short) if s else coder.grown(x, leaf_chars).ids for x, s in zip(texts, small, strict=True)]
             found = list(zip(*map(coder.digest, encoded), strict=True)) or [[], [], []]
             columns = [batch.column("held"), batch.column("text"), pa.array(found[0], pa.int64()), pa.array(found[1], pa.string()), pa.array(found[2], pa.string())]
             names = ["held", "text", "n_tokens", "ids_sha256", "decoded_sha256"]
@@ -359,8 +358,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, block_chars: int = BL
         part, whole = joined(coder, rows), int(rows["blocks"].iloc[0]) <= GROUP
         first = [rows["key"].iloc[0], int(rows["place"].min())]
         if whole:  # done: only the digest travels on
-            found = part.ids.tolist()
-            return pd.DataFrame([[*first, "", [], b"", [], [], *coder.digest(found), *([found] if ids else [])]])
+            return pd.DataFrame([[*first, "", [], b"", [], [], *coder.digest(part.ids), *([part.ids] if ids else [])]])
         return pd.DataFrame([[*first, *_packed(coder, part), None, None, None, *([None] if ids else [])]])
 
     def far(rows: pd.DataFrame) -> pd.DataFrame:
@@ -368,7 +366,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, block_chars: int = BL
         if rows["ids_sha256"].iloc[0] is not None:
             return rows[["key", *digest]]
         coder = Coder(tokenizer_path)
-        found = joined(coder, rows).ids.tolist()
+        found = joined(coder, rows).ids
         return pd.DataFrame([[key, *coder.digest(found), *([found] if ids else [])]])
 
     held_type = rows.schema["held"].dataType.simpleString()

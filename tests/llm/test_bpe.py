@@ -56,14 +56,14 @@ def _settled():
     return [c for c in map(chr, range(0x10000)) if regex.match(f"[{bpe._SETTLED}]", c)]
 
 
-def test_pieces_are_the_library_s():
+def test_settled_characters_are_the_library_s():
     """Every settled character, in several places, is split and encoded as by the library."""
     coder, chars = bpe.Coder(PATH), _settled()
     texts = [x for c in chars for x in (c, f"a{c}1{c} {c}", f" {c}{c}'{c}  {c}s\n{c}")]
-    assert len(chars) > 30_000 and not any(coder.bytes.pieces(x) is None for x in texts)
+    assert len(chars) > 30_000 and not any(coder.bytes.ids(x) is None for x in texts)
     for i in range(0, len(texts), 4096):
         some = texts[i : i + 4096]
-        assert coder.ids(some) == [x.ids for x in coder.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+        assert [x.tolist() for x in coder.ids(some)] == [x.ids for x in coder.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
 
 
 @settings(max_examples=300, deadline=None)
@@ -73,9 +73,10 @@ def test_parts_are_the_library_s(any_text, settled):
     for text in (any_text, settled):
         text = text.encode("utf-8", "replace").decode()
         mine, want = coder.part(text), bpe.encode_part(coder.tokenizer, text)
-        for k in ("ids", "starts", "ends", "words"):
+        for k in ("ids", "starts", "ends"):
             assert getattr(mine, k).tolist() == getattr(want, k).tolist()
-        assert coder.ids([text]) == [want.ids.tolist()]
+        assert {*bpe._heads(mine.words).tolist()} <= {*bpe._heads(want.words).tolist()}  # sure starts of words only
+        assert coder.ids([text])[0].tolist() == want.ids.tolist()
 
 
 @settings(max_examples=200, deadline=None)
@@ -83,7 +84,7 @@ def test_parts_are_the_library_s(any_text, settled):
 def test_decoding_is_the_library_s(ids):
     coder = bpe.Coder(PATH)
     text = coder.tokenizer.decode(ids, skip_special_tokens=False)
-    assert coder.digest(ids)[2] == hashlib.sha256(text.encode()).hexdigest()
+    assert coder.digest(np.array(ids, np.uint32))[2] == hashlib.sha256(text.encode()).hexdigest()
 
 
 def test_another_kind_of_tokenizer(docs_of):
