@@ -15,10 +15,11 @@ hash, line number). The steps:
 4. Candidates come in rounds. Where sets meet at a word they stand in the order of the word that
    follows it in their prefixes, so that near copies are neighbours, and each is tried against its
    neighbour. For a set whose neighbour is no candidate it is only noted under which words any
-   earlier set is one: no pair is made. The neighbours are verified on their words. Only sets noted
-   or tried, and not matched by then, meet all earlier candidates under the noted words, with the
-   words of both at hand, up to the first that matches. So no step's rows grow faster than the
-   postings, whatever the size of a group of near copies, and no match is missed.
+   earlier set is one: no pair is made. The neighbours are verified on their words. Sets noted or
+   tried, and not matched by then, are tried against the earliest candidates of about their length,
+   and what is left of them meets all earlier candidates under the noted words, with the words of
+   both at hand, up to the first that matches. So no step's rows grow faster than the postings,
+   whatever the size of a group of near copies, and no match is missed.
 5. Every later occurrence of a set, and every occurrence of a set with an earlier match, goes.
 """
 
@@ -155,14 +156,36 @@ def _matched(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return both.where(_alike()).select(*_set("a_")).distinct()
 
 
-def _matched_by_any(docs: DataFrame, left: DataFrame, posted: DataFrame) -> DataFrame:
-    """The sets of left (postings) that match any earlier set under the same word."""
-    sharing = _listed(posted, durable(left.select("w").distinct()), ["w"])
-    met = (F.col("a_w") == F.col("b_w")) & _earlier("a_", "b_") & _plausible("a_", "b_")
-    partners = durable(_renamed(sharing, "b_").join(_renamed(left, "a_"), met, "left_semi").select(*(F.col(f"b_{c}").alias(c) for c in posted.columns)))
+def _met() -> Column:
+    """Two postings of one word whose sets may match, b the earlier one."""
+    return (F.col("a_w") == F.col("b_w")) & _earlier("a_", "b_") & _plausible("a_", "b_")
+
+
+def _partners(left: DataFrame, posted: DataFrame) -> DataFrame:
+    """The postings that may match a later one of left."""
+    few = _renamed(left, "a_")
+    met = _renamed(posted, "b_").join(F.broadcast(few) if few.count() <= BROADCAST_ROWS else few, _met(), "left_semi")
+    return durable(met.select(*(F.col(f"b_{c}").alias(c) for c in left.columns)))
+
+
+def _matched_by_earliest(docs: DataFrame, left: DataFrame, partners: DataFrame) -> DataFrame:
+    """The sets of left that match the earliest partner of about their length under a word.
+
+    Variants of one line often match it and not each other; it is likely the first of its length.
+    """
+    at = [F.struct(*_AT, "i", *_PARITY)]
+    earliest = partners.groupBy("w", "n").agg(F.min(*at).alias("x")).select("w", "n", "x.*")
+    near = earliest.select("*", F.explode(F.array(F.col("n") - 1, F.col("n"), F.col("n") + 1)).alias("of"))
+    a, b = _renamed(left, "a_"), _renamed(near, "b_")
+    pairs = a.join(b, _met() & (F.col("a_n") == F.col("b_of"))).select(*(f"{s}{k}" for s in ("a_", "b_") for k in _AT))
+    return _matched(docs, durable(pairs.distinct()))
+
+
+def _matched_by_any(docs: DataFrame, left: DataFrame, partners: DataFrame) -> DataFrame:
+    """The sets of left that match any partner."""
     words = _words(docs, left.select(*_AT).unionByName(partners.select(*_AT)))
     a, b = (_renamed(x.join(words, _AT), p) for x, p in ((left, "a_"), (partners, "b_")))
-    return a.join(b, met & _alike(), "left_semi").select(*_set("a_")).distinct()
+    return a.join(b, _met() & _alike(), "left_semi").select(*_set("a_")).distinct()
 
 
 def later_matches(docs: DataFrame) -> DataFrame:
@@ -205,7 +228,11 @@ def later_matches(docs: DataFrame) -> DataFrame:
     matched = durable(_matched(docs, durable(pairs)))
     left = durable(tried.select(*(F.col(f"a_{c}").alias(c) for c in row)).distinct().join(matched, _AT, "left_anti"))
     if not left.isEmpty():
-        matched = matched.unionByName(_matched_by_any(docs, left, keyed.withColumn("w", word).select(*row)))
+        partners = _partners(left, keyed.withColumn("w", word).select(*row))
+        more = durable(_matched_by_earliest(docs, left, partners))
+        left = durable(left.join(more, _AT, "left_anti"))
+        last = _matched_by_any(docs, left, _partners(left, partners))
+        matched = matched.unionByName(more).unionByName(last)
 
     # Only sets that lose an occurrence are looked up among the lines.
     firsts = sets.join(matched.withColumn("matched", F.lit(True)), _AT, "left").where(F.col("again") | F.col("matched"))
