@@ -109,24 +109,30 @@ class ByteLevel:
         return b"".join(map(self.table.__getitem__, ids.tolist()))
 
 
-def load(path: str):
-    """The tokenizer of a file, once per process, without truncation and padding."""
-    return _loaded(path)[0]
+def _from_file(path: str):
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
 
+    made = Tokenizer.from_file(path)
+    made.no_truncation()
+    made.no_padding()
+    return made
 
-def _loaded(path: str) -> tuple:
-    """The tokenizer of a file and its ByteLevel, or none if it is of another kind."""
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    if path not in _LOADED:
-        from tokenizers import Tokenizer
 
-        made = Tokenizer.from_file(path)
-        made.no_truncation()
-        made.no_padding()
-        _LOADED[path] = made, ByteLevel.of(made)
+def load(path: str):
+    """The tokenizer of a file, once per process, without truncation and padding."""
+    if path not in _LOADED:
+        _LOADED[path] = _from_file(path)
     return _LOADED[path]
 
 
+def _fast(path: str) -> ByteLevel | None:
+    """The fast way of a file's tokenizer, once per process. The tokenizer itself is let go of: most processes never need it again."""
+    if ("fast", path) not in _LOADED:
+        _LOADED["fast", path] = ByteLevel.of(_from_file(path))
+    return _LOADED["fast", path]
+
+
 class Part:
     """A stretch of text and its tokens: ids, where each token's text starts and ends (code points), its word."""
 
@@ -149,12 +155,23 @@ class Coder:
     """Encodes texts and parts of texts, and decodes, with one tokenizer."""
 
     def __init__(self, path: str):
-        self.tokenizer, self.bytes = _loaded(path)
+        self.path, self.bytes = path, _fast(path)
+
+    @property
+    def tokenizer(self):
+        return load(self.path)
+
+    @property
+    def longest(self) -> float:
+        """Length of the longest added token; infinite if one has letters or digits only, so that it could hide in a piece."""
+        added = self.bytes.added if self.bytes else [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        return float("inf") if any(map(_one_kind, added)) else max(map(len, added), default=0)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The tokens of texts: the fast way's where it is certain, else the library's."""
         found = [self.bytes.ids(x) if self.bytes else None for x in texts]
-        rest = iter(self.tokenizer.encode_batch_fast([x for x, f in zip(texts, found, strict=True) if f is None], add_special_tokens=False))
+        others = [x for x, f in zip(texts, found, strict=True) if f is None]
+        rest = iter(self.tokenizer.encode_batch_fast(others, add_special_tokens=False) if others else [])
         return [np.array(next(rest).ids, np.uint32) if f is None else f for f in found]
 
     def part(self, text: str) -> Part:
@@ -210,7 +227,7 @@ def join(coder: Coder, a: Part, b: Part, width: int = 32) -> Part:
     """The part of a's text followed by b's, exactly as the whole would be encoded."""
     if not len(a.text) or not len(b.text):
         return b if not len(a.text) else a
-    longest = _longest_added(coder.tokenizer)
+    longest = coder.longest
     while True:
         i, safe = _left_start(a, width)
         j = min(width, len(b.ids))
@@ -239,12 +256,6 @@ def join(coder: Coder, a: Part, b: Part, width: int = 32) -> Part:
         width *= 2
 
 
-def _longest_added(tokenizer) -> float:
-    """Length of the longest added token; infinite if one has letters or digits only, so that it could hide in a piece."""
-    added = [x.content for x in tokenizer.get_added_tokens_decoder().values()]
-    return float("inf") if any(_one_kind(x) for x in added) else max(map(len, added), default=0)
-
-
 def _inside_left(window: Part, a: Part, i: int, longest: float) -> bool:
     """Whether the window, which starts inside a's last piece, begins with a's token there."""
     start = int(a.starts[i - 1])
