@@ -56,11 +56,17 @@ def compare_sample(df: DataFrame, verifier: DataFrame, sample: DataFrame) -> Dat
 
 
 def compare_full(df: DataFrame, verifier: DataFrame, first: int, last: int) -> DataFrame:
-    """Differences over all blocks of first..last, and breaks in the verifier's own chain (verifier_<reason>)."""
+    """Differences over all blocks of first..last, and breaks in the verifier's own chain (verifier_<reason>).
+
+    Every block of the range is looked for in both copies, so one that both lack is found, at the
+    range's edges too (missing_there). Rows outside the range are not compared.
+    """
     columns = [c for c in df.columns if c != KEY]
-    theirs = verifier.where(F.col(KEY).between(first, last))
+    ours, theirs = (x.where(F.col(KEY).between(first, last)) for x in (df, verifier))
     links = link_violations(theirs).select(KEY, F.concat(F.lit("verifier_"), F.col("reason")).alias("reason"))
-    return _differences(df, theirs, columns, "full_outer").unionByName(links)
+    planned = df.sparkSession.range(first, last + 1).select(F.col("id").alias(KEY))
+    neither = planned.join(ours.select(KEY), KEY, "left_anti").join(theirs.select(KEY), KEY, "left_anti")
+    return _differences(ours, theirs, columns, "full_outer").unionByName(links).unionByName(neither.select(KEY, F.lit("missing_there").alias("reason")))
 
 
 def core_mismatches(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -82,36 +82,48 @@ def time_violations(df: DataFrame, first_timestamp: int | None = None, last_time
     return falls.unionByName(wrong)
 
 
-def dataset_summary(df: DataFrame, first: int, last: int, target_hash: str | None = None) -> DataFrame:
-    """One row with everything that can be wrong with a dataset, as counts; exact and target_ok are 1 or 0."""
+def dataset_summary(df: DataFrame, first: int, last: int, target_hash: str | None = None, times: tuple[int, int] | None = None) -> DataFrame:
+    """One row with everything that can be wrong with a dataset, as counts; exact, target_ok and times_ok are 1 or 0.
+
+    Whatever columns there are is checked: links need hash, parent hash and time, the target needs
+    the hash, and times (the first and the last block's) need the time.
+    """
     nulls = [F.count_if(F.col(c).isNull()) for c in df.columns]
     total = nulls[0]
     for n in nulls[1:]:
         total = total + n
     count, distinct = F.count(F.lit(1)), F.count_distinct(KEY)
     exact = (count == last - first + 1) & (distinct == count) & (F.min(KEY) == first) & (F.max(KEY) == last)
-    target = F.max_by("block_hash", KEY).eqNullSafe(F.lit(target_hash)) if target_hash is not None else F.lit(True)
-    links = link_violations(df).count()
-    return df.agg(
+    target = F.max_by("block_hash", KEY).eqNullSafe(F.lit(target_hash)) if target_hash is not None and "block_hash" in df.columns else F.lit(True)
+    dated = F.lit(True)
+    if times is not None and "timestamp" in df.columns:
+        dated = F.min_by("timestamp", KEY).eqNullSafe(F.lit(times[0])) & F.max_by("timestamp", KEY).eqNullSafe(F.lit(times[1]))
+    facts = df.agg(
         count.alias("row_count"),
         F.count_if(~_domain(df.columns)).alias("domain_faults"),
         total.cast("bigint").alias("null_values"),
         F.coalesce(exact, F.lit(False)).cast("bigint").alias("exact"),
-        target.cast("bigint").alias("target_ok"),
-        F.lit(links).cast("bigint").alias("link_faults"),
+        F.coalesce(target, F.lit(False)).cast("bigint").alias("target_ok"),
+        F.coalesce(dated, F.lit(False)).cast("bigint").alias("times_ok"),
     )
+    names = [*facts.columns, "link_faults"]
+    if not {"block_hash", "parent_hash", "timestamp"} <= set(df.columns):
+        return facts.withColumn("link_faults", F.lit(0).cast("bigint"))
+    links = link_violations(df).agg(F.count(F.lit(1)).alias("link_faults"))
+    both = facts.unionByName(links, allowMissingColumns=True)  # two rows
+    return both.agg(*(F.max(c).alias(c) for c in names))
 
 
 def assert_clean(summary: DataFrame) -> None:
     """Raise the code of the first thing that a summary row finds wrong."""
     row = summary.first()
-    for bad, code in ((row["null_values"], "DATASET_NULLS"), (row["domain_faults"], "DATASET_DOMAIN"), (not row["exact"], "DATASET_RANGE"), (row["link_faults"], "DATASET_LINKS"), (not row["target_ok"], "DATASET_TARGET")):
+    for bad, code in ((row["null_values"], "DATASET_NULLS"), (row["domain_faults"], "DATASET_DOMAIN"), (not row["exact"], "DATASET_RANGE"), (row["link_faults"], "DATASET_LINKS"), (not row["target_ok"], "DATASET_TARGET"), (not row["times_ok"], "DATASET_TIMES")):
         if bad:
             raise DatasetError(code, f"the dataset is not valid: {row.asDict()}")
 
 
 def proof_mismatches(staged: DataFrame) -> DataFrame:
-    """Rows whose proof columns are null or differ from the published column they prove."""
+    """Rows whose proof columns are null, differ from the published column they prove, or prove gas to be impossible or receipts incomplete."""
     pairs = {"_proof_hash": "block_hash", "_proof_parent_hash": "parent_hash", "_proof_timestamp": "timestamp", "_proof_gas_used": "gas_used", "_proof_gas_limit": "gas_limit"}
     bad = F.lit(False)
     for proof, name in pairs.items():
@@ -119,4 +131,8 @@ def proof_mismatches(staged: DataFrame) -> DataFrame:
             bad = bad | F.col(proof).isNull()
             if name in staged.columns:
                 bad = bad | ~F.col(proof).eqNullSafe(F.col(name))
+    if {"_receipt_gas_used", "_proof_gas_used"} <= set(staged.columns):
+        bad = bad | ~F.col("_receipt_gas_used").eqNullSafe(F.col("_proof_gas_used"))
+    if {"_proof_gas_used", "_proof_gas_limit"} <= set(staged.columns):
+        bad = bad | F.coalesce((F.col("_proof_gas_limit") <= 0) | (F.col("_proof_gas_used") > F.col("_proof_gas_limit")), F.lit(False))
     return staged.where(bad).select(KEY)

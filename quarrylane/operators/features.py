@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import threshold
-from ..plans.catalog import BY_NAME, plan_features
+from ..plans.catalog import Selection
+from ..sources import warehouse
+from ..sources.warehouse import scan_by_time
 
 
 def tx_counts(transactions: DataFrame) -> DataFrame:
@@ -33,14 +35,19 @@ def priority_fee_percentiles(running: DataFrame, percents: list[int] | tuple[int
     return running.groupBy("block_number").agg(*(F.min(F.when(ok, F.col("priority_fee"))).alias(f"p{p}") for p, ok in reached.items()))
 
 
-def build_block_features(blocks: DataFrame, transactions: DataFrame | None, receipts: DataFrame | None, names: list[str] | tuple[str, ...], first: int | None = None, last: int | None = None) -> DataFrame:
+def build_block_features(blocks: DataFrame, transactions: DataFrame | None, receipts: DataFrame | None, names: list[str] | tuple[str, ...], first: int | None = None, last: int | None = None, times: tuple[int, int] | None = None) -> DataFrame:
     """One row per block of first..last (all by default): block_number and the named features.
 
     Blocks without transactions have counts and percentiles of 0. Tables that the selection does
-    not need are not read. Rows are in no order; writing sorts them.
+    not need are not read. times are the first and the last block's unix seconds: with them, the
+    tables that have block_timestamp are read only between these, which no block's rows lie
+    outside. Rows are in no order; writing sorts them.
     """
-    plan = plan_features(names)
+    plan = Selection.of(names)
     made = blocks
+    if times is not None:
+        blocks, transactions, receipts = (scan_by_time(x, *times) if x is not None and "block_timestamp" in x.columns else x for x in (blocks, transactions, receipts))
+        made = blocks
     if first is not None:
         made = made.where(F.col("block_number") >= first)
     if last is not None:
@@ -50,12 +57,25 @@ def build_block_features(blocks: DataFrame, transactions: DataFrame | None, rece
     if "tx_count" in plan.names:
         made = made.join(tx_counts(transactions), "block_hash", "left").withColumn("tx_count", F.coalesce("tx_count", zero))
     if plan.percentiles:
-        fees = priority_fee_percentiles(running_gas(receipts_of(bounded, receipts)), plan.percentiles)
+        fees = priority_fee_percentiles(running_gas(receipts_of(bounded, receipts)), list(plan.percentiles.values()))
         made = made.join(fees, "block_number", "left")
-        made = made.withColumns({n: F.coalesce(f"p{BY_NAME[n].percentile}", zero) for n in plan.names if BY_NAME[n].percentile is not None})
+        made = made.withColumns({n: F.coalesce(f"p{p}", zero) for n, p in plan.percentiles.items()})
     return made.select(*plan.columns)
 
 
+def features_from_warehouse(blocks: DataFrame, transactions: DataFrame | None, receipts: DataFrame | None, names: list[str] | tuple[str, ...], first: int, last: int) -> DataFrame:
+    """The features of blocks first..last from a warehouse's own tables, with its names and types.
+
+    The tables' columns are checked before anything is read. One scan of the blocks' numbers and
+    times gives the time span by which all three tables are then read.
+    """
+    blocks = warehouse.blocks_of(blocks)
+    transactions = None if transactions is None else warehouse.transactions_of(transactions)
+    receipts = None if receipts is None else warehouse.receipts_of(receipts)
+    span = blocks.where(F.col("block_number").between(first, last)).agg(F.min("timestamp"), F.max("timestamp")).first()
+    return build_block_features(blocks, transactions, receipts, names, first, last, None if span[0] is None else tuple(span))
+
+
 def receipt_gaps(blocks: DataFrame, receipts: DataFrame) -> DataFrame:
     """Blocks whose receipts do not add up, or whose gas is impossible: block_number, gas_used, receipt_gas, reason."""
     sums = receipts.groupBy("block_hash").agg(F.sum("gas_used").alias("receipt_gas"))

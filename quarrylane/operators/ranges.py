@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import INT64_MAX, time_bound
 
-DAY = 86_400
-#: Up to so many requests are broadcast to the blocks; more are matched day by day.
-BROADCAST_REQUESTS = 10_000
+HOUR = 3_600
+DAY = 24 * HOUR
 
 
 def normalize_bounds(requests: DataFrame) -> DataFrame:
@@ -44,44 +43,68 @@ def finalized_head(heads: DataFrame) -> DataFrame:
     return heads.agg(F.min("block_number").alias("block_number"))
 
 
-def resolve_time_ranges(requests: DataFrame, blocks: DataFrame, head: int, by_day: bool | None = None) -> DataFrame:
+def _edge(found: DataFrame, dated: DataFrame, calendar: DataFrame, bucket: int, side: str) -> DataFrame:
+    """(at, <side>_block, <side>_timestamp) for each of some moments: the block next to it on one side.
+
+    First means the first block not before the moment, last the last one not after it. Only the
+    blocks of the moment's own bucket are looked at; where none of them will do, the calendar has
+    the next bucket's first or the previous one's last block.
+    """
+    pick, beyond = (F.min, F.col("block_timestamp") >= F.col("at")) if side == "first" else (F.max, F.col("block_timestamp") <= F.col("at"))
+    moments = found.select("at").distinct().withColumn("bucket", F.floor(F.col("at") / bucket).cast("bigint"))
+    inside = moments.join(dated, "bucket").where(beyond).groupBy("at").agg(pick(F.struct("block", "block_timestamp")).alias("own"))
+    joined = moments.join(inside, "at", "left").join(calendar.select("bucket", F.col(side).alias("other")), "bucket", "left")
+    met = F.coalesce("own", "other")
+    return joined.select("at", met.getField("block").alias(f"{side}_block"), met.getField("block_timestamp").alias(f"{side}_timestamp"))
+
+
+def _calendar(dated: DataFrame, bucket: int, low: int, high: int) -> DataFrame:
+    """(bucket, first, last) for every bucket from low to high: the next later bucket's first block, the nearest earlier one's last.
+
+    One row for each hour (or day) of the chain's life: its windows sort a table that time bounds.
+    """
+    row = F.struct("block", "block_timestamp")
+    totals = dated.groupBy("bucket").agg(F.min(row).alias("low"), F.max(row).alias("high"))
+    every = dated.sparkSession.range(low // bucket, high // bucket + 1).select(F.col("id").alias("bucket")).join(totals, "bucket", "left")
+    # Frames that grow from one end cost one step a row; a shrinking frame would be summed up anew for each.
+    every_one = Window.partitionBy(F.lit(0))
+    before = lambda order: every_one.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    later = F.last("low", ignorenulls=True).over(before(F.col("bucket").desc()))
+    earlier = F.last("high", ignorenulls=True).over(before(F.col("bucket")))
+    return every.select("bucket", later.alias("first"), earlier.alias("last"))
+
+
+def resolve_time_ranges(requests: DataFrame, blocks: DataFrame, head: int, bucket: int = HOUR) -> DataFrame:
     """(range_id, first_block, last_block, first_timestamp, last_timestamp, code) for each request.
 
     requests has range_id, start and end. The first block is the first not before the start, the
-    last the last not after the end. A start before block 0 is RANGE_PRE_GENESIS, an end after the
-    finalized head's time RANGE_UNFINALIZED, no block between them RANGE_EMPTY; nothing is clipped.
-    With many requests both sides are matched day by day, so that no side is broadcast; a day that a
-    range covers in full contributes one row of day totals, not its blocks.
+    last the last not after the end; times never fall from block to block. A start before block 0 is
+    RANGE_PRE_GENESIS, an end after the finalized head's time RANGE_UNFINALIZED, no block between
+    them RANGE_EMPTY; nothing is clipped. Requests with a code are set aside first. For the others
+    only the two edges are looked up, each among the blocks of its own hour (bucket, in seconds):
+    the work does not depend on how long a range is.
     """
     final = blocks.where(F.col("block_number") <= head).select("block_number", "timestamp")
-    bounds = final.agg(F.min_by("timestamp", "block_number").alias("genesis"), F.max_by("timestamp", "block_number").alias("latest"))
-    wanted = requests.select("range_id", "start", "end")
-    if by_day is None:
-        by_day = wanted.limit(BROADCAST_REQUESTS + 1).count() > BROADCAST_REQUESTS
-    edges = [F.min("block_number").alias("first_block"), F.max("block_number").alias("last_block"), F.min("timestamp").alias("first_timestamp"), F.max("timestamp").alias("last_timestamp")]
-    if by_day:
-        day = lambda c: F.floor(F.col(c) / DAY).cast("bigint")
-        pieces = wanted.where("start is not null and end is not null and start <= end").withColumn("day", F.explode(F.sequence(day("start"), day("end"))))
-        whole = (F.col("day") * DAY >= F.col("start")) & ((F.col("day") + 1) * DAY - 1 <= F.col("end"))
-        dated = final.withColumn("day", day("timestamp"))
-        totals = dated.groupBy("day").agg(*edges)
-        full = pieces.where(whole).join(totals, "day").select("range_id", "first_block", "last_block", "first_timestamp", "last_timestamp")
-        part = pieces.where(~whole).join(dated, "day").where(F.col("timestamp").between(F.col("start"), F.col("end"))).groupBy("range_id").agg(*edges)
-        merged = [f(c).alias(c) for c, f in (("first_block", F.min), ("last_block", F.max), ("first_timestamp", F.min), ("last_timestamp", F.max))]
-        found = full.unionByName(part).groupBy("range_id").agg(*merged)
-    else:
-        met = final.join(F.broadcast(wanted), F.col("timestamp").between(F.col("start"), F.col("end")))
-        found = met.groupBy("range_id").agg(*edges)
-    limits = bounds.first()
+    limits = final.agg(F.min_by("timestamp", "block_number").alias("genesis"), F.max_by("timestamp", "block_number").alias("latest")).first()
     code = (
         F.when(F.col("start").isNull() | F.col("end").isNull() | (F.col("start") > F.col("end")), "RANGE_INVALID")
         .when(F.col("start") < F.lit(limits["genesis"]), "RANGE_PRE_GENESIS")
         .when(F.col("end") > F.lit(limits["latest"]), "RANGE_UNFINALIZED")
-        .when(F.col("first_block").isNull(), "RANGE_EMPTY")
     )
-    joined = wanted.join(found, "range_id", "left").withColumn("code", code)
+    wanted = requests.select("range_id", "start", "end", code.alias("code"))
     names = ("first_block", "last_block", "first_timestamp", "last_timestamp")
-    return joined.select("range_id", *(F.when(F.col("code").isNull(), F.col(c)).alias(c) for c in names), "code")
+    if limits["genesis"] is None:  # no blocks
+        empty = F.coalesce("code", F.lit("RANGE_EMPTY")).alias("code")
+        return wanted.select("range_id", *(F.lit(None).cast("bigint").alias(c) for c in names), empty)
+    dated = final.select(F.floor(F.col("timestamp") / bucket).cast("bigint").alias("bucket"), F.col("block_number").alias("block"), F.col("timestamp").alias("block_timestamp"))
+    calendar = _calendar(dated, bucket, limits["genesis"], limits["latest"])
+    good = wanted.where("code is null")
+    first = _edge(good.select(F.col("start").alias("at")), dated, calendar, bucket, "first").withColumnRenamed("at", "start")
+    last = _edge(good.select(F.col("end").alias("at")), dated, calendar, bucket, "last").withColumnRenamed("at", "end")
+    joined = wanted.join(first, "start", "left").join(last, "end", "left")
+    empty = F.coalesce(F.col("first_block") > F.col("last_block"), F.lit(True))
+    coded = joined.withColumn("code", F.coalesce("code", F.when(empty, "RANGE_EMPTY")))
+    return coded.select("range_id", *(F.when(F.col("code").isNull(), F.col(c)).alias(c) for c in names), "code")
 
 
 def resolve_block_ranges(requests: DataFrame, blocks: DataFrame, head: int) -> DataFrame:

@@ -66,7 +66,7 @@ fx_ranges AS (
     CASE n % 8 WHEN 0 THEN {_iso(_T, 10)} WHEN 1 THEN {_iso(_T, 13)} || 'Z' WHEN 2 THEN {_iso(_T, 16)} || '+01:00' WHEN 6 THEN '1960-01-01' ELSE {_iso(_T)} END AS from_value,
     CASE n % 8 WHEN 0 THEN {_iso(_T, 10)} WHEN 1 THEN {_iso(_LATER, 13)} || 'Z' WHEN 2 THEN {_iso(_LATER + ' + 3600', 16)} || '+01:00' WHEN 3 THEN '2999-01-01T00:00:00Z'
                WHEN 4 THEN {_iso(_T + ' - 5')} WHEN 5 THEN 'soon' WHEN 6 THEN {_iso(_T)} ELSE {_iso(_LATER)} END AS to_value
-  FROM fx_events WHERE n % 50 = 3),
+  FROM fx_events),
 bounds0 AS (
   SELECT range_id, from_value, to_value,
     cast(CASE kind WHEN 0 THEN t // 86400 * 86400 WHEN 1 THEN t // 3600 * 3600 WHEN 2 THEN t // 60 * 60 - 3600 WHEN 6 THEN NULL ELSE t END AS bigint) AS "start",
@@ -90,7 +90,7 @@ resolved AS (
 
 _BLOCK_REQUESTS = """
 block_requests AS (
-  SELECT n AS range_id, CASE WHEN n % 60 = 7 THEN n + 9 ELSE n END AS from_block, CASE WHEN n % 80 <> 27 THEN n + 5 + (n % 3) * 60 END AS to_block FROM fx_events WHERE n % 20 = 7)"""
+  SELECT n AS range_id, CASE WHEN n % 60 = 7 THEN n + 9 ELSE n END AS from_block, CASE WHEN n % 80 <> 27 THEN n + 5 + (n % 3) * 60 END AS to_block FROM fx_events)"""
 
 _LINKS = """
 previous AS (
@@ -117,7 +117,7 @@ outcomes AS (
 
 _STAGED = """
 staged AS (
-  SELECT b.*, block_hash AS _proof_hash, parent_hash AS _proof_parent_hash, "timestamp" AS _proof_timestamp FROM fx_blocks b, fx_head WHERE block_number % 5003 <> 1700 AND block_number <= head)"""
+  SELECT b.*, block_hash AS _proof_hash, parent_hash AS _proof_parent_hash, "timestamp" AS _proof_timestamp, gas_used AS _proof_gas_used, gas_limit AS _proof_gas_limit FROM {0} b)"""
 
 _COMPARED = """
 sides AS (
@@ -125,7 +125,7 @@ sides AS (
     CASE WHEN v.block_number IS NULL THEN 'missing_there' WHEN a.block_number IS NULL THEN 'missing_here'
          WHEN a."timestamp" IS DISTINCT FROM v."timestamp" THEN 'timestamp' WHEN a.block_hash IS DISTINCT FROM v.block_hash THEN 'block_hash' WHEN a.parent_hash IS DISTINCT FROM v.parent_hash THEN 'parent_hash'
          WHEN a.base_fee_per_gas IS DISTINCT FROM v.base_fee_per_gas THEN 'base_fee_per_gas' WHEN a.gas_used IS DISTINCT FROM v.gas_used THEN 'gas_used' WHEN a.tx_count IS DISTINCT FROM v.tx_count THEN 'tx_count' END AS reason
-  FROM fx_blocks a FULL JOIN fx_verifier v ON a.block_number = v.block_number)"""
+  FROM {0} a FULL JOIN {1} v ON a.block_number = v.block_number)"""
 
 
 def _sql(body: str, *ctes: str) -> str:
@@ -137,6 +137,11 @@ _SEEDS = "(VALUES " + ", ".join(f"({k}, '{i}', cast({s} AS hugeint))" for k, (i,
 _RAW_REASON = """CASE WHEN n % 350 = 49 THEN 'other_block' WHEN n % 350 = 99 THEN 'block_hash' WHEN n % 350 = 149 THEN 'parent_hash' WHEN n % 350 IN (199, 249) THEN 'base_fee_per_gas' WHEN n % 350 = 299 THEN 'gas_used' WHEN n % 350 = 349 THEN 'tx_count' END"""
 _DECODED = f"""decoded AS (SELECT block_number, "timestamp", block_hash, parent_hash, base_fee_per_gas, gas_used, gas_limit, tx_count, reject_reason
   FROM (SELECT b.*, {_RAW_REASON.replace('n %', 'b.block_number %')} AS reject_reason FROM fx_blocks b))"""
+_HEX = "regexp_matches({0}, '^0x[0-9a-f]{{64}}$')"
+#: A value that is there and outside its domain.
+_OUT_OF_DOMAIN = f"""coalesce(block_number < 0 OR "timestamp" < 0 OR gas_used < 0 OR tx_count < 0 OR base_fee_per_gas <= 0 OR gas_limit <= 0 OR gas_used > gas_limit OR NOT {_HEX.format('block_hash')} OR NOT {_HEX.format('parent_hash')}, false)"""
+#: Exactly the blocks from 0 to the last event.
+_EXACT = "cast(count(*) = (SELECT max(n) + 1 FROM fx_events) AND count(DISTINCT block_number) = count(*) AND min(block_number) = 0 AND max(block_number) = (SELECT max(n) FROM fx_events) AS bigint)"
 _SPAN = "span AS (SELECT head // 2 AS target, head - 50 AS anchor, head FROM fx_head)"
 _NULL = lambda c: f"CASE WHEN reject_reason IS NULL THEN {c} END AS {c}"
 
@@ -151,7 +156,11 @@ ORACLE_SQL = {
 LEFT JOIN (SELECT block_hash, sum(gas_used) AS g FROM fx_receipts WHERE NOT (transaction_index = 0 AND effective_gas_price % 97 = 5) GROUP BY 1) s ON b.block_hash = s.block_hash WHERE b.gas_used <> coalesce(s.g, 0)"""
     ),
     "select_features": _sql('SELECT block_number, "timestamp", base_fee_per_gas, gas_used, block_hash, parent_hash, gas_limit FROM fx_blocks'),
-    "proof_columns": _sql('SELECT block_number, "timestamp", gas_used, block_hash AS _proof_hash, parent_hash AS _proof_parent_hash, "timestamp" AS _proof_timestamp, gas_limit AS _proof_gas_limit FROM fx_blocks'),
+    "proof_columns": _sql('SELECT block_number, "timestamp", gas_used, block_hash AS _proof_hash, parent_hash AS _proof_parent_hash, "timestamp" AS _proof_timestamp, gas_used AS _proof_gas_used, gas_limit AS _proof_gas_limit FROM fx_blocks'),
+    "warehouse_features": _sql("SELECT f.* FROM features f, fx_head WHERE block_number <= head", _JOINED),
+    "receipt_proofs": _sql(
+        """SELECT b.block_number FROM fx_blocks b LEFT JOIN (SELECT block_hash, sum(gas_used) AS g FROM fx_receipts WHERE NOT (transaction_index = 0 AND effective_gas_price % 97 = 5) GROUP BY 1) s ON b.block_hash = s.block_hash WHERE b.gas_used <> coalesce(s.g, 0)"""
+    ),
     "scan_blocks": _sql('SELECT b.* FROM fx_blocks b, fx_head, (SELECT min("timestamp") AS lo, max("timestamp") AS hi FROM fx_events) WHERE block_number BETWEEN head // 4 AND head // 2 AND "timestamp" BETWEEN lo + (hi - lo) // 5 AND hi'),
     "scan_by_time": _sql(
         """SELECT block_hash, transaction_index, gas_used, effective_gas_price, block_timestamp FROM (
@@ -191,13 +200,13 @@ LEFT JOIN fx_verifier bv ON bv.block_number = x.first_block - 1 LEFT JOIN fx_ver
 LEFT JOIN fx_blocks fb ON fb.block_number = x.first_block LEFT JOIN fx_blocks lb ON lb.block_number = x.last_block""",
         _RANGES, _RESOLVED, _VERIFIER,
     ),
-    "domain_violations": _sql("SELECT block_number FROM fx_broken WHERE block_number % 499 = 11 OR block_number % 809 = 23", _BROKEN),
+    "domain_violations": _sql(f"SELECT block_number FROM fx_broken WHERE {_OUT_OF_DOMAIN}", _BROKEN),
     "null_counts": _sql(
         'SELECT count(*) - count(block_number) AS block_number, count(*) - count("timestamp") AS "timestamp", count(*) - count(block_hash) AS block_hash, count(*) - count(parent_hash) AS parent_hash, count(*) - count(base_fee_per_gas) AS base_fee_per_gas, count(*) - count(gas_used) AS gas_used, count(*) - count(gas_limit) AS gas_limit, count(*) - count(tx_count) AS tx_count FROM fx_broken', _BROKEN
     ),
     "contiguity": _sql(
-        """SELECT count(*) AS row_count, min(block_number) AS first_block, max(block_number) AS last_block, count(*) - count(DISTINCT block_number) AS repeats, cast(1 AS bigint) AS exact, 'blocks' AS "of" FROM fx_blocks
-UNION ALL SELECT count(*), min(block_number), max(block_number), count(*) - count(DISTINCT block_number), cast(0 AS bigint), 'broken' FROM fx_broken""", _BROKEN
+        """SELECT count(*) AS row_count, min(block_number) AS first_block, max(block_number) AS last_block, count(*) - count(DISTINCT block_number) AS repeats, """ + _EXACT + """ AS exact, 'blocks' AS "of" FROM fx_blocks
+UNION ALL SELECT count(*), min(block_number), max(block_number), count(*) - count(DISTINCT block_number), """ + _EXACT + """, 'broken' FROM fx_broken""", _BROKEN
     ),
     "time_violations": _sql(
         """SELECT b.block_number, 'decreases' AS reason FROM late b JOIN late p ON p.block_number = b.block_number - 1 WHERE b."timestamp" < p."timestamp"
@@ -207,21 +216,29 @@ UNION ALL SELECT block_number, 'edge' FROM late WHERE block_number = (SELECT min
     "link_violations": _sql("SELECT * FROM links WHERE reason IS NOT NULL", _BROKEN, _LINKS.format("fx_broken")),
     "link_violations_by_chunk": _sql("SELECT * FROM links WHERE reason IS NOT NULL", _BROKEN, _LINKS.format("fx_broken")),
     "dataset_summary": _sql(
-        """SELECT count(*) AS row_count, cast(0 AS bigint) AS domain_faults, cast(0 AS bigint) AS null_values, cast(1 AS bigint) AS exact, cast(1 AS bigint) AS target_ok, cast(0 AS bigint) AS link_faults, 'blocks' AS "of" FROM fx_blocks
-UNION ALL SELECT count(*), count(*) FILTER (WHERE block_number % 499 = 11 OR block_number % 809 = 23), count(*) FILTER (WHERE "timestamp" IS NULL), cast(0 AS bigint),
-  cast(max_by(block_hash, block_number) = (SELECT max_by(block_hash, block_number) FROM fx_blocks) AS bigint), (SELECT count(*) FROM links WHERE reason IS NOT NULL), 'broken' FROM fx_broken""",
-        _BROKEN, _LINKS.format("fx_broken"),
+        " UNION ALL ".join(
+            f"""SELECT count(*) AS row_count, count(*) FILTER (WHERE {_OUT_OF_DOMAIN}) AS domain_faults, cast({' + '.join(f'count(*) - count({c})' for c in _SEVEN.split(', '))} AS bigint) AS null_values, {_EXACT} AS exact,
+  cast(max_by(block_hash, block_number) IS NOT DISTINCT FROM (SELECT '0x' || sha256(cast(max(n) AS varchar)) FROM fx_events) AS bigint) AS target_ok,
+  cast(min_by("timestamp", block_number) IS NOT DISTINCT FROM (SELECT min("timestamp") FROM fx_events) AND max_by("timestamp", block_number) IS NOT DISTINCT FROM (SELECT max("timestamp") FROM fx_events) AS bigint) AS times_ok,
+  (SELECT count(*) FROM links_{k} WHERE reason IS NOT NULL) AS link_faults, '{k}' AS "of" FROM fx_{k}"""
+            for k in ("blocks", "broken")
+        ),
+        _BROKEN, *(_LINKS.format(f"fx_{k}").replace("previous AS", f"previous_{k} AS").replace("links AS", f"links_{k} AS").replace("FROM previous)", f"FROM previous_{k})") for k in ("blocks", "broken")),
     ),
     "proof_mismatches": _sql("SELECT block_number FROM fx_blocks WHERE block_number % 701 = 19 OR block_number % 809 = 23"),
     "sample_numbers": _sql(
         f"""SELECT dataset_id, block_number, count(*) AS times FROM (
 SELECT DISTINCT s.n, i.dataset_id, unnest([s.n, s.n + s.n % 7] || list_transform(range(0, least(3, greatest(s.n % 7 - 1, 0))), lambda j: cast(s.n + 1 + (i.seed + j) % (s.n % 7 - 1) AS bigint))) AS block_number
-FROM fx_events s JOIN {_SEEDS} ON i.k = s.n % {len(SAMPLE_IDS)} WHERE s.n % 10 = 3) GROUP BY 1, 2""".replace("ids(k", "i(k")
+FROM fx_events s JOIN {_SEEDS} ON i.k = s.n % {len(SAMPLE_IDS)} ) GROUP BY 1, 2""".replace("ids(k", "i(k")
+    ),
+    "rows_at": _sql("SELECT * FROM fx_verifier", _VERIFIER),
+    "missing_at": _sql("SELECT n AS block_number FROM fx_events WHERE n NOT IN (SELECT block_number FROM fx_verifier)", _VERIFIER),
+    "compare_sample": _sql("SELECT * FROM sides WHERE reason IS NOT NULL", _VERIFIER, _COMPARED.format("fx_blocks", "fx_verifier")),
+    "compare_full": _sql(
+        """SELECT * FROM sides WHERE reason IS NOT NULL UNION ALL SELECT block_number, 'verifier_' || reason FROM links WHERE reason IS NOT NULL
+UNION ALL SELECT p.n, 'missing_there' FROM (SELECT cast(unnest(generate_series(0, (SELECT head + 100 FROM fx_head))) AS bigint) AS n) p WHERE n NOT IN (SELECT block_number FROM ours) AND n NOT IN (SELECT block_number FROM theirs)""",
+        _VERIFIER, "ours AS (SELECT b.* FROM fx_blocks b, fx_head WHERE block_number BETWEEN 1 AND head + 99)", "theirs AS (SELECT v.* FROM fx_verifier v, fx_head WHERE block_number BETWEEN 1 AND head + 99)", _COMPARED.format("ours", "theirs"), _LINKS.format("theirs"),
     ),
-    "rows_at": _sql("SELECT * FROM fx_verifier WHERE block_number % 13 = 4", _VERIFIER),
-    "missing_at": _sql("SELECT block_number FROM fx_blocks WHERE block_number % 13 = 4 AND block_number % 2003 = 29"),
-    "compare_sample": _sql("SELECT * FROM sides WHERE reason IS NOT NULL AND (block_number % 3 = 0 OR block_number % 997 = 13)", _VERIFIER, _COMPARED),
-    "compare_full": _sql("SELECT * FROM sides WHERE reason IS NOT NULL UNION ALL SELECT block_number, 'verifier_' || reason FROM links WHERE reason IS NOT NULL", _VERIFIER, _COMPARED, _LINKS.format("fx_verifier")),
     "core_mismatches": _sql("SELECT block_number, CASE WHEN block_number % 2003 = 29 THEN 'missing_there' ELSE 'parent_hash' END AS reason FROM fx_blocks WHERE block_number % 2003 = 29 OR block_number % 1009 = 17"),
     "ancestry_breaks": _sql(
         """SELECT l.block_number, l.reason FROM links l, span WHERE l.reason IS NOT NULL AND l.block_number > target AND l.block_number <= anchor
@@ -237,20 +254,23 @@ UNION ALL SELECT v.block_number, v.block_hash, cast((SELECT count(*) FROM links
     ),
     "write_parquet": _sql(f"SELECT {_SEVEN} FROM fx_blocks"),
     "write_csv": _sql(f"SELECT {_SEVEN} FROM fx_blocks"),
-    "read_parquet": _sql('SELECT block_number, "timestamp", tx_count FROM fx_blocks WHERE block_number % 7 = 3'),
-    "read_csv": _sql('SELECT block_number, "timestamp", block_hash FROM fx_blocks WHERE block_number % 7 = 3'),
+    "read_parquet": _sql('SELECT block_number, "timestamp", tx_count FROM fx_blocks'),
+    "read_csv": _sql('SELECT block_number, "timestamp", block_hash FROM fx_blocks'),
     "chunk_bounds": _sql("SELECT block_number // 1024 AS chunk_id, min(block_number) AS from_block, max(block_number) AS to_block, count(*) AS row_count, count(DISTINCT block_number) AS distinct_blocks FROM fx_broken GROUP BY 1", _BROKEN),
-    "stage_chunks": _sql(f"SELECT {_SEVEN}, _proof_hash, _proof_parent_hash, _proof_timestamp FROM staged", _STAGED),
+    "stage_chunks": _sql(f"SELECT {_SEVEN}, _proof_hash, _proof_parent_hash, _proof_timestamp, _proof_gas_used, _proof_gas_limit FROM staged", _STAGED.format("fx_blocks")),
     "missing_chunks": _sql(
-        """SELECT p.chunk_id, p.from_block, p.to_block FROM (SELECT DISTINCT n // 256 AS chunk_id, n // 256 * 256 AS from_block, least(n // 256 * 256 + 255, head + 100) AS to_block FROM fx_events, fx_head) p
+        """SELECT p.chunk_id, p.from_block, p.to_block FROM (SELECT DISTINCT n // 256 AS chunk_id, n // 256 * 256 AS from_block, least(n // 256 * 256 + 255, head + 200) AS to_block FROM (SELECT cast(unnest(generate_series(0, (SELECT head + 200 FROM fx_head))) AS bigint) AS n), fx_head) p
 LEFT JOIN (SELECT block_number // 256 AS chunk_id, min(block_number) AS f, max(block_number) AS t, count(*) AS c FROM staged GROUP BY 1) s ON p.chunk_id = s.chunk_id AND p.from_block = s.f AND p.to_block = s.t AND s.c = s.t - s.f + 1
 WHERE s.chunk_id IS NULL""",
-        _STAGED,
+        _VERIFIER, _STAGED.format("fx_verifier"),
     ),
-    "assemble": _sql(f"SELECT {_SEVEN} FROM staged", _STAGED),
-    "run_receipt": _sql("SELECT count(*) AS row_count, count(*) FILTER (WHERE block_number < 1024) AS reused_rows, count(*) FILTER (WHERE block_number >= 1024) AS acquired_rows, min_by(block_hash, block_number) AS first_hash, max_by(block_hash, block_number) AS target_hash FROM staged", _STAGED),
+    "assemble": _sql(f"SELECT {_SEVEN} FROM fx_blocks"),
+    "run_receipt": _sql("SELECT count(*) AS row_count, count(*) FILTER (WHERE block_number < 1024) AS reused_rows, count(*) FILTER (WHERE block_number >= 1024) AS acquired_rows, min_by(block_hash, block_number) AS first_hash, max_by(block_hash, block_number) AS target_hash FROM fx_blocks"),
     "manifest_facts": _sql('SELECT count(*) AS row_count, min(block_number) AS from_block, max(block_number) AS to_block, min_by("timestamp", block_number) AS from_timestamp, max_by("timestamp", block_number) AS to_timestamp, max_by(block_hash, block_number) AS target_hash FROM fx_blocks'),
     "csv_violations": _sql("""SELECT reason, count(*) AS lines FROM (SELECT CASE WHEN block_number % 401 = 3 THEN 'block_number' WHEN block_number % 409 = 5 THEN 'timestamp' WHEN block_number % 419 = 7 THEN 'tx_count' END AS reason FROM fx_blocks) WHERE reason IS NOT NULL GROUP BY 1"""),
+    # Four files, each written in falling order and over the whole range; three datasets, two of them with one broken rule.
+    "order_violations": "SELECT 'inside' AS reason FROM range(4) UNION ALL SELECT 'across' FROM range(3)",
+    "audit_manifests": "SELECT unnest(['', 'target_hash', 'row_count']) AS faults, cast(1 AS bigint) AS datasets",
     "stream_headers": _sql(f"SELECT {_SEVEN} FROM decoded WHERE reject_reason IS NULL", _DECODED),
     "finalized_view": _sql("SELECT b.* FROM fx_blocks b, fx_head WHERE block_number <= head"),
     "stream_features": _sql("SELECT * FROM features WHERE block_number <> 33 OR tx_count < 2", _JOINED),

@@ -26,8 +26,12 @@ def _query(f):
 
 
 def _scratch(spark: SparkSession) -> str:
-    """A fresh folder in the place that driver and executors share; a temporary one where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-scratch-")
+    """A fresh folder in the place that driver and executors share; a temporary one where none is set and all is on one machine."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="spark-scratch-")
     return f"{base.rstrip('/')}/blocks-{uuid.uuid4().hex}"
 
 
@@ -79,6 +83,20 @@ def proof_columns(fx: Fixtures) -> DataFrame:
     return catalog.with_proofs(fx.blocks(), ["gas_used", "timestamp"])
 
 
+@_query
+def warehouse_features(fx: Fixtures) -> DataFrame:
+    """All features of the finalized blocks, from tables as a warehouse has them."""
+    return features.features_from_warehouse(*fx.warehouse(), NINE, 0, fx.head())
+
+
+@_query
+def receipt_proofs(fx: Fixtures) -> DataFrame:
+    """Blocks whose fee percentiles are not proved, as some receipts are missing."""
+    kept = fx.receipts().where(~((F.col("transaction_index") == 0) & (F.col("effective_gas_price") % 97 == 5)))
+    built = fx.headers().join(_full(fx).select("block_number", NINE[-1]), "block_number")
+    return checks.proof_mismatches(catalog.with_proofs(built, ["timestamp", NINE[-1]], kept))
+
+
 @_query
 def scan_blocks(fx: Fixtures) -> DataFrame:
     head, (low, high) = fx.head(), fx.events().agg(F.min("timestamp"), F.max("timestamp")).first()
@@ -134,7 +152,7 @@ def normalize_bounds(fx: Fixtures) -> DataFrame:
 
 def _block_requests(fx: Fixtures) -> DataFrame:
     n = F.col("n")
-    return fx.events().where("n % 20 = 7").select(n.alias("range_id"), F.when(n % 60 == 7, n + 9).otherwise(n).alias("from_block"), F.when(n % 80 != 27, n + 5 + (n % 3) * 60).alias("to_block"))
+    return fx.events().select(n.alias("range_id"), F.when(n % 60 == 7, n + 9).otherwise(n).alias("from_block"), F.when(n % 80 != 27, n + 5 + (n % 3) * 60).alias("to_block"))
 
 
 @_query
@@ -151,8 +169,8 @@ def finalized_head(fx: Fixtures) -> DataFrame:
     return ranges.finalized_head(heads)
 
 
-def _resolved(fx: Fixtures, by_day: bool | None = None) -> DataFrame:
-    return ranges.resolve_time_ranges(ranges.normalize_bounds(fx.ranges()), fx.events().withColumnRenamed("n", "block_number"), fx.head(), by_day)
+def _resolved(fx: Fixtures, bucket: int = ranges.HOUR) -> DataFrame:
+    return ranges.resolve_time_ranges(ranges.normalize_bounds(fx.ranges()), fx.events().withColumnRenamed("n", "block_number"), fx.head(), bucket)
 
 
 @_query
@@ -162,7 +180,7 @@ def resolve_time_ranges(fx: Fixtures) -> DataFrame:
 
 @_query
 def resolve_time_ranges_by_day(fx: Fixtures) -> DataFrame:
-    return _resolved(fx, by_day=True)
+    return _resolved(fx, ranges.DAY)
 
 
 @_query
@@ -216,8 +234,9 @@ def link_violations_by_chunk(fx: Fixtures) -> DataFrame:
 def dataset_summary(fx: Fixtures) -> DataFrame:
     last = fx.head() + 100
     target = fx.blocks().where(F.col("block_number") == last).first()["block_hash"]
-    good = checks.dataset_summary(fx.blocks(), 0, last, target).withColumn("of", F.lit("blocks"))
-    return good.unionByName(checks.dataset_summary(fx.broken(), 0, last, target).withColumn("of", F.lit("broken")))
+    times = tuple(fx.events().agg(F.min("timestamp"), F.max("timestamp")).first())
+    good = checks.dataset_summary(fx.blocks(), 0, last, target, times).withColumn("of", F.lit("blocks"))
+    return good.unionByName(checks.dataset_summary(fx.broken(), 0, last, target, times).withColumn("of", F.lit("broken")))
 
 
 @_query
@@ -234,13 +253,13 @@ def proof_mismatches(fx: Fixtures) -> DataFrame:
 def sample_numbers(fx: Fixtures) -> DataFrame:
     ids = fx.spark.createDataFrame([(k, i) for k, (i, _) in enumerate(SAMPLE_IDS)], "k bigint, dataset_id string")
     n = F.col("n")
-    spans = fx.events().where("n % 10 = 3").select((n % len(SAMPLE_IDS)).alias("k"), n.alias("first_block"), (n + (n % 7)).alias("last_block"))
+    spans = fx.events().select((n % len(SAMPLE_IDS)).alias("k"), n.alias("first_block"), (n + (n % 7)).alias("last_block"))
     rows = spans.join(F.broadcast(ids), "k")  # a handful of fixed ids
     return agree.sample_numbers(rows).groupBy("dataset_id", "block_number").agg(F.count(F.lit(1)).alias("times"))
 
 
 def _asked(fx: Fixtures) -> DataFrame:
-    return fx.events().where("n % 13 = 4").select(F.col("n").alias("block_number"))
+    return fx.events().select(F.col("n").alias("block_number"))
 
 
 @_query
@@ -255,12 +274,15 @@ def missing_at(fx: Fixtures) -> DataFrame:
 
 @_query
 def compare_sample(fx: Fixtures) -> DataFrame:
-    return agree.compare_sample(fx.blocks(), fx.verifier(), fx.events().where("n % 3 = 0 or n % 997 = 13").select(F.col("n").alias("block_number")))
+    return agree.compare_sample(fx.blocks(), fx.verifier(), _asked(fx))
 
 
 @_query
 def compare_full(fx: Fixtures) -> DataFrame:
-    return agree.compare_full(fx.blocks(), fx.verifier(), 0, fx.head() + 100)
+    """Both copies also lack the first and the last block."""
+    last = fx.head() + 100
+    inner = F.col("block_number").between(1, last - 1)
+    return agree.compare_full(fx.blocks().where(inner), fx.verifier().where(inner), 0, last)
 
 
 @_query
@@ -292,30 +314,28 @@ def refresh_anchor(fx: Fixtures) -> DataFrame:
 def write_parquet(fx: Fixtures) -> DataFrame:
     path = _scratch(fx.spark)
     store.write_dataset(fx.blocks().select("block_number", *NINE[:7]), path)
-    return store.read_dataset(fx.spark, path, catalog.plan_features(NINE[:7]))
+    return store.read_dataset(fx.spark, path, catalog.Selection.of(NINE[:7]))
 
 
 @_query
 def write_csv(fx: Fixtures) -> DataFrame:
     path = _scratch(fx.spark)
     store.write_dataset(fx.blocks().select("block_number", *NINE[:7]), path, "csv")
-    return store.read_dataset(fx.spark, path, catalog.plan_features(NINE[:7]), "csv")
+    return store.read_dataset(fx.spark, path, catalog.Selection.of(NINE[:7]), "csv")
 
 
 @_query
 def read_parquet(fx: Fixtures) -> DataFrame:
     path = _scratch(fx.spark)
     store.write_dataset(fx.blocks().select("block_number", "timestamp", "tx_count"), path)
-    read = store.read_dataset(fx.spark, path, catalog.plan_features(["timestamp", "tx_count"]))
-    return read.where("block_number % 7 = 3")
+    return store.read_dataset(fx.spark, path, catalog.Selection.of(["timestamp", "tx_count"]))
 
 
 @_query
 def read_csv(fx: Fixtures) -> DataFrame:
     path = _scratch(fx.spark)
     store.write_dataset(fx.blocks().select("block_number", "timestamp", "block_hash"), path, "csv")
-    read = store.read_dataset(fx.spark, path, catalog.plan_features(["block_hash", "timestamp"]), "csv")
-    return read.where("block_number % 7 = 3")
+    return store.read_dataset(fx.spark, path, catalog.Selection.of(["block_hash", "timestamp"]), "csv")
 
 
 @_query
@@ -323,11 +343,13 @@ def chunk_bounds(fx: Fixtures) -> DataFrame:
     return chunks.chunk_bounds(fx.broken(), 0)
 
 
-def _staged(fx: Fixtures, size: int = 1024) -> DataFrame:
-    """The broken blocks' rows staged by chunks: some chunks have gaps, and the last is missing."""
+def _staged(fx: Fixtures, size: int = 1024, blocks: DataFrame | None = None) -> DataFrame:
+    """All blocks' rows staged by chunks; every fourth chunk is staged again, and is not there twice."""
     path = _scratch(fx.spark)
-    rows = catalog.with_proofs(fx.blocks(), NINE[:7]).where(F.col("block_number") % 5003 != 1700)
-    store.stage_chunks(rows.where(F.col("block_number") <= fx.head()), path, 0, size)
+    rows = catalog.with_proofs(fx.blocks() if blocks is None else blocks, NINE[:7])
+    store.bind_staging(fx.spark, path, {"first": 0, "size": size})
+    store.stage_chunks(rows, path, 0, size)
+    store.stage_chunks(rows.where(F.floor(F.col("block_number") / size) % 4 == 1), path, 0, size)
     return fx.spark.read.parquet(path).drop("chunk_id")
 
 
@@ -338,17 +360,18 @@ def stage_chunks(fx: Fixtures) -> DataFrame:
 
 @_query
 def missing_chunks(fx: Fixtures) -> DataFrame:
-    return store.missing_chunks(_staged(fx, 256), 0, fx.head() + 100, 256)
+    """Of blocks with gaps, many chunks are not complete."""
+    return store.missing_chunks(_staged(fx, 256, fx.verifier()), 0, fx.head() + 200, 256)
 
 
 @_query
 def assemble(fx: Fixtures) -> DataFrame:
-    return store.assemble(_staged(fx), catalog.plan_features(NINE[:7]))
+    return store.assemble(_staged(fx), catalog.Selection.of(NINE[:7]))
 
 
 @_query
 def run_receipt(fx: Fixtures) -> DataFrame:
-    return store.run_receipt(_staged(fx), 0, fx.head(), 1)
+    return store.run_receipt(_staged(fx), 0, fx.head() + 100, 1)
 
 
 @_query
@@ -380,7 +403,7 @@ def csv_violations(fx: Fixtures) -> DataFrame:
         "tx_count": F.when(n % 419 == 7, F.lit("+1")).otherwise(F.col("tx_count").cast("string")),
     }
     fx.blocks().select(*(c.alias(k) for k, c in spoilt.items())).write.csv(path, header=True)
-    found = store.csv_violations(fx.spark, path, catalog.plan_features(["timestamp", "tx_count"]))
+    found = store.csv_violations(fx.spark, path, catalog.Selection.of(["timestamp", "tx_count"]))
     return found.groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
 
 
@@ -394,12 +417,12 @@ def order_violations(fx: Fixtures) -> DataFrame:
 
 @_query
 def audit_manifests(fx: Fixtures) -> DataFrame:
-    root, head = _scratch(fx.spark), fx.head()
-    rows = fx.blocks().where(F.col("block_number") <= head)
-    anchor = {"block_number": head + 1, "block_hash": rows.where(F.col("block_number") == 1).first()["block_hash"], "tag": "finalized"}
-    for part, facts in ((0, None), (1, {"target_hash": "0x"}), (2, {"row_count": 1})):
-        third = rows.where(F.col("block_number").between(part * head // 3, (part + 1) * head // 3 - 1))
-        store.publish(third, root, NINE[:7], anchor, facts=facts)
+    root, last, rows = _scratch(fx.spark), fx.head() + 100, fx.blocks()
+    anchor = {"block_number": last, "block_hash": rows.where(F.col("block_number") == last).first()["block_hash"], "tag": "finalized"}
+    cuts = [0, last // 3, 2 * last // 3, last + 1]
+    for low, high, facts in zip(cuts[:3], cuts[1:], (None, {"target_hash": "0x"}, {"row_count": 1}), strict=True):
+        third = rows.where(F.col("block_number").between(low, high - 1))
+        store.publish(third, root, NINE[:7], anchor, rows, {"name": "events", "chain_id": 1}, {"kind": "tables"}, facts=facts)
     return store.audit_manifests(fx.spark, root).groupBy("faults").agg(F.count(F.lit(1)).alias("datasets"))
 
 

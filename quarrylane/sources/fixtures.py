@@ -53,6 +53,13 @@ class Fixtures:
         zero = F.lit(0).cast("bigint")
         return self.events().join(per_block, "n", "left").select(*_header(), F.coalesce("gas_used", zero).alias("gas_used"), F.lit(GAS_LIMIT).cast("bigint").alias("gas_limit"), F.coalesce("tx_count", zero).alias("tx_count"))
 
+    def warehouse(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """(blocks, transactions, receipts) with a warehouse's names and types, and one column more than is needed."""
+        dated = lambda rows, c: rows.withColumn("block_timestamp", F.timestamp_seconds(c)).withColumn("extra", F.lit("x"))
+        blocks = dated(self.headers(), "timestamp").drop("timestamp")
+        times = lambda rows: dated(self.timed(rows).withColumnRenamed("block_timestamp", "seconds"), "seconds").drop("seconds")
+        return blocks, times(self.transactions()), times(self.receipts()).withColumn("transaction_index", F.col("transaction_index").cast("int"))
+
     def head(self) -> int:
         """The finalized head."""
         return self.table("events").agg(F.max("event_id").cast("bigint") - FINALITY).first()[0]
@@ -106,7 +113,7 @@ class Fixtures:
         cut = lambda x, k: F.substring(text(x), 1, k)
         start = F.when(kind == 0, cut(t, 10)).when(kind == 1, F.concat(cut(t, 13), F.lit("Z"))).when(kind == 2, F.concat(cut(t, 16), F.lit("+01:00"))).when(kind == 6, F.lit("1960-01-01")).otherwise(text(t))
         end = F.when(kind == 0, cut(t, 10)).when(kind == 1, F.concat(cut(later, 13), F.lit("Z"))).when(kind == 2, F.concat(cut(later + 3600, 16), F.lit("+01:00"))).when(kind == 3, F.lit("2999-01-01T00:00:00Z")).when(kind == 4, text(t - 5)).when(kind == 5, F.lit("soon")).when(kind == 6, text(t)).otherwise(text(later))
-        return self.events().where(n % 50 == 3).select(n.alias("range_id"), start.alias("from_value"), end.alias("to_value"))
+        return self.events().select(n.alias("range_id"), start.alias("from_value"), end.alias("to_value"))
 
 
 def _header() -> list[Column]:

@@ -5,16 +5,19 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import HASH, UUID4
+from ..operators import agree
 from ..operators.checks import assert_clean, dataset_summary
-from ..plans.catalog import KEY, DatasetError, Plan, plan_features, without_proofs
+from ..plans.catalog import KEY, DatasetError, Selection, without_proofs
 from .chunks import CHUNK_SIZE, chunk_bounds, planned_chunks, with_chunk_id
 
 MAX_RECORDS_PER_FILE = 4_000_000
+# The keys of a manifest, sorted as they are written.
 MANIFEST_KEYS = ("acquisition_plan", "chain", "completed_at", "dataset_id", "finalized_anchor", "output", "requested_range", "resolved_range", "row_count", "schema", "source", "target_hash", "tool_version", "verification")
 
 
@@ -40,7 +43,7 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet") -> None:
         writer.option("header", True).csv(path)
 
 
-def read_dataset(spark: SparkSession, path: str, plan: Plan, fmt: str = "parquet") -> DataFrame:
+def read_dataset(spark: SparkSession, path: str, plan: Selection, fmt: str = "parquet") -> DataFrame:
     """Read a dataset with exactly the plan's schema."""
     if fmt == "parquet":
         found = spark.read.parquet(path).schema
@@ -50,7 +53,7 @@ def read_dataset(spark: SparkSession, path: str, plan: Plan, fmt: str = "parquet
     return spark.read.schema(plan.schema).option("mode", "FAILFAST").csv(path, header=True, enforceSchema=False)
 
 
-def csv_violations(spark: SparkSession, path: str, plan: Plan) -> DataFrame:
+def csv_violations(spark: SparkSession, path: str, plan: Selection) -> DataFrame:
     """(line, reason) of rows that are no canonical tokens: columns (too few or many) or the integer column's name."""
     names = [f.name for f in plan.schema]
     schema = ", ".join([f"{n} string" for n in names] + ["_bad string"])
@@ -60,7 +63,7 @@ def csv_violations(spark: SparkSession, path: str, plan: Plan) -> DataFrame:
     return rows.select(F.coalesce("_bad", F.concat_ws(",", *names)).alias("line"), reason.alias("reason")).where("reason is not null")
 
 
-def csv_header_ok(spark: SparkSession, path: str, plan: Plan) -> bool:
+def csv_header_ok(spark: SparkSession, path: str, plan: Selection) -> bool:
     """Whether every file begins with exactly the plan's header."""
     want = ",".join(plan.columns)
     first = spark.read.format("text").option("wholetext", False).load(path).select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("s"))
@@ -113,30 +116,37 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(at)
 
 
-def publish(df: DataFrame, root: str, names: list[str], anchor: dict, fmt: str = "parquet", dataset_id: str | None = None, facts: dict | None = None) -> str:
-    """Validate, write and publish the named features of a full block table; returns the dataset's path.
+def publish(df: DataFrame, root: str, names: list[str], anchor: dict, verifier: DataFrame, chain: dict, source: dict, fmt: str = "parquet", dataset_id: str | None = None, requested: dict | None = None, facts: dict | None = None) -> str:
+    """Validate, write, verify and publish the named features of a full block table; returns the dataset's path.
 
-    Data goes to data/ under a fresh path and is read back and validated there; the manifest is
-    written last, and readers require it. A dataset that exists is left alone.
+    chain is {name, chain_id}, source says where the rows are from, and requested is the range that
+    was asked for: a block range (by default the rows' own) or a time range, with its kind. Data
+    goes to data/ under a fresh path, is read back, validated there and compared with the verifier,
+    an independent copy, at the blocks of `sample_numbers`; the manifest records these and the
+    moment, is written last, and readers require it. A dataset that exists is left alone. facts
+    overwrite single keys of the manifest.
     """
-    spark, plan = df.sparkSession, plan_features(names)
+    spark, plan = df.sparkSession, Selection.of(names)
     dataset_id = dataset_id or str(uuid.uuid4())
     path = f"{root}/{dataset_id}"
     if _exists(spark, path):
         raise DatasetError("OUTPUT_EXISTS", path)
     row = manifest_facts(df).first()
-    assert_clean(dataset_summary(df, row["from_block"], row["to_block"], row["target_hash"]))
+    first, last, times = row["from_block"], row["to_block"], (row["from_timestamp"], row["to_timestamp"])
+    assert_clean(dataset_summary(df, first, last, row["target_hash"], times))
     write_dataset(df.select(*plan.columns), f"{path}/data", fmt)
     back = read_dataset(spark, f"{path}/data", plan, fmt)
-    if back.count() != row["row_count"]:
-        raise DatasetError("OUTPUT_CHANGED", "the rows read back are not those written")
+    assert_clean(dataset_summary(back, first, last, row["target_hash"], times))
+    sampled = _sampled(spark, dataset_id, first, last)
+    if agree.compare_sample(back, verifier, sampled).count():
+        raise DatasetError("VERIFICATION_FAILED", "the independent copy differs at sampled blocks")
     digests = [r.asDict() for r in file_digests(spark, f"{path}/data").orderBy("name").collect()]  # one row per file
-    resolved = {k: row[k] for k in ("from_block", "to_block", "from_timestamp", "to_timestamp")}
     manifest = {
-        "tool_version": "1", "dataset_id": dataset_id, "completed_at": (facts or {}).get("completed_at", "1970-01-01T00:00:00Z"), "chain": {"name": "chain", "chain_id": 1}, "source": {"kind": "tables"},
-        "requested_range": {"kind": "block", "from": row["from_block"], "to": row["to_block"]}, "resolved_range": resolved, "row_count": row["row_count"], "target_hash": row["target_hash"], "finalized_anchor": anchor,
+        "tool_version": "1", "dataset_id": dataset_id, "completed_at": datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ"), "chain": chain, "source": source,
+        "requested_range": requested or {"kind": "block", "from": first, "to": last}, "resolved_range": {"from_block": first, "to_block": last, "from_timestamp": times[0], "to_timestamp": times[1]},
+        "row_count": row["row_count"], "target_hash": row["target_hash"], "finalized_anchor": anchor,
         "schema": [{"name": f.name, "type": "Int64" if f.dataType.simpleString() == "bigint" else "UTF-8", "unit": f.metadata["unit"]} for f in plan.schema], "acquisition_plan": {"features": list(plan.names), "hidden": list(plan.hidden)},
-        "output": {"format": fmt, "files": digests}, "verification": {"sampled_blocks": sorted({row["from_block"], row["to_block"]})},
+        "output": {"format": fmt, "files": digests}, "verification": {"sampled_blocks": sorted(r[KEY] for r in sampled.collect())},  # five at most
     }
     manifest |= {k: v for k, v in (facts or {}).items() if k in MANIFEST_KEYS}
     fs, at = _fs(spark, f"{path}/manifest.json")
@@ -146,6 +156,12 @@ def publish(df: DataFrame, root: str, names: list[str], anchor: dict, fmt: str =
     return path
 
 
+def _sampled(spark: SparkSession, dataset_id: str, first: int, last: int) -> DataFrame:
+    """The block numbers at which a dataset is compared."""
+    one = spark.createDataFrame([(dataset_id, first, last)], "dataset_id string, first_block bigint, last_block bigint")
+    return agree.sample_numbers(one).select(KEY)
+
+
 @dataclass(frozen=True)
 class Dataset:
     """A validated dataset."""
@@ -156,7 +172,11 @@ class Dataset:
 
 
 def open_dataset(spark: SparkSession, path: str) -> Dataset:
-    """Read and validate a dataset: canonical manifest, schema, digests, rows."""
+    """Read and validate a dataset: canonical manifest, schema, digests, tokens (CSV), rows.
+
+    The rows are checked as far as the columns there are allow: count, range, nulls and domains
+    always; links, target and times where their columns are.
+    """
     if not _exists(spark, f"{path}/manifest.json"):
         raise DatasetError("MANIFEST_MISSING", path)
     text = spark.read.text(f"{path}/manifest.json", wholetext=True).first()[0]
@@ -168,19 +188,45 @@ def open_dataset(spark: SparkSession, path: str) -> Dataset:
         raise DatasetError("MANIFEST_INVALID", "not canonical")
     if audit_manifests(spark, path, depth="").where("faults <> ''").count():
         raise DatasetError("MANIFEST_INVALID", "see audit_manifests")
-    plan = plan_features([c["name"] for c in manifest["schema"]][1:])
+    plan = Selection.of([c["name"] for c in manifest["schema"]][1:])
     if [c["unit"] for c in manifest["schema"]] != [f.metadata["unit"] for f in plan.schema]:
         raise DatasetError("MANIFEST_INVALID", "schema units")
     recorded = spark.createDataFrame([(f["name"], f["bytes"], f["sha256"]) for f in manifest["output"]["files"]], "name string, bytes bigint, sha256 string")
     if changed_files(spark, f"{path}/data", recorded).count():
         raise DatasetError("DATASET_DIGEST", "files are not those of the manifest")
-    df = read_dataset(spark, f"{path}/data", plan, manifest["output"]["format"])
-    first, last = manifest["resolved_range"]["from_block"], manifest["resolved_range"]["to_block"]
-    if {"block_hash", "parent_hash", "timestamp"} <= set(plan.names):
-        assert_clean(dataset_summary(df, first, last, manifest["target_hash"]))
+    fmt = manifest["output"]["format"]
+    if fmt == "csv" and (not csv_header_ok(spark, f"{path}/data", plan) or not csv_violations(spark, f"{path}/data", plan).isEmpty()):
+        raise DatasetError("DATASET_TOKENS", "the CSV files are not canonical")
+    df = read_dataset(spark, f"{path}/data", plan, fmt)
+    span = manifest["resolved_range"]
+    assert_clean(dataset_summary(df, span["from_block"], span["to_block"], manifest["target_hash"], (span["from_timestamp"], span["to_timestamp"])))
     return Dataset(path, manifest, df)
 
 
+def verify(dataset: Dataset, verifier: DataFrame, head: int, full: bool = False) -> dict:
+    """Compare an opened dataset with an independent copy of the chain up to its finalized head; returns what was found.
+
+    Every block (full) or the sampled ones are compared, the manifest's anchor is followed to the
+    head, and the files are digested once more at the end, so that what was compared is what is
+    there. Raises on a difference.
+    """
+    spark, m = dataset.df.sparkSession, dataset.manifest
+    first, last = m["resolved_range"]["from_block"], m["resolved_range"]["to_block"]
+    sampled = _sampled(spark, m["dataset_id"], first, last)
+    differences = agree.compare_full(dataset.df, verifier, first, last) if full else agree.compare_sample(dataset.df, verifier, sampled)
+    if n := differences.count():
+        raise DatasetError("VERIFICATION_FAILED", f"{n} differences")
+    anchor = m["finalized_anchor"]
+    new = agree.refresh_anchor(verifier, last, m["target_hash"], anchor["block_number"], anchor["block_hash"], head).first()
+    if new is None or not new["refreshed"]:
+        raise DatasetError("VERIFICATION_ANCHOR", "the chain does not lead from the dataset over its anchor to the head")
+    recorded = spark.createDataFrame([(f["name"], f["bytes"], f["sha256"]) for f in m["output"]["files"]], "name string, bytes bigint, sha256 string")
+    if changed_files(spark, f"{dataset.path}/data", recorded).count():
+        raise DatasetError("DATASET_DIGEST", "files changed meanwhile")
+    compared = last - first + 1 if full else sampled.count()
+    return {"compared_blocks": compared, "finalized_anchor": {**anchor, "block_number": new[KEY], "block_hash": new["block_hash"]}}
+
+
 MANIFEST = (
     "tool_version string, dataset_id string, completed_at string, chain struct<name:string,chain_id:bigint>, requested_range struct<kind:string,from:string,to:string,normalized_from_utc:string,normalized_to_utc:string>, "
     "resolved_range struct<from_block:bigint,to_block:bigint,from_timestamp:bigint,to_timestamp:bigint>, schema array<struct<name:string,type:string,unit:string>>, row_count bigint, "
@@ -224,18 +270,42 @@ def audit_manifests(spark: SparkSession, root: str, depth: str = "/*") -> DataFr
     return rows.select(named.alias("dataset_id"), F.when(F.col("keys").isNull(), "json").otherwise(F.array_join(F.array_compact(F.array(*broken)), ",")).alias("faults"))
 
 
-def stage_chunks(df: DataFrame, path: str, first: int, size: int = CHUNK_SIZE) -> None:
-    """Add rows (with proofs) to a staging folder, one partition per chunk, in order inside each."""
-    chunked = with_chunk_id(df, first, size)
-    chunked.repartition("chunk_id").sortWithinPartitions("chunk_id", KEY).write.mode("append").partitionBy("chunk_id").parquet(path)
+def bind_staging(spark: SparkSession, path: str, request: dict) -> None:
+    """Tie a staging folder to one request (range, features, source and so on).
+
+    The first call writes it down beside the folder; later ones raise if the request is another, so
+    that chunks of different requests never mix.
+    """
+    fs, at = _fs(spark, f"{path.rstrip('/')}.binding.json")
+    text = canonical_json(request)
+    if fs.exists(at):
+        if spark.read.text(str(at), wholetext=True).first()[0] != text:
+            raise DatasetError("RESUME_MISMATCH", "the staging folder belongs to another request")
+        return
+    out = fs.create(at, False)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
 
 
-def missing_chunks(staged: DataFrame, first: int, last: int, size: int = CHUNK_SIZE) -> DataFrame:
-    """Planned chunks that are not staged complete: chunk_id, from_block, to_block, prefix.
+def stage_chunks(df: DataFrame, path: str, first: int, size: int = CHUNK_SIZE) -> None:
+    """Stage rows (with proofs), one partition per chunk, in order inside each.
 
-    prefix is 1 for the chunks from the first missing one on: what comes before is a full prefix of
-    the plan and can be used as it is.
+    A chunk that is staged again takes the place of its former rows. Rows whose parent is not the
+    staged block before them, in a chunk that is staged already, are refused.
     """
+    spark, chunked = df.sparkSession, with_chunk_id(df, first, size)
+    if "_proof_hash" in df.columns and _exists(spark, path):
+        mine = chunked.select(KEY, "_proof_hash", "_proof_parent_hash")
+        staged = spark.read.parquet(path).join(chunked.select("chunk_id").distinct(), "chunk_id", "left_anti").select(KEY, "_proof_hash", "_proof_parent_hash")
+        follows = lambda a, b: a.select((F.col(KEY) - 1).alias(KEY), "_proof_parent_hash").join(b.select(KEY, "_proof_hash"), KEY).where("not (_proof_parent_hash <=> _proof_hash)")
+        if not follows(mine, staged).unionByName(follows(staged, mine)).isEmpty():
+            raise DatasetError("CHUNK_LINK", "a chunk does not follow the one staged before it")
+    ordered = chunked.repartition("chunk_id").sortWithinPartitions("chunk_id", KEY)
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("chunk_id").parquet(path)
+
+
+def missing_chunks(staged: DataFrame, first: int, last: int, size: int = CHUNK_SIZE) -> DataFrame:
+    """Planned chunks that are not staged complete: chunk_id, from_block, to_block. See usable_prefix."""
     have = chunk_bounds(staged, first, size).where("row_count = distinct_blocks and row_count = to_block - from_block + 1")
     plan = planned_chunks(staged.sparkSession, first, last, size)
     gone = plan.join(have.select("chunk_id", "from_block", "to_block"), ["chunk_id", "from_block", "to_block"], "left_anti")
@@ -248,7 +318,7 @@ def usable_prefix(missing: DataFrame, chunks: int) -> int:
     return chunks if least is None else least
 
 
-def assemble(staged: DataFrame, plan: Plan) -> DataFrame:
+def assemble(staged: DataFrame, plan: Selection) -> DataFrame:
     """Staged chunks as one dataset in block order, without proofs."""
     return without_proofs(staged).select(*plan.columns).orderBy(KEY)
 
@@ -259,5 +329,3 @@ def run_receipt(staged: DataFrame, first: int, last: int, reused_chunks: int, si
     reused = F.count_if(F.col("chunk_id") < reused_chunks)
     n = F.count(F.lit(1))
     return at.agg(n.alias("row_count"), reused.alias("reused_rows"), (n - reused).alias("acquired_rows"), F.min_by("block_hash", KEY).alias("first_hash"), F.max_by("block_hash", KEY).alias("target_hash"))
-
-

@@ -56,24 +56,55 @@ def finalized_view(bronze: DataFrame, head: int) -> DataFrame:
     return bronze.where(F.col(KEY) <= head)
 
 
-def stream_features(spark: SparkSession, src: str, blocks: DataFrame, out: str, checkpoint: str, names: list[str]) -> None:
+RECEIPTS = "block_hash string, transaction_index bigint, gas_used bigint, effective_gas_price bigint"
+
+
+def _state(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A batch's state; empty if there is none."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    there = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(at)
+    return spark.read.schema(schema).parquet(path) if there else spark.createDataFrame([], schema)
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
+
+def stream_features(spark: SparkSession, src: str, blocks: DataFrame | str, out: str, checkpoint: str, names: list[str]) -> None:
     """Store the features of each block once its receipts add up.
 
     src holds landed receipts as Parquet (block_hash, transaction_index, gas_used,
-    effective_gas_price). Each batch looks at the blocks that its receipts belong to, with all
-    receipts landed so far; a block is complete when their gas is the block's. Blocks without gas
-    have no receipts to wait for and are stored by the first batch.
+    effective_gas_price); blocks is a table, or a path that is listed anew for each batch. A block
+    is complete when its receipts' gas is the block's. Receipts of blocks that are not complete, or
+    not known yet (a fork's stay so), are kept as state; so a batch looks at its own receipts and at
+    those, never at all that landed, and at the stored blocks in its range only.
+    Blocks without gas have no receipts to wait for: each batch stores those above the highest block
+    that the batch before it knew. A replayed batch reads the same state and writes the same again.
     """
-    schema = "block_hash string, transaction_index bigint, gas_used bigint, effective_gas_price bigint"
 
     def ingest(batch: DataFrame, number: int) -> None:
-        touched = batch.select("block_hash").distinct()
-        empty = blocks.where("gas_used = 0").select("block_hash") if number == 0 else blocks.limit(0).select("block_hash")
-        due = blocks.join(touched.unionByName(empty).distinct(), "block_hash", "left_semi")
-        landed = spark.read.schema(schema).parquet(src).dropDuplicates(["block_hash", "transaction_index"]).join(due.select("block_hash"), "block_hash", "left_semi")
-        gaps = receipt_gaps(due, landed).select(KEY)
-        complete = due.join(gaps, KEY, "left_anti")
-        _append_new(build_block_features(complete, landed.select("block_hash"), landed, names), out)
-
-    stream = spark.readStream.schema(schema).parquet(src)
-    stream.writeStream.foreachBatch(ingest).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+        known = spark.read.parquet(blocks) if isinstance(blocks, str) else blocks
+        pending = _state(spark, f"{checkpoint}/pending/{number - 1}", RECEIPTS)
+        mark = _state(spark, f"{checkpoint}/mark/{number - 1}", "mark bigint").agg(F.max("mark")).first()[0]
+        landed = batch.select(*pending.columns).unionByName(pending).dropDuplicates(["block_hash", "transaction_index"]).persist()
+        try:
+            empty = known.where("gas_used = 0").where(F.col(KEY) > F.lit(-1 if mark is None else mark))
+            due = known.join(landed.select("block_hash").distinct(), "block_hash", "left_semi").unionByName(empty).dropDuplicates([KEY])
+            low, high = due.agg(F.min(KEY), F.max(KEY)).first()
+            stored = None if low is None else _stored(spark, out, low, high)
+            fresh = due if stored is None else due.join(stored, KEY, "left_anti")
+            done = due.limit(0) if stored is None else due.join(stored, KEY, "left_semi")
+            gaps = receipt_gaps(fresh, landed).select(KEY)
+            complete = fresh.join(gaps, KEY, "left_anti")
+            left = landed.join(complete.unionByName(done).select("block_hash"), "block_hash", "left_anti")
+            left.write.mode("overwrite").parquet(f"{checkpoint}/pending/{number}")
+            _append_new(build_block_features(complete, landed.select("block_hash"), landed, names), out)
+        finally:
+            landed.unpersist()
+        known.agg(F.max(KEY).alias("mark")).write.mode("overwrite").parquet(f"{checkpoint}/mark/{number}")
+        for kind in ("pending", "mark"):  # the batch before may still be asked for
+            _forget(spark, f"{checkpoint}/{kind}/{number - 2}")
+
+    stream = spark.readStream.schema(RECEIPTS).parquet(src)
+    stream.writeStream.foreachBatch(ingest).option("checkpointLocation", f"{checkpoint}/stream").trigger(availableNow=True).start().awaitTermination()

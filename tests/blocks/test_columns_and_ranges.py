@@ -67,16 +67,23 @@ def chain(spark, times):
     return spark.createDataFrame(list(enumerate(times)), "block_number bigint, timestamp bigint")
 
 
-@pytest.mark.parametrize("by_day", [False, True])
-def test_resolve_time_ranges(spark, by_day):
+@pytest.mark.parametrize("bucket", [7, ranges.HOUR, ranges.DAY])
+def test_resolve_time_ranges(spark, bucket):
     blocks = chain(spark, [100 + 40_000 * k for k in range(30)])
     asked = spark.createDataFrame([(1, 100, 200_000), (2, 99, 200), (3, 101, 300), (4, 100, 10_000_000), (5, 200, 100), (6, None, 5), (7, 40_100, 40_100), (8, 90_000, 1_000_000)], "range_id bigint, start bigint, end bigint")
-    found = {r.range_id: (r.first_block, r.last_block, r.code) for r in ranges.resolve_time_ranges(asked, blocks, 27, by_day).collect()}
+    found = {r.range_id: (r.first_block, r.last_block, r.code) for r in ranges.resolve_time_ranges(asked, blocks, 27, bucket).collect()}
     assert found == {
         1: (0, 4, None), 2: (None, None, "RANGE_PRE_GENESIS"), 3: (None, None, "RANGE_EMPTY"), 4: (None, None, "RANGE_UNFINALIZED"), 5: (None, None, "RANGE_INVALID"), 6: (None, None, "RANGE_INVALID"), 7: (1, 1, None), 8: (3, 24, None)
     }
 
 
+def test_resolving_joins_by_equality_only(spark):
+    asked = spark.createDataFrame([(1, 100, 200_000)], "range_id bigint, start bigint, end bigint")
+    plan = ranges.resolve_time_ranges(asked, chain(spark, [100, 200]), 1)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert ranges.resolve_time_ranges(asked, chain(spark, [100]).limit(0), 5).first().code == "RANGE_EMPTY"
+
+
 def test_check_requests(spark):
     rows = [(1, 0, 5, None, None), (2, 5, 0, None, None), (3, None, 5, None, None), (4, 0, 5, "2026-01-01", None), (5, None, None, "2026-01-01", "2026-01-02"), (6, None, None, "2026-01-02", "2026-01-01"), (7, None, None, None, None), (8, -1, 5, None, None)]
     found = ranges.check_requests(spark.createDataFrame(rows, "range_id bigint, from_block bigint, to_block bigint, from_time string, to_time string"))
@@ -84,9 +91,9 @@ def test_check_requests(spark):
 
 
 def test_catalog_order_and_closure():
-    plan = catalog.plan_features(["gas_used", "timestamp", "effective_priority_fee_per_gas_p90"])
+    plan = catalog.Selection.of(["gas_used", "timestamp", "effective_priority_fee_per_gas_p90"])
     assert plan.columns == ("block_number", "timestamp", "gas_used", "effective_priority_fee_per_gas_p90")
     assert plan.hidden == ("block_hash", "parent_hash", "base_fee_per_gas", "gas_limit")
     for bad in (["timestamp", "timestamp"], ["block_number"], ["nothing"], []):
         with pytest.raises(catalog.DatasetError):
-            catalog.plan_features(bad)
+            catalog.Selection.of(bad)

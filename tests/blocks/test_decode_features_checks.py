@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quarrylane.operators import agree, checks, features
 from quarrylane.plans import catalog
+from quarrylane.plans.catalog import CATALOG, DatasetError
 from quarrylane.sources import decode
 
 H = lambda n: f"0x{n:064x}"
@@ -139,3 +140,33 @@ def test_reconcile(spark):
     out = decode.reconcile_replies(calls, replies)
     assert {r.id: r.outcome for r in out.collect()} == {0: "accepted", 1: "retry", 2: "limit", 3: "fatal", 4: "retry", 5: "protocol", 6: "protocol", 7: "protocol", 8: "retry", 99: "protocol"}
     assert [r.id for r in decode.retries(out).collect()] == [1, 2, 4, 8]
+
+
+def test_warehouse_scans_are_pruned_by_time(spark, tmp_path):
+    """The time span of the range reaches the scans of all three tables, and their columns are checked first."""
+    from datetime import datetime, timedelta
+
+    t = lambda n: datetime(2026, 1, 1) + timedelta(minutes=n)
+    tables = {
+        "blocks": spark.createDataFrame([(n, t(n), H(n + 1), H(n), 5, 2, 9) for n in range(50)], "block_number int, block_timestamp timestamp, block_hash string, parent_hash string, base_fee_per_gas bigint, gas_used int, gas_limit bigint"),
+        "transactions": spark.createDataFrame([(H(n + 1), t(n)) for n in range(50)], "block_hash string, block_timestamp timestamp"),
+        "receipts": spark.createDataFrame([(H(n + 1), t(n), 0, 2, 8) for n in range(50)], "block_hash string, block_timestamp timestamp, transaction_index int, gas_used bigint, effective_gas_price bigint"),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+    read = [spark.read.parquet(f"{tmp_path}/{name}") for name in tables]
+    built = features.features_from_warehouse(*read, [f.name for f in CATALOG], 10, 19)
+    rows = built.orderBy("block_number").collect()
+    assert [r.block_number for r in rows] == list(range(10, 20)) and {(r.tx_count, r.effective_priority_fee_per_gas_p50, r.timestamp - rows[0].timestamp) for r in rows} == {(1, 3, 60 * k) for k in range(10)}
+    before = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        built = features.features_from_warehouse(*read, [f.name for f in CATALOG], 10, 19)
+        plan = built._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", before)
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) >= 3 and all("GreaterThanOrEqual(block_timestamp" in line and "LessThanOrEqual(block_timestamp" in line for line in scans)
+    with pytest.raises(DatasetError) as e:
+        features.features_from_warehouse(read[0].drop("gas_used"), *read[1:], ["timestamp"], 0, 1)
+    assert e.value.code == "SOURCE_SCHEMA"
