@@ -20,8 +20,12 @@ CLOSES_P = frozenset("address article aside blockquote details dialog div dl fie
 ITEM_OF = {"li": {"ul", "ol", "menu"}, "dd": {"dl"}, "dt": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 SAME_ITEM = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+#: A value in quotes (only after an equals sign: elsewhere a quote is a character like any other) or without. Nothing is tried twice.
+_VALUE = r"(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])[^\s>]++)"
+_ATTRIBUTES = rf"(?:[\s/=]++|[^\s/>=]++(?:\s*+=\s*+{_VALUE}?+)?+)*+"
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)({_ATTRIBUTES})>", re.S)
+_OPEN = re.compile(r"<[a-zA-Z/!?]")
+_ATTRIBUTE = re.compile(rf"([^\s/>=]++)(?:\s*+=\s*+({_VALUE})?+)?+")
 
 
 class Element:
@@ -41,10 +45,17 @@ class Element:
     def attribute(self, name: str) -> str:
         for m in _ATTRIBUTE.finditer(self.attributes):
             if m[1].lower() == name:
-                return unescape(m[2] or m[3] or m[4] or "")
+                value = m[2] or ""
+                return unescape(value[1:-1] if value[:1] in ('"', "'") else value)
         return ""
 
 
+def _without_open_end(html: str, at: int) -> str:
+    """A page without a tag that its end cuts off; no tag ends from `at` on."""
+    start = _OPEN.search(html, at)
+    return html[: start.start()] if start else html
+
+
 def _plain_end(html: str, tag: str, at: int) -> int:
     """Where an element without markup in it ends."""
     end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
@@ -106,7 +117,7 @@ def _subtree_end(html: str, tag: str, at: int, stack: list, has_end: bool) -> in
 
 def read(html: str | None) -> tuple[list[Element], list[tuple[Element, str]]]:
     """All elements in page order (the first is the root), and the blocks as (element, text)."""
-    html = html or ""
+    html = _without_open_end(html or "", html.rfind(">") + 1 if html else 0)
     root = Element("#root", "", None, 0)
     elements, blocks, buffer = [root], [], []
     stack: list[tuple[str, Element]] = [("#root", root)]  # inline elements point to the element they are in
@@ -148,10 +159,7 @@ def read(html: str | None) -> tuple[list[Element], list[tuple[Element, str]]]:
     while at < n:
         m = _TOKEN.search(html, at)
         if m is None:
-            rest = html[at:]
-            if tail := re.search(r"<[a-zA-Z/!?][^<>]*\Z", rest):
-                rest = rest[: tail.start()]  # a tag that the page's end cuts off
-            add(rest)
+            add(_without_open_end(html, at)[at:])
             break
         add(html[at : m.start()])
         at = m.end()

@@ -236,7 +236,7 @@ def layout(rng: np.random.Generator, words: list[str]) -> str:
 
 def fit(pages: list[str | None], layouts: int = LAYOUTS, seed: int = 11) -> tuple[float, list]:
     """Learn the trees from layouts made of the pages' words; without any words, from placeholder ones."""
-    words = sorted({w for p in pages for _, text in read(p)[1] for w in text.split()})[:20_000] or ["word"]
+    words = sorted({w for p in pages for _, text in read(p)[1] for w in text.split()}) or ["word"]
     rng = np.random.default_rng(seed)
     x, y = [], []
     for _ in range(layouts):

@@ -110,6 +110,40 @@ def test_elements_without_end_tags(page):
     assert _read(page).replace(" ", "\n").split() == ["Title", "article"]
 
 
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        ('<p title="a""b>text</p>', "text"),
+        ("<a title=it's>link</a><p class=it's>more</p>", "link more"),
+        ('<p title="a > b" x=\'>\'>text</p>', "text"),
+        ('<p ""><b "=\'>te</b>xt', "text"),
+        ("<p a = 'x' b= \"y>\" c>text", "text"),
+        ('<p title="never closed>text</p><p>more', "text more"),
+    ],
+)
+def test_stray_quotes(page, want):
+    assert _read(page).replace("\n", " ") == want
+
+
+@pytest.mark.parametrize("unit", ['<a title="x ', "<a title='x ", '<a title="x>', "<a b=\"'>", "<p a", "<svg><p>", "<b ", "</", "<!", "x &amp; <", '="', "<li>a", "<object>", "<td>"])
+def test_time_grows_with_the_page(unit):
+    """Ten times the page takes some ten times as long, not a hundred times."""
+    import time
+
+    def seconds(n):
+        began = time.process_time()
+        read(unit * n)
+        return time.process_time() - began
+
+    assert seconds(3000) < 30 * max(seconds(300), 0.01)
+    assert seconds(30_000) < 30 * max(seconds(3000), 0.01)
+
+
+def test_attributes():
+    (_, e), _ = read("<div class=\"a b\" ID='x&amp;y' data-x role=main>t")
+    assert [e.attribute(k) for k in ("class", "id", "data-x", "role", "none")] == ["a b", "x&y", "", "main", ""]
+
+
 def test_no_switch_by_size():
     elements, blocks = read("<div>" + "<p>words</p>" * 100)
     rows = html_extract.features(elements, blocks)
