@@ -17,8 +17,8 @@ hash, line number). The steps:
    neighbour. For a set whose neighbour is no candidate it is only noted under which words any
    earlier set is one: no pair is made. The neighbours are verified on their words. Sets noted or
    tried, and not matched by then, are tried against the earliest candidates of about their length,
-   and what is left of them meets all earlier candidates under the noted words, with the words of
-   both at hand, up to the first that matches. So no step's rows grow faster than the postings,
+   and what is left of them meets all earlier candidates under the noted words, with hashes of both
+   sets' words at hand, up to the first that matches. So no step's rows grow faster than the postings,
    whatever the size of a group of near copies, and no match is missed.
 5. Every later occurrence of a set, and every occurrence of a set with an earlier match, goes.
 """
@@ -182,8 +182,9 @@ def _matched_by_earliest(docs: DataFrame, left: DataFrame, partners: DataFrame)
 
 
 def _matched_by_any(docs: DataFrame, left: DataFrame, partners: DataFrame) -> DataFrame:
-    """The sets of left that match any partner."""
+    """The sets of left that match any partner; here 64-bit hashes stand for the words, as a set's go with each of its postings."""
     words = _words(docs, left.select(*_AT).unionByName(partners.select(*_AT)))
+    words = words.select(*_AT, F.transform("words", lambda w: F.xxhash64(w)).alias("words"))
     a, b = (_renamed(x.join(words, _AT), p) for x, p in ((left, "a_"), (partners, "b_")))
     return a.join(b, _met() & _alike(), "left_semi").select(*_set("a_")).distinct()
 
