@@ -75,6 +75,33 @@ _SENTENCES = {
     "GPL:see": ["See the GNU General Public License for more details."],
     "MPL-2.0:is": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
     "MPL-2.0:copy": ["If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.", "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."],
+    "BSD:liable": [
+        "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+    ],
+    "ISC:asis": [
+        'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.'
+    ],
+    "LGPL:free": ["This library is free software;", "This library is free software:"],
+    "LGPL-2.1:terms": [
+        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."
+    ],
+    "LGPL-3:terms": [
+        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    ],
+    "AGPL-3:terms": [
+        "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    ],
+    "LGPL:hope": ["This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;"],
+    "LGPL:see": ["See the GNU Lesser General Public License for more details."],
+    "AGPL:see": ["See the GNU Affero General Public License for more details."],
+    "EPL-2.0:is": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+    ],
+    "BSL-1.0:is": ["Distributed under the Boost Software License, Version 1.0."],
+    "Zlib:asis": ["This software is provided 'as-is', without any express or implied warranty."],
+    "Zlib:liable": ["In no event will the authors be held liable for any damages arising from the use of this software."],
+    "Zlib:grant": ["Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"],
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
     "PublicDomain": ["This work is in the public domain.", "Released into the public domain."],
 }
@@ -84,9 +111,15 @@ _CC_VERSIONS = ("1.0", "2.0", "2.5", "3.0", "4.0")
 _GNU = {"GPL": "GNU General Public License", "LGPL": "GNU Lesser General Public License", "AGPL": "GNU Affero General Public License"}
 
 
+# Identifiers of the public list of licences that a tag line can name.
+_TAGS = "Apache-2.0 MIT ISC Zlib Unlicense 0BSD BSD-2-Clause BSD-3-Clause BSL-1.0 EPL-2.0 MPL-2.0 GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later AGPL-3.0-only AGPL-3.0-or-later CC0-1.0 CC-BY-4.0 CC-BY-SA-4.0".split()
+
+
 def known_sentences() -> dict[str, list[str]]:
-    """Identifier -> wordings; the Creative Commons and GNU one-line notices follow a pattern."""
+    """Identifier -> wordings; tag lines and the Creative Commons and GNU one-line notices follow a pattern."""
     out = {k: list(v) for k, v in _SENTENCES.items()}
+    for name in _TAGS:
+        out[f"tag:{name}"] = [f"SPDX-License-Identifier: {name}"]
     for kind, version in product(_CC, _CC_VERSIONS):
         out[f"CC-{kind}-{version}"] = [f"{o} CC {kind} {version}." for o in _OPENINGS]
     for (short, name), version in product(_GNU.items(), ("2", "2.1", "3")):
@@ -101,15 +134,27 @@ def rules() -> list[tuple[str, list[str]]]:
         ("Apache-2.0", ["Apache-2.0:is", "Apache-2.0:comply", "Apache-2.0:copy"]),
         ("MIT", ["MIT:is", "MIT:grant", "MIT:notice", "MIT:asis", "MIT:liable"]),
         ("MIT", ["MIT:grant", "MIT:notice", "MIT:asis", "MIT:liable"]),
+        ("BSD-3-Clause", ["BSD:may", "BSD:source", "BSD:binary", "BSD:endorse", "BSD:asis", "BSD:liable"]),
+        ("BSD-2-Clause", ["BSD:may", "BSD:source", "BSD:binary", "BSD:asis", "BSD:liable"]),
         ("BSD-3-Clause", ["BSD:may", "BSD:source", "BSD:binary", "BSD:endorse", "BSD:asis"]),
         ("BSD-2-Clause", ["BSD:may", "BSD:source", "BSD:binary", "BSD:asis"]),
         ("GPL-2.0-or-later", ["GPL:free", "GPL-2:terms", "GPL:hope", "GPL:implied", "GPL:see"]),
         ("GPL-3.0-or-later", ["GPL:free", "GPL-3:terms", "GPL:hope", "GPL:implied", "GPL:see"]),
+        ("LGPL-2.1-or-later", ["LGPL:free", "LGPL-2.1:terms", "LGPL:hope", "GPL:implied", "LGPL:see"]),
+        ("LGPL-3.0-or-later", ["LGPL:free", "LGPL-3:terms", "LGPL:hope", "GPL:implied", "LGPL:see"]),
+        ("AGPL-3.0-or-later", ["GPL:free", "AGPL-3:terms", "GPL:hope", "GPL:implied", "AGPL:see"]),
+        ("LGPL-2.1-or-later", ["LGPL:free", "LGPL-2.1:terms"]),
+        ("LGPL-3.0-or-later", ["LGPL:free", "LGPL-3:terms"]),
+        ("AGPL-3.0-or-later", ["GPL:free", "AGPL-3:terms"]),
         ("GPL-2.0-or-later", ["GPL:free", "GPL-2:terms"]),
         ("GPL-3.0-or-later", ["GPL:free", "GPL-3:terms"]),
         ("MPL-2.0", ["MPL-2.0:is", "MPL-2.0:copy"]),
         ("MPL-2.0", ["MPL-2.0:is"]),
+        ("ISC", ["ISC:grant", "ISC:asis"]),
         ("ISC", ["ISC:grant"]),
+        ("Zlib", ["Zlib:asis", "Zlib:liable", "Zlib:grant"]),
+        ("EPL-2.0", ["EPL-2.0:is"]),
+        ("BSL-1.0", ["BSL-1.0:is"]),
         ("Apache-2.0", ["Apache-2.0:is"]),
         ("MIT", ["MIT:is"]),
         ("BSD-3-Clause", ["BSD-3:is"]),
@@ -118,6 +163,7 @@ def rules() -> list[tuple[str, list[str]]]:
         ("LicenseRef-public-domain", ["PublicDomain"]),
         ("LicenseRef-all-rights-reserved", ["AllRights"]),
     ]
+    made += [(name, [f"tag:{name}"]) for name in _TAGS]
     made += [(f"CC-{k}-{v}", [f"CC-{k}-{v}"]) for k, v in product(_CC, _CC_VERSIONS)]
     numbers = {"2": "2.0-only", "2.1": "2.1-only", "3": "3.0-only"}
     return made + [(f"{s}-{numbers[v]}", [f"{s}-{v}:is"]) for s, v in product(_GNU, numbers)]
@@ -183,7 +229,8 @@ def scan(docs: DataFrame) -> DataFrame:
     """docs with sentence_ids, licences and unresolved (arrays of strings).
 
     licences has a name for each match of a rule, in order, repeats included. A null or empty text
-    has none. Rows and other columns are kept; columns with the new names are replaced.
+    has none. Rows (repeated ones too) and other columns are kept; columns with the new names are
+    replaced. An empty table gives no rows.
     """
     held = docs.drop("sentence_ids", "licences", "unresolved")
     found = recognised(held)

@@ -61,6 +61,11 @@ def test_published_notices(docs_of):
     assert found(docs_of, "All rights\n * reserved.")[0] == ["AllRights"]
 
 
+def test_tag_lines(docs_of):
+    assert found(docs_of, "# SPDX-License-Identifier: LGPL-2.1-or-later\nimport os")[1:] == (["LGPL-2.1-or-later"], [])
+    assert found(docs_of, "/* SPDX-License-Identifier: MIT */\n/* SPDX-License-Identifier:\n * Apache-2.0 */")[1] == ["MIT", "Apache-2.0"]
+
+
 def test_odd_rows(docs_of):
     out = licenses.scan(docs_of(ODD).withColumnRenamed("d", "licences"))
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "key", "sentence_ids", "licences", "unresolved"]
