@@ -136,15 +136,16 @@ def materialised(docs: DataFrame, max_repeats: float = MAX_REPEATS, ramp: float
     """The mix itself: the rows of docs, each as often as it is taken, in training order.
 
     A document's copy in a pass is there if the mix takes at least half of its words in that pass.
-    All columns of docs are kept. Documents without words are taken once.
+    All columns of docs are kept, whatever they are called. Documents without words are taken once.
+    An empty table gives no rows.
     """
     made = placed(docs, max_repeats, ramp).withColumn("taken", _taken())
     times = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(F.lit(1)).cast("int")
     passes = made.withColumn("times", times).where("times > 0")
-    turns = passes.select("doc_id", "text_hash", F.explode(F.transform(F.sequence(F.lit(0), F.col("times") - 1), lambda k: position(F.col("start") + k * F.col("source_size").cast("double")))).alias("__position"), "source")
+    turns = passes.select("doc_id", "text_hash", F.explode(F.transform(F.sequence(F.lit(0), F.col("times") - 1), lambda k: position(F.col("start") + k * F.col("source_size").cast("double")))).alias("position"), "source")
     # Rows equal in id, source and text stand at different places of the stream; all their turns go to any one row of the kind.
-    key = [*ROW_KEY, "__none", "__source"]
-    source = {"__none": F.col("source").isNull(), "__source": F.coalesce(F.col("source").cast("string"), F.lit(""))}
-    turns = turns.withColumns({"__unknown": F.col("doc_id").isNull(), "__id": F.coalesce("doc_id", F.lit(0).cast("bigint")), "__hash": F.col("text_hash"), **source}).select(*key, "__position")
-    joined = one_of_each(with_row_key(docs).withColumns(source), key).join(turns, key).select(*docs.columns, "__position")
-    return joined.repartitionByRange("__position").sortWithinPartitions("__position").drop("__position")
+    key = [*ROW_KEY, "sourceless", "of"]
+    source = {"sourceless": F.col("source").isNull(), "of": F.coalesce(F.col("source").cast("string"), F.lit(""))}
+    turns = turns.select(F.col("doc_id").isNull().alias("unknown"), F.coalesce("doc_id", F.lit(0).cast("bigint")).alias("id"), F.col("text_hash").alias("hash"), *(c.alias(k) for k, c in source.items()), "position")
+    joined = one_of_each(with_row_key(docs, **source), key).join(turns, key).select("row", "position")
+    return joined.repartitionByRange("position").sortWithinPartitions("position").select("row.*")

@@ -29,19 +29,23 @@ def words(text: Column) -> Column:
 
 
 #: Columns of `with_row_key`: they are never null, so that joins on them need no null-safe comparison.
-ROW_KEY = ["__unknown", "__id", "__hash"]
+ROW_KEY = ["unknown", "id", "hash"]
 
 
-def with_row_key(docs: DataFrame) -> DataFrame:
-    """docs with ROW_KEY: whether doc_id is null, the id (0 if so) and a hash of the text."""
+def with_row_key(docs: DataFrame, **more: Column) -> DataFrame:
+    """(row, *ROW_KEY, *more): each row of docs as a struct, so that no name of its columns can clash; whether doc_id is null, the id (0 if so), a hash of the text."""
     doc_id = F.col("doc_id").cast("bigint")
-    return docs.withColumns({"__unknown": doc_id.isNull(), "__id": F.coalesce(doc_id, F.lit(0)), "__hash": F.xxhash64(text_of())})
+    key = {"unknown": doc_id.isNull(), "id": F.coalesce(doc_id, F.lit(0)), "hash": F.xxhash64(text_of())}
+    return docs.select(F.struct(*docs.columns).alias("row"), *(c.alias(k) for k, c in (key | more).items()))
 
 
 def one_of_each(df: DataFrame, key: list[str]) -> DataFrame:
-    """One row of each kind of rows equal in key; stays partitioned by it, for a join that follows."""
-    numbered = df.withColumn("__copy", F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(1))))
-    return numbered.where("__copy = 1").drop("__copy")
+    """One row of each kind of rows equal in key; stays partitioned by it, for a join that follows.
+
+    The limit on the row number is applied before the exchange too, so that a task sends one row of a kind at most.
+    """
+    numbered = df.withColumn("copy", F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(1))))
+    return numbered.where("copy = 1").drop("copy")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,10 +53,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set (tests)."""
+    """The folder that driver and executors share; a temporary one only where none is set and all is on one machine (tests)."""
     for where in (spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.getCheckpointDir()):
         if where:
             return where.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 

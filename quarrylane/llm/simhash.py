@@ -137,11 +137,12 @@ def keep_one_per_group(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of docs that stay when one document of each near-duplicate group does.
 
     The row with the smallest doc_id stays (null last; of equal ids the text with the smallest
-    hash; of repeated rows one). All columns are kept.
+    hash; of repeated rows one). All columns are kept, whatever they are called. An empty table
+    gives no rows.
     """
     prints, grouped = _grouped(docs, max_bits)
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash")
     best = prints.groupBy("fp").agg(F.min(order).alias("best")).join(grouped.select("fp", "root"), "fp")
     stay = best.groupBy("root").agg(F.min("best").alias("best"))
-    stay = stay.select(F.col("best.unknown").alias("__unknown"), F.coalesce("best.doc_id", F.lit(0).cast("bigint")).alias("__id"), F.col("best.text_hash").alias("__hash"))
-    return one_of_each(with_row_key(docs), ROW_KEY).join(stay, ROW_KEY, "left_semi").drop(*ROW_KEY)
+    stay = stay.select(F.col("best.unknown").alias("unknown"), F.coalesce("best.doc_id", F.lit(0).cast("bigint")).alias("id"), F.col("best.text_hash").alias("hash"))
+    return one_of_each(with_row_key(docs), ROW_KEY).join(stay, ROW_KEY, "left_semi").select("row.*")

@@ -1,36 +0,0 @@
-import hashlib
-
-import corpus_pipeline
-import numpy as np
-
-from quarrylane.llm import bpe, simhash
-from quarrylane.llm.queries import tokenizer_path
-
-SF = "/root/testdata/sf0.001"
-
-
-def test_stages_take_effect(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    names, frames = [n for n, _ in corpus_pipeline.STAGES], [docs]
-    for _, stage in corpus_pipeline.STAGES:
-        rows = stage(spark, frames[-1], SF).toPandas()
-        frames.append(spark.createDataFrame(rows) if len(frames) < len(names) else rows)
-        if len(frames) <= len(names):
-            assert list(rows.columns) == docs.columns
-    counts = [f.count() for f in frames[:-1]]
-    assert counts[1] < counts[0] and counts[2] == counts[1] and counts[3] < counts[2]
-    unique = frames[3].toPandas()
-    prints = [simhash.fingerprint(t) for t in unique.text]
-    assert all((a ^ b).bit_count() > 4 for i, a in enumerate(prints) for b in prints[:i])
-    tokenizer = bpe.load(tokenizer_path())
-    texts = dict(zip(unique.doc_id, unique.text, strict=True))
-    assert len(frames[-1]) == counts[4] >= len(unique) * 0.5
-    for r in frames[-1].itertuples():
-        ids = tokenizer.encode(texts[r.doc_id], add_special_tokens=False).ids
-        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
-
-
-def test_run_gives_the_same(spark):
-    a = corpus_pipeline.run(spark, SF).toPandas().sort_values(["doc_id", "ids_sha256"]).reset_index(drop=True)
-    b = corpus_pipeline.run(spark, SF).toPandas().sort_values(["doc_id", "ids_sha256"]).reset_index(drop=True)
-    assert a.equals(b) and len(a)
