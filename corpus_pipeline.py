@@ -34,8 +34,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix as tokens."""
-    return bpe.encode_documents(docs.select("doc_id", "text"), tokenizer_path()).drop("text")
+    """The mix as tokens, with each row's place in training order: the file of the mix, and the row in it (null if docs is no stored table)."""
+    stored = bool(docs.inputFiles())
+    place = {"mix_file": F.col("_metadata.file_name") if stored else F.lit(None).cast("string"), "mix_row": F.col("_metadata.row_index") if stored else F.lit(None).cast("bigint")}
+    rows = docs.select("doc_id", "text", *(c.alias(k) for k, c in place.items()))
+    return bpe.encode_documents(rows, tokenizer_path(), ids=True).drop("text")
 
 
 STAGES = [("quality classifier", quality), ("line dedup", lines), ("simhash near-dedup", near_copies), ("mixing", mix), ("bpe encoding", encode)]
@@ -45,7 +48,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of sf_dir; what lies between them is in the shared folder."""
+    """All stages over the documents of sf_dir; what lies between them is in the shared folder.
+
+    Nulls in any column, repeated rows and texts of any length go through all stages, as each
+    stage's operator states; an empty table gives no rows.
+    """
     docs = table(spark, sf_dir, "documents")
     where = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
