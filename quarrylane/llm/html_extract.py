@@ -219,6 +219,8 @@ def layout(rng: np.random.Generator, words: list[str]) -> str:
         if chance(0.15):
             parts.append(talk())
         inner = title + "".join(parts)
+        if chance(0.15):  # right in the body
+            return inner
         tag = pick("article", "article", "article", "main", "div", "section")
         names = named("good") if tag == "div" or chance(0.4) else ""
         if tag == "div" and chance(0.25):
@@ -228,6 +230,8 @@ def layout(rng: np.random.Generator, words: list[str]) -> str:
 
     before = [f() for f in (head, menu, lambda: small("ad"), lambda: small("note"), side, form) if chance(0.4)]
     after = [f() for f in (side, talk, lambda: small("ad"), form, foot, lambda: small("note")) if chance(0.45)]
+    if chance(0.15):  # nothing else on the page
+        before, after = [], []
     middle = "".join(before) + (article() if chance(0.97) else "") + "".join(after)
     if chance(0.3):
         middle = f"<div{pick('', ' id=wrap', ' class=container')} data-main>{middle}</div>"

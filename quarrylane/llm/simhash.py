@@ -129,7 +129,9 @@ def simhash_groups(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     input are not read.
     """
     prints, grouped = _grouped(docs, max_bits)
-    heads = grouped.join(grouped.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
+    # Written down, so that the join's sides are plain exchanges: of a root that very many fingerprints have, their side can then be dealt to several tasks.
+    least = durable(grouped.groupBy("root").agg(F.min("least").alias("component_id")))
+    heads = grouped.join(least, "root").select("fp", "component_id")
     return prints.join(heads, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 

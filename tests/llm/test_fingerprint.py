@@ -1,10 +1,62 @@
 import hashlib
+import random
+import struct
 
+import xxhash
 from odd_rows import ODD
+from pyspark.sql import functions as F
 
 from quarrylane.llm import fingerprint
 
 
+def brute_hashes(text):
+    """The distinct hashes of five-word shingles: XXH64 with seed 42 of each word, chained over the words."""
+    words = (text or "").split()
+    if not words:
+        return set()
+    hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
+    out = set()
+    for run in [hashes[i : i + 5] for i in range(len(words) - 4)] or [hashes]:
+        seed = 42
+        for h in run:
+            seed = xxhash.xxh64_intdigest(struct.pack("<Q", h), seed)
+        out.add(seed)
+    return out
+
+
+def kept(hashes):
+    return {h for h in hashes if h < 1 << 62}
+
+
+def brute_likeness(a, b):
+    if a == b:
+        return 1.0
+    x, y = kept(a), kept(b)
+    return len(x & y) / min(len(x), len(y)) if x and y else 0.0
+
+
+def test_sketches_and_likeness_equal_brute_force(spark, docs_of):
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(60)]
+    rows = [(i, " ".join(rng.choice(base) for _ in range(rng.choice([0, 1, 3, 5, 9, 40, 300])))) for i in range(1, 80)]
+    rows += [(100 + k, rows[k][1] + " more words at the end of it") for k in range(20)]
+    found = {r.doc_id: r for r in fingerprint.fingerprint_pairs(docs_of(rows)).collect()}
+    ordered = sorted(rows, reverse=True)
+    for k, (i, text) in enumerate(ordered):
+        following, half = ordered[(k + 1) % len(ordered)][1], len(text) // 2
+        mine, theirs, edited = brute_hashes(text), brute_hashes(following), brute_hashes(text[: len(text) - half] + following[:half])
+        n, _, hashes = found[i].fingerprint.split(":")
+        assert int(n, 16) == len(mine) and {int(hashes[j : j + 16], 16) for j in range(0, len(hashes), 16)} == kept(mine)
+        assert found[i].near_next == brute_likeness(mine, theirs) and found[i].near_edited == brute_likeness(mine, edited)
+
+
+def test_sketches_merge(spark):
+    a, b = " ".join(f"a{k}" for k in range(200)), " ".join(f"a{k}" for k in range(100, 400))
+    one = lambda c: fingerprint.sketch(fingerprint.shingle_hashes(F.col(c)))
+    (found,) = spark.createDataFrame([(a, b)], "a string, b string").select(fingerprint.merged(one("a"), one("b"))).first()
+    assert {h % (1 << 64) for h in found} == kept(brute_hashes(a) | brute_hashes(b))
+
+
 def test_edited_texts_follow_descending_ids(docs_of):
     rows = [(i, " ".join(f"w{(i * 7 + k) % 50}" for k in range(i % 40))) for i in range(1, 90)]
     found = {r.doc_id: r for r in fingerprint.fingerprint_pairs(docs_of(rows)).collect()}

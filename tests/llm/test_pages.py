@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from page_texts import PAGES as WRITTEN
 
 from quarrylane.llm import html_extract, url_filter
 from quarrylane.llm.dom import read
@@ -67,6 +68,17 @@ def test_layouts(model, page):
     assert html_extract.texts_of([page], model) == [WANT]
 
 
+@pytest.mark.parametrize("name", WRITTEN)
+def test_written_pages(model, name):
+    page, want = WRITTEN[name]
+    assert html_extract.texts_of([page], model) == [want]
+
+
+@pytest.mark.parametrize("page,want", [("<p>One line only</p>", "One line only"), ("<body><h1>Title</h1><p>Short words.</p></body>", "Title\nShort words."), ("", "")])
+def test_small_pages(model, page, want):
+    assert html_extract.texts_of([page], model) == [want]
+
+
 def test_held_out_layouts(model):
     rng, words = np.random.default_rng(77), [f"neu{i}" for i in range(500)]
     main = found = other = wrong = 0
@@ -74,7 +86,7 @@ def test_held_out_layouts(model):
         page = html_extract.layout(rng, words)
         kept = set(html_extract.texts_of([page], model)[0].split("\n"))
         for e, text in read(page)[1]:
-            good = "data-main" in e.attributes
+            good = "data-main" in e.attributes or e.tag == "body"
             main, found = main + good, found + (good and text in kept)
             other, wrong = other + (not good), wrong + (not good and text in kept)
     assert found / main > 0.97 and wrong / other < 0.03
