@@ -122,6 +122,11 @@ def assert_clean(summary: DataFrame) -> None:
             raise DatasetError(code, f"the dataset is not valid: {row.asDict()}")
 
 
+def assert_coverage(built: DataFrame, first: int, last: int, times: tuple[int, int] | None = None) -> None:
+    """Raise unless a built result has exactly the blocks first..last, without nulls and inside its domains."""
+    assert_clean(dataset_summary(built, first, last, None, times))
+
+
 def proof_mismatches(staged: DataFrame) -> DataFrame:
     """Rows whose proof columns are null, differ from the published column they prove, or prove gas to be impossible or receipts incomplete."""
     pairs = {"_proof_hash": "block_hash", "_proof_parent_hash": "parent_hash", "_proof_timestamp": "timestamp", "_proof_gas_used": "gas_used", "_proof_gas_limit": "gas_limit"}

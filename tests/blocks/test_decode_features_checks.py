@@ -167,6 +167,11 @@ def test_warehouse_scans_are_pruned_by_time(spark, tmp_path):
         spark.conf.set("spark.sql.maxMetadataStringLength", before)
     scans = [line for line in plan.splitlines() if "FileScan" in line]
     assert len(scans) >= 3 and all("GreaterThanOrEqual(block_timestamp" in line and "LessThanOrEqual(block_timestamp" in line for line in scans)
+    checks.assert_coverage(built, 10, 19)
+    for wrong, code in ((built.where("block_number <> 15"), "DATASET_RANGE"), (built.unionByName(built.where("block_number = 15")), "DATASET_RANGE"), (built.withColumn("tx_count", F.lit(-1).cast("bigint")), "DATASET_DOMAIN")):
+        with pytest.raises(DatasetError) as e:
+            checks.assert_coverage(wrong, 10, 19)
+        assert e.value.code == code
     with pytest.raises(DatasetError) as e:
         features.features_from_warehouse(read[0].drop("gas_used"), *read[1:], ["timestamp"], 0, 1)
     assert e.value.code == "SOURCE_SCHEMA"
