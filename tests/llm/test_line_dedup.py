@@ -43,6 +43,25 @@ def test_equals_brute_force(docs_of):
         assert found[i][1] - found[i][2] == (len(want.split("\n")) if want or found[i][1] > found[i][2] else 0)
 
 
+def test_dense_groups_of_near_copies(docs_of):
+    """Many variants of few lines, short ones and some about the length from which there are more parity bits."""
+    rng = random.Random(11)
+    bases = [[f"b{k}w{i}" for i in range(n)] for k, n in enumerate((9, 12, 17, 40, 62, 66, 70, 150))]
+    rows = []
+    for i in range(160):
+        lines = []
+        for base in rng.sample(bases, 3):
+            line = list(base)
+            for _ in range(rng.choice([0, 1, 1, 2, 3, len(line) // 10, len(line) // 7])):
+                line[rng.randrange(len(line))] = rng.choice(["x", "y", f"new{rng.randrange(400)}"])
+            for _ in range(rng.choice([0, 0, 1, len(line) // 9])):
+                line.pop(rng.randrange(len(line)))
+            lines.append(" ".join(rng.sample(line, len(line))))
+        rows.append((i, "\n".join(lines)))
+    found = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs_of(rows)).collect()}
+    assert [found[i] for i, _ in rows] == brute(rows)
+
+
 def test_candidates_that_fail_are_tried_against_all(docs_of, monkeypatch):
     """With filters that let everything through, first candidates fail and the second try decides."""
     from pyspark.sql import functions as F
