@@ -30,7 +30,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import WHITE, durable, plain_words, text_of
+from .shared import WHITE, drop_durable, durable, plain_words, text_of
 
 #: Hash buckets for counting words: at most three digits each go with the plan.
 BUCKETS = 1 << 17
@@ -134,10 +134,12 @@ def _listed(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
 
 def _words(docs: DataFrame, sets: DataFrame) -> DataFrame:
     """(d, rk, pos, words) of some sets."""
-    wanted = _listed(_lines(docs), durable(sets.select(*_AT).distinct()), _AT)
+    asked = durable(sets.select(*_AT).distinct())
     # Of rows equal in doc_id and text, any one will do.
-    lines = wanted.groupBy(*_AT).agg(F.min("line").alias("line"))
-    return durable(lines.select(*_AT, F.array_distinct(F.array_remove(plain_words(F.col("line")), "")).alias("words")))
+    lines = _listed(_lines(docs), asked, _AT).groupBy(*_AT).agg(F.min("line").alias("line"))
+    words = durable(lines.select(*_AT, F.array_distinct(F.array_remove(plain_words(F.col("line")), "")).alias("words")))
+    drop_durable(asked)
+    return words
 
 
 def _alike() -> Column:
@@ -150,10 +152,14 @@ def _set(prefix: str) -> list[Column]:
 
 
 def _matched(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The sets a (d, rk, pos) for which a pair holds, by the words of both lines."""
+    """The sets a (d, rk, pos) for which a pair holds, by the words of both lines; written down, and the tables on the way deleted."""
+    pairs = durable(pairs)
     words = _words(docs, pairs.select(*_set("a_")).unionByName(pairs.select(*_set("b_"))))
     both = pairs.join(_renamed(words, "a_"), [f"a_{k}" for k in _AT]).join(_renamed(words, "b_"), [f"b_{k}" for k in _AT])
-    return both.where(_alike()).select(*_set("a_")).distinct()
+    found = durable(both.where(_alike()).select(*_set("a_")).distinct())
+    drop_durable(words)
+    drop_durable(pairs)
+    return found
 
 
 def _met() -> Column:
@@ -178,7 +184,7 @@ def _matched_by_earliest(docs: DataFrame, left: DataFrame, partners: DataFrame)
     near = earliest.select("*", F.explode(F.array(F.col("n") - 1, F.col("n"), F.col("n") + 1)).alias("of"))
     a, b = _renamed(left, "a_"), _renamed(near, "b_")
     pairs = a.join(b, _met() & (F.col("a_n") == F.col("b_of"))).select(*(f"{s}{k}" for s in ("a_", "b_") for k in _AT))
-    return _matched(docs, durable(pairs.distinct()))
+    return _matched(docs, pairs.distinct())
 
 
 def _matched_by_any(docs: DataFrame, left: DataFrame, partners: DataFrame) -> DataFrame:
@@ -226,13 +232,16 @@ def later_matches(docs: DataFrame) -> DataFrame:
     tried = ranked.join(_renamed(postings, "c_"), (F.col("a_w") == F.col("c_w")) & noted, "left_semi")
     tried = durable(tried)
     pairs = tried.where("b_d is not null").select(*(f"{s}{k}" for s in ("a_", "b_") for k in _AT)).distinct()
-    matched = durable(_matched(docs, durable(pairs)))
+    matched = _matched(docs, pairs)
     left = durable(tried.select(*(F.col(f"a_{c}").alias(c) for c in row)).distinct().join(matched, _AT, "left_anti"))
+    drop_durable(tried)
     if not left.isEmpty():
         partners = _partners(left, keyed.withColumn("w", word).select(*row))
-        more = durable(_matched_by_earliest(docs, left, partners))
-        left = durable(left.join(more, _AT, "left_anti"))
-        last = _matched_by_any(docs, left, _partners(left, partners))
+        more = _matched_by_earliest(docs, left, partners)
+        few = durable(left.join(more, _AT, "left_anti"))
+        last = durable(_matched_by_any(docs, few, _partners(few, partners)))
+        for done in (left, few, partners):
+            drop_durable(done)
         matched = matched.unionByName(more).unionByName(last)
 
     # Only sets that lose an occurrence are looked up among the lines.
