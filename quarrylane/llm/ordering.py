@@ -29,3 +29,21 @@ def successors(keys: DataFrame, order: list[Column], columns: list[str]) -> Data
     heads = heads.select("__range", F.lead("__head").over(edge).alias("__after"), F.first("__head").over(edge).alias("__start"))
     joined = led.join(F.broadcast(heads), "__range")  # MAX_RANGES rows at most
     return joined.withColumn("next", F.coalesce("__next", "__after", "__start")).drop("__range", "__next", "__k", "__after", "__start")
+
+
+def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """rows with their place, from 1, in a global order, in the column `name`; no window sees more than one row per range.
+
+    Rows are dealt to ranges and each range is sorted; a row's number inside its range comes with the
+    stored table, and the ranges' sizes, added up, give the rest. Rows equal in `order` may take
+    each other's places.
+    """
+    ranges = min(MAX_RANGES, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    dealt = durable(dealt.withColumn("__at", F.monotonically_increasing_id()))  # 33 bits of row number below the partition's
+    part, at = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = dealt.groupBy(part.alias("__range")).agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy(F.lit(0)).orderBy("__range")) - F.col("__n")
+    starts = sizes.select("__range", before.alias("__before"))
+    joined = dealt.withColumn("__range", part).join(F.broadcast(starts), "__range")  # MAX_RANGES rows at most
+    return joined.withColumn(name, F.col("__before") + at + 1).drop("__range", "__at", "__before")
