@@ -5,25 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.catalog import KEY
+from ..sources.scratch import stored
+from .canonical import canonical_chain
 from .checks import link_violations
 
-KEY = "block_number"
 
+def sampled(dataset_id: Column, first: Column, last: Column, inner: int = 3) -> Column:
+    """The numbers of the first and last block, and of up to `inner` between, seeded by the id; first and last must be there, and in order.
 
-def sample_numbers(datasets: DataFrame, inner: int = 3) -> DataFrame:
-    """(dataset_id, block_number): first and last block, and up to `inner` between, seeded by the id.
-
-    datasets has dataset_id (a UUID), first_block and last_block. The seed is the first eight bytes
-    of the SHA-256 of the id's bytes; the inner blocks are consecutive from there, wrapping round.
+    The seed is the first eight bytes of the SHA-256 of the id's bytes; the inner blocks are
+    consecutive from there, wrapping round.
     """
-    digest = F.sha2(F.unhex(F.replace("dataset_id", F.lit("-"), F.lit(""))), 256)
+    digest = F.sha2(F.try_to_binary(F.replace(dataset_id, F.lit("-"), F.lit("")), F.lit("hex")), 256)
     seed = F.conv(F.substring(digest, 1, 16), 16, 10).cast("decimal(20,0)")
-    width = F.col("last_block") - F.col("first_block") - 1
-    steps = F.when(width > 0, F.sequence(F.lit(0).cast("bigint"), F.least(F.lit(inner).cast("bigint"), width) - 1)).otherwise(F.array().cast("array<bigint>"))
-    seeded = datasets.withColumns({"seed": seed, "width": width, "steps": steps})
-    between = F.transform("steps", lambda i: F.col("first_block") + 1 + ((F.col("seed") + i) % F.col("width")).cast("bigint"))
-    numbers = F.array_distinct(F.concat(F.array("first_block", "last_block"), between))
-    return seeded.select("dataset_id", F.explode(numbers).alias(KEY))
+    width = last - first - 1
+    steps = F.when(width > 0, F.sequence(F.lit(0).cast("bigint"), F.least(F.lit(inner).cast("bigint"), F.greatest(width, F.lit(1))) - 1)).otherwise(F.array().cast("array<bigint>"))
+    between = F.transform(steps, lambda i: first + 1 + ((seed + i) % F.greatest(width, F.lit(1))).cast("bigint"))
+    return F.array_distinct(F.concat(F.array(first, last), between))
+
+
+def sample_numbers(datasets: DataFrame, inner: int = 3) -> DataFrame:
+    """(dataset_id, block_number) of the blocks that `sampled` names; datasets has dataset_id (a UUID), first_block and last_block."""
+    return datasets.select("dataset_id", F.explode(sampled(F.col("dataset_id"), F.col("first_block"), F.col("last_block"), inner)).alias(KEY))
 
 
 def rows_at(df: DataFrame, numbers: DataFrame) -> DataFrame:
@@ -75,10 +79,18 @@ def core_mismatches(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def ancestry_breaks(chain: DataFrame, target: int, target_hash: str, anchor: int, anchor_hash: str) -> DataFrame:
-    """(block_number, reason): what breaks the line from the target to the anchor, both included; no rows if it holds."""
+    """(block_number, reason): what breaks the line from the target to the anchor, both included; no rows if it holds.
+
+    The chain may hold forks: the branch that leads down from the anchor, and from heights with a
+    single header, is judged, and the others are left aside.
+    """
     span = chain.where(F.col(KEY).between(target, anchor)).select(KEY, "block_hash", "parent_hash", "timestamp")
-    links = link_violations(span).where(F.col(KEY) > target)
-    edge = span.agg(F.count(F.lit(1)).alias("n"), F.max_by("block_hash", KEY).alias("top"), F.min_by("block_hash", KEY).alias("low"))
+    line = canonical_chain(span, anchor, anchor_hash, uncontested=True)
+    # Another header at the anchor's height is a fault, not a fork that could be left aside.
+    top = span.where(F.col(KEY) == anchor)
+    line = stored(line.where(F.col(KEY) < anchor).unionByName(top.orderBy((F.col("block_hash") == anchor_hash).desc()).limit(1)))
+    links = link_violations(line).where(F.col(KEY) > target)
+    edge = line.agg(F.count(F.lit(1)).alias("n"), F.max_by("block_hash", KEY).alias("top"), F.min_by("block_hash", KEY).alias("low"))
     faults = F.array_compact(
         F.array(
             F.when(F.col("n") != anchor - target + 1, F.struct(F.lit(anchor).cast("bigint").alias(KEY), F.lit("coverage").alias("reason"))),
@@ -89,14 +101,17 @@ def ancestry_breaks(chain: DataFrame, target: int, target_hash: str, anchor: int
     return links.unionByName(edge.select(F.explode(faults).alias("x")).select("x.*"))
 
 
-def refresh_anchor(chain: DataFrame, target: int, target_hash: str, anchor: int, anchor_hash: str, head: int) -> DataFrame:
+def refresh_anchor(chain: DataFrame, target: int, target_hash: str, anchor: int, anchor_hash: str, head: int, head_hash: str | None = None) -> DataFrame:
     """One row: block_number and block_hash of the new anchor, and refreshed (1 or 0).
 
     The stored anchor must still have its hash, the head must not be behind it, and the line from
-    the target to the anchor and on to the head must hold.
+    the target to the anchor and on to the head must hold. Of several headers at the head's height,
+    head_hash names the one that is final; without it there must be just one.
     """
-    below = ancestry_breaks(chain, target, target_hash, anchor, anchor_hash)
-    new = chain.where(F.col(KEY) == head).select(KEY, "block_hash").limit(1)
-    above = link_violations(chain.where(F.col(KEY).between(anchor, head)).select(KEY, "block_hash", "parent_hash", "timestamp"))
-    broken = below.unionByName(above).count()
-    return new.select(KEY, "block_hash", F.lit(int(broken == 0 and head >= anchor)).cast("bigint").alias("refreshed"))
+    tops = [r[0] for r in chain.where(F.col(KEY) == head).select("block_hash").distinct().limit(2).collect()]
+    top = head_hash if head_hash is not None else tops[0] if tops else None
+    new = chain.where((F.col(KEY) == head) & (F.col("block_hash") == top)).select(KEY, "block_hash").limit(1)
+    if top is None or head < anchor or (head_hash is None and len(tops) > 1):
+        return new.withColumn("refreshed", F.lit(0).cast("bigint"))
+    broken = ancestry_breaks(chain, target, target_hash, anchor, anchor_hash).unionByName(ancestry_breaks(chain, anchor, anchor_hash, head, top)).count()
+    return new.select(KEY, "block_hash", F.lit(int(broken == 0)).cast("bigint").alias("refreshed"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import threshold
-from ..plans.catalog import Selection
+from ..plans.catalog import DatasetError, Selection
 from ..sources import warehouse
 from ..sources.warehouse import scan_by_time
 
@@ -66,12 +66,17 @@ def build_block_features(blocks: DataFrame, transactions: DataFrame | None, rece
 def features_from_warehouse(blocks: DataFrame, transactions: DataFrame | None, receipts: DataFrame | None, names: list[str] | tuple[str, ...], first: int, last: int) -> DataFrame:
     """The features of blocks first..last from a warehouse's own tables, with its names and types.
 
-    The tables' columns are checked before anything is read. One scan of the blocks' numbers and
-    times gives the time span by which all three tables are then read.
+    The columns that the selection needs are checked before anything is read; others may be missing,
+    and so may a table that it does not need. One scan of the blocks' numbers and times gives the
+    time span by which the tables are then read.
     """
-    blocks = warehouse.blocks_of(blocks)
-    transactions = None if transactions is None else warehouse.transactions_of(transactions)
-    receipts = None if receipts is None else warehouse.receipts_of(receipts)
+    plan = Selection.of(names)
+    for table, asked, name in ((transactions, "tx_count" in plan.names, "transactions"), (receipts, plan.percentiles, "receipts")):
+        if asked and table is None:
+            raise DatasetError("SOURCE_SCHEMA", f"the {name} table is needed")
+    blocks = warehouse.blocks_of(blocks, plan)
+    transactions = warehouse.transactions_of(transactions) if "tx_count" in plan.names else None
+    receipts = warehouse.receipts_of(receipts) if plan.percentiles else None
     span = blocks.where(F.col("block_number").between(first, last)).agg(F.min("timestamp"), F.max("timestamp")).first()
     return build_block_features(blocks, transactions, receipts, names, first, last, None if span[0] is None else tuple(span))
 

@@ -115,6 +115,23 @@ outcomes AS (
                     bool_or(coalesce(error_code = -32005, false)) AS over, bool_or(result IS NOT NULL) AS given FROM replies GROUP BY 1, 2) r
   ON c.b = r.batch_id AND c.i = r.id)"""
 
+_LANDED = """
+members AS (
+  SELECT batch_id, id AS n, jsonrpc, error_code, n_text OR n_fraction OR no_object AS unnamed, no_object, result IS NOT NULL AND has_result AS given, (has_result AND result IS NULL AND error_code IS NULL) OR (result IS NOT NULL AND has_result) AS shown,
+    error_code IS NOT NULL AND id % 211 = 3 AND id % 2 = 1 AS code_text, error_code IS NOT NULL AND id % 223 = 4 AND id % 3 = 1 AS no_message
+  FROM (SELECT *, id % 541 = 11 AS n_text, id % 547 = 12 AS n_fraction, id % 557 = 13 AS no_object FROM replies)),
+rated AS (
+  SELECT batch_id, CASE WHEN NOT unnamed THEN n END AS id, unnamed OR jsonrpc <> '2.0' OR shown = (error_code IS NOT NULL) OR code_text OR no_message AS odd,
+    CASE WHEN NOT no_object AND NOT code_text AND error_code IS NOT NULL THEN CASE WHEN n % 211 = 3 THEN -32603 ELSE error_code END END AS code, given AND NOT no_object AS given
+  FROM members WHERE NOT (batch_id % 97 = 41 OR batch_id % 101 = 43)
+  UNION ALL SELECT DISTINCT batch_id, NULL, true, NULL, false FROM replies WHERE batch_id % 97 = 41 OR batch_id % 101 = 43),
+landed AS (
+  SELECT coalesce(c.b, r.batch_id) AS batch_id, coalesce(c.i, r.id) AS id,
+    CASE WHEN c.i IS NULL OR r.n > 1 OR r.odd THEN 'protocol' WHEN r.fatal THEN 'fatal' WHEN r.over THEN 'limit' WHEN r.given THEN 'accepted' ELSE 'retry' END AS outcome
+  FROM (SELECT n // 20 AS b, n AS i FROM fx_events) c
+  FULL JOIN (SELECT batch_id, id, count(*) AS n, bool_or(odd) AS odd, bool_or(coalesce(code IN (-32700, -32600, -32601, -32602, -32000, -32001, -32003, -32004, -32006), false)) AS fatal, bool_or(coalesce(code = -32005, false)) AS over, bool_or(given) AS given FROM rated GROUP BY 1, 2) r
+  ON c.b = r.batch_id AND c.i = r.id)"""
+
 _STAGED = """
 staged AS (
   SELECT b.*, block_hash AS _proof_hash, parent_hash AS _proof_parent_hash, "timestamp" AS _proof_timestamp, gas_used AS _proof_gas_used, gas_limit AS _proof_gas_limit FROM {0} b)"""
@@ -158,6 +175,7 @@ LEFT JOIN (SELECT block_hash, sum(gas_used) AS g FROM fx_receipts WHERE NOT (tra
     "select_features": _sql('SELECT block_number, "timestamp", base_fee_per_gas, gas_used, block_hash, parent_hash, gas_limit FROM fx_blocks'),
     "proof_columns": _sql('SELECT block_number, "timestamp", gas_used, block_hash AS _proof_hash, parent_hash AS _proof_parent_hash, "timestamp" AS _proof_timestamp, gas_used AS _proof_gas_used, gas_limit AS _proof_gas_limit FROM fx_blocks'),
     "warehouse_features": _sql("SELECT f.* FROM features f, fx_head WHERE block_number <= head", _JOINED),
+    "warehouse_counts": _sql('SELECT block_number, "timestamp", tx_count FROM fx_blocks, fx_head WHERE block_number <= head'),
     "receipt_proofs": _sql(
         """SELECT b.block_number FROM fx_blocks b LEFT JOIN (SELECT block_hash, sum(gas_used) AS g FROM fx_receipts WHERE NOT (transaction_index = 0 AND effective_gas_price % 97 = 5) GROUP BY 1) s ON b.block_hash = s.block_hash WHERE b.gas_used <> coalesce(s.g, 0)"""
     ),
@@ -172,6 +190,7 @@ WHERE block_timestamp BETWEEN lo + (hi - lo) // 4 AND lo + (hi - lo) // 2"""
     ),
     "decode_fee_history": _sql("SELECT block_number, block_hash, effective_priority_fee_per_gas_p50 AS p50, effective_priority_fee_per_gas_p90 AS p90 FROM features", _JOINED),
     "reconcile_replies": _sql("SELECT * FROM outcomes", _REPLIES),
+    "reconcile_batches": _sql("SELECT * FROM landed", _REPLIES, _LANDED),
     "retry_calls": _sql("SELECT batch_id, id FROM outcomes WHERE outcome IN ('retry', 'limit')", _REPLIES),
     "normalize_bounds": _sql("SELECT * FROM bounds", _RANGES),
     "check_requests": _sql(
@@ -247,6 +266,7 @@ UNION ALL SELECT anchor, 'anchor' FROM span, (SELECT max_by(block_hash, block_nu
 UNION ALL SELECT target, 'target' FROM span, (SELECT min_by(block_hash, block_number) AS h FROM part) WHERE h IS DISTINCT FROM '0x' || sha256(cast(target AS varchar))""",
         _VERIFIER, _SPAN, "part AS (SELECT v.* FROM fx_verifier v, span WHERE block_number BETWEEN target AND anchor)", _LINKS.format("part"),
     ),
+    "canonical_chain": _sql("SELECT b.* FROM fx_blocks b, fx_head WHERE block_number <= head"),
     "refresh_anchor": _sql(
         """SELECT head AS block_number, '0x' || sha256(cast(head AS varchar)) AS block_hash, cast(1 AS bigint) AS refreshed, 'blocks' AS "of" FROM fx_head
 UNION ALL SELECT v.block_number, v.block_hash, cast((SELECT count(*) FROM links WHERE reason IS NOT NULL) = 0 AND (SELECT count(*) FROM part) = head - target + 1 AS bigint), 'verifier' FROM fx_verifier v, span WHERE v.block_number = head""",
@@ -264,6 +284,16 @@ LEFT JOIN (SELECT block_number // 256 AS chunk_id, min(block_number) AS f, max(b
 WHERE s.chunk_id IS NULL""",
         _VERIFIER, _STAGED.format("fx_verifier"),
     ),
+    "chunk_states": _sql(
+        """SELECT chunk_id, from_block, to_block, state, cast(coalesce(chunk_id < (SELECT min(chunk_id) FROM states WHERE state <> 'complete'), true) AS bigint) AS usable FROM states""",
+        _VERIFIER, _LINKS.format("fx_verifier"),
+        """plan AS (SELECT DISTINCT n // 256 AS chunk_id, n // 256 * 256 AS from_block, least(n // 256 * 256 + 255, head + 400) AS to_block FROM (SELECT cast(unnest(generate_series(0, (SELECT head + 400 FROM fx_head))) AS bigint) AS n), fx_head),
+have AS (SELECT block_number // 256 AS chunk_id, min(block_number) AS f, max(block_number) AS t, count(*) AS c FROM fx_verifier GROUP BY 1),
+faulty AS (SELECT DISTINCT block_number // 256 AS chunk_id FROM links WHERE reason IN ('parent', 'time')),
+states AS (
+  SELECT p.*, CASE WHEN h.chunk_id IS NULL THEN 'absent' WHEN p.chunk_id // 8 = 1 THEN 'changed' WHEN p.from_block <> h.f OR p.to_block <> h.t OR h.c <> h.t - h.f + 1 THEN 'incomplete' WHEN x.chunk_id IS NOT NULL THEN 'broken' ELSE 'complete' END AS state
+  FROM plan p LEFT JOIN have h ON p.chunk_id = h.chunk_id LEFT JOIN faulty x ON p.chunk_id = x.chunk_id)""",
+    ),
     "assemble": _sql(f"SELECT {_SEVEN} FROM fx_blocks"),
     "run_receipt": _sql("SELECT count(*) AS row_count, count(*) FILTER (WHERE block_number < 1024) AS reused_rows, count(*) FILTER (WHERE block_number >= 1024) AS acquired_rows, min_by(block_hash, block_number) AS first_hash, max_by(block_hash, block_number) AS target_hash FROM fx_blocks"),
     "manifest_facts": _sql('SELECT count(*) AS row_count, min(block_number) AS from_block, max(block_number) AS to_block, min_by("timestamp", block_number) AS from_timestamp, max_by("timestamp", block_number) AS to_timestamp, max_by(block_hash, block_number) AS target_hash FROM fx_blocks'),
@@ -273,5 +303,8 @@ WHERE s.chunk_id IS NULL""",
     "audit_manifests": "SELECT unnest(['', 'target_hash', 'row_count']) AS faults, cast(1 AS bigint) AS datasets",
     "stream_headers": _sql(f"SELECT {_SEVEN} FROM decoded WHERE reject_reason IS NULL", _DECODED),
     "finalized_view": _sql("SELECT b.* FROM fx_blocks b, fx_head WHERE block_number <= head"),
+    "stream_reorgs": _sql("SELECT b.* FROM fx_blocks b, fx_head WHERE block_number <= head"),
+    "stream_final_features": _sql("SELECT f.* FROM features f, fx_head WHERE block_number <= head", _JOINED),
     "stream_features": _sql("SELECT * FROM features WHERE block_number <> 33 OR tx_count < 2", _JOINED),
 }
+ORACLE_SQL["ancestry_breaks_forked"] = ORACLE_SQL["ancestry_breaks"]

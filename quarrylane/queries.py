@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .functions.columns import as_hash, to_quantity
-from .operators import agree, checks, features, ranges
+from .operators import agree, canonical, checks, features, ranges
 from .oracle import ORACLE_SQL, SAMPLE_IDS
 from .plans import catalog
 from .sources import chunks, decode, store, warehouse
 from .sources.fixtures import Fixtures
+from .sources.scratch import scratch_dir
 from .streaming import stream
 
 NINE = [f.name for f in catalog.CATALOG]
@@ -25,16 +23,6 @@ def _query(f):
     return f
 
 
-def _scratch(spark: SparkSession) -> str:
-    """A fresh folder in the place that driver and executors share; a temporary one where none is set and all is on one machine."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="spark-scratch-")
-    return f"{base.rstrip('/')}/blocks-{uuid.uuid4().hex}"
-
-
 def _full(fx: Fixtures) -> DataFrame:
     return features.build_block_features(fx.headers(), fx.transactions(), fx.receipts(), NINE)
 
@@ -89,6 +77,13 @@ def warehouse_features(fx: Fixtures) -> DataFrame:
     return features.features_from_warehouse(*fx.warehouse(), NINE, 0, fx.head())
 
 
+@_query
+def warehouse_counts(fx: Fixtures) -> DataFrame:
+    """Transaction counts of a chain whose warehouse has no fees, no gas and no receipts."""
+    blocks, transactions, _ = fx.warehouse()
+    return features.features_from_warehouse(blocks.drop("base_fee_per_gas", "gas_used", "gas_limit"), transactions, None, ["tx_count", "timestamp"], 0, fx.head())
+
+
 @_query
 def receipt_proofs(fx: Fixtures) -> DataFrame:
     """Blocks whose fee percentiles are not proved, as some receipts are missing."""
@@ -137,6 +132,12 @@ def reconcile_replies(fx: Fixtures) -> DataFrame:
     return decode.reconcile_replies(fx.requests(), fx.replies())
 
 
+@_query
+def reconcile_batches(fx: Fixtures) -> DataFrame:
+    """The same from the JSON text that came back, with members and payloads of wrong shapes."""
+    return decode.reconcile_batches(fx.requests(), fx.landed_batches())
+
+
 @_query
 def retry_calls(fx: Fixtures) -> DataFrame:
     return decode.retries(decode.reconcile_replies(fx.requests(), fx.replies())).select("batch_id", "id")
@@ -227,7 +228,7 @@ def link_violations(fx: Fixtures) -> DataFrame:
 
 @_query
 def link_violations_by_chunk(fx: Fixtures) -> DataFrame:
-    return checks.link_violations(fx.broken(), by_chunk=True)
+    return checks.link_violations(fx.broken(), size=chunks.CHUNK_SIZE)
 
 
 @_query
@@ -296,6 +297,19 @@ def _span(fx: Fixtures) -> tuple[int, str, int, str]:
     return head // 2, rows[head // 2], head - 50, rows[head - 50]
 
 
+@_query
+def canonical_chain(fx: Fixtures) -> DataFrame:
+    """The line to the finalized head among headers of losing branches."""
+    head = fx.head()
+    return canonical.canonical_chain(fx.forked(), head, fx.hash_at(head))
+
+
+@_query
+def ancestry_breaks_forked(fx: Fixtures) -> DataFrame:
+    """The same faults as without forks: losing branches are no faults, and hide none."""
+    return agree.ancestry_breaks(fx.forked(fx.verifier()), *_span(fx))
+
+
 @_query
 def ancestry_breaks(fx: Fixtures) -> DataFrame:
     return agree.ancestry_breaks(fx.verifier(), *_span(fx))
@@ -312,28 +326,28 @@ def refresh_anchor(fx: Fixtures) -> DataFrame:
 
 @_query
 def write_parquet(fx: Fixtures) -> DataFrame:
-    path = _scratch(fx.spark)
+    path = scratch_dir(fx.spark)
     store.write_dataset(fx.blocks().select("block_number", *NINE[:7]), path)
     return store.read_dataset(fx.spark, path, catalog.Selection.of(NINE[:7]))
 
 
 @_query
 def write_csv(fx: Fixtures) -> DataFrame:
-    path = _scratch(fx.spark)
+    path = scratch_dir(fx.spark)
     store.write_dataset(fx.blocks().select("block_number", *NINE[:7]), path, "csv")
     return store.read_dataset(fx.spark, path, catalog.Selection.of(NINE[:7]), "csv")
 
 
 @_query
 def read_parquet(fx: Fixtures) -> DataFrame:
-    path = _scratch(fx.spark)
+    path = scratch_dir(fx.spark)
     store.write_dataset(fx.blocks().select("block_number", "timestamp", "tx_count"), path)
     return store.read_dataset(fx.spark, path, catalog.Selection.of(["timestamp", "tx_count"]))
 
 
 @_query
 def read_csv(fx: Fixtures) -> DataFrame:
-    path = _scratch(fx.spark)
+    path = scratch_dir(fx.spark)
     store.write_dataset(fx.blocks().select("block_number", "timestamp", "block_hash"), path, "csv")
     return store.read_dataset(fx.spark, path, catalog.Selection.of(["block_hash", "timestamp"]), "csv")
 
@@ -345,12 +359,26 @@ def chunk_bounds(fx: Fixtures) -> DataFrame:
 
 def _staged(fx: Fixtures, size: int = 1024, blocks: DataFrame | None = None) -> DataFrame:
     """All blocks' rows staged by chunks; every fourth chunk is staged again, and is not there twice."""
-    path = _scratch(fx.spark)
+    path = scratch_dir(fx.spark)
     rows = catalog.with_proofs(fx.blocks() if blocks is None else blocks, NINE[:7])
     store.bind_staging(fx.spark, path, {"first": 0, "size": size})
     store.stage_chunks(rows, path, 0, size)
     store.stage_chunks(rows.where(F.floor(F.col("block_number") / size) % 4 == 1), path, 0, size)
-    return fx.spark.read.parquet(path).drop("chunk_id")
+    return store.staged_rows(fx.spark, path)
+
+
+@_query
+def chunk_states(fx: Fixtures) -> DataFrame:
+    """Chunks of a copy with gaps and wrong parents; the file of the second eight is spoilt after staging."""
+    path, spark = scratch_dir(fx.spark), fx.spark
+    store.stage_chunks(catalog.with_proofs(fx.verifier(), NINE[:7]), path, 0, 256, per_file=8)
+    spoilt = store.chunk_log(spark, path).where("chunk_id = 8").select("batch", "file").collect()
+    for batch, file in spoilt:
+        fs, at = store._fs(spark, f"{path}/data/batch={batch}/{file}")
+        out = fs.create(at, True)
+        out.write(bytearray(b"no longer what was staged"))
+        out.close()
+    return store.chunk_states(spark, path, 0, fx.head() + 400, 256)
 
 
 @_query
@@ -381,14 +409,14 @@ def manifest_facts(fx: Fixtures) -> DataFrame:
 
 @_query
 def file_digests(fx: Fixtures) -> DataFrame:
-    path = _scratch(fx.spark)
+    path = scratch_dir(fx.spark)
     store.write_dataset(fx.blocks().select("block_number", "timestamp"), path)
     return store.file_digests(fx.spark, path)
 
 
 @_query
 def changed_files(fx: Fixtures) -> DataFrame:
-    path = _scratch(fx.spark)
+    path = scratch_dir(fx.spark)
     store.write_dataset(fx.blocks().select("block_number", "timestamp"), path)
     recorded = store.file_digests(fx.spark, path).withColumn("sha256", F.reverse("sha256"))
     return store.changed_files(fx.spark, path, recorded)
@@ -396,7 +424,7 @@ def changed_files(fx: Fixtures) -> DataFrame:
 
 @_query
 def csv_violations(fx: Fixtures) -> DataFrame:
-    path, n = _scratch(fx.spark), F.col("block_number")
+    path, n = scratch_dir(fx.spark), F.col("block_number")
     spoilt = {
         "block_number": F.when(n % 401 == 3, F.concat(F.lit("0"), n.cast("string"))).otherwise(n.cast("string")),
         "timestamp": F.when(n % 409 != 5, F.col("timestamp").cast("string")),
@@ -409,7 +437,7 @@ def csv_violations(fx: Fixtures) -> DataFrame:
 
 @_query
 def order_violations(fx: Fixtures) -> DataFrame:
-    path = _scratch(fx.spark)
+    path = scratch_dir(fx.spark)
     rows = fx.blocks().select("block_number", "timestamp")
     rows.repartition(4, "block_number").sortWithinPartitions(F.col("block_number").desc()).write.parquet(path)
     return store.order_violations(fx.spark, path).select("reason")
@@ -417,7 +445,7 @@ def order_violations(fx: Fixtures) -> DataFrame:
 
 @_query
 def audit_manifests(fx: Fixtures) -> DataFrame:
-    root, last, rows = _scratch(fx.spark), fx.head() + 100, fx.blocks()
+    root, last, rows = scratch_dir(fx.spark), fx.head() + 100, fx.blocks()
     anchor = {"block_number": last, "block_hash": rows.where(F.col("block_number") == last).first()["block_hash"], "tag": "finalized"}
     cuts = [0, last // 3, 2 * last // 3, last + 1]
     for low, high, facts in zip(cuts[:3], cuts[1:], (None, {"target_hash": "0x"}, {"row_count": 1}), strict=True):
@@ -431,7 +459,7 @@ def audit_manifests(fx: Fixtures) -> DataFrame:
 
 @_query
 def stream_headers(fx: Fixtures) -> DataFrame:
-    base = _scratch(fx.spark)
+    base = scratch_dir(fx.spark)
     raw = fx.raw_blocks()
     raw.repartition(5, "requested").write.json(f"{base}/src")
     stream.stream_headers(fx.spark, f"{base}/src", f"{base}/out", f"{base}/checkpoint")
@@ -442,12 +470,26 @@ def stream_headers(fx: Fixtures) -> DataFrame:
 
 @_query
 def finalized_view(fx: Fixtures) -> DataFrame:
-    return stream.finalized_view(fx.blocks(), fx.head())
+    head = fx.head()
+    return stream.finalized_view(fx.blocks(), head, fx.hash_at(head), 0)
+
+
+@_query
+def stream_reorgs(fx: Fixtures) -> DataFrame:
+    """Losing branches land before the blocks that replace them; what is read is the finalized line."""
+    base, head = scratch_dir(fx.spark), fx.head()
+    forks = fx.forked().join(fx.blocks().select("block_hash"), "block_hash", "left_anti")
+    fx.raw_blocks(forks.unionByName(fx.blocks().where("block_number % 3 = 0")), spoil=False).repartition(3, "requested").write.json(f"{base}/src")
+    run = lambda: stream.stream_headers(fx.spark, f"{base}/src", f"{base}/out", f"{base}/checkpoint")
+    run()
+    fx.raw_blocks(spoil=False).repartition(3, "requested").write.mode("append").json(f"{base}/src")
+    run()
+    return stream.finalized_view(fx.spark.read.parquet(f"{base}/out"), head, fx.hash_at(head), 0)
 
 
 @_query
 def stream_features(fx: Fixtures) -> DataFrame:
-    base = _scratch(fx.spark)
+    base = scratch_dir(fx.spark)
     receipts = fx.receipts()
     receipts.where("transaction_index % 2 = 0").write.parquet(f"{base}/src")
     run = lambda: stream.stream_features(fx.spark, f"{base}/src", blocks, f"{base}/out", f"{base}/checkpoint", NINE)
@@ -458,3 +500,17 @@ def stream_features(fx: Fixtures) -> DataFrame:
     late.write.mode("append").parquet(f"{base}/src")
     run()
     return fx.spark.read.parquet(f"{base}/out")
+
+
+@_query
+def stream_final_features(fx: Fixtures) -> DataFrame:
+    """The features of the finalized line alone: headers of losing branches, and their receipts, are there too."""
+    base, head = scratch_dir(fx.spark), fx.head()
+    fx.forked(fx.headers()).write.parquet(f"{base}/blocks")
+    receipts = fx.receipts()
+    receipts.where("transaction_index % 2 = 0").write.parquet(f"{base}/src")
+    run = lambda to: stream.stream_features(fx.spark, f"{base}/src", f"{base}/blocks", f"{base}/out", f"{base}/checkpoint", NINE, lambda: (to, fx.hash_at(to)))
+    run(head // 2)
+    receipts.where("transaction_index % 2 = 1").write.mode("append").parquet(f"{base}/src")
+    run(head)
+    return fx.spark.read.parquet(f"{base}/out")

@@ -83,19 +83,10 @@ def with_fees(headers: DataFrame, fees: DataFrame) -> DataFrame:
     return headers.join(fees.drop("reject_reason"), "block_number")
 
 
-def reconcile_replies(calls: DataFrame, replies: DataFrame) -> DataFrame:
-    """One row per call, and per reply to no call: batch_id, id, outcome.
-
-    calls has batch_id and call_id; replies has batch_id, id, jsonrpc, has_result, result and
-    error_code. Outcomes by precedence: protocol (wrong version, unknown or repeated id, both or
-    neither of result and error), fatal, limit, retry (no reply, a null result, any other error),
-    accepted.
-    """
-    result, error = F.coalesce("has_result", F.lit(False)), F.col("error_code").isNotNull()
-    rated = replies.select("batch_id", "id", ((F.coalesce("jsonrpc", F.lit("")) != "2.0") | (result == error)).alias("odd"), "error_code", F.col("result").isNotNull().alias("given"))
-    grouped = rated.groupBy("batch_id", "id").agg(
-        F.count(F.lit(1)).alias("n"), F.bool_or("odd").alias("odd"), F.bool_or(F.coalesce(F.col("error_code").isin(*FATAL_CODES), F.lit(False))).alias("fatal"), F.bool_or(F.coalesce(F.col("error_code") == LIMIT_CODE, F.lit(False))).alias("over"), F.bool_or("given").alias("given")
-    )
+def _outcomes(calls: DataFrame, rated: DataFrame) -> DataFrame:
+    """One row per call, and per reply to no call, from rated replies: batch_id, id, odd, error_code, given."""
+    fatal, over = (F.coalesce(c, F.lit(False)) for c in (F.col("error_code").isin(*FATAL_CODES), F.col("error_code") == LIMIT_CODE))
+    grouped = rated.groupBy("batch_id", "id").agg(F.count(F.lit(1)).alias("n"), F.bool_or("odd").alias("odd"), F.bool_or(fatal).alias("fatal"), F.bool_or(over).alias("over"), F.bool_or("given").alias("given"))
     asked = calls.select("batch_id", F.col("call_id").alias("id"), F.lit(True).alias("asked"))
     both = asked.join(grouped, ["batch_id", "id"], "full_outer")
     outcome = (
@@ -108,6 +99,56 @@ def reconcile_replies(calls: DataFrame, replies: DataFrame) -> DataFrame:
     return both.select("batch_id", "id", outcome.alias("outcome"))
 
 
+def reconcile_replies(calls: DataFrame, replies: DataFrame) -> DataFrame:
+    """One row per call, and per reply to no call: batch_id, id, outcome.
+
+    calls has batch_id and call_id; replies has batch_id, id, jsonrpc, has_result, result and
+    error_code. Outcomes by precedence: protocol (wrong version, unknown or repeated id, both or
+    neither of result and error), fatal, limit, retry (no reply, a null result, any other error),
+    accepted. For replies as they land, see `reconcile_batches`.
+    """
+    result, error = F.coalesce("has_result", F.lit(False)), F.col("error_code").isNotNull()
+    rated = replies.select("batch_id", "id", ((F.coalesce("jsonrpc", F.lit("")) != "2.0") | (result == error)).alias("odd"), "error_code", F.col("result").isNotNull().alias("given"))
+    return _outcomes(calls, rated)
+
+
+def _typed(value: Column, path: str, kind: str, as_type: str) -> Column:
+    """What is at a path if it has exactly the kind, else null: a text is no number, and a number no text."""
+    at = F.try_variant_get(value, path, "variant")
+    return F.when(F.schema_of_variant(at) == kind, F.try_variant_get(value, path, as_type))
+
+
+def batch_members(landed: DataFrame) -> DataFrame:
+    """The replies in landed batches: batch_id, place, id, odd, error_code, given, result.
+
+    landed has batch_id and payload, the text that came back. A payload that is no JSON list gives
+    one odd row without an id. odd says that a member is no object, has not the text "2.0" as
+    jsonrpc, no whole number as id, both or neither of result and error, or an error without a whole
+    number as code and a text as message. given says that there is a result which is not null;
+    result is its JSON text. Values are judged by their JSON types: the id "7" is no number.
+    """
+    payload = F.try_parse_json("payload")
+    parsed = landed.select("batch_id", payload.alias("v"), F.coalesce(F.schema_of_variant(payload).startswith("ARRAY<"), F.lit(False)).alias("is_list"))
+    nothing = F.array(F.lit(None).cast("variant"))
+    listed = F.when(F.col("is_list"), F.try_variant_get("v", "$", "array<variant>")).otherwise(nothing)
+    rows = parsed.select("batch_id", "is_list", F.posexplode(listed).alias("place", "m"))
+    here = lambda path: F.try_variant_get("m", path, "variant")  # noqa: E731  there, be it a JSON null
+    has_result, has_error = here("$.result").isNotNull(), here("$.error").isNotNull()
+    code, message = _typed(F.col("m"), "$.error.code", "BIGINT", "bigint"), _typed(F.col("m"), "$.error.message", "STRING", "string")
+    member = _typed(F.col("m"), "$.id", "BIGINT", "bigint")
+    well = (
+        F.col("is_list") & F.schema_of_variant("m").startswith("OBJECT<") & (_typed(F.col("m"), "$.jsonrpc", "STRING", "string") == "2.0") & member.isNotNull()
+        & (has_result != has_error) & (~has_error | (code.isNotNull() & message.isNotNull()))
+    )
+    given = has_result & ~F.coalesce(F.is_variant_null(here("$.result")), F.lit(False))
+    return rows.select("batch_id", "place", member.alias("id"), (~F.coalesce(well, F.lit(False))).alias("odd"), code.alias("error_code"), given.alias("given"), F.when(given, F.to_json(here("$.result"))).alias("result"))
+
+
+def reconcile_batches(calls: DataFrame, landed: DataFrame) -> DataFrame:
+    """reconcile_replies over batches as they land: batch_id, id, outcome; members without an id, and payloads that are no list, are protocol rows with a null id."""
+    return _outcomes(calls, batch_members(landed))
+
+
 def retries(reconciled: DataFrame) -> DataFrame:
     """The calls to make again, in call order."""
     return reconciled.where(F.col("outcome").isin("retry", "limit")).orderBy("batch_id", "id")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -64,12 +66,26 @@ class Fixtures:
         """The finalized head."""
         return self.table("events").agg(F.max("event_id").cast("bigint") - FINALITY).first()[0]
 
-    def raw_blocks(self) -> DataFrame:
+    def hash_at(self, number: int) -> str:
+        """The hash of a block of the true chain."""
+        return "0x" + hashlib.sha256(str(number).encode()).hexdigest()
+
+    def forked(self, blocks: DataFrame | None = None) -> DataFrame:
+        """blocks with losing branches of one to three blocks beside them, each grown on a block of the true chain."""
+        blocks = self.blocks() if blocks is None else blocks
+        n = F.col("block_number")
+        depth = n % 97 - 40  # 1 to 3 on a branch: its first block has a parent of the true chain
+        losing = lambda m: as_hash(F.concat(F.lit("fork"), m.cast("string")))
+        branch = blocks.where((n > 100) & depth.between(1, n % 3 + 1)).withColumns({"block_hash": losing(n), "parent_hash": F.when(depth == 1, as_hash(n - 1)).otherwise(losing(n - 1)), "base_fee_per_gas": F.col("base_fee_per_gas") + 7})
+        return blocks.unionByName(branch)
+
+    def raw_blocks(self, blocks: DataFrame | None = None, spoil: bool = True) -> DataFrame:
         """(requested, reply): block replies as JSON text; every 50th is spoilt in one of seven ways."""
+        blocks = self.blocks() if blocks is None else blocks
         n = F.col("block_number")
         entries = F.transform(F.sequence(F.lit(1).cast("bigint"), F.greatest("tx_count", F.lit(1))), lambda i: i.cast("string"))
         entries = F.when(F.col("tx_count") > 0, entries).otherwise(F.array().cast("array<string>"))
-        spoilt = lambda k: F.coalesce(n % 350 == 50 * k + 49, F.lit(False))
+        spoilt = lambda k: F.coalesce(n % 350 == 50 * k + 49, F.lit(False)) & F.lit(spoil)
         reply = F.struct(
             to_quantity(F.when(spoilt(0), n + 1).otherwise(n)).alias("number"),
             F.when(spoilt(1), F.upper("block_hash")).otherwise(F.col("block_hash")).alias("hash"),
@@ -80,7 +96,7 @@ class Fixtures:
             to_quantity(F.col("gas_limit")).alias("gasLimit"),
             F.when(~spoilt(6), entries).alias("transactions"),
         )
-        return self.blocks().select(n.alias("requested"), F.to_json(reply).alias("reply"))
+        return blocks.select(n.alias("requested"), F.to_json(reply).alias("reply"))
 
     def requests(self, size: int = 20) -> DataFrame:
         """(call_id, batch_id, block_number): one call per block, in batches."""
@@ -94,6 +110,23 @@ class Fixtures:
         unknown = base.where(F.col("id") % 401 == 9).withColumn("id", F.col("id") + 10_000_000)
         return base.unionByName(again).unionByName(unknown)
 
+    def landed_batches(self) -> DataFrame:
+        """(batch_id, payload): the replies as JSON lists, in falling order of ids, with members and payloads of wrong shapes among them."""
+        n = F.col("id")
+        error = F.when(
+            F.col("error_code").isNotNull(),
+            F.concat(F.lit('"error":{"code":'), F.when(n % 211 == 3, F.when(n % 2 == 1, F.lit('"-32603"')).otherwise(F.lit("-32603"))).otherwise(F.col("error_code").cast("string")), F.when(n % 223 == 4, F.when(n % 3 == 1, F.lit("")).otherwise(F.lit(',"message":"slow"'))).otherwise(F.lit(',"message":"bad"')), F.lit("}")),
+        )
+        result = F.when(F.col("has_result"), F.concat(F.lit('"result":'), F.coalesce(F.concat(F.lit('{"number":"'), to_quantity(n), F.lit('"}')), F.lit("null")))).otherwise(F.lit(None))
+        result = F.when(F.col("has_result") & F.col("result").isNull() & F.col("error_code").isNull(), F.lit('"result":null')).otherwise(F.when(F.col("result").isNotNull(), result))
+        number = F.when(n % 541 == 11, F.concat(F.lit('"'), n.cast("string"), F.lit('"'))).when(n % 547 == 12, F.concat(n.cast("string"), F.lit(".5"))).otherwise(n.cast("string"))
+        fields = F.concat_ws(",", F.concat(F.lit('"jsonrpc":"'), F.col("jsonrpc"), F.lit('"')), F.concat(F.lit('"id":'), number), result, error)
+        member = F.when(n % 557 == 13, F.concat(F.lit('"'), n.cast("string"), F.lit('"'))).otherwise(F.concat(F.lit("{"), fields, F.lit("}")))
+        lists = self.replies().select("batch_id", F.struct(n.alias("id"), member.alias("member")).alias("m")).groupBy("batch_id").agg(F.sort_array(F.collect_list("m"), asc=False).alias("ms"))  # 20 calls each
+        text = F.concat(F.lit("["), F.array_join(F.transform("ms", lambda x: x["member"]), ","), F.lit("]"))
+        b = F.col("batch_id")
+        return lists.select("batch_id", F.when(b % 97 == 41, F.concat(F.lit('{"all":'), text, F.lit("}"))).when(b % 101 == 43, F.substring(text, 2, 1 << 20)).otherwise(text).alias("payload"))
+
     def verifier(self) -> DataFrame:
         """An independent copy that disagrees in some fees and parents and lacks some rows."""
         n = F.col("block_number")

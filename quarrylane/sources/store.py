@@ -7,16 +7,21 @@ import uuid
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import HASH, UUID4
 from ..operators import agree
-from ..operators.checks import assert_clean, dataset_summary
-from ..plans.catalog import KEY, DatasetError, Selection, without_proofs
+from ..operators.checks import assert_clean, assert_observed, dataset_summary, observed_facts
+from ..plans.catalog import ALWAYS, CATALOG, KEY, DatasetError, Selection, without_proofs
 from .chunks import CHUNK_SIZE, chunk_bounds, planned_chunks, with_chunk_id
+from .scratch import stored
 
 MAX_RECORDS_PER_FILE = 4_000_000
+#: Smaller datasets have a file for so many rows.
+RECORDS_PER_PART = 1 << 16
+#: Chunks that are stored in one file of a staging folder.
+CHUNKS_PER_FILE = 64
 # The keys of a manifest, sorted as they are written.
 MANIFEST_KEYS = ("acquisition_plan", "chain", "completed_at", "dataset_id", "finalized_anchor", "output", "requested_range", "resolved_range", "row_count", "schema", "source", "target_hash", "tool_version", "verification")
 
@@ -28,15 +33,23 @@ def _fs(spark: SparkSession, path: str):
     return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), at
 
 
-def write_dataset(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", span: tuple[int, int] | None = None) -> None:
     """Write a dataset in block order, across its files too; an existing one is never overwritten.
 
-    The order across files is that of their names. One range exchange, then each file is sorted.
+    The order across files is that of their names. One exchange, then each file is sorted. If the
+    first and last number are known (span), rows are dealt by their number; else Spark samples the
+    rows to find the ranges, which computes them twice.
     """
     if fmt not in ("parquet", "csv"):
         raise DatasetError("OUTPUT_FORMAT", fmt)
-    ordered = df.repartitionByRange(KEY).sortWithinPartitions(KEY)
-    writer = ordered.write.mode("errorifexists").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+    if span is None:
+        dealt = df.repartitionByRange(KEY)
+    else:
+        first, blocks = span[0], span[1] - span[0] + 1
+        parts = max(1, min(-(-blocks // RECORDS_PER_PART), max(blocks // MAX_RECORDS_PER_FILE, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))))
+        part = F.floor((F.col(KEY) - first) * parts / blocks)
+        dealt = df.repartitionById(parts, F.greatest(F.lit(0), F.least(part, F.lit(parts - 1))).cast("int"))
+    writer = dealt.sortWithinPartitions(KEY).write.mode("errorifexists").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if fmt == "parquet":
         writer.option("compression", "zstd").parquet(path)
     else:
@@ -116,25 +129,45 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(at)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, at = _fs(spark, path)
+    fs.delete(at, True)
+
+
 def publish(df: DataFrame, root: str, names: list[str], anchor: dict, verifier: DataFrame, chain: dict, source: dict, fmt: str = "parquet", dataset_id: str | None = None, requested: dict | None = None, facts: dict | None = None) -> str:
-    """Validate, write, verify and publish the named features of a full block table; returns the dataset's path.
-
-    chain is {name, chain_id}, source says where the rows are from, and requested is the range that
-    was asked for: a block range (by default the rows' own) or a time range, with its kind. Data
-    goes to data/ under a fresh path, is read back, validated there and compared with the verifier,
-    an independent copy, at the blocks of `sample_numbers`; the manifest records these and the
-    moment, is written last, and readers require it. A dataset that exists is left alone. facts
-    overwrite single keys of the manifest.
+    """Validate, write, verify and publish the named features of a block table; returns the dataset's path.
+
+    df has the features and what their checks need besides (`Selection.hidden`). It is evaluated
+    once: its rows go to a folder beside the dataset's, and the counts, edges and faults of all of
+    them are observed in that very job, so that a result with gaps, nulls or impossible values is refused
+    before anything is published. Links are judged on what was stored, in one exchange; the data is
+    written from there to data/ under a fresh path, read back, validated once more and compared
+    with the verifier, an independent copy, at the blocks of `sample_numbers`. The manifest records
+    these and the moment, is written last, and readers require it. A dataset that exists is left
+    alone.
+
+    chain is {name, chain_id}, source says where the rows are from (kind, and further texts), and
+    requested is the range that was asked for: a block range, which the rows must cover exactly (by
+    default their own), or a time range, with its kind. facts overwrite single keys of the manifest.
     """
     spark, plan = df.sparkSession, Selection.of(names)
     dataset_id = dataset_id or str(uuid.uuid4())
-    path = f"{root}/{dataset_id}"
+    path, staging = f"{root}/{dataset_id}", f"{root}/.{dataset_id}.rows"
     if _exists(spark, path):
         raise DatasetError("OUTPUT_EXISTS", path)
-    row = manifest_facts(df).first()
-    first, last, times = row["from_block"], row["to_block"], (row["from_timestamp"], row["to_timestamp"])
-    assert_clean(dataset_summary(df, first, last, row["target_hash"], times))
-    write_dataset(df.select(*plan.columns), f"{path}/data", fmt)
+    needed = df.select(*plan.columns, *plan.hidden)
+    watched, observed = observed_facts(needed)
+    try:
+        watched.write.mode("overwrite").parquet(staging)
+        row = observed.get
+        first, last, times = row["from_block"], row["to_block"], (row["from_timestamp"], row["to_timestamp"])
+        asked = (requested["from"], requested["to"]) if requested is not None and requested["kind"] == "block" else None
+        assert_observed(row, asked)
+        rows = spark.read.schema(needed.schema).parquet(staging)
+        assert_clean(dataset_summary(rows, first, last, row["target_hash"], times))
+        write_dataset(rows.select(*plan.columns), f"{path}/data", fmt, (first, last))
+    finally:
+        _delete(spark, staging)
     back = read_dataset(spark, f"{path}/data", plan, fmt)
     assert_clean(dataset_summary(back, first, last, row["target_hash"], times))
     sampled = _sampled(spark, dataset_id, first, last)
@@ -146,7 +179,7 @@ def publish(df: DataFrame, root: str, names: list[str], anchor: dict, verifier:
         "requested_range": requested or {"kind": "block", "from": first, "to": last}, "resolved_range": {"from_block": first, "to_block": last, "from_timestamp": times[0], "to_timestamp": times[1]},
         "row_count": row["row_count"], "target_hash": row["target_hash"], "finalized_anchor": anchor,
         "schema": [{"name": f.name, "type": "Int64" if f.dataType.simpleString() == "bigint" else "UTF-8", "unit": f.metadata["unit"]} for f in plan.schema], "acquisition_plan": {"features": list(plan.names), "hidden": list(plan.hidden)},
-        "output": {"format": fmt, "files": digests}, "verification": {"sampled_blocks": sorted(r[KEY] for r in sampled.collect())},  # five at most
+        "output": {"format": fmt, "files": digests}, "verification": {"sampled_blocks": sorted(r[KEY] for r in sampled.collect()), "target_agreement": True, "verifier_chain_id": chain["chain_id"]},  # five at most
     }
     manifest |= {k: v for k, v in (facts or {}).items() if k in MANIFEST_KEYS}
     fs, at = _fs(spark, f"{path}/manifest.json")
@@ -189,8 +222,6 @@ def open_dataset(spark: SparkSession, path: str) -> Dataset:
     if audit_manifests(spark, path, depth="").where("faults <> ''").count():
         raise DatasetError("MANIFEST_INVALID", "see audit_manifests")
     plan = Selection.of([c["name"] for c in manifest["schema"]][1:])
-    if [c["unit"] for c in manifest["schema"]] != [f.metadata["unit"] for f in plan.schema]:
-        raise DatasetError("MANIFEST_INVALID", "schema units")
     recorded = spark.createDataFrame([(f["name"], f["bytes"], f["sha256"]) for f in manifest["output"]["files"]], "name string, bytes bigint, sha256 string")
     if changed_files(spark, f"{path}/data", recorded).count():
         raise DatasetError("DATASET_DIGEST", "files are not those of the manifest")
@@ -228,43 +259,82 @@ def verify(dataset: Dataset, verifier: DataFrame, head: int, full: bool = False)
 
 
 MANIFEST = (
-    "tool_version string, dataset_id string, completed_at string, chain struct<name:string,chain_id:bigint>, requested_range struct<kind:string,from:string,to:string,normalized_from_utc:string,normalized_to_utc:string>, "
-    "resolved_range struct<from_block:bigint,to_block:bigint,from_timestamp:bigint,to_timestamp:bigint>, schema array<struct<name:string,type:string,unit:string>>, row_count bigint, "
-    "output struct<format:string,files:array<struct<name:string,bytes:bigint,sha256:string>>>, target_hash string, finalized_anchor struct<block_number:bigint,block_hash:string,tag:string>, verification struct<sampled_blocks:array<bigint>>"
+    "acquisition_plan struct<features:array<string>,hidden:array<string>>, tool_version string, dataset_id string, completed_at string, chain struct<name:string,chain_id:bigint>, requested_range struct<kind:string,from:string,to:string,normalized_from_utc:string,normalized_to_utc:string>, "
+    "resolved_range struct<from_block:bigint,to_block:bigint,from_timestamp:bigint,to_timestamp:bigint>, schema array<struct<name:string,type:string,unit:string>>, source map<string,string>, row_count bigint, "
+    "output struct<format:string,files:array<struct<name:string,bytes:bigint,sha256:string>>>, target_hash string, finalized_anchor struct<block_number:bigint,block_hash:string,tag:string>, verification struct<sampled_blocks:array<bigint>,target_agreement:boolean,verifier_chain_id:bigint>"
 )
+# The keys of a manifest's parts.
+PART_KEYS = {
+    "acquisition_plan": ("features", "hidden"), "chain": ("chain_id", "name"), "finalized_anchor": ("block_hash", "block_number", "tag"), "output": ("files", "format"),
+    "resolved_range": ("from_block", "from_timestamp", "to_block", "to_timestamp"), "verification": ("sampled_blocks", "target_agreement", "verifier_chain_id"),
+}
+NAME = r"^[A-Za-z0-9][A-Za-z0-9_.-]*\z"
+
+
+def canonical_text(value: Column) -> Column:
+    """JSON text in canonical form, keys sorted at every depth, no spaces, a line feed at the end; null if it is no JSON.
+
+    A variant keeps the fields of each object in the order of their names.
+    """
+    return F.concat(F.to_json(F.try_parse_json(value)), F.lit("\n"))
+
+
+def _expected_plan(names: Column) -> tuple[Column, Column]:
+    """The columns that a selection has in catalog order, and those that its checks need besides: the catalog's closure."""
+    chosen = lambda c: F.array_contains(names, c)
+    features = F.array_compact(F.array(*(F.when(chosen(f.name), F.lit(f.name)) for f in CATALOG)))
+    implied = lambda c: F.lit(c in ALWAYS) | F.arrays_overlap(names, F.array(*(F.lit(f.name) for f in CATALOG if c in f.implies)).cast("array<string>"))
+    hidden = F.array_compact(F.array(*(F.when(implied(f.name) & ~chosen(f.name), F.lit(f.name)) for f in CATALOG)))
+    return features, hidden
 
 
 def audit_manifests(spark: SparkSession, root: str, depth: str = "/*") -> DataFrame:
-    """(dataset_id, faults) for every manifest under root: the names of the rules it breaks, comma-separated."""
-    from ..plans.catalog import CATALOG
+    """(dataset_id, faults) for every manifest under root: the names of the rules it breaks, comma-separated.
 
+    All rules are column expressions over one scan of the manifests: canonical bytes, keys at both
+    depths, types and values, the schema and the plan that follow from the selection, and the blocks that
+    must have been sampled for the id.
+    """
     raw = spark.read.text(f"{root}{depth}/manifest.json", wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
-    m = F.from_json("value", MANIFEST)
-    rows = raw.select("file", F.sort_array(F.json_object_keys("value")).alias("keys"), m.alias("m"))
-    r, req, a, s = F.col("m.resolved_range"), F.col("m.requested_range"), F.col("m.finalized_anchor"), F.col("m.verification.sampled_blocks")
+    part = lambda k: F.sort_array(F.json_object_keys(F.get_json_object("value", f"$.{k}")))
+    parts = {k: part(k) == F.array(*(F.lit(x) for x in keys)) for k, keys in PART_KEYS.items()}
+    asked = part("requested_range")
+    rows = raw.select(
+        "file", F.sort_array(F.json_object_keys("value")).alias("keys"), F.from_json("value", MANIFEST).alias("m"), (canonical_text(F.col("value")) == F.col("value")).alias("canonical"), asked.alias("asked"), F.struct(*(c.alias(k) for k, c in parts.items())).alias("part")
+    )
+    r, req, a, v = F.col("m.resolved_range"), F.col("m.requested_range"), F.col("m.finalized_anchor"), F.col("m.verification")
     names = F.transform("m.schema", lambda c: c.getField("name"))
-    order = F.array(*(F.lit(f.name) for f in CATALOG))
-    places = F.transform(F.slice(names, 2, F.greatest(F.size(names) - 1, F.lit(0))), lambda n: F.array_position(order, n))
+    features, hidden = _expected_plan(names)
+    described = {KEY: ("Int64", "block")} | {f.name: (f.kind, f.unit) for f in CATALOG}
+    known = F.create_map(*(x for n, (kind, unit) in described.items() for x in (F.lit(n), F.struct(F.lit(n).alias("name"), F.lit(kind).alias("type"), F.lit(unit).alias("unit")))))
+    columns = F.transform(F.concat(F.array(F.lit(KEY)), features), lambda n: F.element_at(known, n))
     utc = lambda c: F.unix_seconds(F.try_to_timestamp(F.replace(c, F.lit("Z"), F.lit("+00:00")), F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")))
     low, high = r.getField("from_block"), r.getField("to_block")
     t0, t1 = r.getField("from_timestamp"), r.getField("to_timestamp")
     block = (req.getField("from").cast("string") == low.cast("string")) & (req.getField("to").cast("string") == high.cast("string"))
     time = (utc(req.getField("normalized_from_utc")) <= t0) & (t1 <= utc(req.getField("normalized_to_utc")))
+    of_kind = lambda keys: F.col("asked") == F.array(*(F.lit(k) for k in keys))
     rules = {
+        "canonical": F.col("canonical"),
         "keys": F.col("keys") == F.array(*(F.lit(k) for k in MANIFEST_KEYS)),
         "dataset_id": F.col("m.dataset_id").rlike(UUID4) & F.col("file").contains(F.col("m.dataset_id")),
         "tool_version": F.length("m.tool_version") > 0,
-        "chain": F.col("m.chain.chain_id") > 0,
-        "resolved_range": (low >= 0) & (low <= high) & (t0 >= 0) & (t0 <= t1),
-        "requested_range": F.when(req.getField("kind") == "block", block).when(req.getField("kind") == "time", time).otherwise(F.lit(False)),
+        "chain": F.col("part.chain") & F.col("m.chain.name").rlike(NAME) & (F.col("m.chain.chain_id") > 0),
+        "source": F.element_at("m.source", "kind").rlike(NAME) & F.forall(F.map_values("m.source"), lambda x: F.length(x) > 0),
+        "resolved_range": F.col("part.resolved_range") & (low >= 0) & (low <= high) & (t0 >= 0) & (t0 <= t1),
+        "requested_range": F.when(req.getField("kind") == "block", of_kind(("from", "kind", "to")) & block).when(req.getField("kind") == "time", of_kind(("from", "kind", "normalized_from_utc", "normalized_to_utc", "to")) & time).otherwise(F.lit(False)),
         "row_count": F.col("m.row_count") == high - low + 1,
-        "schema": (F.get(names, F.lit(0)) == KEY) & F.forall(places, lambda p: p > 0) & (F.sort_array(F.array_distinct(places)) == places),
-        "output": F.col("m.output.format").isin("parquet", "csv") & F.forall("m.output.files", lambda f: f.getField("sha256").rlike(r"^[0-9a-f]{64}\z") & (f.getField("bytes") >= 0)),
+        "schema": (F.size(features) > 0) & (F.col("m.schema") == columns),
+        "acquisition_plan": F.col("part.acquisition_plan") & (F.col("m.acquisition_plan.features") == features) & (F.col("m.acquisition_plan.hidden") == hidden),
+        "output": F.col("part.output") & F.col("m.output.format").isin("parquet", "csv") & F.forall("m.output.files", lambda f: (F.length(f.getField("name")) > 0) & f.getField("sha256").rlike(r"^[0-9a-f]{64}\z") & (f.getField("bytes") >= 0)),
         "target_hash": F.col("m.target_hash").rlike(HASH),
-        "anchor": (a.getField("block_number") >= high) & a.getField("block_hash").rlike(HASH) & a.getField("tag").isin("finalized", "safe"),
+        "anchor": F.col("part.finalized_anchor") & (a.getField("block_number") >= high) & a.getField("block_hash").rlike(HASH) & a.getField("tag").isin("finalized", "safe"),
         "completed_at": F.col("m.completed_at").endswith("Z") & utc(F.col("m.completed_at")).isNotNull(),
-        "samples": (F.sort_array(F.array_distinct(s)) == s) & (F.get(s, F.lit(0)) == low) & (F.element_at(s, -1) == high),
+        "samples": (v.getField("sampled_blocks") == F.array_sort(agree.sampled(F.col("m.dataset_id"), low, high))),
+        "verification": F.col("part.verification") & v.getField("target_agreement") & (v.getField("verifier_chain_id") == F.col("m.chain.chain_id")),
     }
+    sound = (low >= 0) & (low <= high) & F.col("m.dataset_id").rlike(UUID4)  # without these no sample can be told
+    rules["samples"] = F.when(F.coalesce(sound, F.lit(False)), rules["samples"])
     broken = [F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules.items()]
     named = F.coalesce("m.dataset_id", F.element_at(F.split("file", "/"), -2))
     return rows.select(named.alias("dataset_id"), F.when(F.col("keys").isNull(), "json").otherwise(F.array_join(F.array_compact(F.array(*broken)), ",")).alias("faults"))
@@ -287,21 +357,104 @@ def bind_staging(spark: SparkSession, path: str, request: dict) -> None:
     out.close()
 
 
-def stage_chunks(df: DataFrame, path: str, first: int, size: int = CHUNK_SIZE) -> None:
-    """Stage rows (with proofs), one partition per chunk, in order inside each.
+LOG = "batch string, chunk_id bigint, from_block bigint, to_block bigint, row_count bigint, repeats bigint, link_faults bigint, first_parent string, first_timestamp bigint, last_hash string, last_timestamp bigint, file string, bytes bigint, sha256 string, seq int"
+
+
+def chunk_log(spark: SparkSession, path: str, low: int | None = None, high: int | None = None) -> DataFrame:
+    """The last entry of each staged chunk (of those from low to high): bounds, counts, edges, and the file that holds it with its size and digest."""
+    if not _exists(spark, f"{path}/log"):
+        return spark.createDataFrame([], LOG)
+    entries = spark.read.schema(LOG).parquet(f"{path}/log")
+    if low is not None:
+        entries = entries.where(F.col("chunk_id").between(low, high))
+    last = F.max_by(F.struct(*(c for c in entries.columns if c != "chunk_id")), "seq")
+    return entries.groupBy("chunk_id").agg(last.alias("x")).select("chunk_id", "x.*")
+
+
+def staged_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all staged chunks, each as it was staged last."""
+    data = spark.read.option("basePath", f"{path}/data").parquet(f"{path}/data").drop("pack")
+    return data.join(chunk_log(spark, path).select("chunk_id", "batch"), ["chunk_id", "batch"], "left_semi").drop("chunk_id", "batch")
+
+
+def stage_chunks(df: DataFrame, path: str, first: int, size: int = CHUNK_SIZE, per_file: int = CHUNKS_PER_FILE) -> None:
+    """Stage rows (with proofs) by chunks, many chunks to a file, and enter each chunk in the log.
+
+    The log is append-only: an entry has the chunk's bounds and counts, the hashes at its edges, and
+    the file with its digest. A chunk that is staged again gets a new entry, and its former rows are
+    passed over from then on. Chunks must link to the neighbours that the log has already, else
+    nothing is entered; only the entries of these neighbours are read, never staged rows, so the
+    cost is that of the new chunks.
+    """
+    if not {"_proof_hash", "_proof_parent_hash", "_proof_timestamp"} <= set(df.columns):
+        raise DatasetError("CHUNK_PROOFS", "chunks are staged with their proof columns")
+    spark = df.sparkSession
+    fs, at = _fs(spark, f"{path}/log")
+    seq = 1 + max((int(f.getPath().getName().removeprefix("seq=")) for f in fs.listStatus(at) if f.getPath().getName().startswith("seq=")), default=-1) if fs.exists(at) else 0
+    batch = f"{seq}-{uuid.uuid4().hex}"
+    chunked = with_chunk_id(df, first, size).withColumn("pack", F.floor(F.col("chunk_id") / per_file).cast("bigint"))
+    chunked.repartition("pack").sortWithinPartitions("pack", KEY).write.partitionBy("pack").parquet(f"{path}/data/batch={batch}")
+    back = spark.read.schema(chunked.schema).parquet(f"{path}/data/batch={batch}").select("chunk_id", KEY, "_proof_hash", "_proof_parent_hash", "_proof_timestamp", F.regexp_extract("_metadata.file_path", r"(pack=-?\d+/[^/]+)\z", 1).alias("file"))
+    entries = stored(_entries(back).join(_named_digests(spark, f"{path}/data/batch={batch}"), "file").withColumn("batch", F.lit(batch)))
+    edges = entries.agg(F.min("chunk_id"), F.max("chunk_id")).first()
+    if edges[0] is None:
+        _delete(spark, f"{path}/data/batch={batch}")
+        return
+    near = chunk_log(spark, path, edges[0] - 1, edges[1] + 1).join(entries, "chunk_id", "left_anti")
+    if not _unlinked(entries, near).unionByName(_unlinked(near, entries)).isEmpty():
+        _delete(spark, f"{path}/data/batch={batch}")
+        raise DatasetError("CHUNK_LINK", "a chunk does not follow the one staged before it")
+    entries.coalesce(1).write.parquet(f"{path}/log/seq={seq}")  # one row per chunk
+
+
+def _entries(rows: DataFrame) -> DataFrame:
+    """One row per chunk: what the log has of it but for the file's digest."""
+    from pyspark.sql import Window
+
+    before = F.lag(F.struct(KEY, "_proof_hash", "_proof_timestamp")).over(Window.partitionBy("chunk_id").orderBy(KEY))
+    number, hash_, time = (F.col(f"before.{c}") for c in (KEY, "_proof_hash", "_proof_timestamp"))
+    faulty = (number == F.col(KEY) - 1) & (~F.col("_proof_parent_hash").eqNullSafe(hash_) | (F.col("_proof_timestamp") < time))
+    return rows.withColumn("before", before).groupBy("chunk_id").agg(
+        F.min(KEY).alias("from_block"), F.max(KEY).alias("to_block"), F.count(F.lit(1)).alias("row_count"), F.count_if(number == F.col(KEY)).alias("repeats"), F.count_if(faulty).alias("link_faults"),
+        F.min_by("_proof_parent_hash", KEY).alias("first_parent"), F.min_by("_proof_timestamp", KEY).alias("first_timestamp"), F.max_by("_proof_hash", KEY).alias("last_hash"), F.max_by("_proof_timestamp", KEY).alias("last_timestamp"), F.first("file").alias("file"),
+    )
+
+
+def _named_digests(spark: SparkSession, path: str) -> DataFrame:
+    """(file, bytes, sha256) of the data files below a folder, by their names from there."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    return files.select(F.regexp_extract("path", r"(pack=-?\d+/[^/]+)\z", 1).alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+def _unlinked(chunks: DataFrame, others: DataFrame) -> DataFrame:
+    """chunks whose first block has the number after the last one of the chunk before, among others, and does not follow it."""
+    before = others.select((F.col("chunk_id") + 1).alias("chunk_id"), F.col("to_block").alias("end"), F.col("last_hash").alias("end_hash"), F.col("last_timestamp").alias("end_timestamp"))
+    met = chunks.join(before, "chunk_id").where("from_block = end + 1")
+    return met.where("not (first_parent <=> end_hash) or first_timestamp < end_timestamp").select("chunk_id")
+
+
+def chunk_states(spark: SparkSession, path: str, first: int, last: int, size: int = CHUNK_SIZE) -> DataFrame:
+    """(chunk_id, from_block, to_block, state, usable) of every planned chunk, to resume from.
 
-    A chunk that is staged again takes the place of its former rows. Rows whose parent is not the
-    staged block before them, in a chunk that is staged already, are refused.
+    state is absent, changed (its file is gone, or has other bytes than when it was staged),
+    incomplete (rows are missing, repeated or outside), broken (a link inside it or to the chunk
+    before it does not hold) or complete. usable is 1 for complete chunks with only complete ones
+    before them. The log and the files' digests are read, no row is.
     """
-    spark, chunked = df.sparkSession, with_chunk_id(df, first, size)
-    if "_proof_hash" in df.columns and _exists(spark, path):
-        mine = chunked.select(KEY, "_proof_hash", "_proof_parent_hash")
-        staged = spark.read.parquet(path).join(chunked.select("chunk_id").distinct(), "chunk_id", "left_anti").select(KEY, "_proof_hash", "_proof_parent_hash")
-        follows = lambda a, b: a.select((F.col(KEY) - 1).alias(KEY), "_proof_parent_hash").join(b.select(KEY, "_proof_hash"), KEY).where("not (_proof_parent_hash <=> _proof_hash)")
-        if not follows(mine, staged).unionByName(follows(staged, mine)).isEmpty():
-            raise DatasetError("CHUNK_LINK", "a chunk does not follow the one staged before it")
-    ordered = chunked.repartition("chunk_id").sortWithinPartitions("chunk_id", KEY)
-    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("chunk_id").parquet(path)
+    log = chunk_log(spark, path)
+    now = spark.createDataFrame([], "batch string, file string, now_bytes bigint, now_sha256 string")
+    if _exists(spark, f"{path}/data"):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(f"{path}/data")
+        now = files.select(F.regexp_extract("path", r"batch=([^/]+)/", 1).alias("batch"), F.regexp_extract("path", r"(pack=-?\d+/[^/]+)\z", 1).alias("file"), F.col("length").alias("now_bytes"), F.sha2("content", 256).alias("now_sha256"))
+    unlinked = _unlinked(log, log).withColumn("unlinked", F.lit(True))
+    judged = log.join(now, ["batch", "file"], "left").join(unlinked, "chunk_id", "left")
+    plan = planned_chunks(spark, first, last, size).join(judged.withColumnsRenamed({"from_block": "low", "to_block": "high"}), "chunk_id", "left")
+    same = F.coalesce((F.col("bytes") == F.col("now_bytes")) & (F.col("sha256") == F.col("now_sha256")), F.lit(False))
+    whole = (F.col("low") == F.col("from_block")) & (F.col("high") == F.col("to_block")) & (F.col("repeats") == 0) & (F.col("row_count") == F.col("to_block") - F.col("from_block") + 1)
+    state = F.when(F.col("batch").isNull(), "absent").when(~same, "changed").when(~whole, "incomplete").when((F.col("link_faults") > 0) | F.col("unlinked").isNotNull(), "broken").otherwise("complete")
+    states = stored(plan.select("chunk_id", "from_block", "to_block", state.alias("state")))
+    stop = states.where("state <> 'complete'").agg(F.min("chunk_id")).first()[0]
+    return states.withColumn("usable", (F.lit(True) if stop is None else F.col("chunk_id") < stop).cast("bigint"))
 
 
 def missing_chunks(staged: DataFrame, first: int, last: int, size: int = CHUNK_SIZE) -> DataFrame:

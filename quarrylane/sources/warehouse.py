@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.catalog import DatasetError
+from ..plans.catalog import DatasetError, Selection
 
 # Column names and kinds of the public warehouse tables.
 BLOCKS = {"block_number": T.IntegralType, "block_timestamp": T.TimestampType, "block_hash": T.StringType, "parent_hash": T.StringType, "base_fee_per_gas": T.IntegralType, "gas_used": T.IntegralType, "gas_limit": T.IntegralType}
@@ -29,9 +29,15 @@ def _ours(df: DataFrame, kinds: dict[str, type[T.DataType]]) -> DataFrame:
     return require_columns(df, kinds).select(*(c.alias(n) for n, c in cast.items()))
 
 
-def blocks_of(df: DataFrame) -> DataFrame:
-    """A warehouse's blocks under our names: timestamp in unix seconds; block_timestamp stays, for pruned scans."""
-    return _ours(df, BLOCKS).withColumn("timestamp", F.unix_seconds("block_timestamp"))
+def needed_blocks(plan: Selection) -> dict[str, type[T.DataType]]:
+    """The columns of the blocks table that a selection needs: identity, links and time always, fees and gas if selected or implied."""
+    needed = {"block_number", "block_timestamp", "block_hash", "parent_hash", *plan.names, *plan.hidden}
+    return {name: kind for name, kind in BLOCKS.items() if name in needed}
+
+
+def blocks_of(df: DataFrame, plan: Selection) -> DataFrame:
+    """A warehouse's blocks under our names, as far as a selection needs them: timestamp in unix seconds; block_timestamp stays, for pruned scans."""
+    return _ours(df, needed_blocks(plan)).withColumn("timestamp", F.unix_seconds("block_timestamp"))
 
 
 def transactions_of(df: DataFrame) -> DataFrame:

@@ -2,61 +2,84 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.canonical import canonical_chain
 from ..operators.features import build_block_features, receipt_gaps
+from ..plans.catalog import KEY, DatasetError
 from ..sources.decode import decode_headers
+from ..sources.scratch import stored
 
-KEY = "block_number"
 LANDED = "requested bigint, reply string"
+RECEIPTS = "block_hash string, transaction_index bigint, gas_used bigint, effective_gas_price bigint"
+#: Blocks below the finished ones among which receipts that land again are still recognised.
+KEEP = 1024
+#: Receipts land at most so many blocks before their own block is final.
+LEAD = 100_000
 
 
-def _stored(spark: SparkSession, out: str, low: int, high: int) -> DataFrame | None:
-    """The numbers from low to high that the sink has; None while it has no file."""
+def _has_rows(spark: SparkSession, out: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(out)
     fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if not fs.exists(path) or not any(str(f.getPath().getName()).startswith("part-") for f in fs.listStatus(path)):
-        return None
-    return spark.read.parquet(out).where(F.col(KEY).between(low, high)).select(KEY)
+    return fs.exists(path) and any(str(f.getPath().getName()).startswith("part-") for f in fs.listStatus(path))
+
 
+def _stored(spark: SparkSession, out: str, low: int, high: int, key: list[str]) -> DataFrame | None:
+    """The keys from low to high that the sink has; None while it has no file."""
+    return spark.read.parquet(out).where(F.col(KEY).between(low, high)).select(*key) if _has_rows(spark, out) else None
 
-def _append_new(batch: DataFrame, out: str) -> None:
-    """Append the rows whose block is not stored yet; the sink is read only over the batch's range."""
+
+def _append_new(batch: DataFrame, out: str, key: list[str]) -> None:
+    """Append the rows whose key is not stored yet; the sink is read only over the batch's range of numbers."""
     spark = batch.sparkSession
-    once = batch.dropDuplicates([KEY]).persist()
+    once = batch.dropDuplicates(key).persist()
     try:
         low, high = once.agg(F.min(KEY), F.max(KEY)).first()
         if low is None:
             return
-        stored = _stored(spark, out, low, high)
-        fresh = once if stored is None else once.join(stored, KEY, "left_anti")
+        there = _stored(spark, out, low, high, key)
+        fresh = once if there is None else once.join(there, key, "left_anti")
         fresh.write.mode("append").parquet(out)
     finally:
         once.unpersist()
 
 
 def stream_headers(spark: SparkSession, src: str, out: str, checkpoint: str) -> None:
-    """Decode the landed replies (JSON lines of requested and reply) that are new; store each block once.
+    """Decode the landed replies (JSON lines of requested and reply) that are new; store each header once, by its hash.
 
-    Files may be delivered again and the run may be restarted: blocks already stored are left out,
-    so a batch that is replayed after a crash changes nothing. Rejected replies are not stored.
+    Files may be delivered again and the run may be restarted: headers already stored are left out,
+    so a batch that is replayed after a crash changes nothing. Before a block is final the chain can
+    replace it, so several headers of one number are kept; which one counts is decided on reading,
+    by `finalized_view`. Rejected replies are not stored.
     """
 
     def ingest(batch: DataFrame, _: int) -> None:
         good = decode_headers(batch).where("reject_reason is null").drop("reject_reason")
-        _append_new(good, out)
+        _append_new(good, out, [KEY, "block_hash"])
 
     landed = spark.readStream.schema(LANDED).json(src)
     landed.writeStream.foreachBatch(ingest).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def finalized_view(bronze: DataFrame, head: int) -> DataFrame:
-    """Stored blocks at or below the finalized head; the filter is applied on reading, so a late head needs no replay."""
-    return bronze.where(F.col(KEY) <= head)
-
+def finalized_view(bronze: DataFrame, head: int, head_hash: str | None = None, first: int | None = None) -> DataFrame:
+    """The stored headers on the line that ends at the finalized head: one per number, none of a losing branch.
 
-RECEIPTS = "block_hash string, transaction_index bigint, gas_used bigint, effective_gas_price bigint"
+    Without head_hash, there must be just one header at the head's height.
+    The filter is applied on reading, so a late head needs no replay. With `first`, the line must
+    reach down to that number; a header that is missing on the way is an error, not a shorter view.
+    """
+    if head_hash is None:
+        tops = [r[0] for r in bronze.where(F.col(KEY) == head).select("block_hash").distinct().limit(2).collect()]
+        if len(tops) != 1:
+            raise DatasetError("CHAIN_HEAD", f"{'no' if not tops else 'more than one'} header is at {head}: name the final one")
+        head_hash = tops[0]
+    line = canonical_chain(bronze if first is None else bronze.where(F.col(KEY) >= first), head, head_hash)
+    if first is not None and line.agg(F.min(KEY)).first()[0] != first:
+        raise DatasetError("CHAIN_BROKEN", f"the line from {head} does not lead to {first}")
+    return line
 
 
 def _state(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -71,40 +94,106 @@ def _forget(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
-def stream_features(spark: SparkSession, src: str, blocks: DataFrame | str, out: str, checkpoint: str, names: list[str]) -> None:
+def _unbroken(done: DataFrame, low: int, high: int) -> int:
+    """The last number of which all from low on are done; low - 1 if low is not."""
+    missing = done.sparkSession.range(low, high + 1).select(F.col("id").alias(KEY)).join(done, KEY, "left_anti").agg(F.min(KEY)).first()[0]
+    return high if missing is None else missing - 1
+
+
+def stream_features(
+    spark: SparkSession, src: str, blocks: DataFrame | str, out: str, checkpoint: str, names: list[str], finalized: Callable[[], tuple[int, str] | None] | None = None, keep: int = KEEP, lead: int = LEAD
+) -> None:
     """Store the features of each block once its receipts add up.
 
     src holds landed receipts as Parquet (block_hash, transaction_index, gas_used,
-    effective_gas_price); blocks is a table, or a path that is listed anew for each batch. A block
-    is complete when its receipts' gas is the block's. Receipts of blocks that are not complete, or
-    not known yet (a fork's stay so), are kept as state; so a batch looks at its own receipts and at
-    those, never at all that landed, and at the stored blocks in its range only.
-    Blocks without gas have no receipts to wait for: each batch stores those above the highest block
-    that the batch before it knew. A replayed batch reads the same state and writes the same again.
+    effective_gas_price); blocks is a table of headers, or a path that is listed anew for each
+    batch. finalized gives the number and hash of the finalized head, or None while there is none:
+    then forks may be among the headers, and only blocks on the head's line are stored. Without
+    it, all blocks are taken to be final and to have one header each.
+
+    A block is complete when its receipts' gas is the block's; one without gas is complete at once,
+    whenever its header lands. Where all blocks up to one are stored, a mark moves up to it, and no
+    later batch reads headers or stored rows further than `keep` below the mark. Receipts of blocks
+    that are not complete, or not known yet, are kept as state. Those of a losing branch go as soon
+    as the head is past it, and those whose block is still unknown when the mark has moved `lead` on
+    since they landed, as no block of theirs can come any more; so the state does not grow with what has passed. A
+    replayed batch reads the same state and writes the same again. When all has been read, blocks
+    that are complete without new receipts are stored as well.
     """
 
+    def known_from(low: int) -> DataFrame:
+        return (spark.read.parquet(blocks) if isinstance(blocks, str) else blocks).where(F.col(KEY) > low)
+
+    def window(mark: int | None) -> tuple[int, DataFrame, DataFrame, DataFrame] | None:
+        """(mark, headers on the line above it, the finished ones just below it, headers on no line)."""
+        head = finalized() if finalized is not None else None
+        if finalized is not None and head is None:
+            return None
+        if mark is None:  # the first batch: the chain begins below its first header
+            low = known_from(-1).agg(F.min(KEY)).first()[0]
+            if low is None:
+                return None
+            mark = low - 1
+        near = known_from(mark - keep)
+        line = near if head is None else stored(canonical_chain(near, *head))
+        lost = near.limit(0) if head is None else near.where(F.col(KEY) <= head[0]).join(line, "block_hash", "left_anti")
+        return mark, line.where(F.col(KEY) > mark), line.where(F.col(KEY) <= mark), lost
+
+    def emitted(line: DataFrame, landed: DataFrame) -> tuple[DataFrame, DataFrame, int, int] | None:
+        """Store what is complete; (stored before, complete now, lowest, highest number of the line)."""
+        low, high = line.agg(F.min(KEY), F.max(KEY)).first()
+        if low is None:
+            return None
+        there = _stored(spark, out, low, high, [KEY])
+        there = line.limit(0).select(KEY) if there is None else stored(there)
+        fresh = line.join(there, KEY, "left_anti")
+        complete = stored(fresh.join(receipt_gaps(fresh, landed).select(KEY), KEY, "left_anti"))
+        _append_new(build_block_features(complete, landed.select("block_hash"), landed, names), out, [KEY])
+        return there, complete, low, high
+
     def ingest(batch: DataFrame, number: int) -> None:
-        known = spark.read.parquet(blocks) if isinstance(blocks, str) else blocks
-        pending = _state(spark, f"{checkpoint}/pending/{number - 1}", RECEIPTS)
-        mark = _state(spark, f"{checkpoint}/mark/{number - 1}", "mark bigint").agg(F.max("mark")).first()[0]
-        landed = batch.select(*pending.columns).unionByName(pending).dropDuplicates(["block_hash", "transaction_index"]).persist()
+        old = _state(spark, f"{checkpoint}/mark/{number - 1}", "mark bigint").agg(F.max("mark")).first()[0]
+        held = _state(spark, f"{checkpoint}/pending/{number - 1}", f"{RECEIPTS}, since bigint")
+        new = batch.withColumn("since", F.lit(-1 if old is None else old).cast("bigint"))
+        # Of a receipt that lands twice, the first one's time counts.
+        landed = new.unionByName(held).groupBy("block_hash", "transaction_index").agg(F.min_by(F.struct("gas_used", "effective_gas_price", "since"), "since").alias("x")).select("block_hash", "transaction_index", "x.*")
+        landed = landed.persist()
         try:
-            empty = known.where("gas_used = 0").where(F.col(KEY) > F.lit(-1 if mark is None else mark))
-            due = known.join(landed.select("block_hash").distinct(), "block_hash", "left_semi").unionByName(empty).dropDuplicates([KEY])
-            low, high = due.agg(F.min(KEY), F.max(KEY)).first()
-            stored = None if low is None else _stored(spark, out, low, high)
-            fresh = due if stored is None else due.join(stored, KEY, "left_anti")
-            done = due.limit(0) if stored is None else due.join(stored, KEY, "left_semi")
-            gaps = receipt_gaps(fresh, landed).select(KEY)
-            complete = fresh.join(gaps, KEY, "left_anti")
-            left = landed.join(complete.unionByName(done).select("block_hash"), "block_hash", "left_anti")
+            found, mark, left = window(old), old, landed
+            if found is not None:
+                mark, line, below, lost = found
+                told = emitted(line, landed)
+                gone = below.select("block_hash").unionByName(lost.select("block_hash"))
+                if told is not None:
+                    there, complete, _, high = told
+                    done = there.unionByName(complete.select(KEY))
+                    gone = gone.unionByName(line.join(done, KEY, "left_semi").select("block_hash"))
+                    mark = _unbroken(done, mark + 1, high)
+                left = landed.join(gone.distinct(), "block_hash", "left_anti")
+                known = line.select("block_hash")
+                aged = left.where(F.col("since") + lead <= mark).join(known, "block_hash", "left_anti").select("block_hash", "transaction_index")
+                left = left.join(aged, ["block_hash", "transaction_index"], "left_anti")
             left.write.mode("overwrite").parquet(f"{checkpoint}/pending/{number}")
-            _append_new(build_block_features(complete, landed.select("block_hash"), landed, names), out)
         finally:
             landed.unpersist()
-        known.agg(F.max(KEY).alias("mark")).write.mode("overwrite").parquet(f"{checkpoint}/mark/{number}")
+        spark.createDataFrame([(mark,)], "mark bigint").write.mode("overwrite").parquet(f"{checkpoint}/mark/{number}")
         for kind in ("pending", "mark"):  # the batch before may still be asked for
             _forget(spark, f"{checkpoint}/{kind}/{number - 2}")
 
     stream = spark.readStream.schema(RECEIPTS).parquet(src)
-    stream.writeStream.foreachBatch(ingest).option("checkpointLocation", f"{checkpoint}/stream").trigger(availableNow=True).start().awaitTermination()
+    query = stream.writeStream.foreachBatch(ingest).option("checkpointLocation", f"{checkpoint}/stream").trigger(availableNow=True).start()
+    query.awaitTermination()
+    last = _last_batch(spark, f"{checkpoint}/mark")
+    mark = None if last is None else _state(spark, f"{checkpoint}/mark/{last}", "mark bigint").agg(F.max("mark")).first()[0]
+    found = window(mark)
+    if found is not None:
+        held = spark.createDataFrame([], f"{RECEIPTS}, since bigint") if last is None else _state(spark, f"{checkpoint}/pending/{last}", f"{RECEIPTS}, since bigint")
+        emitted(found[1], held)
+
+
+def _last_batch(spark: SparkSession, path: str) -> int | None:
+    """The highest batch that has written its state."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    found = [int(f.getPath().getName()) for f in fs.listStatus(at)] if fs.exists(at) else []
+    return max(found, default=None)

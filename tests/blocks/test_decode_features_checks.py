@@ -81,17 +81,34 @@ def chain(spark, n=3000, **changes):
     return df.withColumns(changes) if changes else df
 
 
-@pytest.mark.parametrize("by_chunk", [False, True])
-def test_link_violations(spark, by_chunk):
+@pytest.mark.parametrize("size", [checks.LINK_SLICE, 1024, 7])
+def test_link_violations(spark, size):
     n = F.col("block_number")
     broken = chain(spark).where(n != 1500).withColumn("parent_hash", F.when(n == 1024, F.lit(H(9))).otherwise(F.col("parent_hash"))).withColumn("timestamp", F.when(n == 2048, 5).otherwise(F.col("timestamp")))
-    found = {(r.block_number, r.reason) for r in checks.link_violations(broken, by_chunk).collect()}
+    found = {(r.block_number, r.reason) for r in checks.link_violations(broken, size).collect()}
     assert found == {(1024, "parent"), (1501, "gap"), (2048, "time")}
-    assert checks.link_violations(chain(spark), by_chunk).count() == 0
-    plan = checks.link_violations(broken, by_chunk)._jdf.queryExecution().executedPlan().toString()
+    assert checks.link_violations(chain(spark), size).count() == 0
+    plan = checks.link_violations(broken, size)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
 
 
+def test_only_slices_meet(spark):
+    """What goes beyond a slice is one row for each, and the summary reads the table once."""
+    rows = checks.slice_summaries(chain(spark), 100)
+    assert rows.count() == -(-chain(spark).count() // 100)
+    plan = checks.dataset_summary(chain(spark), 0, 2999)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_repeats_and_rows_without_a_number(spark):
+    twice = chain(spark, 30).unionByName(chain(spark, 30).where("block_number in (7, 8)"))
+    assert {(r.block_number, r.reason) for r in checks.link_violations(twice, 8).collect()} == {(7, "repeat"), (8, "repeat")}
+    lost = chain(spark, 30).withColumn("block_number", F.when(F.col("block_number") != 3, F.col("block_number")))
+    row = checks.dataset_summary(lost, 0, 29).first()
+    assert (row.row_count, row.null_values, row.exact, row.link_faults) == (30, 1, 0, 1)
+    assert checks.dataset_summary(lost.limit(0), 0, 29).first().asDict() == {"row_count": 0, "domain_faults": 0, "null_values": 0, "exact": 0, "target_ok": 1, "times_ok": 1, "link_faults": 0}
+
+
 def test_summary_and_codes(spark):
     n = F.col("block_number")
     good = chain(spark, 50)
@@ -142,6 +159,33 @@ def test_reconcile(spark):
     assert [r.id for r in decode.retries(out).collect()] == [1, 2, 4, 8]
 
 
+def test_landed_batches(spark):
+    """Values are judged by their JSON types, members and payloads by their shapes."""
+    ok = '{"jsonrpc":"2.0","id":%s,"result":{"n":1}}'
+    members = [ok % 0, '{"jsonrpc":"2.0","id":1,"result":null}', '{"jsonrpc":"2.0","id":2,"error":{"code":-32005,"message":"m"}}', '{"jsonrpc":"2.0","id":3,"error":{"code":-32601,"message":"m"}}', '{"jsonrpc":"2.0","id":4,"error":{"code":-1,"message":"m"}}', ok % '"5"', '{"jsonrpc":"2.0","id":6,"error":{"code":-1}}', '{"jsonrpc":"2.0","id":7,"error":{"code":"-1","message":"m"}}', '{"jsonrpc":2.0,"id":8,"result":1}', '{"jsonrpc":"2.0","id":9}', '{"jsonrpc":"2.0","id":10,"result":1,"error":null}', ok % 11, ok % 11, ok % 99, ok % "12.5", "13", "null"]
+    calls = spark.createDataFrame([(b, i) for b in range(4) for i in range(15)], "batch_id bigint, call_id bigint")
+    landed = spark.createDataFrame([(0, f"[{','.join(members)}]"), (1, "{" + ok % 1 + "}"), (2, ok % 1), (3, None)], "batch_id bigint, payload string")
+    found = {(r.batch_id, r.id): r.outcome for r in decode.reconcile_batches(calls, landed).collect()}
+    want = {0: "accepted", 1: "retry", 2: "limit", 3: "fatal", 4: "retry", 5: "retry", 6: "protocol", 7: "protocol", 8: "protocol", 9: "protocol", 10: "protocol", 11: "protocol", 99: "protocol", 12: "retry", 13: "retry", 14: "retry", None: "protocol"}
+    assert {i: o for (b, i), o in found.items() if b == 0} == want
+    assert all(o == ("protocol" if i is None else "retry") for (b, i), o in found.items() if b) and sum(i is None for b, i in found if b) == 3
+    first = decode.batch_members(landed).where("batch_id = 0 and id = 0").first()
+    assert (first.place, first.result, first.odd) == (0, '{"n":1}', False)
+
+
+def test_warehouse_tables_need_the_selected_columns_only(spark):
+    from datetime import datetime
+
+    blocks = spark.createDataFrame([(n, datetime(2026, 1, 1, 0, n), H(n + 1), H(n)) for n in range(9)], "block_number int, block_timestamp timestamp, block_hash string, parent_hash string")
+    transactions = spark.createDataFrame([(H(3), datetime(2026, 1, 1, 0, 2))] * 4, "block_hash string, block_timestamp timestamp")
+    built = features.features_from_warehouse(blocks, transactions, None, ["tx_count"], 0, 8)
+    assert {r.block_number: r.tx_count for r in built.collect()} == {n: 4 * (n == 2) for n in range(9)}
+    for names, tables in ((["base_fee_per_gas"], (None, None)), (["tx_count"], (None, None)), ([CATALOG[-1].name], (None, None)), (["gas_limit"], (None, None))):
+        with pytest.raises(DatasetError) as e:
+            features.features_from_warehouse(blocks, *tables, names, 0, 8)
+        assert e.value.code == "SOURCE_SCHEMA"
+
+
 def test_warehouse_scans_are_pruned_by_time(spark, tmp_path):
     """The time span of the range reaches the scans of all three tables, and their columns are checked first."""
     from datetime import datetime, timedelta
@@ -173,5 +217,5 @@ def test_warehouse_scans_are_pruned_by_time(spark, tmp_path):
             checks.assert_coverage(wrong, 10, 19)
         assert e.value.code == code
     with pytest.raises(DatasetError) as e:
-        features.features_from_warehouse(read[0].drop("gas_used"), *read[1:], ["timestamp"], 0, 1)
+        features.features_from_warehouse(read[0].drop("gas_used"), *read[1:], ["gas_limit"], 0, 1)
     assert e.value.code == "SOURCE_SCHEMA"

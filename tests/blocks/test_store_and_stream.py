@@ -1,5 +1,6 @@
 import json
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -152,16 +153,16 @@ def test_staging_and_resume(spark, tmp_path):
     df = with_proofs(chain(spark, 100), NAMES)
     n = F.col("block_number")
     store.stage_chunks(df.where((n < 40) | (n >= 60)), str(tmp_path / "s"), 0, 20)
-    staged = spark.read.parquet(str(tmp_path / "s")).drop("chunk_id")
+    staged = store.staged_rows(spark, str(tmp_path / "s"))
     missing = store.missing_chunks(staged, 0, 99, 20)
     assert [tuple(r) for r in missing.collect()] == [(2, 40, 59)] and store.usable_prefix(missing, 5) == 2
     store.stage_chunks(df.where(n.between(40, 59)), str(tmp_path / "s"), 0, 20)
-    staged = spark.read.parquet(str(tmp_path / "s")).drop("chunk_id")
+    staged = store.staged_rows(spark, str(tmp_path / "s"))
     assert store.missing_chunks(staged, 0, 99, 20).count() == 0
     assert [r.block_number for r in store.assemble(staged, Selection.of(NAMES)).collect()] == list(range(100))
     assert store.run_receipt(staged, 0, 99, 2, 20).first().reused_rows == 40
     store.stage_chunks(df.where(n.between(20, 59)), str(tmp_path / "s"), 0, 20)  # again: nothing is there twice
-    staged = spark.read.parquet(str(tmp_path / "s")).drop("chunk_id")
+    staged = store.staged_rows(spark, str(tmp_path / "s"))
     assert staged.count() == 100 and store.missing_chunks(staged, 0, 99, 20).count() == 0
     forked = df.where(n.between(40, 59)).withColumn("_proof_parent_hash", F.when(n == 40, F.lit(H(7777))).otherwise(F.col("_proof_parent_hash")))
     for wrong in (forked, df.where(n.between(40, 59)).withColumn("_proof_hash", F.when(n == 59, F.lit(H(7777))).otherwise(F.col("_proof_hash")))):
@@ -170,6 +171,103 @@ def test_staging_and_resume(spark, tmp_path):
         assert e.value.code == "CHUNK_LINK"
 
 
+def test_staging_costs_the_new_chunks_alone(spark, tmp_path):
+    """What is staged already may be gone: only the log's neighbours are read. Many chunks share a file."""
+    df, where = with_proofs(chain(spark, 400), NAMES), str(tmp_path / "s")
+    n = F.col("block_number")
+    store.stage_chunks(df.where(n < 200), where, 0, 20)
+    assert len([f for _, _, fs in os.walk(f"{where}/data") for f in fs if f.endswith(".parquet")]) == 1
+    shutil.rmtree(f"{where}/data")
+    store.stage_chunks(df.where(n >= 200), where, 0, 20)
+    states = store.chunk_states(spark, where, 0, 399, 20)
+    assert {r.state: r["count"] for r in states.groupBy("state").count().collect()} == {"changed": 10, "complete": 10}
+    assert states.where("usable = 1").count() == 0
+    with pytest.raises(DatasetError) as e:
+        store.stage_chunks(df.drop("_proof_hash"), where, 0, 20)
+    assert e.value.code == "CHUNK_PROOFS"
+
+
+def test_changed_bytes_and_broken_links_are_found_on_resume(spark, tmp_path):
+    df, where = with_proofs(chain(spark, 100), NAMES), str(tmp_path / "s")
+    n = F.col("block_number")
+    wrong = df.withColumn("_proof_parent_hash", F.when(n.isin(50, 80), F.lit(H(7777))).otherwise(F.col("_proof_parent_hash")))
+    store.stage_chunks(wrong.where("block_number <> 33"), where, 0, 10, per_file=2)
+    states = lambda: [(r.state, r.usable) for r in store.chunk_states(spark, where, 0, 119, 10).orderBy("chunk_id").collect()]
+    assert [s for s, _ in states()] == ["complete"] * 3 + ["incomplete", "complete", "broken", "complete", "complete", "broken", "complete", "absent", "absent"]
+    store.stage_chunks(df, where, 0, 10, per_file=2)
+    assert states() == [("complete", 1)] * 10 + [("absent", 0)] * 2
+    batch, file = store.chunk_log(spark, where, 4, 4).select("batch", "file").first()
+    name = f"{where}/data/batch={batch}/{file}"
+    data = bytearray(open(name, "rb").read())
+    data[len(data) // 2] ^= 1
+    open(name, "wb").write(data)
+    os.remove(f"{os.path.dirname(name)}/.{os.path.basename(name)}.crc")
+    assert states() == [("complete", 1)] * 4 + [("changed", 0)] * 2 + [("complete", 0)] * 4 + [("absent", 0)] * 2
+    assert store.staged_rows(spark, where).where("block_number < 40").count() == 40
+
+
+def test_publishing_evaluates_its_input_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = chain(spark, 500)
+    store.publish(df.mapInArrow(count, df.schema), str(tmp_path), NAMES, ANCHOR, df, CHAIN, SOURCE)
+    assert seen.value == 500
+
+
+def test_results_that_do_not_cover_what_was_asked_are_refused(spark, tmp_path):
+    """Before anything is published, by what the write itself has seen."""
+    n, asked = F.col("block_number"), {"kind": "block", "from": 0, "to": 49}
+    wrong = {
+        "DATASET_RANGE": chain(spark, 50).where(n != 17), "DATASET_NULLS": chain(spark, 50).withColumn("gas_limit", F.when(n != 3, F.col("gas_limit"))), "DATASET_DOMAIN": chain(spark, 50).withColumn("base_fee_per_gas", F.lit(0).cast("bigint")),
+        "DATASET_LINKS": chain(spark, 50).withColumn("parent_hash", F.when(n == 9, F.lit(H(1))).otherwise(F.col("parent_hash"))),
+    }
+    for code, df in {**wrong, "DATASET_RANGE ": chain(spark, 49), " DATASET_RANGE": chain(spark, 50).limit(0)}.items():
+        with pytest.raises(DatasetError) as e:
+            published(df, tmp_path, ["gas_used", "base_fee_per_gas"], requested=asked)
+        assert e.value.code == code.strip()
+    assert os.listdir(tmp_path) == []
+
+
+def test_canonical_text_equals_sorted_json(spark):
+    values = [{"b": [1, {"z": None, "a": "x\ny\"\\é🙂/"}], "a": {"d": -5, "c": True}, "": 9007199254740993}, [], {}, {"k": ""}]
+    rows = spark.createDataFrame([(json.dumps(v, indent=1, ensure_ascii=k % 2 == 0),) for k, v in enumerate(values)] + [("{",), (None,)], "v string")
+    assert [r[0] for r in rows.select(store.canonical_text(F.col("v"))).collect()] == [store.canonical_json(v) for v in values] + [None, None]
+
+
+AUDITED = {
+    "acquisition_plan": lambda m: m["acquisition_plan"].update(features=["gas_limit"], hidden=[]),
+    "acquisition_plan ": lambda m: m["acquisition_plan"].update(more=[]),
+    "source": lambda m: m.update(source={}),
+    "chain,verification": lambda m: m["chain"].update(chain_id=0),
+    "verification": lambda m: m["verification"].update(target_agreement=False),
+    "verification ": lambda m: m["verification"].update(verifier_chain_id=8),
+    "samples": lambda m: m["verification"].update(sampled_blocks=[0, 19]),
+    "schema": lambda m: m["schema"][1].update(type="UTF-8"),
+    "requested_range": lambda m: m["requested_range"].update(more=1),
+    " acquisition_plan": lambda m: m["schema"].pop(),
+    "schema,acquisition_plan": lambda m: m["schema"].reverse(),
+}
+
+
+def test_rules_that_follow_from_the_selection(spark, tmp_path):
+    """A plan over another selection, sources, verification: all in one scan of the manifests."""
+    names = {}
+    for what, change in AUDITED.items():
+        path = published(chain(spark, 20), tmp_path, ["gas_used", "tx_count"])
+        rewrite(path, change)
+        names[os.path.basename(path)] = what.strip()
+    loose = published(chain(spark, 20), tmp_path, ["gas_used"])
+    open(f"{loose}/manifest.json", "a").write(" ")
+    os.remove(f"{loose}/.manifest.json.crc")
+    found = {r.dataset_id: r.faults for r in store.audit_manifests(spark, str(tmp_path)).collect()}
+    assert found == names | {os.path.basename(loose): "canonical"}
+
+
 def test_staging_belongs_to_one_request(spark, tmp_path):
     where = str(tmp_path / "s")
     store.bind_staging(spark, where, {"from": 0, "to": 99, "features": NAMES})
