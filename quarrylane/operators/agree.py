@@ -10,6 +10,10 @@ from ..sources.scratch import stored
 from .canonical import canonical_chain
 from .checks import link_violations
 
+#: Consecutive numbers in a leaf of a digest tree (32,768 at most), and nodes below another.
+LEAF_BLOCKS = 1024
+FANOUT = 64
+
 
 def sampled(dataset_id: Column, first: Column, last: Column, inner: int = 3) -> Column:
     """The numbers of the first and last block, and of up to `inner` between, seeded by the id; first and last must be there, and in order.
@@ -59,18 +63,65 @@ def compare_sample(df: DataFrame, verifier: DataFrame, sample: DataFrame) -> Dat
     return found.unionByName(neither)
 
 
-def compare_full(df: DataFrame, verifier: DataFrame, first: int, last: int) -> DataFrame:
+def digest_tree(df: DataFrame, first: int, last: int, size: int = LEAF_BLOCKS, fanout: int = FANOUT) -> DataFrame:
+    """(level, node, rows, numbers, digest) of a tree of digests over the rows of first..last, stored.
+
+    A leaf (level 0) stands for `size` consecutive numbers; its digest is of sums of pieces of its
+    rows' SHA-256, so rows are added up where they are and never gathered. rows counts them, numbers
+    counts the different block numbers. Each node above is the digest of up to `fanout` nodes below;
+    the last level is the root. Copies with equal rows have equal digests, whatever the rows' order.
+    """
+    offset = F.col(KEY) - first
+    row = F.sha2(F.to_json(F.struct(*sorted(df.columns))), 256)
+    pieces = [F.conv(F.substring(row, 1 + 11 * k, 11), 16, 10).cast("bigint") for k in range(3)]  # 44 bits each, so that sums fit
+    rows = df.where(F.col(KEY).between(first, last)).select(F.floor(offset / size).cast("bigint").alias("node"), (offset % size + 1).alias("at"), *(p.alias(f"p{k}") for k, p in enumerate(pieces)))
+    sums = rows.groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("at"))).alias("numbers"), *(F.sum(f"p{k}").alias(f"p{k}") for k in range(3)))
+    level = stored(sums.select(F.lit(0).alias("level"), "node", "rows", "numbers", F.sha2(F.concat_ws(":", "rows", "p0", "p1", "p2"), 256).alias("digest")))
+    tree, nodes = level, (last - first) // size + 1
+    while nodes > 1:
+        nodes = -(-nodes // fanout)
+        below = F.array_sort(F.collect_list(F.struct("node", "digest")))  # `fanout` at most
+        level = level.groupBy((F.col("level") + 1).alias("level"), F.floor(F.col("node") / fanout).alias("node")).agg(F.sum("rows").alias("rows"), F.sum("numbers").alias("numbers"), F.sha2(F.to_json(below), 256).alias("digest"))
+        tree = tree.unionByName(level)
+    return stored(tree)
+
+
+def differing_leaves(a: DataFrame, b: DataFrame, fanout: int = FANOUT) -> DataFrame:
+    """(node) of the leaves whose digests differ, or that one tree lacks: from the roots down, looking only below nodes that differ."""
+    top = a.unionByName(b).agg(F.max("level")).first()[0]
+    below = None
+    for level in reversed(range((top or 0) + 1)):
+        mine, theirs = (t.where(F.col("level") == level).select("node", F.col("digest").alias(c)) for t, c in ((a, "mine"), (b, "theirs")))
+        both = mine.join(theirs, "node", "full_outer").where("not (mine <=> theirs)").select("node")
+        if below is not None:
+            both = both.withColumn("parent", F.floor(F.col("node") / fanout)).join(below.withColumnRenamed("node", "parent"), "parent", "left_semi").select("node")
+        below = stored(both)
+    return below
+
+
+def compare_full(df: DataFrame, verifier: DataFrame, first: int, last: int, size: int = LEAF_BLOCKS) -> DataFrame:
     """Differences over all blocks of first..last, and breaks in the verifier's own chain (verifier_<reason>).
 
     Every block of the range is looked for in both copies, so one that both lack is found, at the
-    range's edges too (missing_there). Rows outside the range are not compared.
+    range's edges too (missing_there). Rows outside the range are not compared. Both copies are
+    digested where they are; only the rows of leaves of the digest trees that differ are exchanged
+    and compared column by column, and only leaves without all their numbers are searched for lost blocks.
     """
     columns = [c for c in df.columns if c != KEY]
-    ours, theirs = (x.where(F.col(KEY).between(first, last)) for x in (df, verifier))
-    links = link_violations(theirs).select(KEY, F.concat(F.lit("verifier_"), F.col("reason")).alias("reason"))
-    planned = df.sparkSession.range(first, last + 1).select(F.col("id").alias(KEY))
-    neither = planned.join(ours.select(KEY), KEY, "left_anti").join(theirs.select(KEY), KEY, "left_anti")
-    return _differences(ours, theirs, columns, "full_outer").unionByName(links).unionByName(neither.select(KEY, F.lit("missing_there").alias("reason")))
+    ours, theirs = (x.where(F.col(KEY).between(first, last)).select(KEY, *columns) for x in (df, verifier))
+    links = link_violations(verifier.where(F.col(KEY).between(first, last))).select(KEY, F.concat(F.lit("verifier_"), F.col("reason")).alias("reason"))
+    trees = [digest_tree(x, first, last, size) for x in (ours, theirs)]
+    at = lambda x: x.withColumn("node", F.floor((F.col(KEY) - first) / size).cast("bigint"))
+    within = lambda x, nodes: at(x).join(nodes, "node", "left_semi").drop("node")
+    leaves = differing_leaves(*trees)
+    found = _differences(within(ours, leaves), within(theirs, leaves), columns, "full_outer")
+    spark = df.sparkSession
+    want = spark.range(0, (last - first) // size + 1).select(F.col("id").alias("node"), F.least(F.lit(size), F.lit(last - first + 1) - F.col("id") * size).alias("want"))
+    have = trees[0].unionByName(trees[1]).where("level = 0").groupBy("node").agg(F.max("numbers").alias("have"))
+    short = stored(want.join(have, "node", "left").where("coalesce(have, 0) < want").select("node"))
+    planned = short.select(F.explode(F.sequence(F.lit(first) + F.col("node") * size, F.least(F.lit(first) + (F.col("node") + 1) * size - 1, F.lit(last).cast("bigint")))).alias(KEY))
+    neither = planned.join(within(ours, short).select(KEY), KEY, "left_anti").join(within(theirs, short).select(KEY), KEY, "left_anti")
+    return found.unionByName(links).unionByName(neither.select(KEY, F.lit("missing_there").alias("reason")))
 
 
 def core_mismatches(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -165,6 +165,7 @@ _NULL = lambda c: f"CASE WHEN reject_reason IS NULL THEN {c} END AS {c}"  # noqa
 ORACLE_SQL = {
     "tx_counts": _sql("SELECT block_hash, count(*) AS tx_count FROM fx_receipts GROUP BY 1"),
     "receipt_join": _sql("SELECT * FROM joined", _JOINED),
+    "bucketed_receipt_join": _sql('SELECT j.* FROM joined j JOIN fx_events e ON e.n = j.block_number, (SELECT min("timestamp") AS lo, max("timestamp") AS hi FROM fx_events) WHERE e."timestamp" >= lo + (hi - lo) // 2', _JOINED),
     "running_gas": _sql("SELECT block_number, transaction_index, gas_used, priority_fee, running_gas FROM running", _JOINED),
     "priority_fee_percentiles": _sql("SELECT * FROM percentiles", _JOINED),
     "build_block_features": _sql("SELECT * FROM features", _JOINED),
@@ -244,7 +245,10 @@ UNION ALL SELECT block_number, 'edge' FROM late WHERE block_number = (SELECT min
         ),
         _BROKEN, *(_LINKS.format(f"fx_{k}").replace("previous AS", f"previous_{k} AS").replace("links AS", f"links_{k} AS").replace("FROM previous)", f"FROM previous_{k})") for k in ("blocks", "broken")),
     ),
-    "proof_mismatches": _sql("SELECT block_number FROM fx_blocks WHERE block_number % 701 = 19 OR block_number % 809 = 23"),
+    "proof_mismatches": _sql(
+        """SELECT block_number FROM spoilt WHERE _proof_hash IS NULL OR _proof_hash <> block_hash OR _proof_parent_hash <> parent_hash OR _proof_timestamp <> shown OR _proof_gas_used <> gas_used OR _proof_gas_limit <> gas_limit OR gas_limit <= 0 OR gas_used > gas_limit""",
+        _STAGED.format("fx_blocks"), 'spoilt AS (SELECT * REPLACE (CASE WHEN block_number % 809 <> 23 THEN _proof_hash END AS _proof_hash), "timestamp" + CASE WHEN block_number % 701 = 19 THEN 1 ELSE 0 END AS shown FROM staged)',
+    ),
     "sample_numbers": _sql(
         f"""SELECT dataset_id, block_number, count(*) AS times FROM (
 SELECT DISTINCT s.n, i.dataset_id, unnest([s.n, s.n + s.n % 7] || list_transform(range(0, least(3, greatest(s.n % 7 - 1, 0))), lambda j: cast(s.n + 1 + (i.seed + j) % (s.n % 7 - 1) AS bigint))) AS block_number
@@ -258,7 +262,7 @@ FROM fx_events s JOIN {_SEEDS} ON i.k = s.n % {len(SAMPLE_IDS)} ) GROUP BY 1, 2"
 UNION ALL SELECT p.n, 'missing_there' FROM (SELECT cast(unnest(generate_series(0, (SELECT head + 100 FROM fx_head))) AS bigint) AS n) p WHERE n NOT IN (SELECT block_number FROM ours) AND n NOT IN (SELECT block_number FROM theirs)""",
         _VERIFIER, "ours AS (SELECT b.* FROM fx_blocks b, fx_head WHERE block_number BETWEEN 1 AND head + 99)", "theirs AS (SELECT v.* FROM fx_verifier v, fx_head WHERE block_number BETWEEN 1 AND head + 99)", _COMPARED.format("ours", "theirs"), _LINKS.format("theirs"),
     ),
-    "core_mismatches": _sql("SELECT block_number, CASE WHEN block_number % 2003 = 29 THEN 'missing_there' ELSE 'parent_hash' END AS reason FROM fx_blocks WHERE block_number % 2003 = 29 OR block_number % 1009 = 17"),
+    "core_mismatches": _sql("SELECT block_number, reason FROM (SELECT block_number, CASE WHEN reason IN ('missing_there', 'missing_here', 'timestamp', 'block_hash', 'parent_hash') THEN reason END AS reason FROM sides) WHERE reason IS NOT NULL", _VERIFIER, _COMPARED.format("fx_blocks", "fx_verifier")),
     "ancestry_breaks": _sql(
         """SELECT l.block_number, l.reason FROM links l, span WHERE l.reason IS NOT NULL AND l.block_number > target AND l.block_number <= anchor
 UNION ALL SELECT anchor, 'coverage' FROM span, (SELECT count(*) AS n FROM part) WHERE n <> anchor - target + 1
@@ -297,10 +301,20 @@ states AS (
     "assemble": _sql(f"SELECT {_SEVEN} FROM fx_blocks"),
     "run_receipt": _sql("SELECT count(*) AS row_count, count(*) FILTER (WHERE block_number < 1024) AS reused_rows, count(*) FILTER (WHERE block_number >= 1024) AS acquired_rows, min_by(block_hash, block_number) AS first_hash, max_by(block_hash, block_number) AS target_hash FROM fx_blocks"),
     "manifest_facts": _sql('SELECT count(*) AS row_count, min(block_number) AS from_block, max(block_number) AS to_block, min_by("timestamp", block_number) AS from_timestamp, max_by("timestamp", block_number) AS to_timestamp, max_by(block_hash, block_number) AS target_hash FROM fx_blocks'),
-    "csv_violations": _sql("""SELECT reason, count(*) AS lines FROM (SELECT CASE WHEN block_number % 401 = 3 THEN 'block_number' WHEN block_number % 409 = 5 THEN 'timestamp' WHEN block_number % 419 = 7 THEN 'tx_count' END AS reason FROM fx_blocks) WHERE reason IS NOT NULL GROUP BY 1"""),
-    # Four files, each written in falling order and over the whole range; three datasets, two of them with one broken rule.
-    "order_violations": "SELECT 'inside' AS reason FROM range(4) UNION ALL SELECT 'across' FROM range(3)",
-    "audit_manifests": "SELECT unnest(['', 'target_hash', 'row_count']) AS faults, cast(1 AS bigint) AS datasets",
+    "csv_violations": _sql(
+        """SELECT reason, count(*) AS lines FROM (SELECT CASE WHEN NOT regexp_matches(n, '^(0|[1-9][0-9]*)$') THEN 'block_number' WHEN NOT regexp_matches(t, '^(0|[1-9][0-9]*)$') THEN 'timestamp' WHEN NOT regexp_matches(c, '^(0|[1-9][0-9]*)$') THEN 'tx_count' END AS reason
+FROM (SELECT CASE WHEN block_number % 401 = 3 THEN '0' ELSE '' END || block_number AS n, CASE WHEN block_number % 409 <> 5 THEN cast("timestamp" AS varchar) ELSE '' END AS t, CASE WHEN block_number % 419 = 7 THEN '+1' ELSE cast(tx_count AS varchar) END AS c FROM fx_blocks)) WHERE reason IS NOT NULL GROUP BY 1"""
+    ),
+    "order_violations": _sql(
+        """SELECT DISTINCT 'inside' AS reason, part FROM (SELECT n, part, lag(n) OVER (PARTITION BY part ORDER BY i) AS p FROM (SELECT n, n % 4 AS part, row_number() OVER (PARTITION BY n % 4 ORDER BY n DESC) AS i FROM fx_events)) WHERE n <= p
+UNION ALL SELECT 'across', part FROM (SELECT part, low, lag(high) OVER (ORDER BY part) AS before FROM (SELECT n % 4 AS part, min(n) AS low, max(n) AS high FROM fx_events GROUP BY 1)) WHERE low <= before"""
+    ),
+    # Three datasets, each a third of the blocks; two state something else of their rows than these are.
+    "audit_manifests": _sql(
+        """SELECT faults, count(*) AS datasets FROM (
+SELECT CASE WHEN NOT regexp_matches(CASE third WHEN 1 THEN '0x' ELSE max_by(block_hash, block_number) END, '^0x[0-9a-f]{64}$') THEN 'target_hash' WHEN CASE third WHEN 2 THEN 1 ELSE count(*) END <> max(block_number) - min(block_number) + 1 THEN 'row_count' ELSE '' END AS faults
+FROM (SELECT *, CASE WHEN block_number < (head + 100) // 3 THEN 0 WHEN block_number < 2 * (head + 100) // 3 THEN 1 ELSE 2 END AS third FROM fx_blocks, fx_head) GROUP BY third) GROUP BY 1"""
+    ),
     "stream_headers": _sql(f"SELECT {_SEVEN} FROM decoded WHERE reject_reason IS NULL", _DECODED),
     "finalized_view": _sql("SELECT b.* FROM fx_blocks b, fx_head WHERE block_number <= head"),
     "stream_reorgs": _sql("SELECT b.* FROM fx_blocks b, fx_head WHERE block_number <= head"),

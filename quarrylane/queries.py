@@ -9,7 +9,7 @@ from .functions.columns import as_hash, to_quantity
 from .operators import agree, canonical, checks, features, ranges
 from .oracle import ORACLE_SQL, SAMPLE_IDS
 from .plans import catalog
-from .sources import chunks, decode, store, warehouse
+from .sources import bucketed, chunks, decode, store, warehouse
 from .sources.fixtures import Fixtures
 from .sources.scratch import scratch_dir
 from .streaming import stream
@@ -40,6 +40,19 @@ def receipt_join(fx: Fixtures) -> DataFrame:
     return features.receipts_of(fx.headers(), fx.receipts())
 
 
+@_query
+def bucketed_receipt_join(fx: Fixtures) -> DataFrame:
+    """The join over tables stored by day and buckets of the hash, for the second half of the time."""
+    low, high = fx.events().agg(F.min("timestamp"), F.max("timestamp")).first()
+    blocks = fx.headers().withColumn("block_timestamp", F.timestamp_seconds("timestamp"))
+    receipts = fx.timed(fx.receipts()).withColumn("block_timestamp", F.timestamp_seconds("block_timestamp"))
+    kept = []
+    for rows in (blocks, receipts):
+        path = scratch_dir(fx.spark)
+        kept.append(bucketed.scan_days(bucketed.save_bucketed(rows, f"t{path.rpartition('-')[2]}", path, 8), low + (high - low) // 2, high))
+    return features.receipts_of(*kept)
+
+
 @_query
 def running_gas(fx: Fixtures) -> DataFrame:
     return features.running_gas(features.receipts_of(fx.headers(), fx.receipts())).drop("block_gas_used")
@@ -439,8 +452,9 @@ def csv_violations(fx: Fixtures) -> DataFrame:
 def order_violations(fx: Fixtures) -> DataFrame:
     path = scratch_dir(fx.spark)
     rows = fx.blocks().select("block_number", "timestamp")
-    rows.repartition(4, "block_number").sortWithinPartitions(F.col("block_number").desc()).write.parquet(path)
-    return store.order_violations(fx.spark, path).select("reason")
+    rows.repartitionById(4, (F.col("block_number") % 4).cast("int")).sortWithinPartitions(F.col("block_number").desc()).write.parquet(path)
+    found = store.order_violations(fx.spark, path)
+    return found.select("reason", F.regexp_extract("file", r"^part-(\d+)", 1).cast("bigint").alias("part"))
 
 
 @_query

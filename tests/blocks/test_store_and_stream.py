@@ -250,7 +250,7 @@ AUDITED = {
     "schema": lambda m: m["schema"][1].update(type="UTF-8"),
     "requested_range": lambda m: m["requested_range"].update(more=1),
     " acquisition_plan": lambda m: m["schema"].pop(),
-    "schema,acquisition_plan": lambda m: m["schema"].reverse(),
+    "schema ": lambda m: m["schema"].reverse(),
 }
 
 
