@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 # Element names by their role in HTML.
@@ -56,13 +57,62 @@ def _without_open_end(html: str, at: int) -> str:
     return html[: start.start()] if start else html
 
 
-def _plain_end(html: str, tag: str, at: int) -> int:
-    """Where an element without markup in it ends."""
-    end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
-    return end.end() if end else len(html)
+class _Ends:
+    """Where the next end tag of an element is; the rest of a page is searched once for each name, not for each start tag."""
 
+    def __init__(self, html: str):
+        self.html = html
+        self.found: dict[str, re.Match | None] = {}
 
-def _head_end(html: str, at: int) -> int:
+    def after(self, tag: str, at: int) -> re.Match | None:
+        known = self.found.get(tag, self)
+        if known is self or (known is not None and known.start() < at):
+            known = self.found[tag] = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(self.html, at)
+        return known
+
+    def plain(self, tag: str, at: int) -> int:
+        """Where an element without markup in it ends."""
+        end = self.after(tag, at)
+        return end.end() if end else len(self.html)
+
+
+class _Stack:
+    """The open elements, and for each name where it stands among them: no question about them walks through them."""
+
+    def __init__(self, root: Element):
+        self.items = [("#root", root)]
+        self.at: dict[str, list[int]] = {}
+        self.blocks = [0]  # not inline
+        self.walls = [0]  # neither inline nor p: an inline end tag does not reach beyond
+
+    def push(self, tag: str, element: Element) -> None:
+        k = len(self.items)
+        self.items.append((tag, element))
+        self.at.setdefault(tag, []).append(k)
+        if tag not in INLINE:
+            self.blocks.append(k)
+            if tag != "p":
+                self.walls.append(k)
+
+    def pop(self) -> str:
+        tag, _ = self.items.pop()
+        k = self.at[tag].pop()
+        for places in (self.blocks, self.walls):
+            if places[-1] == k:
+                places.pop()
+        return tag
+
+    def last(self, *tags: str) -> int:
+        """The place of the innermost open element with one of the names; 0 if there is none."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+    def reached(self, tag: str) -> int:
+        """The place of the element that an end tag closes; 0 if there is none that it can reach."""
+        k = self.last(tag)
+        return k if tag not in INLINE or k > self.walls[-1] else 0
+
+
+def _head_end(html: str, at: int, ends: _Ends) -> int:
     """Where a head without an end tag ends: before the first thing that cannot stand in a head."""
     while m := _TOKEN.search(html, at):
         if html[at : m.start()].strip():
@@ -70,48 +120,46 @@ def _head_end(html: str, at: int) -> int:
         tag = (m[2] or "").lower()
         if tag and not (tag in HEAD and (not m[1] or tag in ("noscript", "template"))):
             return m.start()
-        at = _plain_end(html, tag, m.end()) if tag in PLAIN else m.end()
+        at = ends.plain(tag, m.end()) if tag in PLAIN else m.end()
         if tag in ("noscript", "template") and not m[1]:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
+            end = ends.after(tag, at)
             at = end.end() if end else at
     return at
 
 
-def _subtree_end(html: str, tag: str, at: int, stack: list, has_end: bool) -> int:
+def _subtree_end(html: str, tag: str, at: int, stack: _Stack, has_end: bool, ends: _Ends) -> int:
     """Where an element that is left out ends: at its end tag, or before what closes an element around it."""
-    around, near = set(), True
-    for t, _ in reversed(stack):
-        near = near and (t in INLINE or t == "p")
-        if near or t not in INLINE:
-            around.add(t)
-    opened = [tag]
+    opened, counts = [tag], Counter([tag])
+    inside = lambda names: any(counts[n] for n in names)
     while m := _TOKEN.search(html, at):
         name, at = (m[2] or "").lower(), m.end()
         if not name:
             continue
         if m[1]:
-            if name in opened:
-                while opened.pop() != name:
-                    pass
+            if counts[name]:
+                while (closed := opened.pop()) != name:
+                    counts[closed] -= 1
+                counts[name] -= 1
                 if not opened:
                     return at
-            elif name in around:
+            elif stack.reached(name):
                 return m.start()
             continue
         if tag in ("svg", "math"):
-            if name in NOT_DRAWN and not HTML_INSIDE.intersection(opened):
+            if name in NOT_DRAWN and not inside(HTML_INSIDE):
                 return m.start()
         elif not has_end and tag in ("noscript", "canvas", "audio", "video"):
-            if name in CLOSES_P and "p" in around and "p" not in opened:
+            if name in CLOSES_P and stack.last("p") and not counts["p"]:
                 return m.start()
-            if name in SAME_ITEM and SAME_ITEM[name] & around and not ITEM_OF[name].intersection(opened) and not SAME_ITEM[name].intersection(opened):
+            if name in SAME_ITEM and any(stack.reached(n) for n in SAME_ITEM[name]) and not inside(ITEM_OF[name]) and not inside(SAME_ITEM[name]):
                 return m.start()
         if name in VOID or m[3].rstrip().endswith("/"):
             continue
         if name in PLAIN:
-            at = _plain_end(html, name, at)
+            at = ends.plain(name, at)
         else:
             opened.append(name)
+            counts[name] += 1
     return len(html)
 
 
@@ -120,9 +168,8 @@ def read(html: str | None) -> tuple[list[Element], list[tuple[Element, str]]]:
     html = _without_open_end(html or "", html.rfind(">") + 1 if html else 0)
     root = Element("#root", "", None, 0)
     elements, blocks, buffer = [root], [], []
-    stack: list[tuple[str, Element]] = [("#root", root)]  # inline elements point to the element they are in
-    links, at, n = 0, 0, len(html)
-    endless: set[str] = set()  # elements without an end tag in the rest of the page
+    stack = _Stack(root)  # inline elements point to the element they are in
+    links, at, n, ends = 0, 0, len(html), _Ends(html)
 
     def flush() -> None:
         if buffer:
@@ -132,12 +179,12 @@ def read(html: str | None) -> tuple[list[Element], list[tuple[Element, str]]]:
             buffer.clear()
 
     def stack_top() -> Element:
-        return stack[-1][1]
+        return stack.items[-1][1]
 
     def pop_to(k: int) -> None:
         nonlocal links
-        while len(stack) > k:
-            tag, _ = stack[-1]
+        while len(stack.items) > k:
+            tag, _ = stack.items[-1]
             if tag in INLINE:
                 links -= tag == "a"
             else:
@@ -167,27 +214,21 @@ def read(html: str | None) -> tuple[list[Element], list[tuple[Element, str]]]:
             continue
         tag = m[2].lower()
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    if tag not in INLINE:
-                        flush()
-                    pop_to(k)
-                    break
-                if tag in INLINE and stack[k][0] not in INLINE and stack[k][0] != "p":
-                    break
+            if k := stack.reached(tag):
+                if tag not in INLINE:
+                    flush()
+                pop_to(k)
             continue
         if tag in RAW:
             if m[3].rstrip().endswith("/"):
                 continue
-            end = None if tag in endless else re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
-            if end is None:
-                endless.add(tag)
+            end = ends.after(tag, at)
             if tag == "head":
-                at = end.end() if end else _head_end(html, at)
+                at = end.end() if end else _head_end(html, at, ends)
             elif tag in PLAIN or (tag == "noscript" and end):
                 at = end.end() if end else n
             else:
-                at = _subtree_end(html, tag, at, stack, end is not None)
+                at = _subtree_end(html, tag, at, stack, end is not None, ends)
             buffer.append(" ")
             continue
         if tag in VOID:
@@ -201,30 +242,22 @@ def read(html: str | None) -> tuple[list[Element], list[tuple[Element, str]]]:
             if tag == "a":
                 links += 1
                 top.links += 1
-            stack.append((tag, top))
+            stack.push(tag, top)
             continue
-        if tag in CLOSES_P:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == "p":
-                    flush()
-                    pop_to(k)
-                    break
-                if stack[k][0] not in INLINE:
-                    break
+        if tag in CLOSES_P and stack.items[k := stack.blocks[-1]][0] == "p":
+            flush()
+            pop_to(k)
         if tag in SAME_ITEM:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in SAME_ITEM[tag]:
-                    flush()
-                    pop_to(k)
-                    if not (tag == "tr" and stack[-1][0] == "tr"):
-                        break
-                elif stack[k][0] in ITEM_OF[tag]:
+            while (k := stack.last(*SAME_ITEM[tag])) > stack.last(*ITEM_OF[tag] - SAME_ITEM[tag]):
+                flush()
+                pop_to(k)
+                if not (tag == "tr" and stack.items[-1][0] == "tr"):
                     break
-        if tag in ("html", "body") and any(t == tag for t, _ in stack):
+        if tag in ("html", "body") and stack.last(tag):
             continue
         flush()
         element = Element(tag, m[3], stack_top(), len(elements))
         elements.append(element)
-        stack.append((tag, element))
+        stack.push(tag, element)
     flush()
     return elements, blocks

@@ -151,6 +151,25 @@ def test_time_grows_with_the_page(unit):
     assert seconds(30_000) < 30 * max(seconds(3000), 0.01)
 
 
+STACKS = (
+    "<div>|</section>", "<b>|<div>x</div>", "<b>|<p>x</p>|</i>", "<div>|<svg></svg>", "<svg>|<g>|</x>|</g>", "<svg><foreignObject>|<g>|<b>x</b>", "<svg><p>|x|</svg>", "<b>|<svg></svg>", "<a>|<li>x|</a>", "<i><div>|<b>|</i>",
+    "<head>|<noscript>|x", "<ul><li>|<b>|<li>", "<table><tr>|<td>|</tr>", "<x>|</y>|<canvas>", "<video>|<b>|<li>x",
+)
+
+
+@pytest.mark.parametrize("page", STACKS)
+def test_deep_stacks_take_linear_time(page):
+    """A megabyte of open elements, whatever asks about them, is read in seconds."""
+    import time
+
+    def seconds(n):
+        began = time.process_time()
+        read("".join(part * n for part in page.split("|")))
+        return time.process_time() - began
+
+    assert seconds(40_000) < 25 * max(seconds(4000), 0.02)
+
+
 def test_attributes():
     (_, e), _ = read("<div class=\"a b\" ID='x&amp;y' data-x role=main>t")
     assert [e.attribute(k) for k in ("class", "id", "data-x", "role", "none")] == ["a b", "x&y", "", "main", ""]
