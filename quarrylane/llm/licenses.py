@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .shared import WHITE, text_of
 
 #: Texts without any of these words hold no known sentence.
-CUE = r"(?i)licen[cs]e|copyright|rights reserved|redistribut|warrant|merchantab|permission|public domain|endorse|as is|liab|free software|file except|Mozilla|MPL|released under".replace(" ", r"[\W_]+")
+CUE = r"(?i)licen[cs]e|copyright|rights reserved|redistribut|warrant|merchantab|permission|public domain|endorse|as is|liab|free software|file except|Mozilla|MPL|(?:released|distributed|available) under".replace(" ", r"[\W_]+")
 
 # Wording of well-known public licence notices, as published with each licence.
 _SENTENCES = {
@@ -30,7 +30,8 @@ _SENTENCES = {
         "This project is licensed under the Apache License 2.0.",
     ],
     "Apache-2.0:comply": ["you may not use this file except in compliance with the License."],
-    "Apache-2.0:copy": ["You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0", "You may obtain a copy of the License at"],
+    "Apache-2.0:copy": ["You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0", "You may obtain a copy of the License at https://www.apache.org/licenses/LICENSE-2.0", "You may obtain a copy of the License at"],
+    "Apache-2.0:url": ["http://www.apache.org/licenses/LICENSE-2.0", "https://www.apache.org/licenses/LICENSE-2.0"],
     "Apache-2.0:asis": [
         'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.'
     ],
@@ -105,26 +106,66 @@ _SENTENCES = {
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
     "PublicDomain": ["This work is in the public domain.", "Released into the public domain."],
 }
-_OPENINGS = ("Licensed under", "Released under", "This work is licensed under", "This project is licensed under")
+_OPENINGS = (
+    "Licensed under", "Released under", "Distributed under", "Available under", "This work is licensed under", "This project is licensed under", "This file is licensed under", "This software is licensed under", "This code is licensed under",
+    "This program is licensed under", "This library is licensed under", "This package is licensed under", "This software is released under", "This file is distributed under",
+)
 _CC = ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND")
 _CC_VERSIONS = ("1.0", "2.0", "2.5", "3.0", "4.0")
 _GNU = {"GPL": "GNU General Public License", "LGPL": "GNU Lesser General Public License", "AGPL": "GNU Affero General Public License"}
+#: Identifier -> the names by which one-line notices call a licence.
+_NAMED = {
+    "Apache-2.0:is": ("the Apache License, Version 2.0", "the Apache License 2.0", "the Apache License v2.0", "the Apache 2.0 License", "Apache License 2.0", "Apache-2.0"),
+    "MIT:is": ("the MIT License", "the MIT license (MIT)", "MIT License", "MIT", "the terms of the MIT License"),
+    "BSD-3:is": ("the BSD 3-Clause License", "the 3-Clause BSD License", "BSD-3-Clause", "the New BSD License"),
+    "BSD-2:is": ("the BSD 2-Clause License", "the 2-Clause BSD License", "BSD-2-Clause", "the Simplified BSD License"),
+    "ISC:is": ("the ISC License", "ISC"),
+    "MPL-2.0:is": ("the Mozilla Public License 2.0", "the Mozilla Public License, version 2.0", "the Mozilla Public License v2.0", "MPL-2.0"),
+    "BSL-1.0:is": ("the Boost Software License, Version 1.0",),
+}
 
 
-# Identifiers of the public list of licences that a tag line can name.
+# Identifiers of the public list of licences, and of exceptions, that a tag line can name.
 _TAGS = "Apache-2.0 MIT ISC Zlib Unlicense 0BSD BSD-2-Clause BSD-3-Clause BSL-1.0 EPL-2.0 MPL-2.0 GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later AGPL-3.0-only AGPL-3.0-or-later CC0-1.0 CC-BY-4.0 CC-BY-SA-4.0".split()
+_EXCEPTIONS = "Classpath-exception-2.0 LLVM-exception GCC-exception-3.1 Bison-exception-2.2 Linux-syscall-note".split()
+#: Tag lines also have the identifiers that these replaced; a plus sign meant "or later".
+_OLD_TAGS = {t.removesuffix("-only"): t for t in _TAGS if t.endswith("-only")}
+_TAG = "SPDX-License-Identifier:"
+
+# A licence's text has places where a holder's name stands; what stands there becomes the words of the known sentence.
+_W, _ANY = r"[\W_]+", r"[\s\S]{1,200}?"
+_SLOTS = (
+    (("neither the name of", "nor the names of its contributors"), "the copyright holder"),
+    (("provided by", "as is and any express"), "the copyright holders and contributors"),
+    (("in no event shall", "be liable for any direct"), "the copyright holder or contributors"),
+)
+
+
+def _filled(text: Column) -> Column:
+    """A text with its slots filled, and old tags with a plus sign written out."""
+    out = F.regexp_replace(text, r"(?i)(SPDX-License-Identifier:[^\n]*?\b[AL]?GPL-[0-9.]+)\+", "$1-or-later")
+    for (before, after), words in _SLOTS:
+        start, end = (x.replace(" ", _W) for x in (before, after))
+        out = F.regexp_replace(out, rf"(?i)\b({start}{_W}){_ANY}{_W}({end}\b)", rf"$1{words} $2")
+    return out
 
 
 def known_sentences() -> dict[str, list[str]]:
-    """Identifier -> wordings; tag lines and the Creative Commons and GNU one-line notices follow a pattern."""
+    """Identifier -> wordings; tag lines and one-line notices follow a pattern."""
     out = {k: list(v) for k, v in _SENTENCES.items()}
     for name in _TAGS:
-        out[f"tag:{name}"] = [f"SPDX-License-Identifier: {name}"]
+        out[f"tag:{name}"] = [f"{_TAG} {name}"]
+    for old, name in _OLD_TAGS.items():
+        out[f"tag:{name}"].append(f"{_TAG} {old}")
     for kind, version in product(_CC, _CC_VERSIONS):
         out[f"CC-{kind}-{version}"] = [f"{o} CC {kind} {version}." for o in _OPENINGS]
     for (short, name), version in product(_GNU.items(), ("2", "2.1", "3")):
-        out[f"{short}-{version}:is"] = [f"{o} the {name}, version {version}." for o in _OPENINGS]
-    return out
+        forms = [f"the {name}, version {version}", f"the {name} version {version}", f"the {name} v{version}", f"the {short}v{version}", f"the {short} v{version}"]
+        forms += [f"the {name}, version {version}.0", f"the {name} v{version}.0"] if "." not in version else []
+        out[f"{short}-{version}:is"] = [f"{o} {f}." for o in _OPENINGS for f in forms]
+    for name, forms in _NAMED.items():
+        out.setdefault(name, []).extend(f"{o} {f}." for o in _OPENINGS for f in forms)
+    return {k: list({normalised_text(x): x for x in reversed(v)}.values())[::-1] for k, v in out.items()}
 
 
 def rules() -> list[tuple[str, list[str]]]:
@@ -155,8 +196,11 @@ def rules() -> list[tuple[str, list[str]]]:
         ("Zlib", ["Zlib:asis", "Zlib:liable", "Zlib:grant"]),
         ("EPL-2.0", ["EPL-2.0:is"]),
         ("BSL-1.0", ["BSL-1.0:is"]),
+        ("Apache-2.0", ["Apache-2.0:is", "Apache-2.0:url"]),
         ("Apache-2.0", ["Apache-2.0:is"]),
+        ("Apache-2.0", ["Apache-2.0:url"]),
         ("MIT", ["MIT:is"]),
+        ("ISC", ["ISC:is"]),
         ("BSD-3-Clause", ["BSD-3:is"]),
         ("BSD-2-Clause", ["BSD-2:is"]),
         ("Unlicense", ["Unlicense"]),
@@ -204,14 +248,29 @@ def _sentences(unit: Column, known: dict[str, str]) -> Column:
         longer = F.struct(run["end"].alias("end"), F.concat(so_far["ids"], F.array(run["id"])).alias("ids"))
         return F.when(run["first"] >= so_far["end"], longer).otherwise(so_far)
 
+    tags = {normalised_text(k): v for k, v in {**{t: t for t in (*_TAGS, *_EXCEPTIONS)}, **_OLD_TAGS}.items()}
+    known_tags = F.create_map(*(F.lit(x) for pair in tags.items() for x in pair))
+
+    def expression(line: Column, i: Column) -> Column:
+        """A tag line that joins several identifiers: all of them, with the words that join them; grouping is dropped."""
+        rest = F.substring(line, len(normalised_text(_TAG)) + 2, 1 << 20)
+        names = F.transform(F.split(rest, " (?:or(?! later)|and|with) "), lambda n: F.try_element_at(known_tags, n))
+        joins = F.concat(F.array(F.lit("")), F.transform(F.regexp_extract_all(rest, F.lit(" (or(?! later)|and|with) "), F.lit(1)), lambda w: F.concat(F.lit("_"), F.upper(w), F.lit("_"))))
+        whole = F.array_join(F.zip_with(joins, names, lambda j, n: F.concat(j, n)), "")
+        fits = line.startswith(normalised_text(_TAG) + " ") & (F.size(names) > 1) & F.forall(names, lambda n: n.isNotNull())
+        return F.when(fits, F.struct(i.alias("first"), (i + 1).alias("end"), F.concat(F.lit("tag:"), whole).alias("id")))
+
+    def found(line: Column, i: Column) -> Column:
+        return F.coalesce(at(line, i), expression(line, i))
+
     start = F.struct(F.lit(0).alias("end"), F.array().cast("array<string>").alias("ids"))
-    return F.aggregate(F.array_compact(F.transform(lines, at)), start, next_one, lambda x: x["ids"])
+    return F.aggregate(F.array_compact(F.transform(lines, found)), start, next_one, lambda x: x["ids"])
 
 
 def recognised(docs: DataFrame) -> DataFrame:
     """docs with sentence_ids (an array): the known licence sentences of each text, in order."""
     known = {s: k for k, v in known_sentences().items() for s in map(normalised_text, v)}
-    units = F.filter(F.split(text_of(), _ends()), lambda x: x.rlike(CUE))
+    units = F.filter(F.split(_filled(text_of()), _ends()), lambda x: x.rlike(CUE))
     found = F.flatten(F.transform(units, lambda u: _sentences(u, known)))
     none = F.array().cast("array<string>")
     return docs.withColumn("sentence_ids", F.when(text_of().rlike(CUE), found).otherwise(none))
@@ -222,19 +281,23 @@ def resolved(ids: Column) -> Column:
     out = F.concat(F.lit(" "), F.array_join(ids, "  "), F.lit(" "))
     for licence, sequence in rules():
         out = F.replace(out, F.lit(" " + "  ".join(sequence) + " "), F.lit(f" <{licence}> "))
+    out = F.regexp_replace(out, r" tag:(\S+_(?:OR|AND|WITH)_\S+) ", " <$1> ")
     return F.array_remove(F.split(out, " +"), "")
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """docs with sentence_ids, licences and unresolved (arrays of strings).
 
-    licences has a name for each match of a rule, in order, repeats included. A null or empty text
-    has none. Rows (repeated ones too) and other columns are kept; columns with the new names are
-    replaced. An empty table gives no rows.
+    licences has a name for each match of a rule, in order, repeats included; of a tag line that
+    joins several identifiers, the expression (MIT OR Apache-2.0). A null or empty text has none; a
+    text of any length is read whole. Rows (repeated ones too) and other columns are kept, whatever
+    they are called; columns with the new names are replaced. An empty table gives no rows.
     """
     held = docs.drop("sentence_ids", "licences", "unresolved")
     found = recognised(held)
-    none = F.array().cast("array<string>")
-    made = found.withColumn("__all", F.when(F.size("sentence_ids") > 0, resolved(F.col("sentence_ids"))).otherwise(none))
-    licences = F.transform(F.filter("__all", lambda x: x.startswith("<")), lambda x: F.substr(x, F.lit(2), F.char_length(x) - 2))
-    return made.withColumns({"licences": licences, "unresolved": F.filter("__all", lambda x: ~x.startswith("<"))}).drop("__all")
+    none, both = F.array().cast("array<string>"), "_"
+    while both in held.columns:
+        both += "_"
+    made = found.withColumn(both, F.when(F.size("sentence_ids") > 0, resolved(F.col("sentence_ids"))).otherwise(none))
+    licences = F.transform(F.filter(both, lambda x: x.startswith("<")), lambda x: F.replace(F.substr(x, F.lit(2), F.char_length(x) - 2), F.lit("_"), F.lit(" ")))
+    return made.withColumns({"licences": licences, "unresolved": F.filter(both, lambda x: ~x.startswith("<"))}).drop(both)

@@ -1,5 +1,7 @@
+import random
 import re
 
+import regex
 from odd_rows import ODD
 
 from quarrylane.llm import licenses
@@ -66,8 +68,51 @@ def test_tag_lines(docs_of):
     assert found(docs_of, "/* SPDX-License-Identifier: MIT */\n/* SPDX-License-Identifier:\n * Apache-2.0 */")[1] == ["MIT", "Apache-2.0"]
 
 
+def test_more_notices_and_holders(docs_of):
+    texts = {
+        "This file is licensed under the MIT License.": ["MIT"], "Licensed under the GNU General Public License v3.0.": ["GPL-3.0-only"], "This software is licensed under the Apache License, Version 2.0.": ["Apache-2.0"],
+        "# SPDX-License-Identifier: MIT OR Apache-2.0\nx": ["MIT OR Apache-2.0"], "/* SPDX-License-Identifier: GPL-2.0 */": ["GPL-2.0-only"], "// SPDX-License-Identifier: GPL-2.0+\n": ["GPL-2.0-or-later"],
+        "SPDX-License-Identifier: (GPL-2.0-or-later WITH Classpath-exception-2.0)": ["GPL-2.0-or-later WITH Classpath-exception-2.0"], "SPDX-License-Identifier: MIT OR Nothing-1.0": [],
+        "See https://x.org/\nhttps://www.apache.org/licenses/LICENSE-2.0\n": ["Apache-2.0"], "Distributed under the ISC License": ["ISC"], "licensed under the New BSD License.": ["BSD-3-Clause"],
+    }
+    got = {r.text: r.licences for r in licenses.scan(docs_of(list(enumerate(texts)))).collect()}
+    assert got == texts
+    known = licenses.known_sentences()
+    bsd = "\n".join(known[k][0] for k in ("BSD:may", "BSD:source", "BSD:binary", "BSD:endorse", "BSD:asis", "BSD:liable"))
+    for holder in ("Example, Inc.", "the\n * University of X"):
+        other = bsd.replace("the copyright holder nor", f"{holder} nor").replace("BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS", f"BY {holder}").replace("SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS", f"SHALL {holder}")
+        assert other.count(holder) == 3 and found(docs_of, other)[1:] == (["BSD-3-Clause"], [])
+
+
+def brute_ids(text):
+    """Sentences and runs of lines looked up one by one, without Spark."""
+    known = {licenses.normalised_text(s): k for k, v in licenses.known_sentences().items() for s in v}
+    most, out = max(len(k.split()) for k in known), []
+    for unit in regex.split(licenses._ends(), text or ""):
+        lines = [x for x in map(licenses.normalised_text, unit.split("\n")) if x]
+        at = 0
+        while at < len(lines):
+            run = next((n for n in range(min(len(lines) - at, most), 0, -1) if " ".join(lines[at : at + n]) in known), 0)
+            out += [known[" ".join(lines[at : at + run])]] if run else []
+            at += run or 1
+    return out
+
+
+def test_equals_brute_force(spark, docs_of):
+    """On the supplied texts, and on known sentences torn apart and mixed with others."""
+    rng = random.Random(3)
+    sentences = [s for v in licenses.known_sentences().values() for s in rng.sample(v, min(3, len(v)))]
+    torn = [rng.choice(["\n", " ", "\n\n"]).join(rng.choice([s, s.replace(" ", "\n * "), s.upper(), s[: len(s) // 2], "Other words. And more"]) for s in rng.sample(sentences, 4)) for _ in range(150)]
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()] + torn
+    got = {r.doc_id: r.sentence_ids for r in licenses.recognised(docs_of(list(enumerate(texts)))).collect()}
+    assert [(t, got[i]) for i, t in enumerate(texts) if got[i] != brute_ids(t)] == []
+    assert sum(map(len, got.values())) > 200
+
+
 def test_odd_rows(docs_of):
     out = licenses.scan(docs_of(ODD).withColumnRenamed("d", "licences"))
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "key", "sentence_ids", "licences", "unresolved"]
     assert [r.sentence_ids for r in out.collect()] == [[]] * len(ODD)
     assert licenses.scan(docs_of(ODD).limit(0)).count() == 0
+    clashing = licenses.scan(docs_of([(1, "MIT License")]).selectExpr("doc_id", "text", "7 as __all", "8 as _", "9 as `a b`")).first()
+    assert (clashing["__all"], clashing["_"], clashing["a b"], clashing.licences) == (7, 8, 9, ["MIT"])
