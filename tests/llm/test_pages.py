@@ -46,6 +46,19 @@ def test_url_odd_rows(pages_of):
     assert r.verdict == "allow" and r.rule is None
 
 
+def test_weighted_vocabulary_from_a_table(spark, pages_of):
+    terms = spark.createDataFrame([("Strict", 1.5), ("half", 0.5), ("third", 0.34), ("third", 0.1), (None, 1.0), ("none", 0.0), ("less", -1.0), (" third two ", 0.33), ("third3", 0.33)], "term string, weight double")
+    known = url_filter.vocabulary_of(terms)
+    assert known == {"strict": 1.5, "half": 0.5, "third": 0.34, "third two": 0.33, "third3": 0.33}
+    urls = ["STRICT", "half", "half/half", "half/third", "half/third/third3", "third/third3/x-third two", "strictly", "none"]
+    out = {r.page_id: (r.verdict, r.n_strict, r.n_soft) for r in url_filter.judged(pages_of([(k, f"http://a.org/{u}", "") for k, u in enumerate(urls)]), vocabulary=known).collect()}
+    assert out == {0: ("block", 1, 0), 1: ("allow", 0, 1), 2: ("allow", 0, 1), 3: ("allow", 0, 2), 4: ("block", 0, 3), 5: ("block", 0, 3), 6: ("allow", 0, 0), 7: ("allow", 0, 0)}
+    with pytest.raises(ValueError, match="at most"):
+        url_filter.vocabulary_of(terms, 3)
+    (r,) = url_filter.judged(pages_of([(1, "http://a.org/a/b/c", "")]), soft=("a", "b", "c"), soft_limit=3).collect()
+    assert r.verdict == "block"
+
+
 @pytest.fixture(scope="module")
 def model():
     words = [f"wort{i} thing{i} über{i}" for i in range(60)]

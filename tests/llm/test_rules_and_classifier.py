@@ -1,5 +1,7 @@
 import math
 import random
+import re
+import string
 
 import numpy as np
 import pytest
@@ -132,3 +134,38 @@ def test_boosted_trees_learn_an_interaction():
     start, found = trees.boost(x, y)
     odds = start + 0.3 * sum(trees.predict(t, x) for t in found)
     assert np.mean((odds > 0) == y) > 0.99
+
+
+def brute_features(text):
+    """The classifier's features of one text, in plain Python."""
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    chars, count = sum(map(len, words)), lambda known: sum(c in known for c in text)
+    share = lambda a, b: a / b if b else 0.0
+    ended = sum(bool(re.search(r"[.!?:;][\x20\x09-\x0D]*\Z", x)) for x in lines)
+    return (
+        len(words), share(chars, len(words)), share(count("#*$%&|<>"), chars), share(count(string.ascii_uppercase), chars), share(count("!"), len(words)), share(count(string.digits), chars), share(count("|"), len(words)),
+        share(len(set(words)), len(words)), share(sum(a == b for a, b in zip(words, words[1:], strict=False)), len(words)), share(len(lines) - len(set(lines)), len(lines)), share(len(words), len(lines)), share(ended, len(lines)),
+    )
+
+
+def test_features_equal_brute_force(spark, docs_of):
+    texts = [t for _, t in ODD] + ["A! b? a a|a\nA! b? a a|a\n\n x 1 #\t9. \r\n", "One. Two:\n three;  \nfour", "ÄÖ ß É 𝔸 ١"]
+    rows = list(enumerate(texts)) + [(1000 + r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    got = statistics.with_features(docs_of(rows)).select("text", *statistics.FEATURES).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert tuple(r)[1:] == pytest.approx(brute_features(r.text)), r.text
+
+
+def test_compiled_rules_equal_a_loop(spark, docs_of):
+    """The score that Spark evaluates is that of the fitted rules, document by document."""
+    docs, labels = labelled(spark, docs_of, 500)
+    intercept, rules = rule_classifier.learn(docs, labels)
+    assert rules and all(1 <= len(rule) <= 3 and weight for rule, weight in rules)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in rule_classifier.scored(docs, labels).collect():
+        x = brute_features(texts[r.doc_id])
+        odds = intercept + sum(w for rule, w in rules if all((x[f] <= cut) == left for f, left, cut in rule))
+        assert r.score == pytest.approx(1 / (1 + math.exp(-odds)), abs=1e-9)
