@@ -39,7 +39,7 @@ def test_stages_take_effect(spark, tmp_path):
     assert len(rows) == counts[4] >= len(unique) * 0.5
     for r in rows.itertuples():
         ids = tokenizer.encode(texts[r.doc_id], add_special_tokens=False).ids
-        assert list(r.ids) == ids and r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert list(r.token_ids) == ids and r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
     # The places are those of the mix: each row of its files once.
     mix = spark.read.parquet(f"{tmp_path}/3").select(F.col("_metadata.file_name").alias("mix_file"), F.col("_metadata.row_index").alias("mix_row"), "doc_id")
     assert sorted(map(tuple, mix.collect())) == sorted(zip(rows.mix_file, rows.mix_row, rows.doc_id, strict=True))
