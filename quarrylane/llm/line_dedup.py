@@ -9,7 +9,8 @@ hash, line number). The steps:
    the same result; this one keeps frequent words out of the prefixes.
 2. Equal sets collapse to their first occurrence.
 3. Each remaining set is posted under its n - ceil(0.8 n) + 1 rarest words. Two matching sets meet
-   under at least one. The length filter, the positional filter and the parity bits of the words
+   under at least one. A frequent word among them is split: the set is posted under it together
+   with each word that follows it in the prefix, so that no hot word's sets all meet. The length filter, the positional filter and the parity bits of the words
    (equal bits for equal sets, at most one differing bit for each word not shared) drop nearly all
    pairs that cannot match.
 4. Candidates come in rounds. Where sets meet at a word they stand in the order of the word that
@@ -36,6 +37,8 @@ from .shared import WHITE, drop_durable, durable, plain_words, text_of
 BUCKETS = 1 << 17
 #: A word's code is its class above this many bits of its hash.
 _HASH_BITS = 57
+#: Words of buckets with so many words or more are frequent.
+HOT_WORDS = 1 << 17
 #: Sets up to so many words have one number of parity bits, the others two.
 SHORT = 64
 #: Up to so many rows, the list of lines to verify is broadcast (under 100 MB); beyond, it is shuffled.
@@ -82,11 +85,38 @@ def _codes(line: Column, classes: list[int]) -> Column:
     return F.sort_array(F.array_distinct(F.transform(hashes, code)))
 
 
-def _posted(codes: Column) -> Column:
-    """The words under which a set is posted: 32 bits of each hash of its prefix."""
+def _hot_class() -> int:
+    """The rarity class from which words are frequent."""
+    return int(math.log2(HOT_WORDS) * 1.5)
+
+
+def _prefix(codes: Column) -> Column:
+    """The words of a set's prefix and the one after it, as 32 bits of their hashes."""
     n = F.size(codes)
-    prefix = F.slice(codes, 1, n - F.floor((4 * n + 4) / 5).cast("int") + 1)
-    return F.transform(prefix, lambda c: F.shiftright(F.shiftleft(c, 32), 32).cast("int"))
+    return F.transform(F.slice(codes, 1, n - F.floor((4 * n + 4) / 5).cast("int") + 2), lambda c: F.shiftright(F.shiftleft(c, 32), 32).cast("int"))
+
+
+def _cold(codes: Column) -> Column:
+    """How many words at the start of a set are not frequent."""
+    return F.size(F.filter(codes, lambda c: F.shiftrightunsigned(c, _HASH_BITS) < _hot_class()))
+
+
+def _posts(prefix: str = "prefix", cold: str = "cold") -> Column:
+    """struct(i, w, after) of each posting of a set: its place in the prefix, the key, and the word that follows.
+
+    A prefix word that is not frequent is a key. A frequent one is a key with each later word of the
+    prefix or the word after it: two matching sets share at least one prefix word, and with one word
+    more on each side at least two. The rarest shared word is in both prefixes; if it is frequent,
+    the second rarest is among the words with which it is posted in both.
+    """
+    words, p = F.col(prefix), F.size(prefix) - 1
+    known = F.least(F.col(cold), p)
+    after = lambda k: F.coalesce(F.get(words, k), F.lit(0))
+    post = lambda i, w, k: F.struct(i.alias("i"), w.alias("w"), after(k).alias("after"))
+    singles = F.transform(F.slice(words, 1, known), lambda w, i: post(i, w, i + 1))
+    later = lambda i: F.transform(F.slice(words, i + 2, p - i), lambda w, k: post(i, F.hash(F.get(words, i), w), i + k + 2))
+    pairs = F.flatten(F.transform(F.sequence(known, p - 1), later))
+    return F.when(known < p, F.concat(singles, pairs)).otherwise(singles)
 
 
 def _parity(codes: Column, k: int) -> Column:
@@ -188,9 +218,8 @@ def _matched_by_earliest(docs: DataFrame, left: DataFrame, partners: DataFrame)
 
 
 def _matched_by_any(docs: DataFrame, left: DataFrame, partners: DataFrame) -> DataFrame:
-    """The sets of left that match any partner; here 64-bit hashes stand for the words, as a set's go with each of its postings."""
+    """The sets of left that match any partner, by their words."""
     words = _words(docs, left.select(*_AT).unionByName(partners.select(*_AT)))
-    words = words.select(*_AT, F.transform("words", lambda w: F.xxhash64(w)).alias("words"))
     a, b = (_renamed(x.join(words, _AT), p) for x, p in ((left, "a_"), (partners, "b_")))
     return a.join(b, _met() & _alike(), "left_semi").select(*_set("a_")).distinct()
 
@@ -205,7 +234,7 @@ def later_matches(docs: DataFrame) -> DataFrame:
     n = F.size("codes")
     parities = [_parity(F.col("codes"), k).alias(p) for k, p in enumerate(_PARITY)]
     # No filter on the codes: it would have them computed twice.
-    lines = durable(codes.select(*_AT, F.xxhash64("codes").alias("set"), *parities, n.alias("n"), _posted(F.col("codes")).alias("prefix")))
+    lines = durable(codes.select(*_AT, F.xxhash64("codes").alias("set"), *parities, n.alias("n"), _prefix(F.col("codes")).alias("prefix"), _cold(F.col("codes")).alias("cold")))
     same = ["set", *_PARITY, "n"]
     # The first two of each kind tell which is the first and whether there are more; each task keeps but two before the exchange.
     alike = Window.partitionBy(*same).orderBy(*_AT)
@@ -213,9 +242,9 @@ def later_matches(docs: DataFrame) -> DataFrame:
     sets = durable(two.withColumn("again", F.lead("k").over(alike).isNotNull()).where("k = 1").drop("k"))
 
     row = ["w", *_AT, "n", *_PARITY, "i"]
-    posted = sets.where("n >= 4").select(*_AT, "n", *_PARITY, "prefix", F.posexplode("prefix").alias("i", "w"))
+    posted = sets.where("n >= 4").select(*_AT, "n", *_PARITY, F.explode(_posts()).alias("post")).select(*_AT, "n", *_PARITY, "post.*")
     # One number has a set's word and, to order the sets under a word, the word that follows it.
-    after = F.coalesce(F.get("prefix", F.col("i") + 1), F.lit(0)).cast("bigint").bitwiseAND(F.lit((1 << 32) - 1))
+    after = F.col("after").cast("bigint").bitwiseAND(F.lit((1 << 32) - 1))
     keyed = posted.select(F.shiftleft(F.col("w").cast("bigint"), 32).bitwiseOR(after).alias("key"), *row[1:])
     keyed = keyed.where(" and ".join(f"{c} is not null" for c in keyed.columns))
     # The two uses of the postings share the exchange by word; structs, or null checks that only one of them needs, would make it another one.

@@ -1,5 +1,7 @@
 import random
+from collections import Counter
 
+import pytest
 from odd_rows import ODD
 
 from quarrylane.llm import line_dedup
@@ -24,7 +26,9 @@ def brute(rows):
     return out
 
 
-def test_equals_brute_force(docs_of):
+@pytest.mark.parametrize("hot", [1 << 17, 16, 1])
+def test_equals_brute_force(docs_of, monkeypatch, hot):
+    monkeypatch.setattr(line_dedup, "HOT_WORDS", hot)
     rng = random.Random(5)
     vocabulary = [f"w{i}" for i in range(60)]
     base = [[rng.choice(vocabulary) for _ in range(rng.randrange(1, 30))] for _ in range(60)]
@@ -43,8 +47,10 @@ def test_equals_brute_force(docs_of):
         assert found[i][1] - found[i][2] == (len(want.split("\n")) if want or found[i][1] > found[i][2] else 0)
 
 
-def test_dense_groups_of_near_copies(docs_of):
+@pytest.mark.parametrize("hot", [1 << 17, 1])
+def test_dense_groups_of_near_copies(docs_of, monkeypatch, hot):
     """Many variants of few lines, short ones and some about the length from which there are more parity bits."""
+    monkeypatch.setattr(line_dedup, "HOT_WORDS", hot)
     rng = random.Random(11)
     bases = [[f"b{k}w{i}" for i in range(n)] for k, n in enumerate((9, 12, 17, 40, 62, 66, 70, 150))]
     rows = []
@@ -88,6 +94,21 @@ def test_two_words_of_a_line_with_one_key(spark, docs_of):
     assert [found[i] for i, _ in rows] == brute(rows)
 
 
+def test_a_hot_word_is_split(spark):
+    """Sets of frequent words alone do not meet under one word, and matching ones still meet."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(2)
+    sets = [sorted(rng.sample(range(40), rng.randrange(4, 12))) for _ in range(800)]
+    rows = spark.createDataFrame([(k, x[: len(x) - -(-4 * len(x) // 5) + 2], cold) for cold in (0, 99) for k, x in enumerate(sets)], "k int, prefix array<int>, cold int")
+    posts = rows.select("k", "cold", F.explode(line_dedup._posts()).alias("p")).select("k", "cold", "p.w").distinct().collect()
+    keys = {c: Counter(r.w for r in posts if r.cold == c) for c in (0, 99)}
+    assert max(keys[0].values()) * 4 < max(keys[99].values())
+    under = {c: [{r.w for r in posts if r.cold == c and r.k == k} for k in range(len(sets))] for c in (0, 99)}
+    matching = [(a, b) for a in range(len(sets)) for b in range(a) if 9 * len({*sets[a]} & {*sets[b]}) >= 4 * (len(sets[a]) + len(sets[b]))]
+    assert len(matching) > 20 and all(under[c][a] & under[c][b] for a, b in matching for c in (0, 99))
+
+
 def test_odd_rows(docs_of):
     source = docs_of(ODD).withColumnRenamed("d", "n_lines")
     out = line_dedup.dedup_lines(source)
