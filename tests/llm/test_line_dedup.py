@@ -99,7 +99,9 @@ def test_a_hot_word_is_split(spark):
     from pyspark.sql import functions as F
 
     rng = random.Random(2)
-    sets = [sorted(rng.sample(range(40), rng.randrange(4, 12))) for _ in range(800)]
+    sets = [sorted(rng.sample(range(60), rng.randrange(4, 15))) for _ in range(800)]
+    for x in sets[:60]:  # near copies: a word less, or another one
+        sets += [x[:k] + x[k + 1 :] for k in (0, len(x) // 2)] + [sorted({*x} - {x[1]} | {rng.randrange(60)})]
     rows = spark.createDataFrame([(k, x[: len(x) - -(-4 * len(x) // 5) + 2], cold) for cold in (0, 99) for k, x in enumerate(sets)], "k int, prefix array<int>, cold int")
     posts = rows.select("k", "cold", F.explode(line_dedup._posts()).alias("p")).select("k", "cold", "p.w").distinct().collect()
     keys = {c: Counter(r.w for r in posts if r.cold == c) for c in (0, 99)}
