@@ -92,13 +92,17 @@ def _hot_class() -> int:
 
 def _prefix(codes: Column) -> Column:
     """The words of a set's prefix and the one after it, as 32 bits of their hashes."""
+    return F.transform(_start(codes), lambda c: F.shiftright(F.shiftleft(c, 32), 32).cast("int"))
+
+
+def _start(codes: Column) -> Column:
     n = F.size(codes)
-    return F.transform(F.slice(codes, 1, n - F.floor((4 * n + 4) / 5).cast("int") + 2), lambda c: F.shiftright(F.shiftleft(c, 32), 32).cast("int"))
+    return F.slice(codes, 1, n - F.floor((4 * n + 4) / 5).cast("int") + 2)
 
 
 def _cold(codes: Column) -> Column:
-    """How many words at the start of a set are not frequent."""
-    return F.size(F.filter(codes, lambda c: F.shiftrightunsigned(c, _HASH_BITS) < _hot_class()))
+    """How many words at the start of these are not frequent."""
+    return F.size(F.filter(_start(codes), lambda c: F.shiftrightunsigned(c, _HASH_BITS) < _hot_class()))
 
 
 def _posts(prefix: str = "prefix", cold: str = "cold") -> Column:
