@@ -63,7 +63,8 @@ def with_counts(docs: DataFrame) -> DataFrame:
     Words are what white space (ASCII) separates; n_dup_lines counts lines with a word that equal
     an earlier line of the text; n_repeat_words counts the words in three-word windows that occur
     at least twice, the first included; n_upper counts A to Z, n_marks counts exclamation marks. A
-    null text has no words.
+    null text has no words. Columns with the new names are replaced; columns named __text, __words
+    or __lines are lost (callers with others' columns pass them as one struct).
     """
     split = _split(docs)
     text = F.col("__text")
@@ -84,7 +85,7 @@ FEATURES = ("n_words", "word_length", "symbols", "upper", "marks", "digits", "ba
 
 
 def with_features(docs: DataFrame) -> DataFrame:
-    """docs with the doubles named in FEATURES; all are 0 for a text without words."""
+    """docs with the doubles named in FEATURES; all are 0 for a text without words. Names clash as in `with_counts`."""
     split = _split(docs)
     text, found, lines = F.col("__text"), F.col("__words"), F.col("__lines")
     n, chars, rows = F.size(found), F.char_length(_without(text, _SPACES)), F.size(lines)
