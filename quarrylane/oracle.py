@@ -162,6 +162,13 @@ _EXACT = "cast(count(*) = (SELECT max(n) + 1 FROM fx_events) AND count(DISTINCT
 _SPAN = "span AS (SELECT head // 2 AS target, head - 50 AS anchor, head FROM fx_head)"
 _NULL = lambda c: f"CASE WHEN reject_reason IS NULL THEN {c} END AS {c}"
 
+#: The files of a CSV dataset: parts of equal ranges of numbers, in each the rows of a file in order.
+_FILES = """
+fx_span AS (SELECT min(n) AS first, max(n) - min(n) + 1 AS blocks FROM fx_events),
+dealt AS (SELECT e.*, (n - first) * ((blocks + 65535) // 65536) // blocks AS part FROM fx_events e, fx_span),
+placed AS (SELECT *, (row_number() OVER (PARTITION BY part ORDER BY n) - 1) // 1024 AS file FROM dealt),
+files AS (SELECT part, file, 'block_number,timestamp' || chr(10) || string_agg(n || ',' || "timestamp", chr(10) ORDER BY n) || chr(10) AS body FROM placed GROUP BY 1, 2)"""
+
 ORACLE_SQL = {
     "tx_counts": _sql("SELECT block_hash, count(*) AS tx_count FROM fx_receipts GROUP BY 1"),
     "receipt_join": _sql("SELECT * FROM joined", _JOINED),
@@ -301,6 +308,12 @@ states AS (
     "assemble": _sql(f"SELECT {_SEVEN} FROM fx_blocks"),
     "run_receipt": _sql("SELECT count(*) AS row_count, count(*) FILTER (WHERE block_number < 1024) AS reused_rows, count(*) FILTER (WHERE block_number >= 1024) AS acquired_rows, min_by(block_hash, block_number) AS first_hash, max_by(block_hash, block_number) AS target_hash FROM fx_blocks"),
     "manifest_facts": _sql('SELECT count(*) AS row_count, min(block_number) AS from_block, max(block_number) AS to_block, min_by("timestamp", block_number) AS from_timestamp, max_by("timestamp", block_number) AS to_timestamp, max_by(block_hash, block_number) AS target_hash FROM fx_blocks'),
+    "file_digests": _sql("SELECT part, file, cast(strlen(body) AS bigint) AS bytes, sha256(body) AS sha256 FROM files", _FILES),
+    "changed_files": _sql(
+        """SELECT part, file, 'added' AS reason FROM files WHERE file % 4 IN (0, 2)
+UNION ALL SELECT part, file, 'changed' FROM files WHERE file % 4 = 1 UNION ALL SELECT part, file, 'removed' FROM files WHERE file % 4 = 2""",
+        _FILES,
+    ),
     "csv_violations": _sql(
         """SELECT reason, count(*) AS lines FROM (SELECT CASE WHEN NOT regexp_matches(n, '^(0|[1-9][0-9]*)$') THEN 'block_number' WHEN NOT regexp_matches(t, '^(0|[1-9][0-9]*)$') THEN 'timestamp' WHEN NOT regexp_matches(c, '^(0|[1-9][0-9]*)$') THEN 'tx_count' END AS reason
 FROM (SELECT CASE WHEN block_number % 401 = 3 THEN '0' ELSE '' END || block_number AS n, CASE WHEN block_number % 409 <> 5 THEN cast("timestamp" AS varchar) ELSE '' END AS t, CASE WHEN block_number % 419 = 7 THEN '+1' ELSE cast(tx_count AS varchar) END AS c FROM fx_blocks)) WHERE reason IS NOT NULL GROUP BY 1"""

@@ -420,19 +420,38 @@ def manifest_facts(fx: Fixtures) -> DataFrame:
     return store.manifest_facts(fx.blocks())
 
 
+#: Rows of a file where the queries on digests need many files.
+ROWS_PER_FILE = 1024
+
+
+def _numbered_files(found: DataFrame) -> DataFrame:
+    """With part and file, the two numbers in the names that Spark gives to a dataset's files."""
+    number = lambda pattern: F.regexp_extract("name", pattern, 1).cast("bigint")
+    return found.withColumns({"part": number(r"part-(\d+)-"), "file": number(r"-c(\d+)\.")})
+
+
+def _digests(fx: Fixtures) -> tuple[str, DataFrame]:
+    """The path of a CSV dataset of many files, and the files' digests."""
+    path = scratch_dir(fx.spark)
+    span = tuple(fx.events().agg(F.min("n"), F.max("n")).first())
+    store.write_dataset(fx.blocks().select("block_number", "timestamp"), path, "csv", span, ROWS_PER_FILE)
+    return path, _numbered_files(store.file_digests(fx.spark, path))
+
+
 @_query
 def file_digests(fx: Fixtures) -> DataFrame:
-    path = scratch_dir(fx.spark)
-    store.write_dataset(fx.blocks().select("block_number", "timestamp"), path)
-    return store.file_digests(fx.spark, path)
+    return _digests(fx)[1].select("part", "file", "bytes", "sha256")
 
 
 @_query
 def changed_files(fx: Fixtures) -> DataFrame:
-    path = scratch_dir(fx.spark)
-    store.write_dataset(fx.blocks().select("block_number", "timestamp"), path)
-    recorded = store.file_digests(fx.spark, path).withColumn("sha256", F.reverse("sha256"))
-    return store.changed_files(fx.spark, path, recorded)
+    """Of each four files the first was not recorded, the second with another digest, the third under another name."""
+    path, now = _digests(fx)
+    kind = F.col("file") % 4
+    recorded = now.where(kind > 0).select(
+        F.when(kind == 2, F.concat(F.lit("old-"), F.col("name"))).otherwise(F.col("name")).alias("name"), "bytes", F.when(kind == 1, F.sha2("sha256", 256)).otherwise(F.col("sha256")).alias("sha256")
+    )
+    return _numbered_files(store.changed_files(fx.spark, path, recorded)).select("part", "file", "reason")
 
 
 @_query

@@ -33,12 +33,12 @@ def _fs(spark: SparkSession, path: str):
     return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), at
 
 
-def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", span: tuple[int, int] | None = None) -> None:
+def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", span: tuple[int, int] | None = None, records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
     """Write a dataset in block order, across its files too; an existing one is never overwritten.
 
     The order across files is that of their names. One exchange, then each file is sorted. If the
     first and last number are known (span), rows are dealt by their number; else Spark samples the
-    rows to find the ranges, which computes them twice.
+    rows to find the ranges, which computes them twice. A file has records_per_file rows at most.
     """
     if fmt not in ("parquet", "csv"):
         raise DatasetError("OUTPUT_FORMAT", fmt)
@@ -49,7 +49,7 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", span: tuple[in
         parts = max(1, min(-(-blocks // RECORDS_PER_PART), max(blocks // MAX_RECORDS_PER_FILE, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))))
         part = F.floor((F.col(KEY) - first) * parts / blocks)
         dealt = df.repartitionById(parts, F.greatest(F.lit(0), F.least(part, F.lit(parts - 1))).cast("int"))
-    writer = dealt.sortWithinPartitions(KEY).write.mode("errorifexists").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+    writer = dealt.sortWithinPartitions(KEY).write.mode("errorifexists").option("maxRecordsPerFile", records_per_file)
     if fmt == "parquet":
         writer.option("compression", "zstd").parquet(path)
     else:
