@@ -7,15 +7,17 @@ sketches, and the share of a short text that a long one contains can be estimate
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ordering import successors
-from .shared import durable, text_of, words
+from .shared import durable, one_of_each, text_of, words
 
 SHINGLE_WORDS = 5
 #: Hashes below 2^64 / 4 stay.
 SHIFT = 2
+#: So many equal rows are written by one task.
+COPIES = 1 << 16
 
 
 def shingle_hashes(text: Column) -> Column:
@@ -67,12 +69,16 @@ def merged(a: Column, b: Column) -> Column:
     return F.array_sort(F.array_union(a.getField("kept"), b.getField("kept")))
 
 
-def edited_pairs(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, sketch, edited, next): each text, its edited text and the next document's sketch.
+def edited_kinds(docs: DataFrame) -> tuple[DataFrame, int]:
+    """(doc_id, text, sketch, n_chars, edited, next, rows, times) and the largest `rows`.
 
-    The next document is the one with the next smaller doc_id (null is the smallest; equal ids are
-    in the order of their texts' hashes; after the last comes the first). The last floor(n/2) code
-    points of a text of n are replaced by as many from the start of the next text, or all of it.
+    A kind is what equals in doc_id and text, `rows` rows of docs. There is a row for the last of a
+    kind, and if it has others one for all of these; `times` says for how many. So a kind's text is
+    read and sent once, whatever their number. edited is the edited text, next the next document's
+    sketch: the one with the next smaller doc_id (null is the smallest; equal ids are in the order
+    of their texts' hashes; after the last comes the first; all but the last of a kind are followed
+    by their own text). The last floor(n/2) code points of a text of n are replaced by as many from
+    the start of the next text, or all of it.
     """
     doc_id = F.col("doc_id").cast("bigint")
     base = docs.select(doc_id.isNull().alias("unknown"), F.coalesce(doc_id, F.lit(0)).alias("id0"), text_of().alias("text"))
@@ -81,30 +87,47 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
     counted = base.groupBy(*key).agg(F.count(F.lit(1)).alias("rows"), F.max(F.char_length("text")).alias("n"))
     order = [F.col("unknown").asc(), F.col("id0").desc(), F.col("h").asc(), F.col("g").asc()]
     led = durable(successors(counted, order, key))
-    # Rows equal in id and text follow each other: all but the last are followed by their own text.
-    at = Window.partitionBy(*key).orderBy(F.lit(1))
+    most = led.agg(F.max("rows")).first()[0] or 1
     # One exchange of the texts serves both sides; sketches are made after it, as they do not compress.
-    ranked = base.withColumns({"copy": F.row_number().over(at), "previous": F.lag(F.lit(1)).over(at)})
+    kinds = one_of_each(base, key) if most > 1 else base.repartition(*key)
     take = led.select("next.*", F.struct(*key).alias("to"), F.floor(F.col("n") / 2).cast("int").alias("take"), "rows")
     made = sketch(shingle_hashes(F.col("text")))
-    sent = ranked.where("previous is null").join(take, key).select("to.*", F.expr("substring(text, 1, take)").alias("head"), made.alias("next"), "rows")
-    joined = ranked.join(sent, key).withColumn("sketch", made)
-    n, last = F.char_length("text"), F.col("copy") == F.col("rows")
+    sent = kinds.join(take, key).select("to.*", F.expr("substring(text, 1, take)").alias("head"), made.alias("next"), "rows")
+    joined = kinds.join(sent, key).withColumn("sketch", made)
+    if most > 1:
+        share = lambda last, times: F.struct(F.lit(last).alias("last"), times.alias("times"))
+        shares = F.array(share(True, F.lit(1).cast("bigint")), share(False, F.col("rows") - 1))
+        joined = joined.select("*", F.inline(F.filter(shares, lambda s: s.getField("times") > 0)))
+    else:
+        joined = joined.withColumns({"last": F.lit(True), "times": F.col("rows")})
+    n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
-    edited = F.concat(F.substr("text", F.lit(1), n - half), F.when(last, F.col("head")).otherwise(F.substr("text", F.lit(1), half)))
-    return joined.select(
-        F.when(~F.col("unknown"), F.col("id0")).alias("doc_id"), "text", "sketch", n.cast("bigint").alias("n_chars"), edited.alias("edited"), F.when(last, F.col("next")).otherwise(F.col("sketch")).alias("next")
-    )
+    edited = F.concat(F.substr("text", F.lit(1), n - half), F.when(F.col("last"), F.col("head")).otherwise(F.substr("text", F.lit(1), half)))
+    following = F.when(F.col("last"), F.col("next")).otherwise(F.col("sketch"))
+    return joined.select(F.when(~F.col("unknown"), F.col("id0")).alias("doc_id"), "text", "sketch", n.cast("bigint").alias("n_chars"), edited.alias("edited"), following.alias("next"), "rows", "times"), most
+
+
+def _each(kinds: DataFrame, most: int, copies: int) -> DataFrame:
+    """Each row `times` times; those of kinds with more than `copies` rows by several tasks, each so many at a time."""
+    columns = [c for c in kinds.columns if c not in ("rows", "times")]
+    if most == 1:
+        return kinds.select(*columns)
+    times = lambda rows: rows.select(*columns, F.explode(F.sequence(F.lit(1).cast("bigint"), "times")).alias("_")).drop("_")
+    few = times(kinds.where(F.col("rows") <= copies))
+    if most <= copies:
+        return few
+    parts = kinds.where(F.col("rows") > copies).withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("times") - 1) / copies))))
+    return few.unionByName(times(parts.withColumn("times", F.least(F.lit(copies), F.col("times") - F.col("part") * copies)).repartition("doc_id", "part")))
 
 
-def fingerprint_pairs(docs: DataFrame) -> DataFrame:
-    """The digest of `edited_pairs`: fingerprints of both texts and their likeness.
+def fingerprint_pairs(docs: DataFrame, copies: int = COPIES) -> DataFrame:
+    """A row per document: fingerprints of its text and its edited text, and their likeness.
 
     A null text counts as empty. Repeated rows give one row each. An only document is its own next
     one. An empty table gives no rows. Further columns of docs are not read.
     """
-    made = edited_pairs(docs).withColumn("edited_sketch", sketch(shingle_hashes(F.col("edited"))))
-    return made.select(
+    kinds, most = edited_kinds(docs)
+    made = kinds.withColumn("edited_sketch", sketch(shingle_hashes(F.col("edited")))).select(
         "doc_id",
         "n_chars",
         F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
@@ -112,4 +135,7 @@ def fingerprint_pairs(docs: DataFrame) -> DataFrame:
         as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
         likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
         likeness(F.col("sketch"), F.col("next")).alias("near_next"),
+        "rows",
+        "times",
     )
+    return _each(made, most, copies)

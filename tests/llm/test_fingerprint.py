@@ -2,6 +2,7 @@ import hashlib
 import random
 import struct
 
+import pytest
 import xxhash
 from odd_rows import ODD
 from pyspark.sql import functions as F
@@ -91,3 +92,19 @@ def test_odd_rows(docs_of):
 def test_only_one_document(docs_of):
     (row,) = fingerprint.fingerprint_pairs(docs_of([(9, "a b c d e f g h")])).collect()
     assert row.near_next == 1.0
+
+
+@pytest.mark.parametrize("copies", [1, 3, fingerprint.COPIES])
+def test_equal_rows_are_dealt_to_tasks(docs_of, copies):
+    texts = {i: " ".join(f"w{(i * 5 + k) % 40}" for k in range(10 + i)) for i in range(1, 7)}
+    rows = [(i, texts[i]) for i in texts for _ in range({2: 11, 5: 3}.get(i, 1))] + [(None, "a b c d e f g h")] * 4 + [(None, None)] * 5 + [(3, None), (3, "")]
+    found = [(r.doc_id, r.n_chars, r.edited_sha256, r.near_edited, r.near_next) for r in fingerprint.fingerprint_pairs(docs_of(rows), copies).collect()]
+    signed = lambda t: (xxhash.xxh64_intdigest(t.encode(), 42) + (1 << 63)) % (1 << 64)  # noqa: E731  in the order of signed hashes
+    ordered = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is None, -(r[0] or 0), signed(r[1])))
+    want = []
+    for k, (i, text) in enumerate(ordered):
+        following, half = ordered[(k + 1) % len(ordered)][1], len(text) // 2
+        edited = text[: len(text) - half] + following[:half]
+        mine, changed, theirs = (brute_hashes(t) for t in (text, edited, following))
+        want.append((i, len(text), hashlib.sha256(edited.encode()).hexdigest(), brute_likeness(mine, changed), brute_likeness(mine, theirs)))
+    assert sorted(found, key=repr) == sorted(want, key=repr)
