@@ -262,7 +262,8 @@ def extracted(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> DataFrame:
 
     text holds the blocks of the main text in page order, joined by line feeds; character
     references are decoded and white space inside a block is one space. It is empty if there is
-    none, and for a null page. Repeated rows give repeated rows; other columns are not read.
+    none, and for a null page. Pages of any length are read whole. Repeated rows give repeated rows
+    and an empty table none; other columns are not read.
     """
     model = learn(pages, sample_pages)
 
