@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import INT64_MAX, time_bound
+from ..sources.scratch import stored
 
 HOUR = 3_600
 DAY = 24 * HOUR
@@ -44,17 +45,23 @@ def finalized_head(heads: DataFrame) -> DataFrame:
 
 
 def _edge(found: DataFrame, dated: DataFrame, calendar: DataFrame, bucket: int, side: str) -> DataFrame:
-    """(at, <side>_block, <side>_timestamp) for each of some moments: the block next to it on one side.
+    """(at, <side>_block, <side>_timestamp): the first (or last) block of each moment in found.
 
-    First means the first block not before the moment, last the last one not after it. Only the
-    blocks of the moment's own bucket are looked at; where none of them will do, the calendar has
-    the next bucket's first or the previous one's last block.
+    First means the first block not before the moment, last the last one not after it. Moments and
+    blocks of one bucket are sorted together by their seconds, one row for each, and the block is
+    carried along: the work is that of the sort, however many blocks and moments a bucket has.
+    Where no block of the bucket will do, the calendar has the next bucket's first or the previous
+    one's last block.
     """
-    pick, beyond = (F.min, F.col("block_timestamp") >= F.col("at")) if side == "first" else (F.max, F.col("block_timestamp") <= F.col("at"))
-    moments = found.select("at").distinct().withColumn("bucket", F.floor(F.col("at") / bucket).cast("bigint"))
-    inside = moments.join(dated, "bucket").where(beyond).groupBy("at").agg(pick(F.struct("block", "block_timestamp")).alias("own"))
-    joined = moments.join(inside, "at", "left").join(calendar.select("bucket", F.col(side).alias("other")), "bucket", "left")
+    pick, block, order = (F.min, "low", F.col("at").desc()) if side == "first" else (F.max, "high", F.col("at"))
+    moments = found.select(F.floor(F.col("at") / bucket).cast("bigint").alias("bucket"), "at", F.lit(1).alias("asked"), F.lit(None).cast("bigint").alias("block"))
+    both = moments.unionByName(dated.select("bucket", F.col("block_timestamp").alias("at"), F.lit(0).alias("asked"), F.col(block).alias("block")))
+    seconds = both.groupBy("bucket", "at").agg(F.max("asked").alias("asked"), pick("block").alias("block"))
+    so_far = Window.partitionBy("bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    own = F.when(F.col("block").isNotNull(), F.struct("block", F.col("at").alias("block_timestamp")))
+    inside = seconds.withColumn("own", pick(own).over(so_far)).where("asked = 1")
     met = F.coalesce("own", "other")
+    joined = inside.join(calendar.select("bucket", F.col(side).alias("other")), "bucket", "left")
     return joined.select("at", met.getField("block").alias(f"{side}_block"), met.getField("block_timestamp").alias(f"{side}_timestamp"))
 
 
@@ -63,8 +70,8 @@ def _calendar(dated: DataFrame, bucket: int, low: int, high: int) -> DataFrame:
 
     One row for each hour (or day) of the chain's life: its windows sort a table that time bounds.
     """
-    row = F.struct("block", "block_timestamp")
-    totals = dated.groupBy("bucket").agg(F.min(row).alias("low"), F.max(row).alias("high"))
+    low_row, high_row = (F.struct(F.col(c).alias("block"), "block_timestamp") for c in ("low", "high"))
+    totals = dated.groupBy("bucket").agg(F.min(low_row).alias("low"), F.max(high_row).alias("high"))
     every = dated.sparkSession.range(low // bucket, high // bucket + 1).select(F.col("id").alias("bucket")).join(totals, "bucket", "left")
     # Frames that grow from one end cost one step a row; a shrinking frame would be summed up anew for each.
     every_one = Window.partitionBy(F.lit(0))
@@ -81,8 +88,8 @@ def resolve_time_ranges(requests: DataFrame, blocks: DataFrame, head: int, bucke
     last the last not after the end; times never fall from block to block. A start before block 0 is
     RANGE_PRE_GENESIS, an end after the finalized head's time RANGE_UNFINALIZED, no block between
     them RANGE_EMPTY; nothing is clipped. Requests with a code are set aside first. For the others
-    only the two edges are looked up, each among the blocks of its own hour (bucket, in seconds):
-    the work does not depend on how long a range is.
+    only the two edges are looked up, each among the seconds of its own hour (bucket, in seconds):
+    the work depends neither on how long a range is nor on how many blocks an hour has.
     """
     final = blocks.where(F.col("block_number") <= head).select("block_number", "timestamp")
     limits = final.agg(F.min_by("timestamp", "block_number").alias("genesis"), F.max_by("timestamp", "block_number").alias("latest")).first()
@@ -96,15 +103,20 @@ def resolve_time_ranges(requests: DataFrame, blocks: DataFrame, head: int, bucke
     if limits["genesis"] is None:  # no blocks
         empty = F.coalesce("code", F.lit("RANGE_EMPTY")).alias("code")
         return wanted.select("range_id", *(F.lit(None).cast("bigint").alias(c) for c in names), empty)
-    dated = final.select(F.floor(F.col("timestamp") / bucket).cast("bigint").alias("bucket"), F.col("block_number").alias("block"), F.col("timestamp").alias("block_timestamp"))
+    # The lowest and the highest block of each second: a table that time bounds.
+    seconds = final.groupBy(F.col("timestamp").alias("block_timestamp")).agg(F.min("block_number").alias("low"), F.max("block_number").alias("high"))
+    dated = seconds.where("block_timestamp is not null").select(F.floor(F.col("block_timestamp") / bucket).cast("bigint").alias("bucket"), "low", "high", "block_timestamp")
     calendar = _calendar(dated, bucket, limits["genesis"], limits["latest"])
+    wanted = stored(wanted)  # read four times; the bounds are parsed once
     good = wanted.where("code is null")
     first = _edge(good.select(F.col("start").alias("at")), dated, calendar, bucket, "first").withColumnRenamed("at", "start")
     last = _edge(good.select(F.col("end").alias("at")), dated, calendar, bucket, "last").withColumnRenamed("at", "end")
-    joined = wanted.join(first, "start", "left").join(last, "end", "left")
+    joined = good.join(first, "start", "left").join(last, "end", "left")
     empty = F.coalesce(F.col("first_block") > F.col("last_block"), F.lit(True))
-    coded = joined.withColumn("code", F.coalesce("code", F.when(empty, "RANGE_EMPTY")))
-    return coded.select("range_id", *(F.when(F.col("code").isNull(), F.col(c)).alias(c) for c in names), "code")
+    coded = joined.withColumn("code", F.when(empty, "RANGE_EMPTY"))
+    met = coded.select("range_id", *(F.when(F.col("code").isNull(), F.col(c)).alias(c) for c in names), "code")
+    # The others join nothing: many share a bound, or have none.
+    return met.unionByName(wanted.where("code is not null").select("range_id", *(F.lit(None).cast("bigint").alias(c) for c in names), "code"))
 
 
 def resolve_block_ranges(requests: DataFrame, blocks: DataFrame, head: int) -> DataFrame:

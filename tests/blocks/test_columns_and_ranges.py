@@ -97,3 +97,21 @@ def test_catalog_order_and_closure():
     for bad in (["timestamp", "timestamp"], ["block_number"], ["nothing"], []):
         with pytest.raises(catalog.DatasetError):
             catalog.Selection.of(bad)
+
+
+@pytest.mark.parametrize("bucket", [ranges.HOUR, ranges.DAY])
+def test_dense_buckets_take_no_product(spark, bucket):
+    """A day with 400,000 blocks and with a request for every other second: compared in pairs, these would be 17 thousand million."""
+    import time
+
+    blocks = spark.range(400_000).select(F.col("id").alias("block_number"), F.floor(F.col("id") * 86_399 / 399_999).cast("bigint").alias("timestamp"))
+    asked = spark.range(43_000).select(F.col("id").alias("range_id"), (F.col("id") * 2).alias("start"), (F.col("id") * 2 + 60).alias("end"))
+    began = time.monotonic()
+    found = ranges.resolve_time_ranges(asked, blocks, 399_999, bucket)
+    got = found.agg(F.count(F.lit(1)), F.count_if(F.col("code").isNotNull()), F.sum("first_block"), F.sum("last_block")).first()
+    assert time.monotonic() - began < 60
+    at = [n * 86_399 // 399_999 for n in range(400_000)]
+    import bisect
+
+    good = [k for k in range(43_000) if 2 * k + 60 <= at[-1]]
+    assert tuple(got) == (43_000, 43_000 - len(good), sum(bisect.bisect_left(at, 2 * k) for k in good), sum(bisect.bisect_right(at, 2 * k + 60) - 1 for k in good))
