@@ -34,9 +34,10 @@ def _stretches(heights: DataFrame) -> DataFrame:
 
 
 def _graph(headers: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(place, pointers): the node of each header by number and hash, and each node's next one below.
+    """(place, pointers): the node of each header by number and hash, and each node's next one below, at block_number.
 
-    A node is named by the hash of its lowest header: of a stretch, or the header alone.
+    A node is named by the hash of its lowest header: of a stretch, or the header alone. Where its
+    parent is not there, next is null.
     """
     ids = stored(headers.select(KEY, F.col("block_hash").alias("hash"), F.col("parent_hash").alias("parent")).distinct())
     heights = ids.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"), F.min("hash").alias("hash"), F.min("parent").alias("parent"))
@@ -47,8 +48,28 @@ def _graph(headers: DataFrame) -> tuple[DataFrame, DataFrame]:
     place = stored(of_single.unionByName(contested.select(KEY, "hash", F.col("hash").alias("node"))))
     ends = lowest.select(KEY, "hash", "parent").unionByName(contested)
     down = ends.select((F.col(KEY) - 1).alias(KEY), F.col("parent").alias("hash"), F.col("hash").alias("node"))
-    pointers = down.join(place.select(KEY, "hash", F.col("node").alias("next")), [KEY, "hash"]).select("node", "next")
-    return place, stored(pointers)
+    met = down.join(place.select(KEY, "hash", F.col("node").alias("next")), [KEY, "hash"], "left")
+    return place, stored(met.select(KEY, "node", "next"))
+
+
+def _settled(place: DataFrame, pointers: DataFrame, anchor: int) -> tuple[DataFrame, DataFrame]:
+    """(seeds, pointers): where walks start so that every height has a header on the line, and pointers mended to lead on.
+
+    A height with a single header is on the line. Where headers at a contested height are reached by
+    no pointer, as the parent above is a wrong one or the height above has no header, one of them is
+    taken: one whose own parent is there if there is any, then the one with the smallest hash. So a
+    fault above hides no block; which of two branches was lost nothing tells there.
+    """
+    counted = place.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"))
+    alone = counted.where("n = 1").select(KEY)
+    # A contested header is its own node; its parent was looked for at the height below.
+    hanging = pointers.where("next is null").select(F.col("node").alias("hash"), F.lit(1).alias("hanging"))
+    contested = place.join(counted.where("n > 1").select(KEY), KEY, "left_semi").join(hanging, "hash", "left")
+    taken = stored(contested.groupBy(KEY).agg(F.min_by("node", F.struct(F.coalesce("hanging", F.lit(0)), "hash")).alias("taken")))
+    tops = taken.where(F.col(KEY) < anchor).join(counted.select((F.col(KEY) - 1).alias(KEY)), KEY, "left_anti")
+    seeds = place.join(alone, KEY, "left_semi").select("node").unionByName(tops.select(F.col("taken").alias("node")))
+    lost = pointers.where("next is null").select(KEY, "node").join(taken, KEY).select(KEY, "node", F.col("taken").alias("next"))
+    return seeds, stored(pointers.where("next is not null").unionByName(lost))
 
 
 def canonical_chain(headers: DataFrame, anchor: int, anchor_hash: str, uncontested: bool = False) -> DataFrame:
@@ -57,17 +78,18 @@ def canonical_chain(headers: DataFrame, anchor: int, anchor_hash: str, uncontest
     headers has block_number, block_hash and parent_hash, and any other columns; forks and orphans
     may be among them, and headers above the anchor are left out. The line ends at the first parent
     that is not there. With `uncontested`, every height with a single header is taken to be on the
-    line, and walked from, too: that settles forks on a chain with gaps or broken links, whose
-    faults `link_violations` then lists. Repeated rows stay repeated. Without the anchor's header
+    line, and walked from, too, and of contested heights below a gap or a broken link one header is
+    taken: that settles forks on a chain with such faults, which `link_violations` then lists. Repeated rows stay repeated. Without the anchor's header
     there are no rows (with uncontested: none at its height).
     """
     below = headers.where((F.col(KEY) < anchor) | ((F.col(KEY) == anchor) & (F.col("block_hash") == anchor_hash)))
     place, pointers = _graph(below)
-    seeds = place.where((F.col(KEY) == anchor) & (F.col("hash") == anchor_hash))
+    seeds = place.where((F.col(KEY) == anchor) & (F.col("hash") == anchor_hash)).select("node")
     if uncontested:
-        alone = place.groupBy(KEY).agg(F.count(F.lit(1)).alias("n")).where("n = 1").select(KEY)
-        seeds = seeds.unionByName(place.join(alone, KEY, "left_semi"))
-    reached = stored(seeds.select("node").distinct())
+        more, pointers = _settled(place, pointers, anchor)
+        seeds = seeds.unionByName(more)
+    pointers = pointers.where("next is not null").select("node", "next")
+    reached = stored(seeds.distinct())
     for _ in range(MAX_ROUNDS):
         more = stored(reached.join(pointers, "node").select(F.col("next").alias("node")).distinct().join(reached, "node", "left_anti"))
         if more.isEmpty():  # an ancestor further away would have one at exactly this distance before it

@@ -139,3 +139,17 @@ def test_a_batch_reads_no_old_block(spark, tmp_path, monkeypatch):
     run()
     assert seen[0] == list(range(50)) and all(min(x, default=50) >= 50 for x in seen[1:])
     assert sorted(r.block_number for r in spark.read.parquet(out).collect()) == list(range(58))
+
+
+def test_faults_above_contested_heights_hide_no_block(spark):
+    """Block 23 names a wrong parent, or is not there: the heights below it, with two headers each, are on the line still."""
+    a = chain(spark, 40)
+    n = F.col("block_number")
+    fork = a.where("block_number between 20 and 22").withColumns({"parent_hash": F.when(n == 20, F.col("parent_hash")).otherwise(F.concat(F.lit("f"), F.col("parent_hash"))), "block_hash": F.concat(F.lit("f"), F.col("block_hash"))})
+    wrong = a.withColumn("parent_hash", F.when(n == 23, F.lit(H(7777))).otherwise(F.col("parent_hash")))
+    faults = lambda rows, at=30: sorted((r.block_number, r.reason) for r in agree.ancestry_breaks(rows, 5, H(6), at, H(at + 1)).collect())
+    assert faults(wrong.unionByName(fork)) == faults(wrong) == [(23, "parent")]
+    for gone in ("block_number <> 23", "block_number not in (21, 23)"):
+        assert faults(a.where(gone).unionByName(fork.where("block_number <> 21"))) == faults(a.where(gone))
+    line = canonical_chain(wrong.unionByName(fork), 30, H(31), uncontested=True)
+    assert line.count() == line.select("block_number").distinct().count() == 31
