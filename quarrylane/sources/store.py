@@ -384,7 +384,8 @@ def stage_chunks(df: DataFrame, path: str, first: int, size: int = CHUNK_SIZE, p
     the file with its digest. A chunk that is staged again gets a new entry, and its former rows are
     passed over from then on. Chunks must link to the neighbours that the log has already, else
     nothing is entered; only the entries of these neighbours are read, never staged rows, so the
-    cost is that of the new chunks.
+    cost is that of the new chunks. An edge that a chunk had before is not judged again: a break
+    that the log has already is no fault of the call, and `chunk_states` tells of it.
     """
     if not {"_proof_hash", "_proof_parent_hash", "_proof_timestamp"} <= set(df.columns):
         raise DatasetError("CHUNK_PROOFS", "chunks are staged with their proof columns")
@@ -400,8 +401,10 @@ def stage_chunks(df: DataFrame, path: str, first: int, size: int = CHUNK_SIZE, p
     if edges[0] is None:
         _delete(spark, f"{path}/data/batch={batch}")
         return
-    near = chunk_log(spark, path, edges[0] - 1, edges[1] + 1).join(entries, "chunk_id", "left_anti")
-    if not _unlinked(entries, near).unionByName(_unlinked(near, entries)).isEmpty():
+    logged = chunk_log(spark, path, edges[0] - 1, edges[1] + 1)
+    near = logged.join(entries, "chunk_id", "left_anti")
+    below, above = (_changed(entries, logged, edge) for edge in (("from_block", "first_parent", "first_timestamp"), ("to_block", "last_hash", "last_timestamp")))
+    if not _unlinked(below, near).unionByName(_unlinked(near, above)).isEmpty():
         _delete(spark, f"{path}/data/batch={batch}")
         raise DatasetError("CHUNK_LINK", "a chunk does not follow the one staged before it")
     entries.coalesce(1).write.parquet(f"{path}/log/seq={seq}")  # one row per chunk
@@ -426,6 +429,12 @@ def _named_digests(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.regexp_extract("path", r"(pack=-?\d+/[^/]+)\z", 1).alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 
+def _changed(entries: DataFrame, logged: DataFrame, edge: tuple[str, ...]) -> DataFrame:
+    """entries but for those that the log has with the same edge."""
+    former = logged.select("chunk_id", F.struct(*edge).alias("former"))
+    return entries.join(former, "chunk_id", "left").where(~F.struct(*edge).eqNullSafe(F.col("former"))).drop("former")
+
+
 def _unlinked(chunks: DataFrame, others: DataFrame) -> DataFrame:
     """chunks whose first block has the number after the last one of the chunk before, among others, and does not follow it."""
     before = others.select((F.col("chunk_id") + 1).alias("chunk_id"), F.col("to_block").alias("end"), F.col("last_hash").alias("end_hash"), F.col("last_timestamp").alias("end_timestamp"))

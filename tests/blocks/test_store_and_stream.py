@@ -315,3 +315,19 @@ def test_stream_features_keeps_incomplete_blocks(spark, tmp_path):
     assert stored() == [0, 1, 2, 3, 4, 7, 8, 11]
     pending = max(os.listdir(f"{check}/pending"), key=int)
     assert [r.block_hash for r in spark.read.parquet(f"{check}/pending/{pending}").collect()] == [H(901)]
+
+
+def test_chunks_with_logged_breaks_are_staged_again(spark, tmp_path):
+    """Block 40 names a wrong parent: chunk 2 is staged again as it was, but not with another wrong edge."""
+    n, path = F.col("block_number"), str(tmp_path / "s")
+    df = with_proofs(chain(spark, 100), NAMES)
+    wrong = lambda h: df.withColumn("_proof_parent_hash", F.when(n == 40, F.lit(h)).otherwise(F.col("_proof_parent_hash")))
+    store.stage_chunks(wrong(H(7777)), path, 0, 20)
+    for again in ("block_number between 40 and 59", "block_number between 20 and 39"):
+        store.stage_chunks(wrong(H(7777)).where(again), path, 0, 20)
+    staged = store.staged_rows(spark, path)
+    assert staged.count() == 100 and store.missing_chunks(staged, 0, 99, 20).count() == 0
+    assert [r.chunk_id for r in store.chunk_states(spark, path, 0, 99, 20).where("state = 'broken'").collect()] == [2]
+    with pytest.raises(DatasetError) as e:
+        store.stage_chunks(wrong(H(8888)).where(n.between(40, 59)), path, 0, 20)
+    assert e.value.code == "CHUNK_LINK"
