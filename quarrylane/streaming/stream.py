@@ -155,8 +155,10 @@ def stream_features(
         old = _state(spark, f"{checkpoint}/mark/{number - 1}", "mark bigint").agg(F.max("mark")).first()[0]
         held = _state(spark, f"{checkpoint}/pending/{number - 1}", f"{RECEIPTS}, since bigint")
         new = batch.withColumn("since", F.lit(-1 if old is None else old).cast("bigint"))
+        # Dealt out by block once: what follows counts, joins and sorts by block_hash, and moves no receipt for that.
+        dealt = new.unionByName(held).repartition(int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions")), "block_hash")
         # Of a receipt that lands twice, the first one's time counts.
-        landed = new.unionByName(held).groupBy("block_hash", "transaction_index").agg(F.min_by(F.struct("gas_used", "effective_gas_price", "since"), "since").alias("x")).select("block_hash", "transaction_index", "x.*")
+        landed = dealt.groupBy("block_hash", "transaction_index").agg(F.min_by(F.struct("gas_used", "effective_gas_price", "since"), "since").alias("x")).select("block_hash", "transaction_index", "x.*")
         landed = landed.persist()
         try:
             found, mark, left = window(old), old, landed
@@ -169,10 +171,10 @@ def stream_features(
                     done = there.unionByName(complete.select(KEY))
                     gone = gone.unionByName(line.join(done, KEY, "left_semi").select("block_hash"))
                     mark = _unbroken(done, mark + 1, high)
-                left = landed.join(gone.distinct(), "block_hash", "left_anti")
-                known = line.select("block_hash")
-                aged = left.where(F.col("since") + lead <= mark).join(known, "block_hash", "left_anti").select("block_hash", "transaction_index")
-                left = left.join(aged, ["block_hash", "transaction_index"], "left_anti")
+                # Kept: the receipts of blocks on the line that are not stored yet, and of unknown blocks for a while.
+                open_blocks = line.select("block_hash", F.lit(0).alias("gone")).unionByName(gone.withColumn("gone", F.lit(1))).groupBy("block_hash").agg(F.max("gone").alias("gone"))
+                young = F.coalesce(F.col("since") + lead > F.lit(mark), F.lit(True))
+                left = landed.join(open_blocks, "block_hash", "left").where((F.col("gone") == 0) | (F.col("gone").isNull() & young)).drop("gone")
             left.write.mode("overwrite").parquet(f"{checkpoint}/pending/{number}")
         finally:
             landed.unpersist()
