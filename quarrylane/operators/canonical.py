@@ -15,44 +15,44 @@ from pyspark.sql import functions as F
 from ..plans.catalog import KEY
 from ..sources.scratch import stored
 
-#: Heights per slice in which a running maximum is taken; the slices' own maxima meet in one small window.
-SLICE = 1 << 16
+#: Heights per slice: a slice's headers are compared with their neighbours in one task, and no stretch is longer.
+SLICE = 4096
 #: 2^64 pointers; more rounds would mean a cycle, which parent hashes one height down can't form.
 MAX_ROUNDS = 64
 
 
-def _stretches(heights: DataFrame) -> DataFrame:
-    """Of each height with one header: number, hash, and `start`, the lowest height of its linked stretch."""
-    below = heights.select((F.col(KEY) + 1).alias(KEY), F.col("n").alias("n_below"), F.col("hash").alias("hash_below"))
-    linked = F.coalesce((F.col("n_below") == 1) & (F.col("parent") == F.col("hash_below")), F.lit(False))
-    singles = heights.where("n = 1").join(below, KEY, "left").select(KEY, "hash", "parent", F.when(~linked, F.col(KEY)).alias("head"), F.floor(F.col(KEY) / SLICE).alias("slice"))
-    inside = Window.partitionBy("slice").orderBy(KEY).rowsBetween(Window.unboundedPreceding, 0)
-    # One row per slice of heights.
-    carried = singles.groupBy("slice").agg(F.max("head").alias("head")).select("slice", F.max("head").over(Window.partitionBy(F.lit(0)).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)).alias("carried"))
-    starts = singles.withColumn("start", F.max("head").over(inside)).join(carried, "slice")
-    return starts.select(KEY, "hash", "parent", F.coalesce("start", "carried").alias("start"))
+def _nodes(headers: DataFrame) -> DataFrame:
+    """(low, k, high, hash, parent, contested) of each node: a linked stretch of heights with one header each, or a header of a contested height.
 
-
-def _graph(headers: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(place, pointers): the node of each header by number and hash, and each node's next one below, at block_number.
-
-    A node is named by the hash of its lowest header: of a stretch, or the header alone. Where its
-    parent is not there, next is null.
+    low and k name the node: its lowest height, and the place of its hash among those there. hash is
+    its highest header's, parent its lowest one's. Headers are moved once, to their slices; of those
+    inside a stretch nothing is kept.
     """
-    ids = stored(headers.select(KEY, F.col("block_hash").alias("hash"), F.col("parent_hash").alias("parent")).distinct())
-    heights = ids.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"), F.min("hash").alias("hash"), F.min("parent").alias("parent"))
-    singles = stored(_stretches(heights))
-    lowest = singles.where(F.col("start") == F.col(KEY))
-    contested = ids.join(heights.where("n > 1").select(KEY), KEY, "left_semi")
-    of_single = singles.join(lowest.select(F.col(KEY).alias("start"), F.col("hash").alias("node")), "start").select(KEY, "hash", "node")
-    place = stored(of_single.unionByName(contested.select(KEY, "hash", F.col("hash").alias("node"))))
-    ends = lowest.select(KEY, "hash", "parent").unionByName(contested)
-    down = ends.select((F.col(KEY) - 1).alias(KEY), F.col("parent").alias("hash"), F.col("hash").alias("node"))
-    met = down.join(place.select(KEY, "hash", F.col("node").alias("next")), [KEY, "hash"], "left")
-    return place, stored(met.select(KEY, "node", "next"))
-
-
-def _settled(place: DataFrame, pointers: DataFrame, anchor: int) -> tuple[DataFrame, DataFrame]:
+    n = F.col(KEY)
+    dealt = headers.select(KEY, F.col("block_hash").alias("hash"), F.col("parent_hash").alias("parent"), F.floor(n / SLICE).alias("slice")).repartition("slice").distinct()
+    order = Window.partitionBy("slice").orderBy(KEY, "hash", "parent")
+    near = {"n_1": F.lag(KEY, 1), "n_2": F.lag(KEY, 2), "n1": F.lead(KEY, 1), "n2": F.lead(KEY, 2), "hash_1": F.lag("hash", 1), "parent1": F.lead("parent", 1)}
+    seen = dealt.withColumns({name: c.over(order) for name, c in near.items()})
+    other = lambda a, b: ~F.col(a).eqNullSafe(F.col(b))
+    single = other("n_1", KEY) & other("n1", KEY)
+    down = single & F.coalesce((F.col("n_1") == n - 1) & other("n_2", "n_1") & (F.col("parent") == F.col("hash_1")), F.lit(False))
+    up = single & F.coalesce((F.col("n1") == n + 1) & other("n2", "n1") & (F.col("parent1") == F.col("hash")), F.lit(False))
+    ends = seen.where(~(down & up)).select("slice", KEY, "hash", "parent", (~single).alias("contested"), F.when(~down, n).alias("start"))
+    low = F.max("start").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    named = ends.withColumns({"low": low, "k": F.dense_rank().over(Window.partitionBy("slice", KEY).orderBy("hash"))})
+    own = F.when(F.col("contested"), F.col("parent")).alias("own")  # one hash with two parents is two nodes of one name
+    made = named.groupBy("slice", "low", "k", own).agg(F.max(KEY).alias("high"), F.max_by("hash", KEY).alias("hash"), F.min_by("parent", KEY).alias("parent"), F.max("contested").alias("contested"))
+    return stored(made.select("low", "k", "high", "hash", "parent", "contested"))
+
+
+def _pointers(nodes: DataFrame) -> DataFrame:
+    """Each node with the one that its parent is in, next_low and next_k: null where that is not there. A parent is always the highest of its node."""
+    down = nodes.select("low", "k", "hash", "contested", (F.col("low") - 1).alias("at"), "parent")
+    tops = nodes.select(F.col("high").alias("at"), F.col("hash").alias("parent"), F.col("low").alias("next_low"), F.col("k").alias("next_k")).distinct()
+    return stored(down.join(tops, ["at", "parent"], "left").select("low", "k", "hash", "contested", "next_low", "next_k"))
+
+
+def _settled(nodes: DataFrame, pointers: DataFrame, anchor: int) -> tuple[DataFrame, DataFrame]:
     """(seeds, pointers): where walks start so that every height has a header on the line, and pointers mended to lead on.
 
     A height with a single header is on the line. Where headers at a contested height are reached by
@@ -60,16 +60,46 @@ def _settled(place: DataFrame, pointers: DataFrame, anchor: int) -> tuple[DataFr
     taken: one whose own parent is there if there is any, then the one with the smallest hash. So a
     fault above hides no block; which of two branches was lost nothing tells there.
     """
-    counted = place.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"))
-    alone = counted.where("n = 1").select(KEY)
-    # A contested header is its own node; its parent was looked for at the height below.
-    hanging = pointers.where("next is null").select(F.col("node").alias("hash"), F.lit(1).alias("hanging"))
-    contested = place.join(counted.where("n > 1").select(KEY), KEY, "left_semi").join(hanging, "hash", "left")
-    taken = stored(contested.groupBy(KEY).agg(F.min_by("node", F.struct(F.coalesce("hanging", F.lit(0)), "hash")).alias("taken")))
-    tops = taken.where(F.col(KEY) < anchor).join(counted.select((F.col(KEY) - 1).alias(KEY)), KEY, "left_anti")
-    seeds = place.join(alone, KEY, "left_semi").select("node").unionByName(tops.select(F.col("taken").alias("node")))
-    lost = pointers.where("next is null").select(KEY, "node").join(taken, KEY).select(KEY, "node", F.col("taken").alias("next"))
-    return seeds, stored(pointers.where("next is not null").unionByName(lost))
+    contested = pointers.where("contested and hash is not null")
+    taken = stored(contested.groupBy("low").agg(F.min_by("k", F.struct(F.col("next_low").isNull(), "hash")).alias("k")))
+    tops = taken.where(F.col("low") < anchor).join(nodes.select((F.col("low") - 1).alias("low")), "low", "left_anti")
+    seeds = nodes.where("not contested").select("low", "k").unionByName(tops.select("low", "k"))
+    to = taken.select((F.col("low") + 1).alias("low"), F.col("low").alias("next_low"), F.col("k").alias("next_k"))
+    lost = pointers.where("next_low is null").select("low", "k").join(to, "low").select("low", "k", "next_low", "next_k")
+    return seeds, stored(pointers.where("next_low is not null").select("low", "k", "next_low", "next_k").unionByName(lost))
+
+
+def _below(headers: DataFrame, anchor: int, anchor_hash: str) -> DataFrame:
+    return headers.where((F.col(KEY) < anchor) | ((F.col(KEY) == anchor) & (F.col("block_hash") == anchor_hash)))
+
+
+def line_spans(headers: DataFrame, anchor: int, anchor_hash: str, uncontested: bool = False) -> DataFrame:
+    """(low, high, hash) of the line that `canonical_chain` gives: all headers from low to high where hash is null, else the one with that hash at low."""
+    nodes = _nodes(_below(headers, anchor, anchor_hash))
+    pointers = _pointers(nodes)
+    seeds = nodes.where((F.col("high") == anchor) & (F.col("hash") == anchor_hash)).select("low", "k")
+    if uncontested:
+        more, pointers = _settled(nodes, pointers, anchor)
+        seeds = seeds.unionByName(more)
+    pointers = pointers.where("next_low is not null").select("low", "k", "next_low", "next_k")
+    reached = stored(seeds.distinct())
+    for _ in range(MAX_ROUNDS):
+        more = stored(reached.join(pointers, ["low", "k"]).select(F.col("next_low").alias("low"), F.col("next_k").alias("k")).distinct().join(reached, ["low", "k"], "left_anti"))
+        if more.isEmpty():  # an ancestor further away would have one at exactly this distance before it
+            break
+        reached = reached.unionByName(more)
+        after = pointers.select(F.col("low").alias("next_low"), F.col("k").alias("next_k"), F.col("next_low").alias("after_low"), F.col("next_k").alias("after_k"))
+        pointers = stored(pointers.join(after, ["next_low", "next_k"]).select("low", "k", F.col("after_low").alias("next_low"), F.col("after_k").alias("next_k")))
+    on_line = nodes.join(reached, ["low", "k"], "left_semi")
+    return stored(on_line.where("not contested or hash is not null").select("low", "high", F.when(F.col("contested"), F.col("hash")).alias("hash")).distinct())
+
+
+def rows_on(headers: DataFrame, spans: DataFrame, anchor: int, anchor_hash: str) -> DataFrame:
+    """The rows of headers on a line of spans; a span is a slice long at most."""
+    line = spans.select(F.explode(F.sequence("low", "high")).alias("_line_number"), F.col("hash").alias("_line_hash"))
+    own = F.col("_line_hash").isNull() | (F.col("_line_hash") == F.col("block_hash"))
+    rows = _below(headers, anchor, anchor_hash).where(F.col("block_hash").isNotNull())
+    return rows.join(line, (F.col(KEY) == F.col("_line_number")) & own, "left_semi").select(*headers.columns)
 
 
 def canonical_chain(headers: DataFrame, anchor: int, anchor_hash: str, uncontested: bool = False) -> DataFrame:
@@ -82,19 +112,4 @@ def canonical_chain(headers: DataFrame, anchor: int, anchor_hash: str, uncontest
     taken: that settles forks on a chain with such faults, which `link_violations` then lists. Repeated rows stay repeated. Without the anchor's header
     there are no rows (with uncontested: none at its height).
     """
-    below = headers.where((F.col(KEY) < anchor) | ((F.col(KEY) == anchor) & (F.col("block_hash") == anchor_hash)))
-    place, pointers = _graph(below)
-    seeds = place.where((F.col(KEY) == anchor) & (F.col("hash") == anchor_hash)).select("node")
-    if uncontested:
-        more, pointers = _settled(place, pointers, anchor)
-        seeds = seeds.unionByName(more)
-    pointers = pointers.where("next is not null").select("node", "next")
-    reached = stored(seeds.distinct())
-    for _ in range(MAX_ROUNDS):
-        more = stored(reached.join(pointers, "node").select(F.col("next").alias("node")).distinct().join(reached, "node", "left_anti"))
-        if more.isEmpty():  # an ancestor further away would have one at exactly this distance before it
-            break
-        reached = reached.unionByName(more)
-        pointers = stored(pointers.join(pointers.select(F.col("node").alias("next"), F.col("next").alias("after")), "next").select("node", F.col("after").alias("next")))
-    on_line = place.join(reached, "node", "left_semi").select(KEY, F.col("hash").alias("block_hash"))
-    return below.join(on_line, [KEY, "block_hash"], "left_semi").select(*headers.columns)
+    return rows_on(headers, line_spans(headers, anchor, anchor_hash, uncontested), anchor, anchor_hash)

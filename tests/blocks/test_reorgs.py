@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_decode_features_checks import H, chain, reply
 
-from quarrylane.operators import agree
+from quarrylane.operators import agree, canonical
 from quarrylane.operators.canonical import canonical_chain
 from quarrylane.plans.catalog import DatasetError
 from quarrylane.streaming import stream
@@ -153,3 +153,15 @@ def test_faults_above_contested_heights_hide_no_block(spark):
         assert faults(a.where(gone).unionByName(fork.where("block_number <> 21"))) == faults(a.where(gone))
     line = canonical_chain(wrong.unionByName(fork), 30, H(31), uncontested=True)
     assert line.count() == line.select("block_number").distinct().count() == 31
+
+
+def test_headers_inside_a_stretch_are_not_kept(spark, monkeypatch):
+    """Of a chain with one fork, over the edge of two slices, only the ends of stretches and the fork are written on the way."""
+    a, n = chain(spark, 9000), F.col("block_number")
+    edge = canonical.SLICE - 1
+    fork = a.where(n.between(edge, edge + 2)).withColumns({"parent_hash": F.when(n == edge, F.col("parent_hash")).otherwise(F.concat(F.lit("f"), F.col("parent_hash"))), "block_hash": F.concat(F.lit("f"), F.col("block_hash"))})
+    rows, keep = [], canonical.stored
+    monkeypatch.setattr(canonical, "stored", lambda df: (kept := keep(df), rows.append(kept.count()))[0])
+    line = canonical_chain(a.unionByName(fork), 8900, H(8901))
+    assert line.count() == 8901 and line.where(F.col("block_hash").startswith("f")).isEmpty()
+    assert sum(rows) < 200
