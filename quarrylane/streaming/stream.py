@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.canonical import canonical_chain
+from ..operators.canonical import canonical_chain, line_spans, rows_on
 from ..operators.features import build_block_features, receipt_gaps
 from ..plans.catalog import KEY, DatasetError
 from ..sources.decode import decode_headers
@@ -76,10 +76,11 @@ def finalized_view(bronze: DataFrame, head: int, head_hash: str | None = None, f
         if len(tops) != 1:
             raise DatasetError("CHAIN_HEAD", f"{'no' if not tops else 'more than one'} header is at {head}: name the final one")
         head_hash = tops[0]
-    line = canonical_chain(bronze if first is None else bronze.where(F.col(KEY) >= first), head, head_hash)
-    if first is not None and line.agg(F.min(KEY)).first()[0] != first:
+    asked = bronze if first is None else bronze.where(F.col(KEY) >= first)
+    spans = line_spans(asked, head, head_hash)
+    if first is not None and spans.agg(F.min("low")).first()[0] != first:
         raise DatasetError("CHAIN_BROKEN", f"the line from {head} does not lead to {first}")
-    return line
+    return rows_on(asked, spans, head, head_hash)
 
 
 def _state(spark: SparkSession, path: str, schema: str) -> DataFrame:
