@@ -494,9 +494,9 @@ def audit_manifests(fx: Fixtures) -> DataFrame:
 def stream_headers(fx: Fixtures) -> DataFrame:
     base = scratch_dir(fx.spark)
     raw = fx.raw_blocks()
-    raw.repartition(5, "requested").write.json(f"{base}/src")
+    raw.write.json(f"{base}/src")
     stream.stream_headers(fx.spark, f"{base}/src", f"{base}/out", f"{base}/checkpoint")
-    raw.where("requested % 3 = 0").coalesce(1).write.mode("append").json(f"{base}/src")  # delivered again
+    raw.where("requested % 3 = 0").write.mode("append").json(f"{base}/src")  # delivered again
     stream.stream_headers(fx.spark, f"{base}/src", f"{base}/out", f"{base}/checkpoint")
     return fx.spark.read.parquet(f"{base}/out")
 
@@ -511,11 +511,10 @@ def finalized_view(fx: Fixtures) -> DataFrame:
 def stream_reorgs(fx: Fixtures) -> DataFrame:
     """Losing branches land before the blocks that replace them; what is read is the finalized line."""
     base, head = scratch_dir(fx.spark), fx.head()
-    forks = fx.forked().join(fx.blocks().select("block_hash"), "block_hash", "left_anti")
-    fx.raw_blocks(forks.unionByName(fx.blocks().where("block_number % 3 = 0")), spoil=False).repartition(3, "requested").write.json(f"{base}/src")
+    fx.raw_blocks(fx.losing(fx.blocks()).unionByName(fx.blocks().where("block_number % 3 = 0")), spoil=False).write.json(f"{base}/src")
     run = lambda: stream.stream_headers(fx.spark, f"{base}/src", f"{base}/out", f"{base}/checkpoint")
     run()
-    fx.raw_blocks(spoil=False).repartition(3, "requested").write.mode("append").json(f"{base}/src")
+    fx.raw_blocks(spoil=False).write.mode("append").json(f"{base}/src")
     run()
     return stream.finalized_view(fx.spark.read.parquet(f"{base}/out"), head, fx.hash_at(head), 0)
 

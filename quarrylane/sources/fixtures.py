@@ -73,11 +73,14 @@ class Fixtures:
     def forked(self, blocks: DataFrame | None = None) -> DataFrame:
         """blocks with losing branches of one to three blocks beside them, each grown on a block of the true chain."""
         blocks = self.blocks() if blocks is None else blocks
+        return blocks.unionByName(self.losing(blocks))
+
+    def losing(self, blocks: DataFrame) -> DataFrame:
+        """The blocks of the losing branches alone."""
         n = F.col("block_number")
         depth = n % 97 - 40  # 1 to 3 on a branch: its first block has a parent of the true chain
         losing = lambda m: as_hash(F.concat(F.lit("fork"), m.cast("string")))
-        branch = blocks.where((n > 100) & depth.between(1, n % 3 + 1)).withColumns({"block_hash": losing(n), "parent_hash": F.when(depth == 1, as_hash(n - 1)).otherwise(losing(n - 1)), "base_fee_per_gas": F.col("base_fee_per_gas") + 7})
-        return blocks.unionByName(branch)
+        return blocks.where((n > 100) & depth.between(1, n % 3 + 1)).withColumns({"block_hash": losing(n), "parent_hash": F.when(depth == 1, as_hash(n - 1)).otherwise(losing(n - 1)), "base_fee_per_gas": F.col("base_fee_per_gas") + 7})
 
     def raw_blocks(self, blocks: DataFrame | None = None, spoil: bool = True) -> DataFrame:
         """(requested, reply): block replies as JSON text; every 50th is spoilt in one of seven ways."""
