@@ -219,3 +219,11 @@ def test_warehouse_scans_are_pruned_by_time(spark, tmp_path):
     with pytest.raises(DatasetError) as e:
         features.features_from_warehouse(read[0].drop("gas_used"), *read[1:], ["gas_limit"], 0, 1)
     assert e.value.code == "SOURCE_SCHEMA"
+
+
+def test_a_reply_is_parsed_once(spark):
+    """However many columns and checks read it, and whatever is filtered after."""
+    good = decode.decode_headers(spark.createDataFrame([(1, reply(1))], "requested bigint, reply string")).where("reject_reason is null")
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1 and plan.count("conv(") == 10  # a quantity names it twice
+    assert good.count() == 1
