@@ -16,23 +16,24 @@ def tx_counts(transactions: DataFrame) -> DataFrame:
     return transactions.groupBy("block_hash").agg(F.count(F.lit(1)).alias("tx_count"))
 
 
-def receipts_of(blocks: DataFrame, receipts: DataFrame) -> DataFrame:
-    """Receipts of the given blocks, matched by hash so that forks drop out, with their priority fees."""
+def receipts_of(blocks: DataFrame, receipts: DataFrame, hashed: bool = False) -> DataFrame:
+    """Receipts of the given blocks, matched by hash so that forks drop out, with their priority fees; with hashed, their block_hash too."""
     own = blocks.select("block_number", "block_hash", "base_fee_per_gas", F.col("gas_used").alias("block_gas_used"))
     joined = receipts.select("block_hash", "transaction_index", "gas_used", "effective_gas_price").join(own, "block_hash")
-    return joined.select("block_number", "transaction_index", "gas_used", (F.col("effective_gas_price") - F.col("base_fee_per_gas")).alias("priority_fee"), "block_gas_used")
+    fee = (F.col("effective_gas_price") - F.col("base_fee_per_gas")).alias("priority_fee")
+    return joined.select(*(["block_hash"] if hashed else []), "block_number", "transaction_index", "gas_used", fee, "block_gas_used")
 
 
-def running_gas(receipts: DataFrame) -> DataFrame:
+def running_gas(receipts: DataFrame, by: str = "block_number") -> DataFrame:
     """receipts_of's rows with running_gas: the block's gas up to each, by fee and then place."""
-    at = Window.partitionBy("block_number").orderBy("priority_fee", "transaction_index").rowsBetween(Window.unboundedPreceding, 0)
+    at = Window.partitionBy(by).orderBy("priority_fee", "transaction_index").rowsBetween(Window.unboundedPreceding, 0)
     return receipts.withColumn("running_gas", F.sum("gas_used").over(at))
 
 
-def priority_fee_percentiles(running: DataFrame, percents: list[int] | tuple[int, ...]) -> DataFrame:
-    """(block_number, p<percent>...): the least fee at which running gas reaches ceil(gas * percent / 100)."""
+def priority_fee_percentiles(running: DataFrame, percents: list[int] | tuple[int, ...], by: str = "block_number") -> DataFrame:
+    """(block_number, p<percent>...): the least fee at which running gas reaches ceil(gas * percent / 100). by may be block_hash instead."""
     reached = {p: F.col("running_gas") >= threshold(F.col("block_gas_used"), p) for p in percents}
-    return running.groupBy("block_number").agg(*(F.min(F.when(ok, F.col("priority_fee"))).alias(f"p{p}") for p, ok in reached.items()))
+    return running.groupBy(by).agg(*(F.min(F.when(ok, F.col("priority_fee"))).alias(f"p{p}") for p, ok in reached.items()))
 
 
 def build_block_features(blocks: DataFrame, transactions: DataFrame | None, receipts: DataFrame | None, names: list[str] | tuple[str, ...], first: int | None = None, last: int | None = None, times: tuple[int, int] | None = None) -> DataFrame:
@@ -57,8 +58,9 @@ def build_block_features(blocks: DataFrame, transactions: DataFrame | None, rece
     if "tx_count" in plan.names:
         made = made.join(tx_counts(transactions), "block_hash", "left").withColumn("tx_count", F.coalesce("tx_count", zero))
     if plan.percentiles:
-        fees = priority_fee_percentiles(running_gas(receipts_of(bounded, receipts)), list(plan.percentiles.values()))
-        made = made.join(fees, "block_number", "left")
+        # By hash throughout: receipts lie by hash from their join, and move no second time.
+        fees = priority_fee_percentiles(running_gas(receipts_of(bounded, receipts, hashed=True), "block_hash"), list(plan.percentiles.values()), "block_hash")
+        made = made.join(fees, "block_hash", "left")
         made = made.withColumns({n: F.coalesce(f"p{p}", zero) for n, p in plan.percentiles.items()})
     return made.select(*plan.columns)
 

@@ -227,3 +227,12 @@ def test_a_reply_is_parsed_once(spark):
     plan = good._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json(") == 1 and plan.count("conv(") == 10  # a quantity names it twice
     assert good.count() == 1
+
+
+def test_receipts_move_once(spark):
+    """By hash alone, from their join on; so two headers of one number have percentiles of their own receipts."""
+    blocks = spark.createDataFrame([(1, 5, h, "p", 1, 10, 100) for h in "ab"], "block_number bigint, timestamp bigint, block_hash string, parent_hash string, base_fee_per_gas bigint, gas_used bigint, gas_limit bigint")
+    receipts = spark.createDataFrame([("a", 0, 10, 6), ("b", 0, 10, 9)], "block_hash string, transaction_index bigint, gas_used bigint, effective_gas_price bigint")
+    made = features.build_block_features(blocks, None, receipts, ["block_hash", "effective_priority_fee_per_gas_p50"])
+    assert "hashpartitioning(block_number" not in made._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.block_hash, r.effective_priority_fee_per_gas_p50) for r in made.collect()) == [("a", 5), ("b", 8)]
