@@ -44,23 +44,31 @@ def missing_at(df: DataFrame, numbers: DataFrame) -> DataFrame:
     return numbers.select(KEY).distinct().join(df, KEY, "left_anti")
 
 
+def _packed(df: DataFrame, columns: list[str], name: str) -> DataFrame:
+    return df.select(KEY, F.struct(*columns).alias(name))
+
+
+def _reason(columns: list[str]) -> Column:
+    """Missing there, missing here, or the first column in which ours and theirs differ; null if they agree."""
+    differs: list[Column] = [F.when(~F.col(f"ours.{c}").eqNullSafe(F.col(f"theirs.{c}")), F.lit(c)) for c in columns]
+    return F.coalesce(F.when(F.col("theirs").isNull(), F.lit("missing_there")), F.when(F.col("ours").isNull(), F.lit("missing_here")), *differs)
+
+
 def _differences(a: DataFrame, b: DataFrame, columns: list[str], how: str) -> DataFrame:
     """(block_number, reason): missing here, missing there, or the first column that differs."""
-    left = a.select(KEY, F.struct(*columns).alias("ours"))
-    right = b.select(KEY, F.struct(*columns).alias("theirs"))
-    differs: list[Column] = [F.when(~F.col(f"ours.{c}").eqNullSafe(F.col(f"theirs.{c}")), F.lit(c)) for c in columns]
-    reason = F.coalesce(F.when(F.col("theirs").isNull(), F.lit("missing_there")), F.when(F.col("ours").isNull(), F.lit("missing_here")), *differs)
-    return left.join(right, KEY, how).select(KEY, reason.alias("reason")).where("reason is not null")
+    both = _packed(a, columns, "ours").join(_packed(b, columns, "theirs"), KEY, how)
+    return both.select(KEY, _reason(columns).alias("reason")).where("reason is not null")
 
 
 def compare_sample(df: DataFrame, verifier: DataFrame, sample: DataFrame) -> DataFrame:
-    """Differences in any column of the dataset at the sampled blocks; a block absent from both is missing_there."""
+    """Differences in any column of the dataset at the sampled blocks; a block absent from both is missing_there.
+
+    Each copy is read once and looked up from the sampled numbers.
+    """
     columns = [c for c in df.columns if c != KEY]
     asked = sample.select(KEY).distinct()
-    ours, theirs = rows_at(df, asked), rows_at(verifier, asked)
-    found = _differences(ours, theirs, columns, "full_outer")
-    neither = missing_at(ours, asked).join(theirs, KEY, "left_anti").select(KEY, F.lit("missing_there").alias("reason"))
-    return found.unionByName(neither)
+    met = asked.join(_packed(df, columns, "ours"), KEY, "left").join(_packed(verifier, columns, "theirs"), KEY, "left")
+    return met.select(KEY, _reason(columns).alias("reason")).where("reason is not null")
 
 
 def digest_tree(df: DataFrame, first: int, last: int, size: int = LEAF_BLOCKS, fanout: int = FANOUT) -> DataFrame:

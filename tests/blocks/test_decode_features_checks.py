@@ -236,3 +236,11 @@ def test_receipts_move_once(spark):
     made = features.build_block_features(blocks, None, receipts, ["block_hash", "effective_priority_fee_per_gas_p50"])
     assert "hashpartitioning(block_number" not in made._jdf.queryExecution().executedPlan().toString()
     assert sorted((r.block_hash, r.effective_priority_fee_per_gas_p50) for r in made.collect()) == [("a", 5), ("b", 8)]
+
+
+def test_a_sample_is_looked_up_once_in_each_copy(spark):
+    rows = lambda *r: spark.createDataFrame(list(r), "block_number bigint, x bigint")
+    asked = spark.createDataFrame([(n,) for n in (1, 2, 2, 3, 4, 5, None)], "block_number bigint")
+    found = agree.compare_sample(rows((1, 1), (2, 2), (3, 3), (6, 6)), rows((1, 1), (2, 9), (4, None), (4, None), (6, 7)), asked)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 2
+    assert sorted((r.block_number or 0, r.reason) for r in found.collect()) == [(0, "missing_there"), (2, "x"), (3, "missing_there"), (4, "missing_here"), (4, "missing_here"), (5, "missing_there")]
