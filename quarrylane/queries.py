@@ -45,7 +45,7 @@ def bucketed_receipt_join(fx: Fixtures) -> DataFrame:
     """The join over tables stored by day and buckets of the hash, for the second half of the time."""
     low, high = fx.events().agg(F.min("timestamp"), F.max("timestamp")).first()
     blocks = fx.headers().withColumn("block_timestamp", F.timestamp_seconds("timestamp"))
-    receipts = fx.timed(fx.receipts()).withColumn("block_timestamp", F.timestamp_seconds("block_timestamp"))
+    receipts = fx.receipts(timed=True).withColumn("block_timestamp", F.timestamp_seconds("block_timestamp"))
     kept = []
     for rows in (blocks, receipts):
         path = scratch_dir(fx.spark)

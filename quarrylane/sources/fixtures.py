@@ -27,13 +27,18 @@ class Fixtures:
         """(n, timestamp): the number and time of each block."""
         return self.table("events").select(F.col("event_id").cast("bigint").alias("n"), unix_seconds_ntz(F.col("ts").cast("timestamp_ntz")).alias("timestamp"))
 
-    def receipts(self) -> DataFrame:
-        """block_hash, transaction_index, gas_used, effective_gas_price; a third belongs to no block."""
+    def receipts(self, timed: bool = False) -> DataFrame:
+        """block_hash, transaction_index, gas_used, effective_gas_price; a third belongs to no block. With timed, what timed() adds, found by the blocks' numbers: the rows lie by these."""
         order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate"]
         at = Window.partitionBy("l_orderkey").orderBy(*order)
         price = F.lit(BASE_FEE).cast("bigint") + F.col("l_orderkey") + F.round(F.col("l_extendedprice") * 100).cast("bigint")
         rows = self.table("lineitem").select("l_orderkey", F.col("l_quantity").cast("bigint").alias("gas_used"), price.alias("effective_gas_price"), (F.row_number().over(at) - 1).cast("bigint").alias("transaction_index"))
-        return rows.select(as_hash(F.col("l_orderkey")).alias("block_hash"), "transaction_index", "gas_used", "effective_gas_price")
+        times = []
+        if timed:
+            last = self.events().agg(F.max("timestamp")).first()[0]
+            rows = rows.join(self.events().withColumnRenamed("n", "l_orderkey"), "l_orderkey", "left")
+            times = [F.coalesce("timestamp", F.lit(last)).alias("block_timestamp")]
+        return rows.select(as_hash(F.col("l_orderkey")).alias("block_hash"), "transaction_index", "gas_used", "effective_gas_price", *times)
 
     def transactions(self) -> DataFrame:
         return self.table("lineitem").select(as_hash(F.col("l_orderkey")).alias("block_hash"))
