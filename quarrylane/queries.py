@@ -11,7 +11,7 @@ from .oracle import ORACLE_SQL, SAMPLE_IDS
 from .plans import catalog
 from .sources import bucketed, chunks, decode, store, warehouse
 from .sources.fixtures import Fixtures
-from .sources.scratch import scratch_dir
+from .sources.scratch import scratch_dir, stored
 from .streaming import stream
 
 NINE = [f.name for f in catalog.CATALOG]
@@ -204,7 +204,9 @@ def resolve_block_ranges(fx: Fixtures) -> DataFrame:
 
 @_query
 def verify_edges(fx: Fixtures) -> DataFrame:
-    proved = ranges.verify_edges(_resolved(fx), ranges.normalize_bounds(fx.ranges()), fx.blocks(), fx.verifier(), fx.head())
+    bounds = stored(ranges.normalize_bounds(fx.ranges()).select("range_id", "start", "end", "code"))  # parsed once, read for the edges and for the proof
+    resolved = ranges.resolve_time_ranges(bounds, fx.events().withColumnRenamed("n", "block_number"), fx.head())
+    proved = ranges.verify_edges(resolved, bounds, fx.blocks(), fx.verifier(), fx.head())
     return proved.select("range_id", F.col("proved").cast("bigint").alias("proved"))
 
 

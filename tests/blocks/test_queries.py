@@ -34,3 +34,10 @@ def test_entry(spark):
     out = __spark_entry__.entry(spark)
     assert len(out.columns) == 10 and out.count() == 1000
     assert set(QUERIES) <= set(__spark_entry__.queries()) and set(ORACLE_SQL) <= set(QUERIES)
+
+
+def test_verify_edges_parses_bounds_once(spark):
+    """Resolving and proving read the stored bounds: no text is parsed in the plan that follows."""
+    out = QUERIES["verify_edges"](spark, SF)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "start" in plan and not any(f in plan for f in ("RLIKE", "regexp_replace", "from_value"))
