@@ -12,8 +12,9 @@ hash, line number). The steps:
    under at least one. A frequent word among them is split: the set is posted under it together
    with each word that follows it in the prefix, so that no hot word's sets all meet. The length filter, the positional filter and the parity bits of the words
    (equal bits for equal sets, at most one differing bit for each word not shared) drop nearly all
-   pairs that cannot match.
-4. Candidates come in rounds. Where sets meet at a word they stand in the order of the word that
+   pairs that cannot match. A posting stays if any other one of its word passes them.
+4. The words of the sets that have such postings are read once more, and candidates come in
+   rounds. Where sets meet at a word they stand in the order of the word that
    follows it in their prefixes, so that near copies are neighbours, and each is tried against its
    neighbour. For a set whose neighbour is no candidate it is only noted under which words any
    earlier set is one: no pair is made. The neighbours are verified on their words. Sets noted or
@@ -57,9 +58,13 @@ def _keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
     """
     doc_id = F.col("doc_id").cast("bigint")
     keys = {"d": F.coalesce(doc_id, F.lit(_LAST)), "rk": F.xxhash64(text_of(), doc_id.isNull())}
-    groups = docs.select(*(c.alias(k) for k, c in keys.items())).groupBy("d").agg(F.min("rk").alias("low"), F.max("rk").alias("high"), F.count(F.lit(1)).alias("n"))
-    several, repeated = groups.agg(F.coalesce(F.bool_or(F.col("low") < F.col("high")), F.lit(False)), F.coalesce(F.bool_or(F.col("n") > 1), F.lit(False))).first()
-    return docs.withColumns(keys | ({} if several else {"rk": F.lit(0).cast("bigint")})), repeated
+    same = {"rk": F.lit(0).cast("bigint")}
+    # Texts are read only where a d comes more than once.
+    if docs.select(keys["d"].alias("d")).groupBy("d").count().where("count > 1").isEmpty():
+        return docs.withColumns(keys | same), False
+    groups = docs.select(*(c.alias(k) for k, c in keys.items())).groupBy("d").agg(F.min("rk").alias("low"), F.max("rk").alias("high"))
+    several = not groups.where("low < high").isEmpty()
+    return docs.withColumns(keys | ({} if several else same)), True
 
 
 def _classes(docs: DataFrame) -> list[int]:
@@ -72,17 +77,23 @@ def _classes(docs: DataFrame) -> list[int]:
     return classes
 
 
-def _codes(line: Column, classes: list[int]) -> Column:
-    """The distinct words of a line as numbers, rarest first: 6 bits of class, 57 bits of hash."""
-    known = F.split(F.lit(",".join(map(str, classes))), ",").cast("array<tinyint>")
+def _line_words() -> Column:
+    """The words of a row of `_lines`."""
+    return F.array_remove(F.when(F.col("odd"), F.split("line", WHITE)).otherwise(F.split("line", " ")), "")
 
+
+def _codes(words: Column, classes: list[int]) -> Column:
+    """The distinct words as numbers, rarest first: 6 bits of class, 57 bits of hash."""
+    known = F.split(F.lit(",".join(map(str, classes))), ",").cast("array<bigint>")
+
+    # Spark interprets what is in a lambda, so there is as little as can be in this one.
     def code(h: Column) -> Column:
-        rarity = F.get(known, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
-        return F.coalesce(F.shiftleft(rarity.cast("bigint"), _HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASH_BITS)), F.lit(0))
+        rarity = known[h.bitwiseAND(F.lit(BUCKETS - 1))]
+        return F.coalesce(F.shiftleft(rarity, _HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASH_BITS)), F.lit(0))
 
     # In two steps, as a hash that is used twice in one lambda is computed twice.
-    hashes = F.transform(F.array_remove(plain_words(line), ""), lambda word: F.xxhash64(word))
-    return F.sort_array(F.array_distinct(F.transform(hashes, code)))
+    hashes = F.array_distinct(F.transform(words, lambda word: F.xxhash64(word)))
+    return F.sort_array(F.transform(hashes, code))
 
 
 def _hot_class() -> int:
@@ -90,19 +101,21 @@ def _hot_class() -> int:
     return int(math.log2(HOT_WORDS) * 1.5)
 
 
-def _prefix(codes: Column) -> Column:
-    """The words of a set's prefix and the one after it, as 32 bits of their hashes."""
-    return F.transform(_start(codes), lambda c: F.shiftright(F.shiftleft(c, 32), 32).cast("int"))
+def _prefix(start: Column) -> Column:
+    """The words of a start as 32 bits of their hashes."""
+    return F.transform(start, lambda c: F.shiftright(F.shiftleft(c, 32), 32).cast("int"))
 
 
 def _start(codes: Column) -> Column:
+    """The codes of a set's prefix and the one after it."""
     n = F.size(codes)
     return F.slice(codes, 1, n - F.floor((4 * n + 4) / 5).cast("int") + 2)
 
 
-def _cold(codes: Column) -> Column:
+def _cold(start: Column) -> Column:
     """How many words at the start of these are not frequent."""
-    return F.size(F.filter(_start(codes), lambda c: F.shiftrightunsigned(c, _HASH_BITS) < _hot_class()))
+    cold = lambda c: c < F.lit(_hot_class() << _HASH_BITS)
+    return F.when(cold(F.get(start, F.size(start) - 1)), F.size(start)).otherwise(F.size(F.filter(start, cold)))
 
 
 def _posts(prefix: str = "prefix", cold: str = "cold") -> Column:
@@ -137,9 +150,10 @@ def _parity(codes: Column, k: int) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(d, rk, pos, line) of every line with a word."""
-    lines = docs.select("d", "rk", F.posexplode(F.split(text_of(), "\n")).alias("pos", "line"))
-    return lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+    """(d, rk, odd, pos, line) of every line with a word; odd: its text has white space other than spaces and line feeds."""
+    texts = docs.select("d", "rk", text_of().alias("text"), text_of().rlike(r"[\x09\x0B-\x0D]").alias("odd"))
+    lines = texts.select("d", "rk", "odd", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    return lines.where(F.when(F.col("odd"), F.col("line").rlike(r"[^\x20\x09-\x0D]")).otherwise(F.trim("line") != ""))
 
 
 def _earlier(a: str, b: str) -> Column:
@@ -149,9 +163,12 @@ def _earlier(a: str, b: str) -> Column:
 
 
 def _plausible(a: str, b: str) -> Column:
-    """Length, positional and parity filters on two postings of one word."""
+    """Length, positional and parity filters on two postings of one word, as for the rarest word that both sets have.
+
+    Matching sets meet under that one too, so no match is lost; under their other words they need not.
+    """
     n, m, i, j = F.col(f"{a}n"), F.col(f"{b}n"), F.col(f"{a}i"), F.col(f"{b}i")
-    shared = F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1)
+    shared = F.least(n - i, m - j)
     one, two = (F.col(f"{a}{p}").bitwiseXOR(F.col(f"{b}{p}")) for p in _PARITY)
     apart = F.when(F.least(n, m) > SHORT, F.bit_count(one) + F.bit_count(two)).otherwise(F.bit_count(one.bitwiseXOR(two)))
     return (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (9 * shared >= 4 * (n + m)) & (9 * apart <= n + m)
@@ -167,11 +184,12 @@ def _listed(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
 
 
 def _words(docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(d, rk, pos, words) of some sets."""
+    """(d, rk, pos, words) of some sets; docs has a (d, rk) once, or a column `repeated`."""
     asked = durable(sets.select(*_AT).distinct())
-    # Of rows equal in doc_id and text, any one will do.
-    lines = _listed(_lines(docs), asked, _AT).groupBy(*_AT).agg(F.min("line").alias("line"))
-    words = durable(lines.select(*_AT, F.array_distinct(F.array_remove(plain_words(F.col("line")), "")).alias("words")))
+    lines = _listed(_lines(docs), asked, _AT)
+    if "repeated" in docs.columns:  # of rows equal in doc_id and text, any one will do
+        lines = lines.groupBy(*_AT).agg(F.min("line").alias("line"), F.bool_or("odd").alias("odd"))
+    words = durable(lines.select(*_AT, F.array_distinct(_line_words()).alias("words")))
     drop_durable(asked)
     return words
 
@@ -185,15 +203,10 @@ def _set(prefix: str) -> list[Column]:
     return [F.col(f"{prefix}{k}").alias(k) for k in _AT]
 
 
-def _matched(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The sets a (d, rk, pos) for which a pair holds, by the words of both lines; written down, and the tables on the way deleted."""
-    pairs = durable(pairs)
-    words = _words(docs, pairs.select(*_set("a_")).unionByName(pairs.select(*_set("b_"))))
+def _matched(words: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The sets a (d, rk, pos) for which a pair holds, by the words of both lines; written down."""
     both = pairs.join(_renamed(words, "a_"), [f"a_{k}" for k in _AT]).join(_renamed(words, "b_"), [f"b_{k}" for k in _AT])
-    found = durable(both.where(_alike()).select(*_set("a_")).distinct())
-    drop_durable(words)
-    drop_durable(pairs)
-    return found
+    return durable(both.where(_alike()).select(*_set("a_")).distinct())
 
 
 def _met() -> Column:
@@ -208,7 +221,7 @@ def _partners(left: DataFrame, posted: DataFrame) -> DataFrame:
     return durable(met.select(*(F.col(f"b_{c}").alias(c) for c in left.columns)))
 
 
-def _matched_by_earliest(docs: DataFrame, left: DataFrame, partners: DataFrame) -> DataFrame:
+def _matched_by_earliest(words: DataFrame, left: DataFrame, partners: DataFrame) -> DataFrame:
     """The sets of left that match the earliest partner of about their length under a word.
 
     Variants of one line often match it and not each other; it is likely the first of its length.
@@ -218,42 +231,57 @@ def _matched_by_earliest(docs: DataFrame, left: DataFrame, partners: DataFrame)
     near = earliest.select("*", F.explode(F.array(F.col("n") - 1, F.col("n"), F.col("n") + 1)).alias("of"))
     a, b = _renamed(left, "a_"), _renamed(near, "b_")
     pairs = a.join(b, _met() & (F.col("a_n") == F.col("b_of"))).select(*(f"{s}{k}" for s in ("a_", "b_") for k in _AT))
-    return _matched(docs, pairs.distinct())
+    return _matched(words, pairs.distinct())
 
 
-def _matched_by_any(docs: DataFrame, left: DataFrame, partners: DataFrame) -> DataFrame:
+def _matched_by_any(words: DataFrame, left: DataFrame, partners: DataFrame) -> DataFrame:
     """The sets of left that match any partner, by their words."""
-    words = _words(docs, left.select(*_AT).unionByName(partners.select(*_AT)))
     a, b = (_renamed(x.join(words, _AT), p) for x, p in ((left, "a_"), (partners, "b_")))
     return a.join(b, _met() & _alike(), "left_semi").select(*_set("a_")).distinct()
 
 
+def _meeting(sets: DataFrame) -> DataFrame:
+    """The postings that another set's posting of the same word makes plausible, earlier or later: key, *_AT, n, *_PARITY, i, w."""
+    carried = [*_AT, "n", *_PARITY]
+    low = (1 << 32) - 1
+    # One number has a set's word and, to order the sets under a word, the word that follows it.
+    p = F.size("start") - 1
+    cold = sets.where((F.col("n") >= 4) & (F.col("cold") >= p)).select(*carried, "start", F.posexplode(F.slice("start", 1, p)).alias("i", "c"))
+    key = F.shiftleft("c", 32).bitwiseOR(F.get("start", F.col("i") + 1).bitwiseAND(F.lit(low)))
+    hot = sets.where((F.col("n") >= 4) & (F.col("cold") < p)).select(*carried, _prefix(F.col("start")).alias("prefix"), "cold")
+    hot = hot.select(*carried, F.explode(_posts()).alias("post")).select(*carried, "post.*")
+    hot_key = F.shiftleft(F.col("w").cast("bigint"), 32).bitwiseOR(F.col("after").cast("bigint").bitwiseAND(F.lit(low)))
+    keyed = cold.select(key.alias("key"), *carried, "i").unionByName(hot.select(hot_key.alias("key"), *carried, "i"))
+    # Both sides of the join share the exchange by word; structs, or null checks that only one of them needs, would make it another one.
+    keyed = keyed.where(" and ".join(f"{c} is not null" for c in keyed.columns))
+    word = F.shiftright("key", 32)
+    postings = keyed.repartition(word).withColumn("w", word)
+    other = (F.col("a_d") != F.col("c_d")) | (F.col("a_pos") != F.col("c_pos")) | (F.col("a_rk") != F.col("c_rk"))
+    met = _renamed(postings, "a_").join(_renamed(postings, "c_"), (F.col("a_w") == F.col("c_w")) & _plausible("a_", "c_") & other, "left_semi")
+    return met.select(*(F.col(f"a_{c}").alias(c) for c in postings.columns))
+
+
 def later_matches(docs: DataFrame) -> DataFrame:
     """(d, rk, gone): for each distinct (doc_id, text) of keyed docs, the line numbers to remove.
 
     Rows without a line to remove are left out.
     """
     classes = _classes(docs)
-    codes = _lines(docs).select(*_AT, _codes(F.col("line"), classes).alias("codes"))
-    n = F.size("codes")
+    codes = _lines(docs).select(*_AT, _codes(_line_words(), classes).alias("codes"))
+    n, start = F.size("codes"), _start(F.col("codes"))
     parities = [_parity(F.col("codes"), k).alias(p) for k, p in enumerate(_PARITY)]
     # No filter on the codes: it would have them computed twice.
-    lines = durable(codes.select(*_AT, F.xxhash64("codes").alias("set"), *parities, n.alias("n"), _prefix(F.col("codes")).alias("prefix"), _cold(F.col("codes")).alias("cold")))
+    lines = durable(codes.select(*_AT, F.xxhash64("codes").alias("set"), *parities, n.alias("n"), start.alias("start"), _cold(start).alias("cold")))
     same = ["set", *_PARITY, "n"]
     # The first two of each kind tell which is the first and whether there are more; each task keeps but two before the exchange.
     alike = Window.partitionBy(*same).orderBy(*_AT)
     two = lines.withColumn("k", F.row_number().over(alike)).where("k <= 2")
     sets = durable(two.withColumn("again", F.lead("k").over(alike).isNotNull()).where("k = 1").drop("k"))
 
-    row = ["w", *_AT, "n", *_PARITY, "i"]
-    posted = sets.where("n >= 4").select(*_AT, "n", *_PARITY, F.explode(_posts()).alias("post")).select(*_AT, "n", *_PARITY, "post.*")
-    # One number has a set's word and, to order the sets under a word, the word that follows it.
-    after = F.col("after").cast("bigint").bitwiseAND(F.lit((1 << 32) - 1))
-    keyed = posted.select(F.shiftleft(F.col("w").cast("bigint"), 32).bitwiseOR(after).alias("key"), *row[1:])
-    keyed = keyed.where(" and ".join(f"{c} is not null" for c in keyed.columns))
-    # The two uses of the postings share the exchange by word; structs, or null checks that only one of them needs, would make it another one.
-    word = F.shiftright("key", 32)
-    postings = keyed.repartition(word).withColumn("w", word)
+    met = durable(_meeting(sets))
+    words, row = _words(docs, met), ["w", *_AT, "n", *_PARITY, "i"]
+    # The two uses of the postings share the exchange by word.
+    postings = met.repartition("w")
     a = _renamed(postings, "a_")
     order = Window.partitionBy("a_w").orderBy("a_key", *(f"a_{k}" for k in _AT))
     ranked = a.select(*a.columns, *(F.lag(f"a_{c}").over(order).alias(f"b_{c}") for c in row[1:]))
@@ -265,17 +293,19 @@ def later_matches(docs: DataFrame) -> DataFrame:
     tried = ranked.join(_renamed(postings, "c_"), (F.col("a_w") == F.col("c_w")) & noted, "left_semi")
     tried = durable(tried)
     pairs = tried.where("b_d is not null").select(*(f"{s}{k}" for s in ("a_", "b_") for k in _AT)).distinct()
-    matched = _matched(docs, pairs)
+    matched = _matched(words, pairs)
     left = durable(tried.select(*(F.col(f"a_{c}").alias(c) for c in row)).distinct().join(matched, _AT, "left_anti"))
     drop_durable(tried)
     if not left.isEmpty():
-        partners = _partners(left, keyed.withColumn("w", word).select(*row))
-        more = _matched_by_earliest(docs, left, partners)
+        partners = _partners(left, met.select(*row))
+        more = _matched_by_earliest(words, left, partners)
         few = durable(left.join(more, _AT, "left_anti"))
-        last = durable(_matched_by_any(docs, few, _partners(few, partners)))
+        last = durable(_matched_by_any(words, few, _partners(few, partners)))
         for done in (left, few, partners):
             drop_durable(done)
         matched = matched.unionByName(more).unionByName(last)
+    for done in (met, words):
+        drop_durable(done)
 
     # Only sets that lose an occurrence are looked up among the lines.
     firsts = sets.join(matched.withColumn("matched", F.lit(True)), _AT, "left").where(F.col("again") | F.col("matched"))
@@ -304,7 +334,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         stays = keyed.groupBy(*_KEY).agg(F.min("row").alias("row"))
         keyed = keyed.join(stays.withColumn("first", F.lit(True)), [*_KEY, "row"], "left")
         first = F.coalesce("first", F.lit(False))
-    gone = later_matches(keyed.select("d", "rk", "text"))
+    gone = later_matches(keyed.select("d", "rk", "text", *([F.lit(True).alias("repeated")] if repeated else [])))
     joined = keyed.join(gone, _KEY, "left").withColumn("all_lines", F.split(F.col("text"), "\n"))
     has_word = lambda x: F.length(F.regexp_replace(x, WHITE, "")) > 0
     others = F.filter("all_lines", lambda x, i: ~F.array_contains("gone", i))

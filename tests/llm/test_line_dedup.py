@@ -111,6 +111,25 @@ def test_a_hot_word_is_split(spark):
     assert len(matching) > 20 and all(under[c][a] & under[c][b] for a, b in matching for c in (0, 99))
 
 
+def test_sets_are_candidates_by_their_rarest_shared_word(spark):
+    """Sets of 47 words can differ in five words each: their rarest shared word is among the first six, and postings after these make no candidates."""
+    columns = ", ".join(f"{s}{c} {t}" for s in ("a_", "b_") for c, t in (("n", "int"), ("i", "int"), ("parity0", "bigint"), ("parity1", "bigint")))
+    places = [(i, j) for i in range(11) for j in range(11)]
+    rows = spark.createDataFrame([(47, i, 0, 0, 47, j, 0, 0) for i, j in places], columns)
+    assert {(r.a_i, r.b_i) for r in rows.where(line_dedup._plausible("a_", "b_")).collect()} == {(i, j) for i, j in places if max(i, j) <= 5}
+
+
+def test_words_are_read_once(docs_of, monkeypatch):
+    """All rounds verify on the words that one pass over the texts has found."""
+    calls, words = [], line_dedup._words
+    monkeypatch.setattr(line_dedup, "_words", lambda *args: calls.append(1) or words(*args))
+    base = [f"w{i}" for i in range(20)]
+    rows = [(k, " ".join([*base[:17], f"x{k}", f"y{k}", f"z{k}"])) for k in range(12)] + [(12, " ".join(base[:17])), (13, " ".join(base[1:17]))]
+    found = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs_of(rows)).collect()}
+    assert [found[i] for i, _ in rows] == brute(rows)
+    assert len(calls) == 1
+
+
 def test_odd_rows(docs_of):
     source = docs_of(ODD).withColumnRenamed("d", "n_lines")
     out = line_dedup.dedup_lines(source)
