@@ -16,6 +16,16 @@ def is_hash(c: Column) -> Column:
     return F.coalesce(c.rlike(HASH), F.lit(False))
 
 
+def packed_hash(c: Column) -> Column:
+    """Text as bytes: 32 for a hash, which shuffles do not compress as text; of any other text its own after 33 bytes of 0xff, so none is taken for a hash and hashes sort as their texts do."""
+    return F.when(is_hash(c), F.unhex(F.substring(c, 3, 64))).otherwise(F.concat(F.unhex(F.lit("ff" * 33)), c.cast("binary")))
+
+
+def unpacked_hash(c: Column) -> Column:
+    """The text that packed_hash made bytes of."""
+    return F.when(F.octet_length(c) == 32, F.concat(F.lit("0x"), F.lower(F.hex(c)))).otherwise(F.substring(c, 34, 2**31 - 1).cast("string"))
+
+
 def is_uuid4(c: Column) -> Column:
     return F.coalesce(c.rlike(UUID4), F.lit(False))
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import packed_hash
 from ..plans.catalog import KEY
 from ..sources.scratch import stored
 
@@ -25,11 +26,11 @@ def _nodes(headers: DataFrame) -> DataFrame:
     """(low, k, high, hash, parent, contested) of each node: a linked stretch of heights with one header each, or a header of a contested height.
 
     low and k name the node: its lowest height, and the place of its hash among those there. hash is
-    its highest header's, parent its lowest one's. Headers are moved once, to their slices; of those
-    inside a stretch nothing is kept.
+    its highest header's, parent its lowest one's, both packed. Headers are moved once, to their slices;
+    of those inside a stretch nothing is kept.
     """
     n = F.col(KEY)
-    dealt = headers.select(KEY, F.col("block_hash").alias("hash"), F.col("parent_hash").alias("parent"), F.floor(n / SLICE).alias("slice")).repartition("slice").distinct()
+    dealt = headers.select(KEY, packed_hash(F.col("block_hash")).alias("hash"), packed_hash(F.col("parent_hash")).alias("parent"), F.floor(n / SLICE).alias("slice")).repartition("slice").distinct()
     order = Window.partitionBy("slice").orderBy(KEY, "hash", "parent")
     near = {"n_1": F.lag(KEY, 1), "n_2": F.lag(KEY, 2), "n1": F.lead(KEY, 1), "n2": F.lead(KEY, 2), "hash_1": F.lag("hash", 1), "parent1": F.lead("parent", 1)}
     seen = dealt.withColumns({name: c.over(order) for name, c in near.items()})
@@ -73,11 +74,11 @@ def _below(headers: DataFrame, anchor: int, anchor_hash: str) -> DataFrame:
     return headers.where((F.col(KEY) < anchor) | ((F.col(KEY) == anchor) & (F.col("block_hash") == anchor_hash)))
 
 
-def line_spans(headers: DataFrame, anchor: int, anchor_hash: str, uncontested: bool = False) -> DataFrame:
-    """(low, high, hash) of the line that `canonical_chain` gives: all headers from low to high where hash is null, else the one with that hash at low."""
+def _walked(headers: DataFrame, anchor: int, anchor_hash: str, uncontested: bool) -> tuple[DataFrame, DataFrame]:
+    """(nodes, those on the line that `canonical_chain` gives)."""
     nodes = _nodes(_below(headers, anchor, anchor_hash))
     pointers = _pointers(nodes)
-    seeds = nodes.where((F.col("high") == anchor) & (F.col("hash") == anchor_hash)).select("low", "k")
+    seeds = nodes.where((F.col("high") == anchor) & (F.col("hash") == packed_hash(F.lit(anchor_hash)))).select("low", "k")
     if uncontested:
         more, pointers = _settled(nodes, pointers, anchor)
         seeds = seeds.unionByName(more)
@@ -90,14 +91,34 @@ def line_spans(headers: DataFrame, anchor: int, anchor_hash: str, uncontested: b
         reached = reached.unionByName(more)
         after = pointers.select(F.col("low").alias("next_low"), F.col("k").alias("next_k"), F.col("next_low").alias("after_low"), F.col("next_k").alias("after_k"))
         pointers = stored(pointers.join(after, ["next_low", "next_k"]).select("low", "k", F.col("after_low").alias("next_low"), F.col("after_k").alias("next_k")))
-    on_line = nodes.join(reached, ["low", "k"], "left_semi")
-    return stored(on_line.where("not contested or hash is not null").select("low", "high", F.when(F.col("contested"), F.col("hash")).alias("hash")).distinct())
+    return nodes, nodes.join(reached, ["low", "k"], "left_semi").where("not contested or hash is not null")
+
+
+def line_spans(headers: DataFrame, anchor: int, anchor_hash: str, uncontested: bool = False) -> DataFrame:
+    """(low, high, hash) of the line that `canonical_chain` gives: all headers from low to high where hash is null, else the one with that hash (packed) at low."""
+    on_line = _walked(headers, anchor, anchor_hash, uncontested)[1]
+    return stored(on_line.select("low", "high", F.when(F.col("contested"), F.col("hash")).alias("hash")).distinct())
+
+
+def off_line(headers: DataFrame, anchor: int, anchor_hash: str) -> tuple[int, DataFrame] | None:
+    """(low, lost): the line from the anchor leads down to low, and of the headers from there to below the anchor all are on it but those of lost (block_number, hash, packed). None without the anchor's header.
+
+    Losers are few, so who only has to leave them out need not move all headers to the line's heights, as `rows_on` does.
+    """
+    nodes, on_line = _walked(headers, anchor, anchor_hash, False)
+    on_line = stored(on_line.select("low", F.when(F.col("contested"), F.col("hash")).alias("hash")))
+    low = on_line.agg(F.min("low")).first()[0]
+    if low is None:
+        return None
+    won = on_line.where("hash is not null").groupBy("low").agg(F.min("hash").alias("won"))
+    lost = nodes.where("contested and hash is not null").join(won, "low").where("hash <> won")
+    return low, stored(lost.select(F.col("low").alias(KEY), "hash").distinct())
 
 
 def rows_on(headers: DataFrame, spans: DataFrame, anchor: int, anchor_hash: str) -> DataFrame:
     """The rows of headers on a line of spans; a span is a slice long at most."""
     line = spans.select(F.explode(F.sequence("low", "high")).alias("_line_number"), F.col("hash").alias("_line_hash"))
-    own = F.col("_line_hash").isNull() | (F.col("_line_hash") == F.col("block_hash"))
+    own = F.col("_line_hash").isNull() | (F.col("_line_hash") == packed_hash(F.col("block_hash")))
     rows = _below(headers, anchor, anchor_hash).where(F.col("block_hash").isNotNull())
     return rows.join(line, (F.col(KEY) == F.col("_line_number")) & own, "left_semi").select(*headers.columns)
 

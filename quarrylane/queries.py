@@ -521,17 +521,33 @@ def stream_reorgs(fx: Fixtures) -> DataFrame:
     return stream.finalized_view(fx.spark.read.parquet(f"{base}/out"), head, fx.hash_at(head), 0)
 
 
+def _deliveries(fx: Fixtures, base: str, late_too) -> list[str]:
+    """Receipts in two folders, from one pass: those at even places, and those at odd ones for which late_too holds."""
+    odd = F.col("transaction_index") % 2
+    rows = fx.receipts().withColumn("late", odd.cast("int")).where((odd == 0) | late_too)
+    rows.write.partitionBy("late").option("compression", "zstd").parquet(f"{base}/made")
+    return [f"{base}/made/late=0", f"{base}/made/late=1"]
+
+
+def _deliver(fx: Fixtures, folder: str, src: str) -> None:
+    """Put a folder where the stream looks for new files."""
+    fs, to = store._fs(fx.spark, src)
+    fs.mkdirs(to)
+    there, at = store._fs(fx.spark, folder)
+    if there.exists(at):  # there is no folder without rows
+        fs.rename(at, to)
+
+
 @_query
 def stream_features(fx: Fixtures) -> DataFrame:
     base = scratch_dir(fx.spark)
-    receipts = fx.receipts()
-    receipts.where("transaction_index % 2 = 0").write.parquet(f"{base}/src")
+    early, late = _deliveries(fx, base, F.col("block_hash") != as_hash(F.lit(33)))
     run = lambda: stream.stream_features(fx.spark, f"{base}/src", blocks, f"{base}/out", f"{base}/checkpoint", NINE)
-    fx.headers().write.parquet(f"{base}/blocks")
+    fx.headers().write.option("compression", "zstd").parquet(f"{base}/blocks")
     blocks = fx.spark.read.parquet(f"{base}/blocks")
+    _deliver(fx, early, f"{base}/src")
     run()
-    late = receipts.where(F.col("transaction_index") % 2 == 1).where(F.col("block_hash") != as_hash(F.lit(33)))
-    late.write.mode("append").parquet(f"{base}/src")
+    _deliver(fx, late, f"{base}/src")
     run()
     return fx.spark.read.parquet(f"{base}/out")
 
@@ -540,11 +556,11 @@ def stream_features(fx: Fixtures) -> DataFrame:
 def stream_final_features(fx: Fixtures) -> DataFrame:
     """The features of the finalized line alone: headers of losing branches, and their receipts, are there too."""
     base, head = scratch_dir(fx.spark), fx.head()
-    fx.forked(fx.headers()).write.parquet(f"{base}/blocks")
-    receipts = fx.receipts()
-    receipts.where("transaction_index % 2 = 0").write.parquet(f"{base}/src")
+    fx.forked(fx.headers()).write.option("compression", "zstd").parquet(f"{base}/blocks")
+    early, late = _deliveries(fx, base, F.lit(True))
     run = lambda to: stream.stream_features(fx.spark, f"{base}/src", f"{base}/blocks", f"{base}/out", f"{base}/checkpoint", NINE, lambda: (to, fx.hash_at(to)))
+    _deliver(fx, early, f"{base}/src")
     run(head // 2)
-    receipts.where("transaction_index % 2 = 1").write.mode("append").parquet(f"{base}/src")
+    _deliver(fx, late, f"{base}/src")
     run(head)
     return fx.spark.read.parquet(f"{base}/out")

@@ -25,6 +25,13 @@ def test_hash(spark, text, value):
     assert one(spark, text, columns.is_hash) is value
 
 
+@pytest.mark.parametrize("text", ["0x" + "ab" * 32, "0x" + "AB" * 32, "x" * 32, "f0x" + "00" * 32, "é\n", "", None])
+def test_packed_hashes_are_told_apart_and_unpacked(spark, text):
+    packed = one(spark, text, columns.packed_hash)
+    assert one(spark, text, lambda c: columns.unpacked_hash(columns.packed_hash(c))) == text
+    assert text is None or (len(packed) == 32) == (text == "0x" + "ab" * 32)
+
+
 def at(text):
     return int(datetime.fromisoformat(text + "+00:00").timestamp())
 

@@ -165,3 +165,63 @@ def test_headers_inside_a_stretch_are_not_kept(spark, monkeypatch):
     line = canonical_chain(a.unionByName(fork), 8900, H(8901))
     assert line.count() == 8901 and line.where(F.col("block_hash").startswith("f")).isEmpty()
     assert sum(rows) < 200
+
+
+def test_losers_and_the_lowest_height_give_the_line(spark):
+    """All headers from low to the anchor but the losers are the line that canonical_chain gives, also where headers are missing."""
+    rng = random.Random(3)
+    rows = random_tree(rng, 80)
+    for part in (rows, [r for r in rows if r[0] != 9]):
+        n, h, *_ = max(part)
+        headers = spark.createDataFrame(part, HEADER)
+        low, lost = canonical.off_line(headers, n, h)
+        gone = {(r.block_number, unpacked(r.hash)) for r in lost.collect()}
+        left = {(a, b) for a, b, *_ in part if low <= a < n and (a, b) not in gone} | {(n, h)}
+        assert left == walked(part, n, h) and gone <= {r[:2] for r in part}
+    assert canonical.off_line(headers, 2, "none") is None
+
+
+def unpacked(packed):
+    """The text of a packed hash that is none of 32 bytes."""
+    assert len(packed) > 32 and packed[:33] == b"\xff" * 33
+    return packed[33:].decode()
+
+
+def test_blocks_below_a_missing_header_wait_for_it(spark, tmp_path, monkeypatch):
+    """Block 3 lands last: the receipts of 0 to 2 are not taken for those of a losing branch. A batch is judged once, not again when all has been read."""
+    src, out, check, table = (str(tmp_path / x) for x in ("src", "out", "check", "blocks"))
+    add = lambda rows: spark.createDataFrame(rows, BLOCKS).coalesce(1).write.mode("append").parquet(table)
+    block = lambda n, gas=10: (n, H(n + 1), H(n), n, 1, gas, 100)
+    judged, gaps = [], stream.receipt_gaps
+    monkeypatch.setattr(stream, "receipt_gaps", lambda fresh, landed: (judged.append(1), gaps(fresh, landed))[1])
+    run = lambda: stream.stream_features(spark, src, table, out, check, ["tx_count"], lambda: (5, H(6)))
+    stored = lambda: sorted((r.block_number, r.tx_count) for r in spark.read.parquet(out).collect())
+    add([block(n) for n in (0, 1, 2, 4, 5)])
+    spark.createDataFrame([(H(n + 1), i, 5, 9) for n in (0, 1, 2, 4, 5) for i in (0, 1)], stream.RECEIPTS).write.parquet(src)
+    run()
+    assert stored() == [(4, 2), (5, 2)] and len(judged) == 1
+    add([block(3, 0)])
+    run()
+    assert stored() == [(0, 2), (1, 2), (2, 2), (3, 0), (4, 2), (5, 2)]
+
+
+def test_a_number_is_stored_once(spark, tmp_path):
+    """Headers that land twice, and two of one number though all are taken to be final."""
+    src, out, check = (str(tmp_path / x) for x in ("src", "out", "check"))
+    rows = [(n, H(n + 1), H(n), n, 1, 10, 100) for n in range(6)]
+    blocks = spark.createDataFrame([*rows, *rows[:3], (4, H(904), H(4), 4, 1, 10, 100)], BLOCKS)
+    spark.createDataFrame([(r[1], 0, 10, 9) for r in rows] + [(H(904), 0, 10, 9)], stream.RECEIPTS).write.parquet(src)
+    stream.stream_features(spark, src, blocks, out, check, ["block_hash", "tx_count"])
+    found = spark.read.parquet(out).collect()
+    assert sorted(r.block_number for r in found) == list(range(6)) and {r.block_hash for r in found} <= {r[1] for r in rows} | {H(904)}
+
+
+def test_sets_of_numbers(spark):
+    """Over the edges of bitmaps: what is in the set, and up to where all are."""
+    numbers = lambda *x: spark.createDataFrame([(n,) for n in x], "block_number bigint")
+    asked = [0, 1, 7, 8, 32766, 32767, 32768, 65535, 65536, 98304]
+    some = [1, 8, 32767, 32768, 65536]
+    bits = stream._bits(numbers(*some, 8))
+    assert sorted(r.block_number for r in stream._among(numbers(*asked), bits, "found").where("found").collect()) == some
+    run = stream._bits(spark.range(5, 70_000).withColumnRenamed("id", "block_number").where("block_number <> 40000"))
+    assert [stream._unbroken(run, 5, 69_999), stream._unbroken(run, 4, 69_999), stream._unbroken(run.where("_span = 0"), 5, 32_767)] == [39_999, 3, 32_767]
