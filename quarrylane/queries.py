@@ -531,11 +531,10 @@ def _deliveries(fx: Fixtures, base: str, late_too) -> list[str]:
 
 def _deliver(fx: Fixtures, folder: str, src: str) -> None:
     """Put a folder where the stream looks for new files."""
-    fs, to = store._fs(fx.spark, src)
+    (fs, at), (_, to) = store._fs(fx.spark, folder), store._fs(fx.spark, src)
     fs.mkdirs(to)
-    there, at = store._fs(fx.spark, folder)
-    if there.exists(at):  # there is no folder without rows
-        fs.rename(at, to)
+    if fs.exists(at):  # without rows there is none
+        fs.rename(at, store._fs(fx.spark, f"{src}/{at.getName()}")[1])
 
 
 @_query
